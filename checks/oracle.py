@@ -106,7 +106,7 @@ rows AS (
          '2d' AS dimension, 'hd' AS definition, CASE WHEN p_size > 10 THEN 'true' ELSE 'false' END AS caption,
          p_size > 20 AS licensed_content, 'rectangular' AS projection,
          CAST(floor(p_retailprice) AS BIGINT) AS view_count,
-         CAST(NULL AS BIGINT) AS like_count,
+         CASE WHEN p_size < 15 THEN 1000 + p_size + 10 END AS like_count,
          CASE WHEN p_size > 30 THEN NULL ELSE p_size END AS comment_count,
          'public' AS privacy_status, p_size > 30 AS made_for_kids, CAST(NULL AS BOOLEAN) AS self_declared_made_for_kids,
          '["' || p_type || '"]' AS topic_categories,

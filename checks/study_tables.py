@@ -114,7 +114,7 @@ def video_pages(spark: SparkSession, sf: str) -> DataFrame:
                 'licensedContent', p_size > 20, 'projection', 'rectangular'),
               'statistics', named_struct(
                 'viewCount', concat(' ', cast(floor(p_retailprice) as int), ' '),
-                'likeCount', cast(p_retailprice as string),
+                'likeCount', if(p_size < 15, concat('1_0', p_size + 10), cast(p_retailprice as string)),
                 'commentCount', if(p_size > 30, 'n/a', concat('+', p_size))),
               'status', named_struct(
                 'privacyStatus', 'public', 'madeForKids', p_size > 30,

@@ -91,9 +91,9 @@ def resolve_pending(
     return todo, resolve_transcripts(todo, tracks, subtitles, speech, languages, any_language)
 
 
-def transcript_stage(todo: DataFrame, resolved: DataFrame, captured_at: str, run_id: str) -> Stage:
+def transcript_stage(todo: DataFrame, resolved: DataFrame, captured_at: str) -> Stage:
     """Transcript rows and segments of a resolved cascade; write ``resolved`` first, both read it."""
-    stamp = {"_run_id": F.lit(run_id), "_seq": F.lit(0).cast("bigint")}  # one row per key and run
+    stamp = {"_run_id": F.lit(None).cast("string"), "_seq": F.lit(0).cast("bigint")}  # one row per key and run
     return Stage(todo, {
         "transcripts": transcript_rows(resolved, F.lit(captured_at)).withColumns(stamp),
         "transcript_segments": transcript_segments(resolved).withColumns(stamp),

@@ -120,10 +120,14 @@ def run_study(
     stamp = captured_at or started
     summary: dict[str, DataFrame] = {}
 
+    def arriving(df: DataFrame) -> DataFrame:
+        """Rows of this run come after all stored ones, among themselves in page order."""
+        return df.withColumn("_run_id", F.concat_ws("/", F.lit(run_id), F.col("_run_id")))
+
     def settle_all(stage: stages.Stage) -> stages.Stage:
         return stages.Stage(
             study.settle(stage.requested, "requested"),
-            {t: study.settle(df, t) for t, df in stage.new.items()})
+            {t: study.settle(arriving(df), t) for t, df in stage.new.items()})
 
     def publish(stage: stages.Stage, table: str, suffix: str = "") -> DataFrame:
         merged = stages.upserted(study.read(table), stage.new[table], table)
@@ -132,7 +136,7 @@ def run_study(
     if "discovery" in opts.stages:
         found = stages.discovery(
             study.landed(landing, "search"), stamp, opts.max_pages_per_query, opts.stop_on_quota)
-        new = study.settle(found.new["search_hits"], "search_hits")
+        new = study.settle(arriving(found.new["search_hits"]), "search_hits")
         hits = publish(stages.Stage(new, {"search_hits": new}), "search_hits")
         summary["discovery"] = study.settle(metrics.discovery_metrics(new, hits), "metrics")
     hits = study.read("search_hits")
@@ -163,7 +167,7 @@ def run_study(
             study.landed(landing, "speech") if opts.use_speech else None,
             opts.languages, opts.use_any_caption, opts.retry_failed, opts.resume)
         settled = study.settle(resolved, "resolved")
-        done = settle_all(stages.transcript_stage(todo, settled, stamp, run_id))
+        done = settle_all(stages.transcript_stage(todo, settled, stamp))
         transcripts = publish(done, "transcripts")
         publish(done, "transcript_segments")
         videos = study.publish(
