@@ -380,3 +380,4 @@ ORACLE: dict[str, str] = {
     "csv_roundtrip": f"WITH {VIDEO_ROWS} SELECT * FROM rows",
     "ingest_stream": f"WITH {FLAT_SEARCH} SELECT * FROM flat",
 }
+ORACLE["upsert_into_settled"] = ORACLE["upsert_by_query_and_video"]

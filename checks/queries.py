@@ -11,7 +11,7 @@ from checks import study_tables as st
 from corpus_engine import schemas
 from corpus_engine.functions.status import FINISHED_COMMENT_STATUSES
 from corpus_engine.functions.text import clean_text
-from corpus_engine.operators.ordering import first_seen, keep_last, upsert
+from corpus_engine.operators.ordering import first_seen, keep_last, replace_rows, upsert
 from corpus_engine.operators.positions import id_batches as make_id_batches
 from corpus_engine.operators.resume import pending, refresh_columns
 from corpus_engine.plans import coverage, expansion, report, review, search_plan as plan
@@ -118,6 +118,14 @@ def upsert_by_query_and_video(spark: SparkSession, sf: str) -> DataFrame:
         "query", "video_id", "result_position", "channel_id", "captured_at")
 
 
+@query
+def upsert_into_settled(spark: SparkSession, sf: str) -> DataFrame:
+    old, new = _halves(st.hits(spark, sf))
+    keys = ["query", "video_id"]
+    return replace_rows(keep_last(old, keys), new, keys).select(
+        *keys, "result_position", "channel_id", "captured_at")
+
+
 @query
 def upsert_missing_columns(spark: SparkSession, sf: str) -> DataFrame:
     facts = st.videos(spark, sf)

@@ -9,12 +9,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpus_engine.functions.values import (
+    VIDEO_URL_PREFIX,
+    iso_duration_seconds,
+    iso_z,
+    prefixed,
+    stable_id,
+)
+
 CAPTURED = "2026-01-01T00:00:00Z"
 LANGUAGES = ["en", "fr", "de-DE"]
 
 
+LONG_ROWS = {"documents", "conversations"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A driver table. One with long rows that arrives in fewer splits than cores is dealt out to all."""
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in LONG_ROWS and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 # --- relational: hits, videos, channels ------------------------------------------------------
@@ -24,7 +40,7 @@ def hits(spark: SparkSession, sf: str) -> DataFrame:
     """Search hits from line items: one query per return flag and line number."""
     windowed = table(spark, sf, "lineitem").withColumn("first_day", F.expr(
         "date_add(date'1995-01-01', cast(floor(datediff(l_shipdate, date'1995-01-01') / 30) * 30 as int))"))
-    iso = "date_format({}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+    windowed = windowed.withColumn("shipped", iso_z(F.col("l_shipdate")))
     rows = windowed.selectExpr(
         "l_returnflag as theme",
         "concat(l_returnflag, '-', l_linenumber) as query",
@@ -36,22 +52,18 @@ def hits(spark: SparkSession, sf: str) -> DataFrame:
         "cast(l_partkey as string) as video_id",
         "cast(l_suppkey as string) as channel_id",
         "concat(l_returnflag, ' ', l_partkey) as search_title",
-        f"{iso.format('l_shipdate')} as search_published_at",
-        f"{iso.format('l_shipdate')} as captured_at",
+        "shipped as search_published_at",
+        "shipped as captured_at",
         "l_shipdate",
         "date_format(l_shipdate, 'yyyyMMdd') as _run_id",
         "struct(l_orderkey, l_linenumber, l_partkey, l_suppkey) as _seq",
     )
-    from corpus_engine.functions.values import stable_id
-
     parts = ("theme", "query", "search_order", "search_published_after", "search_published_before")
     return rows.select(stable_id(*[F.col(p) for p in parts]).alias("search_id"), "*")
 
 
 def videos(spark: SparkSession, sf: str) -> DataFrame:
     """Video details from parts; durations are parsed from their ISO text."""
-    from corpus_engine.functions.values import VIDEO_URL_PREFIX, iso_duration_seconds, prefixed
-
     rows = table(spark, sf, "part").selectExpr(
         "cast(p_partkey as string) as video_id",
         "cast(p_size as string) as channel_id",

@@ -8,6 +8,8 @@ row per partition and no more.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,6 +48,21 @@ def upsert(
     return keep_last(existing.unionByName(new, allowMissingColumns=True), keys, order_by)
 
 
+def replace_rows(
+    existing: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ARRIVAL
+) -> DataFrame:
+    """Upsert into a table that is unique per key and older than every new row.
+
+    Stored rows are only checked against the arriving keys: they are neither sorted nor, while the
+    new keys are few enough for the optimizer to broadcast, shuffled.
+    """
+    latest = keep_last(new, keys, order_by)
+    arriving = latest.select([F.col(k).alias(f"_new_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
+    kept = existing.join(arriving, reduce(and_, same), "left_anti")
+    return kept.unionByName(latest, allowMissingColumns=True)
+
+
 def first_seen(df: DataFrame, key: str, order_by: Sequence[str] = ARRIVAL) -> DataFrame:
     """Distinct non-null values of ``key`` as text, with the order columns of their first row."""
     _require(order_by, "first_seen")

@@ -3,32 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 64
-
-
-def _ranked(df: DataFrame, keys: Sequence, order_by: Sequence[Column], n: int) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n)
+from corpus_engine.operators.positions import with_global_position
 
 
 def top_n_per_group(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int, rank_as: str | None = None
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int
 ) -> DataFrame:
     """The first ``n`` rows of every group in the given total order.
 
-    Up to the optimizer's threshold the limit is applied before the shuffle. Beyond it hot groups
-    are first split by a salt and limited per piece, which keeps the same rows: whoever is among
-    the first ``n`` of the group is among the first ``n`` of its piece.
+    Up to the optimizer's threshold a window does it, with the limit applied before the shuffle: a
+    hot group sends ``n`` rows per input partition. Beyond the threshold there is no such limit, so
+    rows are numbered by a distributed sort that splits hot groups over many tasks.
     """
     if not order_by:
         raise ValueError("top_n_per_group needs a total order; pass order_by")
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > threshold:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-        df = _ranked(salted, [*keys, "_salt"], order_by, n).drop("_rank", "_salt")
-    ranked = _ranked(df, keys, order_by, n)
-    return ranked.withColumnRenamed("_rank", rank_as) if rank_as else ranked.drop("_rank")
+    if n <= threshold:
+        window = Window.partitionBy(*keys).orderBy(*order_by)
+        ranked = df.withColumn("_rank", F.row_number().over(window))
+        return ranked.where(F.col("_rank") <= n).drop("_rank")
+
+    placed = with_global_position(df, [*[F.col(k) for k in keys], *order_by], "_place")
+    starts = placed.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.min("_place").alias("_start"))
+    same_group = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return (
+        placed.join(starts, same_group)
+        .where(F.col("_place") - F.col("_start") < n)
+        .select(*df.columns)
+    )

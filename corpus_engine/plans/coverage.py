@@ -35,11 +35,11 @@ def overlap_with(hits: DataFrame, baseline: str, strategy: str = "query") -> Dat
     """Every other strategy against one baseline: shared videos and Jaccard similarity."""
     pairs = hits.where(F.col("video_id").isNotNull()).select(strategy, "video_id").distinct()
     base = pairs.where(F.col(strategy) == baseline).select("video_id", F.lit(1).alias("_base"))
-    base_size = base.agg(F.count(F.lit(1)).alias("baseline_videos"))
-    shared = pairs.where(F.col(strategy) != baseline).join(base, "video_id", "left").groupBy(strategy).agg(
+    counted = pairs.where(F.col(strategy) != baseline).join(base, "video_id", "left").groupBy(strategy).agg(
         F.count(F.lit(1)).alias("n_videos"), F.count("_base").alias("shared_videos"))
+    sized = counted.withColumn("baseline_videos", base.agg(F.count(F.lit(1))).scalar())
     union = F.col("n_videos") + F.col("baseline_videos") - F.col("shared_videos")
-    return shared.crossJoin(base_size).withColumn("jaccard", F.col("shared_videos") / union)  # one row
+    return sized.withColumn("jaccard", F.col("shared_videos") / union)
 
 
 def _unmatched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -8,22 +8,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _rows(df: DataFrame) -> Column:
+    """The number of rows as a scalar subquery."""
+    return df.agg(F.count(F.lit(1))).scalar()
+
+
 def discovery_metrics(new_hits: DataFrame, hits: DataFrame) -> DataFrame:
     """Rows of this run, rows overall, distinct videos overall."""
-    return hits.agg(
-        F.count(F.lit(1)).alias("total_rows"), F.count_distinct("video_id").alias("unique_videos")
-    ).crossJoin(new_hits.agg(F.count(F.lit(1)).alias("new_rows"))).select(
-        "new_rows", "total_rows", "unique_videos")
+    totals = hits.agg(
+        F.count(F.lit(1)).alias("total_rows"), F.count_distinct("video_id").alias("unique_videos"))
+    return totals.select(_rows(new_hits).alias("new_rows"), "total_rows", "unique_videos")
 
 
 def row_metrics(requested: DataFrame, new_rows: DataFrame, total: DataFrame) -> DataFrame:
     """Requested ids, new rows and total rows of a stage; one row."""
-    def count(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(name))
-
-    # each side is a one-row aggregate
-    return count(requested, "requested").crossJoin(count(new_rows, "new_rows")).crossJoin(
-        count(total, "total_rows"))
+    return total.agg(F.count(F.lit(1)).alias("total_rows")).select(
+        _rows(requested).alias("requested"), _rows(new_rows).alias("new_rows"), "total_rows")
 
 
 def transcript_metrics(new_transcripts: DataFrame) -> DataFrame:
@@ -58,29 +58,27 @@ def run_report(
 ) -> DataFrame:
     """One row: run identity, one struct of metrics per stage, and the output paths.
 
-    Every stage contributes a one-row frame; they are set side by side.
+    Every stage contributes a one-row frame, read as a scalar subquery.
     """
     def text(value: str) -> Column:
         return F.lit(value)
 
-    report = spark.range(1).select(
-        text(run_id).alias("run_id"), text(project).alias("project"),
-        text(started_at).alias("started_at"), text(ended_at).alias("ended_at"))
-    for stage, metrics in stages.items():
-        report = report.crossJoin(metrics.select(F.struct(*metrics.columns).alias(stage)))
-    staged = F.struct(*[F.col(s) for s in stages]) if stages else F.struct(F.lit(0).alias("none"))
-    paths = F.struct(*[text(p).alias(name) for name, p in outputs.items()])
-    return report.select(
-        "run_id", "project", "started_at", staged.alias("stages"), "ended_at", paths.alias("outputs"))
+    staged = [m.select(F.struct(*m.columns)).scalar().alias(stage) for stage, m in stages.items()]
+    return spark.range(1).select(
+        text(run_id).alias("run_id"),
+        text(project).alias("project"),
+        text(started_at).alias("started_at"),
+        F.struct(*staged).alias("stages"),
+        text(ended_at).alias("ended_at"),
+        F.struct(*[text(p).alias(name) for name, p in outputs.items()]).alias("outputs"),
+    )
 
 
 def transcript_stage_metrics(
     requested: DataFrame, new_transcripts: DataFrame, total: DataFrame
 ) -> DataFrame:
     """The transcript stage's counts plus its method histogram, as one row."""
-    counted = transcript_metrics(new_transcripts).crossJoin(
-        requested.agg(F.count(F.lit(1)).alias("requested"))
-    ).crossJoin(total.agg(F.count(F.lit(1)).alias("total_rows")))
     methods = _one_row_map(method_histogram(new_transcripts), "transcript_method", "n_rows")
-    return counted.crossJoin(methods).select(
-        "requested", "new_rows", "successes", "failures", "methods", "total_rows")
+    return transcript_metrics(new_transcripts).select(
+        _rows(requested).alias("requested"), "new_rows", "successes", "failures",
+        methods.scalar().alias("methods"), _rows(total).alias("total_rows"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpus_engine.operators.ordering import ARRIVAL
 from corpus_engine.operators.ranking import top_n_per_group
+from corpus_engine.operators.sizing import settled_side
 
 DETAILS = ["channel_title", "title", "description", "published_at", "duration_seconds", "view_count", "video_url"]
 LABELS = ["relevance_label", "relevance_reason"]
@@ -24,17 +25,23 @@ def best_hits(
 ) -> DataFrame:
     """The first ``per_query`` distinct videos of each query by position, ties by arrival.
 
-    The best row per (query, video) is an aggregate, so repeats are folded before the shuffle;
-    the ranking that follows sees one row per pair.
+    A first pass finds how deep each query has to be read: the best position per (query, video) is
+    a hash aggregate over three columns, folded before its shuffle. Only rows that reach the depth
+    of their query are then put in arrival order, which is a small share of the hits.
     """
-    place = F.struct("result_position", *[F.col(c) for c in order_by])
-    best = (
-        hits.where(F.col("query").isNotNull())
-        .groupBy("query", "video_id")
-        .agg(F.min(place).alias("_place"))
-        .select("query", "_place.result_position", "video_id", "_place")
-    )
-    return top_n_per_group(best, ["query"], [F.col("_place")], per_query).drop("_place")
+    asked = hits.where(F.col("query").isNotNull())
+    position = F.col("result_position")
+    best = asked.groupBy("query", "video_id").agg(F.min(position).alias("result_position"))
+    places = top_n_per_group(best, ["query"], [position.asc_nulls_last(), F.col("video_id")], per_query)
+    # a video without any position makes its query be read in full
+    depth = places.groupBy("query").agg(
+        F.when(F.count(position) == F.count(F.lit(1)), F.max(position)).alias("_depth"))
+    near = asked.select("query", "video_id", "result_position", *order_by).join(
+        settled_side(depth), "query").where(F.col("_depth").isNull() | (position <= F.col("_depth")))
+    place = F.struct(position.isNull().alias("unplaced"), position, *[F.col(c) for c in order_by])
+    first = near.groupBy("query", "video_id").agg(F.min(place).alias("_place"))
+    return top_n_per_group(first, ["query"], [F.col("_place")], per_query).select(
+        "query", "_place.result_position", "video_id")
 
 
 def discovery_review(

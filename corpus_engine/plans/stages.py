@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpus_engine import schemas
 from corpus_engine.functions.status import FINISHED_COMMENT_STATUSES
-from corpus_engine.operators.ordering import ARRIVAL, first_seen, keep_last
+from corpus_engine.operators.ordering import ARRIVAL, first_seen, replace_rows
 from corpus_engine.operators.resume import conform, pending, refresh_columns
 from corpus_engine.plans.comments import comment_statuses, cut_statuses_at_quota, thread_attempts
 from corpus_engine.plans.transcripts import resolve_transcripts, transcript_rows, transcript_segments
@@ -133,7 +133,6 @@ def with_transcripts(videos: DataFrame, transcripts: DataFrame) -> DataFrame:
 
 
 def upserted(existing: DataFrame, new: DataFrame, table: str) -> DataFrame:
-    """A table's next version."""
+    """A table's next version; published tables are unique per key and older than what arrives."""
     schema, keys, _ = schemas.TABLES[table]
-    both = conform(existing, schema, ARRIVAL).unionByName(conform(new, schema, ARRIVAL), allowMissingColumns=True)
-    return keep_last(both, keys)
+    return replace_rows(conform(existing, schema, ARRIVAL), conform(new, schema, ARRIVAL), keys)

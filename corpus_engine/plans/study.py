@@ -35,6 +35,10 @@ LANDING = {
 }
 
 
+# Pages whose stage looks at them more than once are parsed once and read back by column.
+READ_REPEATEDLY = {"search", "threads", "replies"}
+
+
 @dataclass
 class StudyOptions:
     """Knobs of a run, with the defaults of the study format."""
@@ -94,7 +98,8 @@ class Study:
         path = f"{landing.rstrip('/')}/{kind}"
         if not tables.exists(self.spark, path):
             return self.spark.createDataFrame([], LANDING[kind])
-        return read_landing(self.spark, path, LANDING[kind])
+        pages = read_landing(self.spark, path, LANDING[kind])
+        return self.settle(pages, kind) if kind in READ_REPEATEDLY else pages
 
     def landed_subtitles(self, landing: str) -> DataFrame:
         path = f"{landing.rstrip('/')}/subtitles"

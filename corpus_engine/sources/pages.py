@@ -55,22 +55,27 @@ def flatten_search_pages(
     """Search hits with their running position across the pages of one search.
 
     Items without a video id neither appear nor count. With ``stop_on_quota`` a run ends before
-    its first quota failure; pages that failed otherwise carry no items.
+    its first quota failure; pages that failed otherwise carry no items. Where to cut and where each
+    page starts is worked out on narrow facts per page; the items travel once, keyed by page.
     """
     if max_pages is not None:
         pages = pages.where(F.col("page_number") <= max_pages)
+    found = _parsed(pages, schemas.SEARCH_RESPONSE).withColumns({
+        "search_id": stable_id(*[F.col(c) for c in (
+            "theme", "query", "search_order", "published_after", "published_before")]),
+        "items": F.filter("items", lambda i: present(i["id"]["videoId"])),
+    })
+    facts = found.select(
+        "run_id", "seq", "search_id", "page_number", "error",
+        F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("_n"))
     if stop_on_quota:
-        pages = cut_at_first(pages, "run_id", "seq", is_quota_error(F.col("error")), inclusive=False)
-    found = (
-        _parsed(pages.where(F.col("error").isNull()), schemas.SEARCH_RESPONSE)
-        .withColumn("search_id", stable_id(*[F.col(c) for c in (
-            "theme", "query", "search_order", "published_after", "published_before")]))
-        .withColumn("items", F.filter("items", lambda i: present(i["id"]["videoId"])))
-        .withColumn("_n", F.coalesce(F.size("items"), F.lit(0)).cast("bigint"))
-    )
-    placed = preceding_total(
-        found, ["run_id", "search_id"], "page_number", "_n", "_offset", group_bound=max_pages)
-    item = placed.select("*", F.posexplode("items").alias("_pos", "item"))
+        facts = cut_at_first(facts, "run_id", "seq", is_quota_error(F.col("error")), inclusive=False)
+    offsets = preceding_total(
+        facts.where(F.col("error").isNull() & (F.col("_n") > 0)),
+        ["run_id", "search_id"], "page_number", "_n", "_offset", group_bound=max_pages)
+    item = found.where(F.col("error").isNull()).join(
+        offsets.select("run_id", "seq", "_offset"), ["run_id", "seq"]
+    ).select("*", F.posexplode("items").alias("_pos", "item"))
     snippet = "item.snippet"
     return item.select(
         "search_id", "theme", "query", "search_order",
@@ -219,8 +224,8 @@ def flatten_comment_threads(
 ) -> DataFrame:
     """Comments of each video in reading order (comment, its replies, next comment …), cut at the cap.
 
-    Top comments are capped before replies are joined: one beyond the cap cannot come back, so its
-    replies never travel.
+    Replies are joined to the narrow places of top comments within the cap: a top comment beyond it
+    cannot come back, so its replies never travel.
     """
     if max_per_video <= 0:
         raise ValueError("max_per_video must be positive")
@@ -240,12 +245,12 @@ def flatten_comment_threads(
     tops = tops.select(
         *_comment_columns("item.snippet.topLevelComment", False, captured_at), *video[:1], "_thread", "_reply")
     reading_order = [F.col("_thread"), F.col("_reply").asc_nulls_first()]
-    tops = top_n_per_group(tops, video, reading_order, max_per_video)
     if not include_replies:
-        return tops.drop("run_id", "_thread", "_reply")
+        return top_n_per_group(tops, video, reading_order, max_per_video).drop("run_id", "_thread", "_reply")
 
-    answered = tops.where((F.col("total_reply_count") > 0) & present(F.col("comment_id"))).select(
-        *video, F.col("comment_id").alias("parent_id"), "thread_id", "_thread")
+    places = tops.select(*video, F.col("comment_id").alias("parent_id"), "thread_id", "total_reply_count", "_thread")
+    answered = top_n_per_group(places, video, [F.col("_thread")], max_per_video).where(
+        (F.col("total_reply_count") > 0) & present(F.col("parent_id"))).drop("total_reply_count")
     answers = _parsed(replies.where(F.col("error").isNull()), schemas.REPLY_RESPONSE).select(
         "run_id", "seq", "video_id", "parent_id", "page_number",
         F.posexplode("items").alias("_pos", "item"))

@@ -94,23 +94,27 @@ def merge_into_table(
     spark = new.sparkSession
     target = f"{path}.merged"
     bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-    arriving = new.withColumn(BUCKET, bucket)
+    arriving = _staged(new.withColumn(BUCKET, bucket), "arriving")
     if exists(spark, target):
         touched = [r[0] for r in arriving.select(BUCKET).distinct().collect()]  # at most `buckets` ints
         current = spark.read.parquet(target).where(F.col(BUCKET).isin(touched))
         merged = upsert(current, arriving, [BUCKET, *keys], order_by)
     else:
         merged = keep_last(arriving, [BUCKET, *keys], order_by)
-    staged = scratch_path(spark, "merge")
-    merged.write.parquet(staged)
     (
-        spark.read.schema(merged.schema).parquet(staged)
-        .hint("rebalance", BUCKET)
+        _staged(merged, "merged").hint("rebalance", BUCKET)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(target)
     )
 
 
+def _staged(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a finished table in the shared folder."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --- CSV ------------------------------------------------------------------------------------
 
 

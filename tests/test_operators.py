@@ -30,6 +30,15 @@ def test_upsert_keeps_last_and_unites_columns(spark):
     assert values(got, "k", "v", "extra") == [(None, 8, "y"), ("a", 9, "x"), ("c", 3, None), ("d", 6, "w")]
 
 
+def test_replace_rows_equals_upsert(spark):
+    rows = [r for r in hot_rows(900, 50)] + [(None, 1, "r0", -5), (None, 2, "r3", -5)]
+    df = spark.createDataFrame(rows, HITS).repartition(3)
+    old = o.keep_last(df.where("_run_id < 'r2'"), ["k"])
+    new = df.where("_run_id >= 'r2'")
+    assert values(o.replace_rows(old, new, ["k"]), "k", "v") == values(o.upsert(old, new, ["k"]), "k", "v")
+    assert "extra" in o.replace_rows(old, new.withColumn("extra", F.lit(1)), ["k"]).columns
+
+
 def test_upsert_without_key_column_keeps_all(spark):
     old = spark.createDataFrame([("a", 1, "r1", 0), ("a", 2, "r1", 1)], HITS)
     assert o.upsert(old, old, ["absent"]).count() == 4
