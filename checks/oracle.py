@@ -381,3 +381,33 @@ ORACLE: dict[str, str] = {
     "ingest_stream": f"WITH {FLAT_SEARCH} SELECT * FROM flat",
 }
 ORACLE["upsert_into_settled"] = ORACLE["upsert_by_query_and_video"]
+
+LANDED = f"""
+{FLAT_SEARCH}, wanted AS (SELECT DISTINCT video_id FROM flat),
+{lines("documents", "doc_id, lang, source", "every_line")}, worded AS (
+  SELECT *, regexp_extract(line, '[A-Za-z]{{10,}}') AS video_id FROM every_line
+), details AS (
+  SELECT w.* FROM worded w JOIN wanted USING (video_id)
+), stored AS (
+  SELECT * FROM details QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY doc_id DESC, pos DESC) = 1
+), caption AS (
+  SELECT video_id, lang, line FROM details WHERE lang IN ('en', 'fr')
+  QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY CASE lang WHEN 'en' THEN 0 ELSE 1 END, doc_id, pos) = 1
+)"""
+
+ORACLE["study_run"] = f"""WITH {LANDED}
+    SELECT (SELECT count(*) FROM flat) AS new_hits, (SELECT count(*) FROM wanted) AS unique_videos,
+           (SELECT count(*) FROM wanted) AS videos_requested, (SELECT count(*) FROM stored) AS videos_total,
+           (SELECT count(DISTINCT source) FROM stored) AS channels_requested,
+           (SELECT count(*) FROM supplier WHERE 'src' || s_suppkey IN (SELECT source FROM stored)) AS channels_total,
+           (SELECT count(*) FROM stored) AS transcripts_requested, (SELECT count(*) FROM caption) AS successes,
+           (SELECT count(*) FROM stored) - (SELECT count(*) FROM caption) AS failures,
+           (SELECT count(*) FROM stored) AS comments_requested,
+           (SELECT CAST(sum(least(n, 500)) AS BIGINT) FROM (SELECT count(*) AS n FROM details GROUP BY video_id)) AS comments_total"""
+ORACLE["study_run_videos"] = f"""WITH {LANDED}
+    SELECT s.video_id, source AS channel_id, s.line AS title, 'https://www.youtube.com/watch?v=' || s.video_id AS video_url,
+           CASE WHEN c.line IS NULL THEN 'failed' ELSE 'success' END AS transcript_status,
+           CASE WHEN c.line IS NULL THEN 'failed' WHEN c.lang = 'en' THEN 'youtube_transcript_api_manual'
+                ELSE 'youtube_transcript_api_any_language' END AS transcript_method,
+           c.lang AS transcript_language, {squash("c.line")} AS transcript_text, {CAPTURED} AS captured_at
+    FROM stored s LEFT JOIN caption c ON s.video_id = c.video_id"""

@@ -16,6 +16,7 @@ from corpus_engine.operators.positions import id_batches as make_id_batches
 from corpus_engine.operators.resume import pending, refresh_columns
 from corpus_engine.plans import coverage, expansion, report, review, search_plan as plan
 from corpus_engine.plans.comments import comment_statuses, cut_statuses_at_quota
+from corpus_engine.plans.study import Study, StudyOptions, run_study
 from corpus_engine.plans.stages import pending_comments as comments_todo
 from corpus_engine.plans.stages import pending_transcripts as transcripts_todo
 from corpus_engine.plans.transcripts import (
@@ -380,3 +381,37 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
         files_per_batch=max(1, n_files // 2), buckets=8,
     ).awaitTermination()
     return tables.read_table(spark, f"{root}/search_hits", schemas.SEARCH_HITS, merged=True).select(*HIT_COLUMNS)
+
+
+@query
+def study_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole run over landed files: every stage, its tables, and the counts of its report."""
+    root = scratch_path(spark, "study")
+    st.land_study(spark, sf, f"{root}/landing")
+    options = StudyOptions(max_pages_per_query=10**9)
+    made = run_study(spark, f"{root}/data", "study", f"{root}/landing", options, "r1", st.CAPTURED)
+    return made.select(
+        F.col("stages.discovery.new_rows").alias("new_hits"),
+        "stages.discovery.unique_videos",
+        F.col("stages.videos.requested").alias("videos_requested"),
+        F.col("stages.videos.total_rows").alias("videos_total"),
+        F.col("stages.channels.requested").alias("channels_requested"),
+        F.col("stages.channels.total_rows").alias("channels_total"),
+        F.col("stages.transcripts.requested").alias("transcripts_requested"),
+        "stages.transcripts.successes",
+        "stages.transcripts.failures",
+        F.col("stages.comments.requested").alias("comments_requested"),
+        F.col("stages.comments.total_rows").alias("comments_total"),
+    )
+
+
+@query
+def study_run_videos(spark: SparkSession, sf: str) -> DataFrame:
+    """The videos table such a run publishes, transcripts included."""
+    root = scratch_path(spark, "study")
+    st.land_study(spark, sf, f"{root}/landing")
+    options = StudyOptions(max_pages_per_query=10**9, stages=["discovery", "videos", "transcripts"])
+    run_study(spark, f"{root}/data", "study", f"{root}/landing", options, "r1", st.CAPTURED)
+    return Study(spark, f"{root}/data", "study").read("videos").select(
+        "video_id", "channel_id", "title", "video_url", "transcript_status", "transcript_method",
+        "transcript_language", "transcript_text", "captured_at")

@@ -402,3 +402,39 @@ def conversation_comments(spark: SparkSession, sf: str) -> DataFrame:
     """A comment per conversation turn."""
     return table(spark, sf, "conversations").selectExpr(
         "concat(conv_id, '-', turn) as comment_id", "cast(conv_id as string) as video_id")
+
+
+# --- a whole landing folder ------------------------------------------------------------------
+
+
+def land_study(spark: SparkSession, sf: str, root: str) -> None:
+    """Files of one run below ``root``: every document line with a long word is a video.
+
+    Captions exist for English and French lines, comments for every line, channels for suppliers.
+    """
+    def write(df: DataFrame, kind: str) -> None:
+        """JSON lines whose response is an object rather than its text."""
+        rest = F.to_json(F.struct(*[c for c in df.columns if c != "response"]))
+        opened = F.left(rest, F.length(rest) - 1)
+        df.select(F.concat(opened, F.lit(',"response":'), F.col("response"), F.lit("}"))).write.text(f"{root}/{kind}")
+
+    docs = table(spark, sf, "documents")
+    lines = docs.selectExpr("doc_id", "lang", "source", r"posexplode(split(text, '\n')) as (pos, line)").selectExpr(
+        "*", "regexp_extract(line, '[A-Za-z]{10,}', 0) as video_id").where("video_id <> ''")
+    write(search_pages(spark, sf), "search")
+    write(docs.selectExpr(
+        "'r1' as run_id", "doc_id as seq",
+        r"""to_json(struct(filter(transform(split(text, '\n'), line -> named_struct(
+              'id', regexp_extract(line, '[A-Za-z]{10,}', 0),
+              'snippet', named_struct('channelId', source, 'title', line))), i -> i.id <> '') as items)) as response"""), "videos")
+    write(table(spark, sf, "supplier").selectExpr(
+        "'r1' as run_id", "s_suppkey as seq",
+        "to_json(struct(array(named_struct('id', concat('src', s_suppkey))) as items)) as response"), "channels")
+    lines.where("lang in ('en', 'fr')").selectExpr(
+        "video_id", "lang as language", "false as is_generated", "doc_id * 1000000 + pos as list_pos",
+        "array(struct(line as text, 0.0D as start, 1.0D as duration)) as captions").write.json(f"{root}/captions")
+    write(lines.selectExpr(
+        "'r1' as run_id", "doc_id as seq", "video_id", "doc_id as page_number",
+        """to_json(struct(array(named_struct('id', concat('t', doc_id, '-', pos), 'snippet', named_struct(
+              'totalReplyCount', 0, 'topLevelComment', named_struct('id', concat(doc_id, '-', pos),
+              'snippet', named_struct('textDisplay', line))))) as items)) as response"""), "threads")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpus_engine.operators.ordering import ARRIVAL, first_n, keep_first
 from corpus_engine.operators.resume import mark_known
+from corpus_engine.operators.sizing import settled_side
 from corpus_engine.plans.review import with_labels
 from corpus_engine.sources.pages import flatten_playlist_pages
 
@@ -35,7 +36,8 @@ def channel_expansion(
     known: DataFrame | None = None,
 ) -> DataFrame:
     """Uploads of the first discovered channels in a date range, marked as found by search or new."""
-    chosen = discovered_channels(hits, channels, max_channels, order_by)
+    # at most `max_channels` rows, worked out once for the page filter and the titles
+    chosen = settled_side(discovered_channels(hits, channels, max_channels, order_by))
     pages = playlist_pages.join(chosen.select("channel_id"), "channel_id", "left_semi")
     uploads = flatten_playlist_pages(pages, max_pages, (start_date, end_date))
     place = ["page_number", "position_in_page"]

@@ -1,13 +1,10 @@
-"""The five stages of a study: what is pending, what landed for it, and the upserted table.
+"""The stages of a study as plain frames: what is pending, what landed for it, the next table version.
 
-Each function returns plain frames; :mod:`corpus_engine.plans.study` reads and writes them.
+:mod:`corpus_engine.plans.study` reads, settles and writes them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,49 +13,20 @@ from corpus_engine.functions.status import FINISHED_COMMENT_STATUSES
 from corpus_engine.operators.ordering import ARRIVAL, first_seen, replace_rows
 from corpus_engine.operators.resume import conform, pending, refresh_columns
 from corpus_engine.plans.comments import comment_statuses, cut_statuses_at_quota, thread_attempts
-from corpus_engine.plans.transcripts import resolve_transcripts, transcript_rows, transcript_segments
-from corpus_engine.sources.pages import (
-    flatten_channel_pages,
-    flatten_comment_threads,
-    flatten_search_pages,
-    flatten_video_pages,
-)
+from corpus_engine.plans.transcripts import transcript_rows, transcript_segments
+from corpus_engine.sources.pages import flatten_channel_pages, flatten_video_pages
 
 TRANSCRIPT_COLUMNS = schemas.TRANSCRIPTS.fieldNames()[1:]
 
 
-class Stage(NamedTuple):
-    """What a stage asked for and the new rows of each table it feeds."""
-
-    requested: DataFrame
-    new: dict[str, DataFrame]
-
-
-def discovery(
-    pages: DataFrame, captured_at: str, max_pages: int | None = None, stop_on_quota: bool = True
-) -> Stage:
-    """Search hits of the landed pages."""
-    hits = flatten_search_pages(pages, F.lit(captured_at), max_pages, stop_on_quota)
-    return Stage(pages, {"search_hits": hits})
+def pending_videos(hits: DataFrame, videos: DataFrame, resume: bool = True) -> DataFrame:
+    """Discovered videos that are not stored yet."""
+    return pending(first_seen(hits, "video_id"), videos, "video_id", resume=resume)
 
 
-def enrich_videos(
-    hits: DataFrame, videos: DataFrame, pages: DataFrame, captured_at: str, resume: bool = True
-) -> Stage:
-    """Details of discovered videos that are not stored yet."""
-    todo = pending(first_seen(hits, "video_id"), videos, "video_id", resume=resume)
-    rows = flatten_video_pages(pages, F.lit(captured_at)).join(todo.select("video_id"), "video_id", "left_semi")
-    return Stage(todo, {"videos": rows})
-
-
-def enrich_channels(
-    videos: DataFrame, channels: DataFrame, pages: DataFrame, captured_at: str, resume: bool = True
-) -> Stage:
-    """Details of the channels of stored videos that are not stored yet."""
-    todo = pending(first_seen(videos, "channel_id"), channels, "channel_id", resume=resume)
-    rows = flatten_channel_pages(pages, F.lit(captured_at)).join(
-        todo.select("channel_id"), "channel_id", "left_semi")
-    return Stage(todo, {"channels": rows})
+def pending_channels(videos: DataFrame, channels: DataFrame, resume: bool = True) -> DataFrame:
+    """Channels of stored videos that are not stored yet."""
+    return pending(first_seen(videos, "channel_id"), channels, "channel_id", resume=resume)
 
 
 def pending_transcripts(
@@ -75,54 +43,42 @@ def pending_comments(videos: DataFrame, statuses: DataFrame, resume: bool = True
     return pending(videos.select("video_id"), statuses, "video_id", done, resume)
 
 
-def resolve_pending(
-    videos: DataFrame,
-    transcripts: DataFrame,
-    tracks: DataFrame,
-    subtitles: DataFrame | None,
-    speech: DataFrame | None,
-    languages: Sequence[str],
-    any_language: bool = True,
-    retry_failed: bool = True,
-    resume: bool = True,
-) -> tuple[DataFrame, DataFrame]:
-    """Pending videos and what the transcript cascade finds for them."""
-    todo = pending_transcripts(videos, transcripts, retry_failed, resume)
-    return todo, resolve_transcripts(todo, tracks, subtitles, speech, languages, any_language)
-
-
-def transcript_stage(todo: DataFrame, resolved: DataFrame, captured_at: str) -> Stage:
-    """Transcript rows and segments of a resolved cascade; write ``resolved`` first, both read it."""
-    stamp = {"_run_id": F.lit(None).cast("string"), "_seq": F.lit(0).cast("bigint")}  # one row per key and run
-    return Stage(todo, {
+def wanted(rows: DataFrame, todo: DataFrame, key: str) -> DataFrame:
+    """Rows whose key was asked for."""
+    return rows.join(todo.select(key), key, "left_semi")
+
+
+def video_rows(todo: DataFrame, pages: DataFrame, captured_at: str) -> DataFrame:
+    """Details of pending videos among the landed pages."""
+    return wanted(flatten_video_pages(pages, F.lit(captured_at)), todo, "video_id")
+
+
+def channel_rows(todo: DataFrame, pages: DataFrame, captured_at: str) -> DataFrame:
+    """Details of pending channels among the landed pages."""
+    return wanted(flatten_channel_pages(pages, F.lit(captured_at)), todo, "channel_id")
+
+
+def transcript_tables(resolved: DataFrame, captured_at: str) -> dict[str, DataFrame]:
+    """Transcript rows and segments of a resolved cascade, one row per key and run."""
+    stamp = {"_run_id": F.lit(None).cast("string"), "_seq": F.lit(0).cast("bigint")}
+    return {
         "transcripts": transcript_rows(resolved, F.lit(captured_at)).withColumns(stamp),
         "transcript_segments": transcript_segments(resolved).withColumns(stamp),
-    })
-
-
-def comment_stage(
-    videos: DataFrame,
-    statuses: DataFrame,
-    threads: DataFrame,
-    replies: DataFrame,
-    captured_at: str,
-    max_per_video: int = 500,
-    include_replies: bool = True,
-    stop_on_quota: bool = True,
-    resume: bool = True,
-) -> Stage:
-    """Comments and outcomes of pending videos for which pages landed."""
-    todo = pending_comments(videos, statuses, resume).distinct()
-    threads = threads.join(todo, "video_id", "left_semi")
-    replies = replies.join(todo, "video_id", "left_semi")
+    }
+
+
+def comment_outcomes(
+    threads: DataFrame, replies: DataFrame, rows: DataFrame, captured_at: str, stop_on_quota: bool = True
+) -> DataFrame:
+    """Outcomes of the videos whose thread pages landed; ``rows`` are those pages' comments.
+
+    With ``stop_on_quota`` a run ends with its first quota failure: later videos have no outcome,
+    and their comments are not kept.
+    """
     attempted = threads.groupBy("video_id").agg(
         F.max("run_id").alias("_run_id"), F.min("seq").alias("_seq"))
-    rows = flatten_comment_threads(threads, replies, F.lit(captured_at), max_per_video, include_replies)
     outcome = comment_statuses(thread_attempts(attempted, threads, replies), rows, F.lit(captured_at))
-    if stop_on_quota:
-        outcome = cut_statuses_at_quota(outcome)
-        rows = rows.join(outcome.select("video_id"), "video_id", "left_semi")
-    return Stage(todo, {"comments": rows, "comments_status": outcome})
+    return cut_statuses_at_quota(outcome) if stop_on_quota else outcome
 
 
 def with_transcripts(videos: DataFrame, transcripts: DataFrame) -> DataFrame:

@@ -17,10 +17,11 @@ from corpus_engine import schemas
 from corpus_engine.functions.values import new_run_id, utc_now
 from corpus_engine.plans import report as metrics
 from corpus_engine.plans import stages
+from corpus_engine.plans.transcripts import resolve_transcripts
 from corpus_engine.session import scratch_path
 from corpus_engine.sources import tables
 from corpus_engine.sources.captions import read_subtitle_files
-from corpus_engine.sources.pages import read_landing
+from corpus_engine.sources.pages import flatten_comment_threads, flatten_search_pages, read_landing
 
 STAGES = ["discovery", "videos", "channels", "transcripts", "comments"]
 
@@ -125,69 +126,69 @@ def run_study(
     stamp = captured_at or started
     summary: dict[str, DataFrame] = {}
 
-    def arriving(df: DataFrame) -> DataFrame:
-        """Rows of this run come after all stored ones, among themselves in page order."""
-        return df.withColumn("_run_id", F.concat_ws("/", F.lit(run_id), F.col("_run_id")))
+    def arriving(df: DataFrame, table: str) -> DataFrame:
+        """Settled rows of this run: after all stored ones, among themselves in page order."""
+        stamped = df.withColumn("_run_id", F.concat_ws("/", F.lit(run_id), F.col("_run_id")))
+        return study.settle(stamped, table)
 
-    def settle_all(stage: stages.Stage) -> stages.Stage:
-        return stages.Stage(
-            study.settle(stage.requested, "requested"),
-            {t: study.settle(arriving(df), t) for t, df in stage.new.items()})
-
-    def publish(stage: stages.Stage, table: str, suffix: str = "") -> DataFrame:
-        merged = stages.upserted(study.read(table), stage.new[table], table)
-        return study.publish(merged, table, run_id + suffix, opts.formats)
+    def publish(new: DataFrame, table: str) -> DataFrame:
+        return study.publish(
+            stages.upserted(study.read(table), new, table), table, run_id, opts.formats)
 
     if "discovery" in opts.stages:
-        found = stages.discovery(
-            study.landed(landing, "search"), stamp, opts.max_pages_per_query, opts.stop_on_quota)
-        new = study.settle(arriving(found.new["search_hits"]), "search_hits")
-        hits = publish(stages.Stage(new, {"search_hits": new}), "search_hits")
-        summary["discovery"] = study.settle(metrics.discovery_metrics(new, hits), "metrics")
+        pages = study.landed(landing, "search")
+        new = arriving(flatten_search_pages(
+            pages, F.lit(stamp), opts.max_pages_per_query, opts.stop_on_quota), "search_hits")
+        summary["discovery"] = metrics.discovery_metrics(new, publish(new, "search_hits"))
     hits = study.read("search_hits")
     if hits.isEmpty():
         raise RuntimeError("no search hits stored; run the discovery stage first")
 
     if "videos" in opts.stages:
-        done = settle_all(stages.enrich_videos(
-            hits, study.read("videos"), study.landed(landing, "videos"), stamp, opts.resume))
-        merged = stages.upserted(study.read("videos"), done.new["videos"], "videos")
-        refreshed = stages.with_transcripts(merged, study.read("transcripts"))
-        videos = study.publish(refreshed, "videos", f"{run_id}-1", opts.formats)
-        summary["videos"] = metrics.row_metrics(done.requested, done.new["videos"], videos)
+        stored = study.read("videos")
+        todo = study.settle(stages.pending_videos(hits, stored, opts.resume), "todo")
+        new = arriving(stages.video_rows(todo, study.landed(landing, "videos"), stamp), "videos")
+        merged = stages.with_transcripts(
+            stages.upserted(stored, new, "videos"), study.read("transcripts"))
+        videos = study.publish(merged, "videos", f"{run_id}-1", opts.formats)
+        summary["videos"] = metrics.row_metrics(todo, new, videos)
     videos = study.read("videos")
     if videos.isEmpty():
         raise RuntimeError("no videos stored; run the videos stage first")
 
     if "channels" in opts.stages:
-        done = settle_all(stages.enrich_channels(
-            videos, study.read("channels"), study.landed(landing, "channels"), stamp, opts.resume))
-        channels = publish(done, "channels")
-        summary["channels"] = metrics.row_metrics(done.requested, done.new["channels"], channels)
+        todo = study.settle(stages.pending_channels(videos, study.read("channels"), opts.resume), "todo")
+        new = arriving(stages.channel_rows(todo, study.landed(landing, "channels"), stamp), "channels")
+        summary["channels"] = metrics.row_metrics(todo, new, publish(new, "channels"))
 
     if "transcripts" in opts.stages:
-        todo, resolved = stages.resolve_pending(
-            videos, study.read("transcripts"), study.landed(landing, "captions"),
+        todo = study.settle(stages.pending_transcripts(
+            videos, study.read("transcripts"), opts.retry_failed, opts.resume), "todo")
+        resolved = study.settle(resolve_transcripts(
+            todo, study.landed(landing, "captions"),
             study.landed_subtitles(landing) if opts.use_subtitles else None,
             study.landed(landing, "speech") if opts.use_speech else None,
-            opts.languages, opts.use_any_caption, opts.retry_failed, opts.resume)
-        settled = study.settle(resolved, "resolved")
-        done = settle_all(stages.transcript_stage(todo, settled, stamp))
-        transcripts = publish(done, "transcripts")
-        publish(done, "transcript_segments")
+            opts.languages, opts.use_any_caption), "resolved")
+        made = stages.transcript_tables(resolved, stamp)
+        new = arriving(made["transcripts"], "transcripts")
+        transcripts = publish(new, "transcripts")
+        publish(arriving(made["transcript_segments"], "segments"), "transcript_segments")
         videos = study.publish(
             stages.with_transcripts(videos, transcripts), "videos", f"{run_id}-2", opts.formats)
-        summary["transcripts"] = metrics.transcript_stage_metrics(
-            done.requested, done.new["transcripts"], transcripts)
+        summary["transcripts"] = metrics.transcript_stage_metrics(todo, new, transcripts)
 
     if "comments" in opts.stages:
-        done = settle_all(stages.comment_stage(
-            videos, study.read("comments_status"), study.landed(landing, "threads"),
-            study.landed(landing, "replies"), stamp, opts.max_comments_per_video,
-            opts.include_replies, opts.stop_on_quota, opts.resume))
-        comments = publish(done, "comments")
-        publish(done, "comments_status")
-        summary["comments"] = metrics.row_metrics(done.requested, done.new["comments"], comments)
+        todo = study.settle(stages.pending_comments(
+            videos, study.read("comments_status"), opts.resume), "todo")
+        threads = stages.wanted(study.landed(landing, "threads"), todo, "video_id")
+        replies = stages.wanted(study.landed(landing, "replies"), todo, "video_id")
+        rows = study.settle(flatten_comment_threads(
+            threads, replies, F.lit(stamp), opts.max_comments_per_video, opts.include_replies), "comments")
+        outcome = study.settle(stages.comment_outcomes(
+            threads, replies, rows, stamp, opts.stop_on_quota), "outcome")
+        new = arriving(stages.wanted(rows, outcome, "video_id"), "comments")
+        publish(arriving(outcome, "comments_status"), "comments_status")
+        summary["comments"] = metrics.row_metrics(todo, new, publish(new, "comments"))
 
     outputs = {"root": study.root, **{
         t: study.path(t) for t in ("channels", "videos", "comments", "search_hits")}}

@@ -73,6 +73,27 @@ def test_recapture_keeps_transcripts(spark, tmp_path):
     assert values(Study(spark, base, "p").read("videos"), "captured_at", "transcript_text") == [("y", "said a")]
 
 
+def test_subtitle_files_and_speech(spark, tmp_path):
+    source = tmp_path / "in"
+    land(source, "r1", ["a", "b", "c", "d"], failed_captions=["a", "b", "c", "d"])
+    (source / "subtitles").mkdir()
+    (source / "subtitles/a.pt-BR.vtt").write_bytes("WEBVTT\n\n1\n00:01.000 --> 00:02.000\n<c>olá</c> não\n".encode("latin-1"))
+    (source / "subtitles/a.en.srt").write_text("1\n00:00:01,000 --> 00:00:02,000\nsrt\n")
+    (source / "subtitles/b.en.json3").write_text('{"events":[{"segs":[{"utf8":"from"},{"utf8":"json"}]}]}')
+    (source / "subtitles/c.fr.vtt").write_text("WEBVTT\n\nnot wanted\n")
+    write_lines(source / "speech", "r1.json", [
+        landing_line(video_id="c", language="pt", model_size="small", segments=[{"text": " heard ", "start": 1.0, "end": 2.5}])])
+    run_study(spark, str(tmp_path / "data"), "p", str(source), None, "r1", "x")
+    study = Study(spark, str(tmp_path / "data"), "p")
+    assert values(study.read("transcripts"), "video_id", "transcript_method", "transcript_language", "transcript_text") == [
+        ("a", "yt_dlp_subtitle", "pt-BR", "olá não"), ("b", "yt_dlp_subtitle", "en", "from json"),
+        ("c", "faster_whisper_small", "pt", "heard"), ("d", "failed", None, None)]
+    assert values(study.read("transcript_segments"), "video_id", "segment_index", "start_seconds", "duration_seconds", "text") == [
+        ("c", 0, 1.0, 1.5, "heard")]
+    errors = study.read("videos").where("video_id = 'd'").first().transcript_error
+    assert sorted(errors) == ["whisper", "youtube_transcript_api", "yt_dlp_subtitle"]
+
+
 def test_quota_ends_comment_run(spark, tmp_path):
     land(tmp_path / "in", "r1", ["a", "b", "c"])
     threads = tmp_path / "in/threads/r1.json"
