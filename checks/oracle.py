@@ -179,7 +179,7 @@ resolved AS (
 
 EXPANSION = f"""
 {lines("conversations", "conv_id, turn", "said")}, found AS (
-  SELECT 'src' || (conv_id % 20) AS channel_id, regexp_extract(line, '[A-Za-z]{{5,}}') AS video_id, conv_id, turn, pos FROM said
+  SELECT 'src' || (conv_id // 5) AS channel_id, regexp_extract(line, '[A-Za-z]{{5,}}') AS video_id, conv_id, turn, pos FROM said
 ), hits AS (SELECT * FROM found WHERE video_id <> ''),
 chosen AS (
   SELECT channel_id FROM (SELECT channel_id, min((conv_id, turn, pos)) AS first FROM hits GROUP BY channel_id) ORDER BY first LIMIT 10
@@ -189,7 +189,7 @@ chosen AS (
 ), {DOC_LINES}, playlist AS (
   SELECT source AS channel_id, doc_id AS page_number, pos + 1 AS position_in_page,
          regexp_extract(line, '[A-Za-z]{{5,}}') AS video_id, line AS title, CAST(NULL AS VARCHAR) AS description,
-         strftime(DATE '2024-01-01' + CAST(n_chars % 400 AS INTEGER), '%Y-%m-%d') ||
+         strftime(DATE '2024-01-01' + CAST(least(n_chars // 10, 3650) AS INTEGER), '%Y-%m-%d') ||
            CASE WHEN lang = 'fr' THEN 'T08:00:00Z' ELSE 'T09:00:00Z' END AS published_at
   FROM lines
 ), uploads AS (SELECT * FROM playlist WHERE video_id <> ''),
@@ -300,12 +300,12 @@ ORACLE: dict[str, str] = {
                       ELSE CASE WHEN is_generated THEN 4 ELSE 3 END END,
           CASE language WHEN 'es' THEN 1 WHEN 'fr' THEN 2 ELSE 0 END, list_pos) = 1""",
     "assemble_transcripts": f"""WITH {DOC_LINES}
-        SELECT doc_id, {squash("string_agg(CASE WHEN (doc_id + pos) % 7 = 3 THEN '' ELSE line END, ' ' ORDER BY pos)")} AS transcript_text
+        SELECT doc_id, {squash("string_agg(CASE WHEN length(line) < 40 THEN '' ELSE line END, ' ' ORDER BY pos)")} AS transcript_text
         FROM lines GROUP BY doc_id""",
     "caption_segments": f"""WITH {DOC_LINES}
         SELECT 'v' || (doc_id // 4) AS video_id, pos AS segment_index, CAST(2 * pos AS DOUBLE) AS start_seconds,
                CAST(2 AS DOUBLE) AS duration_seconds, line AS text, lang || '-' || doc_id AS source_method
-        FROM lines WHERE (doc_id + pos) % 7 <> 3 AND line <> ''""",
+        FROM lines WHERE length(line) >= 40""",
     "cleaned_documents": f"SELECT doc_id, {squash('text')} AS cleaned FROM documents",
     "parse_subtitles": f"""SELECT 'd' || doc_id AS video_id, 'd' || doc_id || '.' || lang || '.vtt' AS file_name, lang AS language,
                {squash('text')} AS text FROM documents""",

@@ -55,7 +55,7 @@ def hits(spark: SparkSession, sf: str) -> DataFrame:
         "shipped as search_published_at",
         "shipped as captured_at",
         "l_shipdate",
-        "date_format(l_shipdate, 'yyyyMMdd') as _run_id",
+        "replace(left(shipped, 10), '-', '') as _run_id",
         "struct(l_orderkey, l_linenumber, l_partkey, l_suppkey) as _seq",
     )
     parts = ("theme", "query", "search_order", "search_published_after", "search_published_before")
@@ -244,7 +244,7 @@ def expansion_hits(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "conversations").selectExpr(
         "conv_id", "turn", r"posexplode(split(text, '\n')) as (pos, line)")
     return lines.selectExpr(
-        "concat('src', conv_id % 20) as channel_id",
+        "concat('src', conv_id div 5) as channel_id",
         "regexp_extract(line, '[A-Za-z]{5,}', 0) as video_id",
         "lpad(cast(conv_id as string), 12, '0') as _run_id",
         "struct(turn, pos) as _seq",
@@ -267,11 +267,11 @@ def playlist_pages(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id as page_number",
         r"""to_json(struct(transform(split(text, '\n'), (line, i) -> named_struct(
               'snippet', named_struct(
-                'title', line, 'publishedAt', concat(date_add(date'2024-01-01', cast(n_chars % 400 as int)), 'T08:00:00Z'),
+                'title', line, 'publishedAt', concat(date_add(date'2024-01-01', cast(least(n_chars div 10, 3650) as int)), 'T08:00:00Z'),
                 'resourceId', named_struct('videoId', regexp_extract(line, '[A-Za-z]{5,}', 0))),
               'contentDetails', named_struct(
                 'videoId', if(lang = 'en', '', regexp_extract(line, '[A-Za-z]{5,}', 0)),
-                'videoPublishedAt', if(lang = 'fr', '', concat(date_add(date'2024-01-01', cast(n_chars % 400 as int)), 'T09:00:00Z')))
+                'videoPublishedAt', if(lang = 'fr', '', concat(date_add(date'2024-01-01', cast(least(n_chars div 10, 3650) as int)), 'T09:00:00Z')))
               )) as items)) as response""",
     )
 
@@ -280,7 +280,7 @@ def playlist_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def caption_tracks(spark: SparkSession, sf: str) -> DataFrame:
-    """Four tracks per video, one per document; some pieces are empty."""
+    """Four tracks per video, one per document; short lines stand for empty pieces."""
     return table(spark, sf, "documents").selectExpr(
         "doc_id",
         "concat('v', doc_id div 4) as video_id",
@@ -288,7 +288,7 @@ def caption_tracks(spark: SparkSession, sf: str) -> DataFrame:
         "n_chars % 2 = 1 as is_generated",
         "doc_id as list_pos",
         r"""transform(split(text, '\n'), (line, i) -> struct(
-              if((doc_id + i) % 7 = 3, '', line) as text,
+              if(length(line) < 40, '', line) as text,
               cast(2 * i as double) as start, cast(2 as double) as duration)) as captions""",
     )
 
@@ -393,7 +393,7 @@ def attempts(spark: SparkSession, sf: str) -> DataFrame:
              when 'purchase' then 'HttpError 403: quotaExceeded'
              when 'error' then 'HttpError 500: backendError' end as error_message""",
         "if(event_type = 'view', null, 'HttpError') as error_type",
-        "date_format(ts, 'yyyyMMdd') as _run_id",
+        "replace(left(cast(ts as string), 10), '-', '') as _run_id",
         "event_id as _seq",
     )
 

@@ -75,8 +75,8 @@ def last_chars(value: Column, n: int) -> Column:
 
 
 def iso_z(moment: Column) -> Column:
-    """``yyyy-MM-ddTHH:mm:ssZ`` text of a UTC timestamp without zone."""
-    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """``yyyy-MM-ddTHH:mm:ssZ`` text of a UTC timestamp without zone, whatever the session's zone."""
+    return F.concat(F.translate(F.left(moment.cast("string"), F.lit(19)), " ", "T"), F.lit("Z"))
 
 
 def utc_now() -> str:
@@ -107,7 +107,7 @@ def date_windows(start: str | None, end: str | None, days: int) -> Column:
         F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr(f"interval {int(days)} days"))
 
     def midnight(day: Column) -> Column:
-        return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T00:00:00Z"))
+        return F.concat(day.cast("string"), F.lit("T00:00:00Z"))
 
     return F.transform(starts, lambda day: F.struct(
         midnight(day).alias("published_after"),

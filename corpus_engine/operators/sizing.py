@@ -1,4 +1,4 @@
-"""Broadcasting only what has been counted."""
+"""Sides of a join that are computed once and counted before anything is decided about them."""
 
 from __future__ import annotations
 
@@ -10,11 +10,17 @@ from corpus_engine.session import shared_dir
 BROADCAST_ROWS = 100_000
 
 
-def settled_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A narrow join side computed once, checkpointed and counted.
+def counted(df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
+    """A narrow side, checkpointed, and its number of rows.
 
-    Up to ``max_rows`` rows it is marked for broadcast; a larger one is left to a shuffle join.
+    Up to ``broadcast_rows`` rows it is marked for broadcast; a larger one is left to a shuffle join.
     """
     shared_dir(df.sparkSession)
     settled = df.checkpoint()
-    return F.broadcast(settled) if settled.count() <= max_rows else settled
+    rows = settled.count()
+    return (F.broadcast(settled) if rows <= broadcast_rows else settled), rows
+
+
+def settled_side(df: DataFrame) -> DataFrame:
+    """Only the frame of :func:`counted`."""
+    return counted(df)[0]

@@ -24,21 +24,20 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "cor
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
+    """The folder every executor can reach, where ``checkpoint()`` writes too, taken from ``spark.checkpoint.dir``.
 
     Only a local master, whose single machine is the whole cluster, may fall back to a temporary
     folder; elsewhere a missing setting is an error rather than a silent machine-local path.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpus-engine-"))
-    return spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="corpus-engine-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -159,3 +159,19 @@ def test_comment_columns(spark):
     assert (rows["c2"].text, rows["c1"].total_reply_count, rows["c1.1"].total_reply_count) == ("orig", 3, None)
     assert (rows["c1.3"].parent_comment_id, rows["c1.3"].thread_id, rows["c1.3"].is_reply) == ("c1", "t1", True)
     assert (rows["c1"].parent_comment_id, rows["c1"].is_reply) == (None, False)
+
+
+def test_table_to_pages_and_back(spark):
+    """Rows written as response pages flatten to the same rows."""
+    rows = [(f"v{i}", f"c{i % 3}", f"título {i} \"x\"\n", i, i % 2 == 0, [f"t{j}" for j in range(i % 3)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id string, channel string, title string, views long, kids boolean, tags array<string>")
+    item = F.struct(
+        "id", F.struct(F.col("channel").alias("channelId"), "title", "tags").alias("snippet"),
+        F.struct(F.col("views").cast("string").alias("viewCount")).alias("statistics"),
+        F.struct(F.col("kids").alias("madeForKids")).alias("status"))
+    landed = df.select(
+        F.lit("r1").alias("run_id"), F.col("views").alias("seq"),
+        F.to_json(F.struct(F.array(item).alias("items"))).alias("response"))
+    back = pages.flatten_video_pages(landed, at())
+    columns = ("video_id", "channel_id", "title", "view_count", "made_for_kids", "tags")
+    assert values(back, *columns) == sorted(rows)
