@@ -411,3 +411,40 @@ ORACLE["study_run_videos"] = f"""WITH {LANDED}
                 ELSE 'youtube_transcript_api_any_language' END AS transcript_method,
            c.lang AS transcript_language, {squash("c.line")} AS transcript_text, {CAPTURED} AS captured_at
     FROM stored s LEFT JOIN caption c ON s.video_id = c.video_id"""
+
+FLAWED = f"""
+{DOC_LINES}, page AS (
+  SELECT d.doc_id, d.doc_id // 4 AS v, d.doc_id // 100 AS run,
+         CASE WHEN toxic = 1 AND quality = 0 THEN 'HttpError 403 quotaExceeded'
+              WHEN toxic = 1 THEN 'HttpError 403 commentsDisabled' END AS error
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+), cut AS (
+  SELECT l.*, string_split(line, ', ') AS pieces, v, run FROM lines l JOIN page p ON l.doc_id = p.doc_id WHERE error IS NULL
+), broken AS (SELECT v, min((doc_id, pos)) AS place FROM cut WHERE len(pieces) >= 20 GROUP BY v),
+said AS (
+  SELECT c.doc_id, c.pos, c.v, run, doc_id || '-' || pos AS comment_id, CAST(NULL AS VARCHAR) AS parent_comment_id, false AS is_reply, line AS text, -1 AS k
+  FROM cut c LEFT JOIN broken b ON c.v = b.v WHERE place IS NULL OR (doc_id, pos) <= place
+  UNION ALL
+  SELECT c.doc_id, c.pos, c.v, run, doc_id || '-' || pos || '.' || (j - 1), doc_id || '-' || pos, true, pieces[j + 1], j - 1
+  FROM cut c LEFT JOIN broken b ON c.v = b.v, unnest(range(1, len(pieces))) AS t(j) WHERE place IS NULL OR (doc_id, pos) < place
+), kept AS (
+  SELECT * FROM said QUALIFY row_number() OVER (PARTITION BY v ORDER BY doc_id, pos, k) <= 500
+)"""
+
+ORACLE["comments_until_failure"] = f"""WITH {FLAWED}
+    SELECT comment_id, 'v' || v AS video_id, 't' || doc_id || '-' || pos AS thread_id, parent_comment_id, is_reply, text FROM kept"""
+ORACLE["comment_run_outcomes"] = f"""WITH {FLAWED}, errors AS (
+      SELECT v, min(doc_id) AS at, arg_min(error, doc_id) AS error FROM (
+        SELECT v, doc_id, error FROM page WHERE error IS NOT NULL
+        UNION ALL SELECT v, doc_id, 'HttpError 500 backendError' FROM cut WHERE len(pieces) >= 20) GROUP BY v),
+    attempted AS (SELECT v, max(run) AS run, min(doc_id) AS seq FROM page GROUP BY v),
+    n AS (SELECT v, count(*) AS c FROM kept GROUP BY v),
+    outcome AS (
+      SELECT a.v, run, seq, coalesce(c, 0) AS rows_collected, error,
+             CASE WHEN error LIKE '%quota%' THEN 'quota_exceeded' WHEN error LIKE '%Disabled%' THEN 'comments_disabled'
+                  WHEN error IS NOT NULL THEN 'error' WHEN coalesce(c, 0) > 0 THEN 'completed' ELSE 'no_comments' END AS status
+      FROM attempted a LEFT JOIN errors e ON a.v = e.v LEFT JOIN n ON a.v = n.v),
+    ends AS (SELECT run, min(seq) AS last FROM outcome WHERE status = 'quota_exceeded' GROUP BY run)
+    SELECT 'v' || v AS video_id, status, rows_collected, CASE WHEN error IS NOT NULL THEN 'HttpError' END AS error_type,
+           error AS error_message, {CAPTURED} AS captured_at
+    FROM outcome o LEFT JOIN ends ON o.run = ends.run WHERE last IS NULL OR seq <= last"""

@@ -16,6 +16,7 @@ from corpus_engine.operators.positions import id_batches as make_id_batches
 from corpus_engine.operators.resume import pending, refresh_columns
 from corpus_engine.plans import coverage, expansion, report, review, search_plan as plan
 from corpus_engine.plans.comments import comment_statuses, cut_statuses_at_quota
+from corpus_engine.plans.stages import comment_outcomes
 from corpus_engine.plans.study import Study, StudyOptions, run_study
 from corpus_engine.plans.stages import pending_comments as comments_todo
 from corpus_engine.plans.stages import pending_transcripts as transcripts_todo
@@ -233,6 +234,22 @@ def comment_status(spark: SparkSession, sf: str) -> DataFrame:
     return _statuses(spark, sf).withColumnsRenamed({"_run_id": "run_id", "_seq": "attempt"})
 
 
+def _flawed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    threads, replies = st.flawed_thread_pages(spark, sf), st.flawed_reply_pages(spark, sf)
+    return threads, replies, pages.flatten_comment_threads(threads, replies, captured())
+
+
+@query
+def comments_until_failure(spark: SparkSession, sf: str) -> DataFrame:
+    _, _, rows = _flawed(spark, sf)
+    return rows.select("comment_id", "video_id", "thread_id", "parent_comment_id", "is_reply", "text")
+
+
+@query
+def comment_run_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    return comment_outcomes(*_flawed(spark, sf), st.CAPTURED).drop("_run_id", "_seq")
+
+
 @query
 def quota_cut(spark: SparkSession, sf: str) -> DataFrame:
     return cut_statuses_at_quota(_statuses(spark, sf)).select(

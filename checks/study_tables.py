@@ -239,6 +239,27 @@ def reply_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def flawed_thread_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The thread pages, a hundred documents to a run, where toxic labels stand for failed calls."""
+    labels = table(spark, sf, "labels").selectExpr("doc_id as seq", "quality", "toxic")
+    return thread_pages(spark, sf).join(labels, "seq", "left").withColumns({
+        "run_id": F.expr("concat('r', lpad(cast(seq div 100 as string), 12, '0'))"),
+        "error": F.expr("""case when toxic = 1 and quality = 0 then 'HttpError 403 quotaExceeded'
+                                when toxic = 1 then 'HttpError 403 commentsDisabled' end"""),
+    }).drop("quality", "toxic")
+
+
+def flawed_reply_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Reply pages of the same runs; the second page of a line with 20 or more pieces failed."""
+    healthy = flawed_thread_pages(spark, sf).where("error is null").select("seq")
+    pages = reply_pages(spark, sf).join(healthy, "seq", "left_semi")
+    return pages.withColumns({
+        "run_id": F.expr("concat('r', lpad(cast(seq div 100 as string), 12, '0'))"),
+        "error": F.expr("""if(page_number = 2 and size(from_json(response, 'items array<string>').items) >= 16,
+                           'HttpError 500 backendError', null)"""),
+    })
+
+
 def expansion_hits(spark: SparkSession, sf: str) -> DataFrame:
     """Hits from conversation lines: the first word of five letters is the video."""
     lines = table(spark, sf, "conversations").selectExpr(

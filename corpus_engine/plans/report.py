@@ -55,8 +55,9 @@ def run_report(
     ended_at: str,
     stages: Mapping[str, DataFrame],
     outputs: Mapping[str, str],
+    config: str = "",
 ) -> DataFrame:
-    """One row: run identity, one struct of metrics per stage, and the output paths.
+    """One row: run identity, one struct of metrics per stage, settings and output paths.
 
     Every stage contributes a one-row frame, read as a scalar subquery.
     """
@@ -69,6 +70,7 @@ def run_report(
         text(project).alias("project"),
         text(started_at).alias("started_at"),
         F.struct(*staged).alias("stages"),
+        text(config).alias("config"),
         text(ended_at).alias("ended_at"),
         F.struct(*[text(p).alias(name) for name, p in outputs.items()]).alias("outputs"),
     )

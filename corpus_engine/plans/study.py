@@ -6,8 +6,9 @@ Landing folders below ``landing``: ``search``, ``videos``, ``channels``, ``threa
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -193,6 +194,7 @@ def run_study(
     outputs = {"root": study.root, **{
         t: study.path(t) for t in ("channels", "videos", "comments", "search_hits")}}
     report = study.settle(
-        metrics.run_report(spark, run_id, project, started, utc_now(), summary, outputs), "report")
+        metrics.run_report(
+            spark, run_id, project, started, utc_now(), summary, outputs, json.dumps(asdict(opts))), "report")
     tables.write_report(report, f"{study.root}/audit/runs/run_{run_id}")
     return report

@@ -27,6 +27,7 @@ from corpus_engine.functions.values import (
 from corpus_engine.operators.ordering import cut_at_first
 from corpus_engine.operators.positions import preceding_total
 from corpus_engine.operators.ranking import top_n_per_group
+from corpus_engine.operators.sizing import settled_side
 
 ITEM_BITS = 20  # room for a page's items below the page's own sequence number
 
@@ -225,7 +226,8 @@ def flatten_comment_threads(
     """Comments of each video in reading order (comment, its replies, next comment …), cut at the cap.
 
     Replies are joined to the narrow places of top comments within the cap: a top comment beyond it
-    cannot come back, so its replies never travel.
+    cannot come back, so its replies never travel. A failed reply page ends its video: the comment it
+    belongs to is the last row, and replies of that comment read before the failure are not kept.
     """
     if max_per_video <= 0:
         raise ValueError("max_per_video must be positive")
@@ -262,5 +264,13 @@ def flatten_comment_threads(
     )
     answers = answers.select(
         *_comment_columns("item", True, captured_at), *video[:1], "_thread", "_reply")
-    kept = top_n_per_group(tops.unionByName(answers), video, reading_order, max_per_video)
-    return kept.drop("run_id", "_thread", "_reply")
+    rows = tops.unionByName(answers)
+
+    failed = replies.where(F.col("error").isNotNull()).select(*video, "parent_id").distinct()
+    if not failed.isEmpty():
+        cuts = failed.join(answered, [*video, "parent_id"]).groupBy(*video).agg(F.min("_thread").alias("_cut"))
+        reached = F.col("_thread") < F.col("_cut")
+        answered_last = (F.col("_thread") == F.col("_cut")) & ~F.col("is_reply")
+        rows = rows.join(settled_side(cuts), video, "left").where(
+            F.col("_cut").isNull() | reached | answered_last).drop("_cut")
+    return top_n_per_group(rows, video, reading_order, max_per_video).drop("run_id", "_thread", "_reply")

@@ -150,6 +150,17 @@ def test_comment_cap_is_a_prefix_of_the_reading_order(spark):
     assert {r.comment_id for r in tops.collect()} == {"c1", "c2", "c3", "c9", None}
 
 
+def test_failed_reply_page_ends_its_video(spark):
+    threads, replies = threads_and_replies(spark)
+    broken = page_frame(spark, schemas.REPLY_ENVELOPE, [("r1", 4, "v", "t3", "c3", 2, "500 backendError", None)])
+    got = pages.flatten_comment_threads(threads, replies.unionByName(broken), at())
+    assert values(got.where("video_id = 'v'"), "comment_id") == [("c1",), ("c1.1",), ("c1.2",), ("c1.3",), ("c2",), ("c3",)]
+    assert got.where("video_id = 'w'").count() == 1
+    first = page_frame(spark, schemas.REPLY_ENVELOPE, [("r1", 2, "v", "t1", "c1", 2, "403 quotaExceeded", None)])
+    got = pages.flatten_comment_threads(threads, replies.unionByName(first), at())
+    assert values(got.where("video_id = 'v'"), "comment_id") == [("c1",)]
+
+
 def test_comment_columns(spark):
     threads, replies = threads_and_replies(spark)
     got = pages.flatten_comment_threads(threads, replies, at())

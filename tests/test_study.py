@@ -42,6 +42,7 @@ def test_two_runs_resume(spark, tmp_path):
     assert report.stages.transcripts.methods == {"youtube_transcript_api_manual": 2, "failed": 1}
     assert report.stages.comments.asDict() == {"requested": 3, "new_rows": 4, "total_rows": 4}
     saved = [json.loads(p.read_text()) for p in (tmp_path / "data/p/audit/runs/run_r1").glob("part-*")]
+    assert json.loads(saved[0]["config"])["max_comments_per_video"] == 500
     assert saved[0]["run_id"] == "r1" and saved[0]["outputs"]["root"].endswith("/p")
 
     study = Study(spark, base, "p")
