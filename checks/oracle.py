@@ -13,7 +13,7 @@ hits AS (
            CASE WHEN l_linestatus = 'O' THEN 'relevance' ELSE 'date' END AS search_order,
            strftime(DATE '1995-01-01' + CAST(30 * win AS INTEGER), '%Y-%m-%dT00:00:00Z') AS search_published_after,
            strftime(DATE '1995-01-01' + CAST(30 * win + 30 AS INTEGER), '%Y-%m-%dT00:00:00Z') AS search_published_before,
-           CASE WHEN l_tax > 0.04 THEN 2 ELSE 1 END AS page_number,
+           CAST(CASE WHEN l_tax > 0.04 THEN 2 ELSE 1 END AS BIGINT) AS page_number,
            CAST(l_quantity AS BIGINT) + CASE WHEN l_tax > 0.04 THEN 50 ELSE 0 END AS result_position,
            CAST(l_partkey AS VARCHAR) AS video_id,
            CAST(l_suppkey AS VARCHAR) AS channel_id,
@@ -106,8 +106,8 @@ rows AS (
          '2d' AS dimension, 'hd' AS definition, CASE WHEN p_size > 10 THEN 'true' ELSE 'false' END AS caption,
          p_size > 20 AS licensed_content, 'rectangular' AS projection,
          CAST(floor(p_retailprice) AS BIGINT) AS view_count,
-         CASE WHEN p_size < 15 THEN 1000 + p_size + 10 END AS like_count,
-         CASE WHEN p_size > 30 THEN NULL ELSE p_size END AS comment_count,
+         CAST(CASE WHEN p_size < 15 THEN 1000 + p_size + 10 END AS BIGINT) AS like_count,
+         CAST(CASE WHEN p_size > 30 THEN NULL ELSE p_size END AS BIGINT) AS comment_count,
          'public' AS privacy_status, p_size > 30 AS made_for_kids, CAST(NULL AS BOOLEAN) AS self_declared_made_for_kids,
          '["' || p_type || '"]' AS topic_categories,
          'https://www.youtube.com/watch?v=' || p_partkey AS video_url, {CAPTURED} AS captured_at

@@ -16,7 +16,7 @@ def strategy_coverage(hits: DataFrame, strategy: str = "query") -> DataFrame:
 
 
 def strategy_overlap(hits: DataFrame, strategy: str = "query") -> DataFrame:
-    """Per strategy: videos only it found, videos others found too, and the mean number of finders.
+    """Per strategy: videos only it found, videos others found too, and all their finders summed.
 
     Works from the count of strategies per video, so no pairs of strategies are ever formed.
     """

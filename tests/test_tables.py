@@ -1,7 +1,10 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from corpus_engine import schemas
+from corpus_engine.session import scratch_path, shared_dir
 from corpus_engine.sources import tables
 from tests.helpers import values
 
@@ -27,6 +30,22 @@ def test_csv_round_trip_and_cell_format(spark, tmp_path):
     assert (got["b"].tags, got["b"].error, got["c"].error) == ("[]", None, "{}")
 
 
+def test_shared_folder():
+    def session(master, configured=None, current=None):
+        context = SimpleNamespace(master=master, folder=current)
+        context.getCheckpointDir = lambda: context.folder
+        context.setCheckpointDir = lambda path: setattr(context, "folder", path)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: configured))
+
+    assert shared_dir(session("yarn", "s3://b/x")) == "s3://b/x"
+    assert shared_dir(session("yarn", None, "hdfs:/y")) == "hdfs:/y"
+    assert scratch_path(session("yarn", "s3://b/x/"), "a").startswith("s3://b/x/a-")
+    local = session("local[2]")
+    assert shared_dir(local) == local.sparkContext.getCheckpointDir() == shared_dir(local)
+    with pytest.raises(ValueError):
+        shared_dir(session("yarn"))
+
+
 def test_versions(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame(ROWS, SCHEMA)
