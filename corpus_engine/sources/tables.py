@@ -88,11 +88,13 @@ def merge_into_table(
 ) -> None:
     """Upserts into a bucketed table and rewrites only the buckets that receive rows.
 
-    The merged buckets are staged in the shared folder first: what is overwritten is never what is
-    being read, and a failed overwrite can be repeated from the same input with the same result.
+    The merged buckets are staged in the shared folder first, so what is overwritten is never what
+    is being read. A note names the staged buckets until they are in place: should the driver die in
+    between, the next merge first puts them in place again.
     """
     spark = new.sparkSession
     target = f"{path}.merged"
+    _finish_merge(spark, path)
     bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
     arriving = _staged(new.withColumn(BUCKET, bucket), "arriving")
     if exists(spark, target):
@@ -101,11 +103,29 @@ def merge_into_table(
         merged = upsert(current, arriving, [BUCKET, *keys], order_by)
     else:
         merged = keep_last(arriving, [BUCKET, *keys], order_by)
+    staged = scratch_path(spark, "merged")
+    merged.write.parquet(staged)
+    fs, note = _fs_path(spark, f"{path}.pending")
+    out = fs.create(note, True)
+    out.writeUTF(staged)
+    out.close()
+    _finish_merge(spark, path)
+
+
+def _finish_merge(spark: SparkSession, path: str) -> None:
+    """Puts noted buckets in place; doing so twice changes nothing."""
+    fs, note = _fs_path(spark, f"{path}.pending")
+    if not fs.exists(note):
+        return
+    source = fs.open(note)
+    staged = source.readUTF()
+    source.close()
     (
-        _staged(merged, "merged").hint("rebalance", BUCKET)
+        spark.read.parquet(staged).hint("rebalance", BUCKET)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET).parquet(target)
+        .partitionBy(BUCKET).parquet(f"{path}.merged")
     )
+    fs.delete(note, False)
 
 
 def _staged(df: DataFrame, label: str) -> DataFrame:

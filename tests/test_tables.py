@@ -77,3 +77,30 @@ def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
     assert len(untouched) >= 14
     tables.merge_into_table(second, path, ["k"], buckets=16)
     assert values(tables.read_table(spark, path, SCHEMA, merged=True), "k", "v") == again
+
+
+def test_merge_recovers_from_a_half_done_overwrite(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "m")
+    rows = spark.range(50).selectExpr("cast(id as string) k", "id v", "'r1' _run_id", "id _seq")
+    tables.merge_into_table(rows, path, ["k"], buckets=4)
+    change = spark.createDataFrame([("7", 700, "r2", 0)], "k string, v long, _run_id string, _seq long")
+    finish, calls = tables._finish_merge, []
+
+    def dies_at_the_end(session, table):
+        calls.append(table)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+        finish(session, table)
+
+    monkeypatch.setattr(tables, "_finish_merge", dies_at_the_end)
+    with pytest.raises(RuntimeError):
+        tables.merge_into_table(change, path, ["k"], buckets=4)
+    monkeypatch.setattr(tables, "_finish_merge", finish)
+    (touched,) = {b for b in (tmp_path / "m.merged").glob("_bucket=*") if spark.read.parquet(str(b)).where("k = '7'").count()}
+    for part in touched.iterdir():  # the old bucket is already gone, the new one not yet there
+        part.unlink()
+    later = spark.createDataFrame([("8", 800, "r3", 0)], "k string, v long, _run_id string, _seq long")
+    tables.merge_into_table(later, path, ["k"], buckets=4)
+    expected = {str(i): i for i in range(50)} | {"7": 700, "8": 800}
+    assert dict(values(tables.read_table(spark, path, SCHEMA, merged=True), "k", "v")) == expected
+    assert not (tmp_path / "m.pending").exists()
