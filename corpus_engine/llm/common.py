@@ -72,6 +72,19 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they have ``rows`` rows; for narrow rows only."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if size:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 @contextmanager
 def written_file(uri: str, name: str):
     """A file that appears under its final, attempt-unique name only when complete; yields (stream, path)."""

@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from corpus_engine.llm.common import held_out_remainder, table
 from corpus_engine.llm.curve_packing import pack
 from corpus_engine.llm.language_id import language_id
+from corpus_engine.llm.lm_scoring import default_vocabulary, lm_scores
 from corpus_engine.llm.quality_rules import quality_rules
 from corpus_engine.llm.token_files import read_token_files, write_token_files
 from corpus_engine.llm.word_tokens import default_tokenizer
 from corpus_engine.session import scratch_path
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"), held_out_remainder(F.col("doc_id"), 7) == 2, default_vocabulary())
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), held_out_remainder(F.col("doc_id"), 3) == 1)
 
@@ -34,6 +39,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
     "op8_token_files": op8_token_files,
