@@ -13,6 +13,7 @@ from corpus_engine.llm.language_id import language_id
 from corpus_engine.llm.lm_scoring import default_vocabulary, lm_scores
 from corpus_engine.llm.quality_rules import quality_rules
 from corpus_engine.llm.token_files import read_token_files, write_token_files
+from corpus_engine.llm.warc_archive import read_archive, write_archive
 from corpus_engine.llm.word_tokens import default_tokenizer
 from corpus_engine.session import scratch_path
 
@@ -21,6 +22,12 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), held_out_remainder(F.col("doc_id"), 7) == 2, default_vocabulary())
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "archive")
+    records = read_archive(write_archive(table(spark, sf_dir, "pages"), folder), folder, with_data=False)
+    return records.where("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "valid")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), held_out_remainder(F.col("doc_id"), 3) == 1)
 
@@ -40,10 +47,20 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op4_warc": op4_warc,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        d AS (SELECT page_id, strlen(body) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+        f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY 1)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to, true AS valid
+        FROM d LEFT JOIN f USING (payload_digest)""",
+}
