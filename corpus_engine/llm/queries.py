@@ -11,6 +11,7 @@ from corpus_engine.llm.common import held_out_remainder, table
 from corpus_engine.llm.curve_packing import pack
 from corpus_engine.llm.language_id import language_id
 from corpus_engine.llm.lm_scoring import default_vocabulary, lm_scores
+from corpus_engine.llm.page_text import main_text
 from corpus_engine.llm.quality_rules import quality_rules
 from corpus_engine.llm.token_files import read_token_files, write_token_files
 from corpus_engine.llm.warc_archive import read_archive, write_archive
@@ -36,6 +37,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     return read_token_files(write_token_files(table(spark, sf_dir, "documents"), folder, default_tokenizer()), folder)
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
+    "op7_page_text": op7_page_text,
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
 }
