@@ -13,6 +13,7 @@ from corpus_engine.llm.language_id import language_id
 from corpus_engine.llm.lm_scoring import default_vocabulary, lm_scores
 from corpus_engine.llm.page_text import main_text
 from corpus_engine.llm.quality_rules import quality_rules
+from corpus_engine.llm.template_leaks import template_leaks
 from corpus_engine.llm.token_files import read_token_files, write_token_files
 from corpus_engine.llm.warc_archive import read_archive, write_archive
 from corpus_engine.llm.word_tokens import default_tokenizer
@@ -23,6 +24,10 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), held_out_remainder(F.col("doc_id"), 7) == 2, default_vocabulary())
 
 
+def op3_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "archive")
     records = read_archive(write_archive(table(spark, sf_dir, "pages"), folder), folder, with_data=False)
@@ -52,6 +57,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op3_template_leaks": op3_template_leaks,
     "op4_warc": op4_warc,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
