@@ -13,6 +13,7 @@ from corpus_engine.llm.language_id import language_id
 from corpus_engine.llm.lm_scoring import default_vocabulary, lm_scores
 from corpus_engine.llm.page_text import main_text
 from corpus_engine.llm.quality_rules import quality_rules
+from corpus_engine.llm.repeated_passages import remove_repeats
 from corpus_engine.llm.template_leaks import template_leaks
 from corpus_engine.llm.token_files import read_token_files, write_token_files
 from corpus_engine.llm.warc_archive import read_archive, write_archive
@@ -55,6 +56,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("row")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op3_template_leaks": op3_template_leaks,
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_page_text": op7_page_text,
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
+    "op10_repeated_passages": op10_repeated_passages,
 }
 
 ORACLE: dict[str, str] = {
