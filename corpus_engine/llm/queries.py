@@ -11,6 +11,8 @@ from corpus_engine.llm.common import held_out_remainder, table
 from corpus_engine.llm.curve_packing import pack
 from corpus_engine.llm.language_id import language_id
 from corpus_engine.llm.lm_scoring import default_vocabulary, lm_scores
+from corpus_engine.llm.near_duplicates import Settings as NearSettings
+from corpus_engine.llm.near_duplicates import near_duplicates
 from corpus_engine.llm.page_text import main_text
 from corpus_engine.llm.quality_rules import quality_rules
 from corpus_engine.llm.repeated_passages import remove_repeats
@@ -25,6 +27,10 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), held_out_remainder(F.col("doc_id"), 7) == 2, default_vocabulary())
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), NearSettings(shingle=3, percent=85)).drop("row")
+
+
 def op3_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return template_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -62,6 +68,7 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_template_leaks": op3_template_leaks,
     "op4_warc": op4_warc,
     "op5_language_id": op5_language_id,
