@@ -50,6 +50,12 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").cast("binary").alias("body"))
 
 
+def mark(text: Column) -> Column:
+    """A hash of the text. Id and mark together name a document the same way at every reading of a table, which a
+    row number does not: how files are split can change when an executor is lost."""
+    return F.xxhash64(text.cast("string").cast("binary"))
+
+
 def held_out_remainder(key: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the text "null"."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("null")).cast("binary")) % modulus

@@ -168,8 +168,8 @@ def lm_scores(docs: DataFrame, held_out: Column, path: str, s: Settings = Settin
         """A row with the sums over a document's frequent words and its length, and a row for each of its other words."""
         frequent = known.value
         for batch in batches:
-            out = [[], [], [], [], [], []]
-            for row, body in zip(batch.column("row").to_pylist(), batch.column("body").to_pylist()):
+            out = [[] for _ in range(8)]
+            for row, doc_id, held, body in zip(*(batch.column(c).to_pylist() for c in ("row", "id", "held", "body"))):
                 n_tokens = n_known = 0
                 base = score = 0.0
                 rest = []
@@ -177,32 +177,32 @@ def lm_scores(docs: DataFrame, held_out: Column, path: str, s: Settings = Settin
                     n_tokens += n
                     at = frequent.get(word)
                     if at is None:
-                        rest.append((row, word, n, 0, 0.0, 0.0))
+                        rest.append((row, None, None, word, n, 0, 0.0, 0.0))
                     else:
                         n_known += n
                         base += n * at[0]
                         score += n * at[1]
-                for values in [(row, None, n_tokens, n_known, base, score), *rest]:
+                for values in [(row, doc_id, held, None, n_tokens, n_known, base, score), *rest]:
                     for column, value in zip(out, values):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))],
-                ["row", "word", "n", "known", "base", "score"])
+                [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))],
+                ["row", "doc_id", "held_out", "word", "n", "known", "base", "score"])
 
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())  # the same at every reading of the same files
-    parts = numbered.select("row", "body").mapInArrow(split, "row long, word binary, n long, known long, base double, score double")
-    parts = settled(parts, "lm-parts")
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())  # read once; from here on the numbers are in a written table
+    parts = settled(numbered.mapInArrow(
+        split, "row long, doc_id long, held_out boolean, word binary, n long, known long, base double, score double"), "lm-parts")
     rare = parts.where("word is not null").select("row", "word", "n").join(
         weighed.where((F.col("c") < least) | (F.col("c") == 0)).select("word", "c", "base", "score"), "word")
     rare = rare.select("row", F.lit(0).cast("bigint").alias("n"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"),
                        (F.col("n") * F.col("base")).alias("base"), (F.col("n") * F.col("score")).alias("score"))
-    summed = parts.where("word is null").drop("word").unionByName(rare).groupBy("row").agg(
+    own = parts.where("word is null")
+    summed = own.select("row", "n", "known", "base", "score").unionByName(rare).groupBy("row").agg(
         F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("score").alias("score"))
     tokens = totals.tokens + totals.documents
     distinct = totals.words + (totals.documents > 0)
     has_end = totals.documents > 0
-    about = numbered.select("row", F.col("id").alias("doc_id"), F.col("held").alias("held_out"))
-    return about.join(summed, "row").select(
+    return own.select("row", "doc_id", "held_out").join(summed, "row").select(
         "doc_id", "held_out", (F.col("n") + 1).alias("n_tokens"), (F.col("known") + int(has_end)).alias("n_known"),
         F.lit(tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + log10(totals.documents + 1) - (F.col("n") + 1) * log10(tokens + distinct + 1)).alias("base_score"),

@@ -16,8 +16,7 @@ a bounded part, and no pair is a row unless it is a candidate. ``margin`` is fiv
 
 Defined results: null and empty texts, and those without a word, link with nothing; a null id comes last in order and
 names a component only where no member has an id; repeated rows are one class, and all rows of the kept id are kept;
-an empty table gives no row; texts are read whole. Only the named columns are read. ``docs`` must give the same rows in the same order at
-every reading, as a written table does.
+an empty table gives no row; texts are read whole. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from corpus_engine.llm.common import prepare, settled, texts
+from corpus_engine.llm.common import mark, prepare, settled, texts
 from corpus_engine.llm.components import components
 from corpus_engine.llm.hyper_minhash import BUCKETS, band_keys, estimate, registers, shingles
 
@@ -66,7 +65,7 @@ def unpacked(body: bytes | None) -> bytes:
 
 
 def sketches(rows: DataFrame, s: Settings) -> DataFrame:
-    """``row``, ``id``, the set's size and digest, and its registers (null for an empty set)."""
+    """``row`` (a number, read from this table alone), ``id`` and ``mark``, the set's size and digest, its registers (null if empty)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,10 +76,10 @@ def sketches(rows: DataFrame, s: Settings) -> DataFrame:
                 digests.append(xxhash.xxh3_128_digest(h.tobytes()))
                 found.append(registers(h).tobytes() if len(h) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(found, pa.binary())],
-                ["row", "id", "n", "digest", "sketch"])
+                [batch.column("row"), batch.column("id"), batch.column("mark"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(found, pa.binary())],
+                ["row", "id", "mark", "n", "digest", "sketch"])
 
-    return rows.mapInArrow(make, "row long, id long, n long, digest binary, sketch binary")
+    return rows.mapInArrow(make, "row long, id long, mark long, n long, digest binary, sketch binary")
 
 
 def bands(reps: DataFrame) -> DataFrame:
@@ -180,16 +179,17 @@ def by_set(s: Settings) -> Callable:
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), key="doc_id", text="text") -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``; ``row`` is its number in ``docs``."""
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``mark`` (a hash of the text) and ``stays``, which
+    holds for exactly one row of each component."""
     spark = docs.sparkSession
     prepare(spark)
-    rows = texts(docs, key, text).withColumn("row", F.monotonically_increasing_id())
-    made = settled(sketches(rows, s), "near-sketches")
+    rows = texts(docs, key, text).withColumn("mark", mark(F.col("body").cast("string")))
+    made = settled(sketches(rows.withColumn("row", F.monotonically_increasing_id()), s), "near-sketches")
     order = F.struct(F.coalesce("id", F.lit(LAST)).alias("id"), F.col("row"))
     classes = made.where("n > 0").groupBy("digest").agg(F.min(order).alias("first"))
-    members = made.select("row", "id", "n", "digest").join(classes.select("digest", F.col("first.row").alias("rep")), "digest", "left")
-    members = settled(members.select("row", "id", "n", F.coalesce("rep", "row").alias("rep")), "near-members")
-    reps = settled(made.join(members.where("row = rep and n > 0").select("row"), "row").select("row", "n", "sketch"), "near-classes")
+    members = made.select("row", "id", "mark", "n", "digest").join(classes.select("digest", F.col("first.row").alias("rep")), "digest", "left")
+    members = settled(members.select("row", "id", "mark", "n", F.coalesce("rep", "row").alias("rep")), "near-members")
+    reps = settled(made.join(members.where("row = rep and n > 0").select("row"), "row").select("row", "id", "mark", "n", "sketch"), "near-classes")
 
     keyed = settled(bands(reps), "near-bands")
     buckets = keyed.groupBy("key").agg(F.min("row").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -202,11 +202,13 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key="doc_id", tex
         cells = blocked(xs.withColumn("weight", F.lit(1)), ys.withColumn("weight", F.lit(1)), s.sketch_block)
         return compared(cells.join(labelled, "row"), by_sketch(least), ["row", "label", "n", "sketch"], "x long, y long, label long")
 
-    size, body = reps.select("row", F.col("n").alias("weight")), rows.select("row", packed("body").alias("packed"))
+    size = reps.select("row", F.col("n").alias("weight"))
+    named_by = reps.select("row", F.coalesce("id", F.lit(LAST)).alias("at"), "mark")
+    body = rows.select(F.coalesce("id", F.lit(LAST)).alias("at"), "mark", packed("body").alias("packed"))
 
     def confirmed(xs: DataFrame, ys: DataFrame) -> DataFrame:
         cells = blocked(xs.join(size, "row"), ys.join(size, "row"), s.set_block)
-        return compared(cells.join(body, "row"), by_set(s), ["row", "packed"], "a long, b long")
+        return compared(cells.join(named_by, "row").join(body, ["at", "mark"]), by_set(s), ["row", "packed"], "a long, b long")
 
     centres = lambda pairs: pairs.select(F.col("group").alias("row"), "group").distinct()
     near = settled(estimated(tried, centres(tried), sketch).select(F.col("x").alias("row"), F.col("y").alias("group")).distinct(), "near-estimated")
@@ -229,6 +231,7 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key="doc_id", tex
     labels = components(links.unionByName(more))
 
     placed = members.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    names = placed.groupBy("label").agg(F.min("id").alias("component_id"))
+    names = placed.groupBy("label").agg(F.min("id").alias("component_id"), F.min(order).alias("first"))
     return placed.join(names, "label").select(
-        "row", F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "mark", (F.col("row") == F.col("first.row")).alias("stays"))

@@ -223,7 +223,7 @@ def chosen(found: list[tuple[str, str]], repeated: set[int]) -> str:
 def main_text(pages: DataFrame, key="page_id", url="url", html="html") -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every row."""
     prepare(pages.sparkSession, 256)
-    rows = pages.select(F.col(key).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
+    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Text, where the structure decides; else null and the page as it came, to be decided by its host's runs."""
@@ -234,8 +234,8 @@ def main_text(pages: DataFrame, key="page_id", url="url", html="html") -> DataFr
                 text.append(None if unmarked(found) else chosen(found, set()))
                 open_pages.append(page if text[-1] is None else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(open_pages, pa.string()), pa.array(text, pa.string())],
-                ["page_id", "url", "html", "text"])
+                [batch.column("row"), batch.column("page_id"), batch.column("url"), pa.array(open_pages, pa.string()), pa.array(text, pa.string())],
+                ["row", "page_id", "url", "html", "text"])
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,9 +255,9 @@ def main_text(pages: DataFrame, key="page_id", url="url", html="html") -> DataFr
                 [pa.array(hosts, pa.string()), pa.array(np.concatenate(prefixes) if prefixes else [], pa.int64()),
                  pa.array(np.concatenate(contents) if contents else [], pa.int64())], ["host", "prefix", "content"])
 
-    first = settled(rows.mapInArrow(read, "page_id long, url string, html string, text string"), "page-text")
+    first = settled(rows.mapInArrow(read, "row long, page_id long, url string, html string, text string"), "page-text")
     done = first.where("text is not null").select("page_id", "url", "text")
-    waiting = first.where("text is null").select("page_id", "url", "html")
+    waiting = first.where("text is null").select("row", "page_id", "url", "html")
     arrays = rows.select("url", "html").mapInArrow(suffixes, "host string, prefix long, content long").groupBy("host", "prefix").agg(
         F.min("content").alias("low"), F.max("content").alias("high"))
     runs = arrays.where("low <> high").select("host", "prefix")
@@ -284,7 +284,6 @@ def decided(waiting: DataFrame, runs: DataFrame) -> DataFrame:
             text = [chosen(blocks(page or ""), set(runs or ())) for page, runs in zip(batch.column("html").to_pylist(), batch.column("runs").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(text, pa.string())], ["page_id", "url", "text"])
 
-    numbered = waiting.withColumn("row", F.monotonically_increasing_id())  # of a written table, so stable
-    wanted = numbered.select("row", "url", "html").mapInArrow(looked_up, "row long, host string, prefix long")
+    wanted = waiting.select("row", "url", "html").mapInArrow(looked_up, "row long, host string, prefix long")
     own = wanted.join(runs, ["host", "prefix"]).groupBy("row").agg(F.collect_set("prefix").alias("runs"))  # one page's prefixes
-    return numbered.join(own, "row", "left").select("page_id", "url", "html", "runs").mapInArrow(write, "page_id long, url string, text string")
+    return waiting.join(own, "row", "left").select("page_id", "url", "html", "runs").mapInArrow(write, "page_id long, url string, text string")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpus_engine.llm.common import SPACES, prepare, pairs, texts
+from corpus_engine.llm.common import SPACES, prepare, texts
 
 SYMBOLS = b"#*$%&|<>"
 WORD_BITS = 17
@@ -182,16 +182,17 @@ COLUMNS = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_li
            "base_failed boolean, probability double, kept boolean")
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), key="doc_id", text="text", label="quality") -> DataFrame:
-    """One row per document: the counts, the verdict of the base rules, the probability of good quality, and ``kept``."""
+def quality_rules(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), key="doc_id", text="text", label="quality",
+                  carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: the counts, the verdict of the base rules, the probability of good quality, ``kept``, and columns to carry along."""
     spark = docs.sparkSession
     prepare(spark)
     model = spark.sparkContext.broadcast(fit(docs, labels, s, key, text, label))  # a megabyte, whatever the input
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, bodies in pairs(batches):
+        for batch in batches:
             out = []
-            for body in bodies:
+            for body in batch.column("body").to_pylist():
                 body = body or b""
                 words = body.split()
                 chars, symbols, doubled, repeated = base_counts(body, words)
@@ -203,7 +204,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, s: Settings = Settings(),
             columns = list(zip(*out)) or [()] * 8
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                [c.split()[0] for c in COLUMNS.split(", ")])
+                [batch.column("id"), *(pa.array(c, k) for c, k in zip(columns, kinds)), batch.column("carried")],
+                [*(c.split()[0] for c in COLUMNS.split(", ")), "carried"])
 
-    return texts(docs, key, text).mapInArrow(score, COLUMNS)
+    carried = F.struct(F.lit(0).alias("none"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)))
+    rows = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").cast("binary").alias("body"), carried.alias("carried"))
+    scored = rows.mapInArrow(score, f"{COLUMNS}, carried {rows.schema['carried'].dataType.simpleString()}")
+    return scored.select(*(c.split()[0] for c in COLUMNS.split(", ")), *(F.col(f"carried.c{i}").alias(c) for i, c in enumerate(carry)))

@@ -28,11 +28,11 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), NearSettings(shingle=3, percent=85)).drop("row")
+    return near_duplicates(table(spark, sf_dir, "documents"), NearSettings(shingle=3, percent=85)).drop("mark", "stays")
 
 
 def op3_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return template_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return template_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +63,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents")).drop("row")
+    return remove_repeats(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

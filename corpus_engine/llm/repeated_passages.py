@@ -21,10 +21,9 @@ is built in parts:
 Hashes are 64 bits for stretches (beside the 64 of their anchor) and 64 for words; equality of windows is of ``window``
 word hashes in a row.
 
-Earlier means a smaller document id (null last), then the row's number among equal ids, then the start. Defined results:
-null, empty and shorter texts lose nothing; of repeated rows all but the first lose everything that is long enough; an
-empty table gives no row; very long texts are handled whole. Only the named columns are read. ``docs`` must give the
-same rows in the same order at every reading, as a written table does.
+Earlier means a smaller document id (null last), then a smaller hash of the text among equal ids, then the start. Defined
+results: null, empty and shorter texts lose nothing; rows with equal id and text are one document, written more than once, and
+all get its result; an empty table gives no row; very long texts are handled whole. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -42,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from corpus_engine.llm.common import prepare, settled, texts
+from corpus_engine.llm.common import mark, prepare, settled
 
 NARROW_ROWS = 16_384  # of a batch without texts
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
@@ -89,7 +88,8 @@ def stretches(h: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.nd
     return smallest[first], content, first, size
 
 
-STRETCHES = "anchor long, content long, at long, row long, start long, size long"
+STRETCHES = "anchor long, content long, at long, mark long, start long, size long"
+PLACE = ("anchor", "content", "at", "mark", "start")
 
 
 def all_stretches(rows: DataFrame, s: Settings) -> DataFrame:
@@ -103,11 +103,11 @@ def all_stretches(rows: DataFrame, s: Settings) -> DataFrame:
             if not parts:
                 continue
             anchor, content, start, size = (np.concatenate(c) for c in zip(*parts))
-            at = np.repeat(batch.column("id").fill_null(LAST).to_numpy(), counts)
-            row = np.repeat(batch.column("row").to_numpy(), counts)
+            at = np.repeat(batch.column("at").to_numpy(), counts)
+            mark = np.repeat(batch.column("mark").to_numpy(), counts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(at), pa.array(row), pa.array(start), pa.array(size)],
-                ["anchor", "content", "at", "row", "start", "size"])
+                [pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(at), pa.array(mark), pa.array(start), pa.array(size)],
+                [*PLACE, "size"])
 
     return rows.mapInArrow(find, STRETCHES)
 
@@ -116,8 +116,8 @@ def repeats_and_firsts(found: DataFrame) -> DataFrame:
     """Of sorted stretches: repeats of a whole stretch, and the first ones of anchors with several, which need their words.
 
     ``cut`` tells anchors at a partition's bounds, which may go on in the next one."""
-    ordered = found.repartitionByRange("anchor", "content", "at", "row", "start").sortWithinPartitions("anchor", "content", "at", "row", "start")
-    names = ["anchor", "row", "at", "start", "size", "whole", "cut"]
+    ordered = found.repartitionByRange(*PLACE).sortWithinPartitions(*PLACE)
+    names = ["anchor", "at", "mark", "start", "size", "whole", "cut"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first_anchor, before, held = None, None, None  # held: the latest first stretch, whose anchor may have more
@@ -130,14 +130,21 @@ def repeats_and_firsts(found: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            anchor, content, at, row, start, size = (batch.column(c).to_numpy() for c in ("anchor", "content", "at", "row", "start", "size"))
+            columns = [batch.column(c).to_numpy() for c in (*PLACE, "size")]
+            again = np.ones(batch.num_rows, bool)  # the same place once more, of a document written more than once
+            same = np.ones(batch.num_rows, bool)
+            for k, c in enumerate(columns[:5]):
+                equal = np.concatenate([[before is not None and before[k] == c[0]], c[1:] == c[:-1]])
+                again &= equal
+                if k < 2:
+                    same &= equal
+            before = [c[-1] for c in columns[:5]]
             if first_anchor is None:
-                first_anchor = anchor[0]
-            same = np.concatenate([[before == (anchor[0], content[0])], (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1])])
-            before = (anchor[-1], content[-1])
-            if same.any():
-                yield made([c[same] for c in (anchor, row, at, start, size)], True, False)
-            firsts = [c[~same] for c in (anchor, row, at, start, size)]
+                first_anchor = columns[0][0]
+            stretch = [columns[k] for k in (0, 2, 3, 4, 5)]
+            if (same & ~again).any():
+                yield made([c[same & ~again] for c in stretch], True, False)
+            firsts = [c[~same] for c in stretch]
             if held is not None:
                 firsts = [np.concatenate([h, c]) for h, c in zip(held, firsts)]
             a = firsts[0]
@@ -153,7 +160,7 @@ def repeats_and_firsts(found: DataFrame) -> DataFrame:
         if held is not None:
             yield made(held, False, True)  # the last anchor may go on in the next partition
 
-    return ordered.mapInArrow(scan, "anchor long, row long, at long, start long, size long, whole boolean, cut boolean")
+    return ordered.mapInArrow(scan, "anchor long, at long, mark long, start long, size long, whole boolean, cut boolean")
 
 
 def subtree_repeats(h: np.ndarray, window: int) -> np.ndarray:
@@ -174,64 +181,66 @@ def subtree_repeats(h: np.ndarray, window: int) -> np.ndarray:
 
 
 def marked_windows(rows: DataFrame, firsts: DataFrame, s: Settings) -> DataFrame:
-    """``row`` and ``start`` of every window among the stretches in ``firsts`` that repeats an earlier one there."""
+    """``at``, ``mark`` and ``start`` of every window among the stretches in ``firsts`` that repeats an earlier one there."""
     heavy = firsts.groupBy("anchor").agg((F.max("cut") | (F.count(F.lit(1)) > s.group)).alias("heavy"))
-    wanted = firsts.join(heavy, "anchor").groupBy("row").agg(F.collect_list(F.struct("anchor", "start", "size", "heavy")).alias("wanted"))
-    fetched = rows.select("row", "id", packed("body").alias("packed")).join(wanted, "row")  # a document's own stretches
-    names = ["anchor", "heavy", "at", "row", "start", "size", "words"]
+    wanted = firsts.join(heavy, "anchor").groupBy("at", "mark").agg(F.collect_list(F.struct("anchor", "start", "size", "heavy")).alias("wanted"))
+    fetched = rows.select("at", "mark", packed("body").alias("packed")).join(wanted, ["at", "mark"])  # a document's own stretches
+    names = ["anchor", "heavy", "at", "mark", "start", "size", "words"]
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [[] for _ in names]
-            for row, doc_id, body, wanted in zip(*(batch.column(c).to_pylist() for c in ("row", "id", "packed", "wanted"))):
+            for at, mark, body, wanted in zip(*(batch.column(c).to_pylist() for c in ("at", "mark", "packed", "wanted"))):
                 h = word_hashes(unpacked(body).split())
                 for w in wanted:
                     raw = h[w["start"]:w["start"] + w["size"] + s.window - 1].tobytes()
-                    values = (w["anchor"], w["heavy"], LAST if doc_id is None else doc_id, row, w["start"], w["size"], raw)
+                    values = (w["anchor"], w["heavy"], at, mark, w["start"], w["size"], raw)
                     for column, value in zip(out, values):
                         column.append(value)
             kinds = [pa.int64(), pa.bool_(), *[pa.int64()] * 4, pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
-    parts = settled(fetched.mapInArrow(fetch, "anchor long, heavy boolean, at long, row long, start long, size long, words binary"), "passage-firsts")
+    parts = settled(fetched.mapInArrow(fetch, "anchor long, heavy boolean, at long, mark long, start long, size long, words binary"), "passage-firsts")
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One subtree for each anchor; rows come sorted by anchor and place."""
         group, current = [], None
 
         def built():
-            h = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.frombuffer(g[3], np.uint64), s.window) for g in group])
-            row = np.repeat([g[0] for g in group], [g[2] for g in group])
-            start = np.concatenate([np.arange(g[1], g[1] + g[2]) for g in group])
+            h = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.frombuffer(g[4], np.uint64), s.window) for g in group])
+            sizes = [g[3] for g in group]
             repeat = subtree_repeats(h, s.window)
-            return pa.RecordBatch.from_arrays([pa.array(row[repeat], pa.int64()), pa.array(start[repeat], pa.int64())], ["row", "start"])
+            at, mark = (np.repeat(np.array([g[k] for g in group], np.int64), sizes)[repeat] for k in (0, 1))
+            start = np.concatenate([np.arange(g[2], g[2] + g[3]) for g in group])[repeat]
+            return pa.RecordBatch.from_arrays([pa.array(at), pa.array(mark), pa.array(start)], ["at", "mark", "start"])
 
         for batch in batches:
-            for anchor, row, start, size, raw in zip(*(batch.column(c).to_pylist() for c in ("anchor", "row", "start", "size", "words"))):
+            for anchor, *stretch in zip(*(batch.column(c).to_pylist() for c in ("anchor", "at", "mark", "start", "size", "words"))):
                 if anchor != current and group:
                     yield built()
                     group = []
                 current = anchor
-                group.append((row, start, size, raw))
+                if not group or group[-1][:3] != stretch[:3]:  # else of a document written more than once
+                    group.append(stretch)
         if group:
             yield built()
 
     def deepest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [[] for _ in range(4)]
-            for at, row, start, size, raw in zip(*(batch.column(c).to_pylist() for c in ("at", "row", "start", "size", "words"))):
+            for at, mark, start, size, raw in zip(*(batch.column(c).to_pylist() for c in ("at", "mark", "start", "size", "words"))):
                 for i in range(size):
                     out[0].append(xxhash.xxh3_128_digest(raw[8 * i:8 * (i + s.window)]))
                     out[1].append(at)
-                    out[2].append(row)
+                    out[2].append(mark)
                     out[3].append(start + i)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), *(pa.array(c, pa.int64()) for c in out[1:])], ["prefix", "at", "row", "start"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), *(pa.array(c, pa.int64()) for c in out[1:])], ["prefix", "at", "mark", "start"])
 
-    light = parts.where("not heavy").repartition("anchor").sortWithinPartitions("anchor", "at", "row", "start").mapInArrow(trees, "row long, start long")
-    nodes = parts.where("heavy").mapInArrow(deepest, "prefix binary, at long, row long, start long")
-    place = F.struct("at", "row", "start")
+    light = parts.where("not heavy").repartition("anchor").sortWithinPartitions("anchor", "at", "mark", "start").mapInArrow(trees, "at long, mark long, start long")
+    nodes = parts.where("heavy").mapInArrow(deepest, "prefix binary, at long, mark long, start long")
+    place = F.struct("at", "mark", "start")
     earliest = nodes.groupBy("prefix").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = nodes.join(earliest, "prefix").where(place != F.col("first")).select("row", "start")
+    again = nodes.join(earliest, "prefix").where(place != F.col("first")).select("at", "mark", "start")
     return light.unionByName(again)
 
 
@@ -245,28 +254,32 @@ def unpacked(body: bytes | None) -> bytes:
     return zstandard.ZstdDecompressor().decompress(body) if body else b""
 
 
-def remove_repeats(docs: DataFrame, s: Settings = Settings(), key="doc_id", text="text", with_text: bool = False) -> DataFrame:
-    """One row per document: ``n_words``, ``n_removed``, ``kept_sha256`` and, if asked for, the kept words as ``kept_text``.
-
-    ``row`` is the document's number in ``docs``, as ``monotonically_increasing_id`` gives it."""
+def remove_repeats(docs: DataFrame, s: Settings = Settings(), key="doc_id", text="text", carry: tuple[str, ...] = (), with_text: bool = False) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256``, the columns to ``carry`` along and, if asked for,
+    ``kept_text``: the kept words joined by one space, or the text as it was if none was removed."""
     spark = docs.sparkSession
     prepare(spark)
-    rows = texts(docs, key, text).withColumn("row", F.monotonically_increasing_id())
+    body = F.col(text).cast("string").cast("binary")
+    rows = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)).alias("at"), mark(F.col(text)).alias("mark"), body.alias("body"),
+                       F.struct(F.col(key).cast("bigint").alias("id"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(carry))).alias("carried"))
     found = all_stretches(rows, s)
     prepare(spark, NARROW_ROWS)
     judged = settled(repeats_and_firsts(found), "passage-stretches")
     prepare(spark)
-    firsts = judged.where("not whole").select("anchor", "row", "start", "size", "cut")
-    windows = marked_windows(rows, firsts, s).select("row", "start", F.lit(1).cast("bigint").alias("size"))
-    marks = judged.where("whole").select("row", "start", "size").unionByName(windows)
-    marks = settled(marks, "passage-marks").groupBy("row").agg(F.collect_list(F.struct("start", "size")).alias("marks"))  # a document's own
-    columns = "row long, doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
+    firsts = judged.where("not whole").select("anchor", "at", "mark", "start", "size", "cut")
+    windows = marked_windows(rows, firsts, s).select("at", "mark", "start", F.lit(1).cast("bigint").alias("size"))
+    marks = settled(judged.where("whole").select("at", "mark", "start", "size").unionByName(windows), "passage-marks")
+    marks = marks.groupBy("at", "mark").agg(F.collect_list(F.struct("start", "size")).alias("marks"))  # a document's own
+    joined = rows.select("at", "mark", "carried", packed("body").alias("packed")).join(marks, ["at", "mark"], "left").select("carried", "packed", "marks")
+    kept_text = ", kept_text string" if with_text else ""
+    columns = f"carried {joined.schema['carried'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string{kept_text}"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [[], [], [], []]
             for body, marks in zip(batch.column("packed").to_pylist(), batch.column("marks").to_pylist()):
-                words = unpacked(body).split()
+                body = unpacked(body)
+                words = body.split()
                 kept = words
                 if marks:
                     edges = np.zeros(len(words) + 1, np.int64)
@@ -279,9 +292,11 @@ def remove_repeats(docs: DataFrame, s: Settings = Settings(), key="doc_id", text
                 out[0].append(len(words))
                 out[1].append(len(words) - len(kept))
                 out[2].append(hashlib.sha256(joined).hexdigest())
-                out[3].append(joined.decode("utf-8", "replace") if with_text else None)
-            arrays = [batch.column("row"), batch.column("id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays + [pa.array(out[3], pa.string())] * with_text, [c.split()[0] for c in columns.split(", ")])
-
-    joined = rows.select("row", "id", packed("body").alias("packed")).join(marks, "row", "left")
-    return joined.mapInArrow(cut, columns)
+                out[3].append((joined if marks else body).decode("utf-8", "replace") if with_text else None)
+            arrays = [batch.column("carried"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())]
+            names = ["carried", "n_words", "n_removed", "kept_sha256"]
+            yield pa.RecordBatch.from_arrays(arrays + [pa.array(out[3], pa.string())] * with_text, names + ["kept_text"] * with_text)
+
+    done = joined.mapInArrow(cut, columns)
+    return done.select(F.col("carried.id").alias("doc_id"), "n_words", "n_removed", "kept_sha256", *["kept_text"] * with_text,
+                       *(F.col(f"carried.c{i}").alias(c) for i, c in enumerate(carry)))

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpus_engine.llm.common import pairs, prepare, texts
+from corpus_engine.llm.common import mark, prepare, texts
 
 LITERAL, NUMBER, QUANTITY, NAME = range(4)
 CAPITAL, STOPS, NUMERIC, UNIT, FUSED = 1, 2, 4, 8, 16
@@ -222,17 +222,17 @@ class Items:
         return (self.ids[number], self.counts[number], len({i for _, i in stretch}), share, len(slots), "verbatim" if same else "reparameterised")
 
 
-COLUMNS = "doc_id long, item_id long, n_windows long, n_found long, slot_consistency double, n_slots long, kind string"
+COLUMNS = "doc_id long, mark long, item_id long, n_windows long, n_found long, slot_consistency double, n_slots long, kind string"
 
 
 def template_leaks(docs: DataFrame, items: DataFrame, s: Settings = Settings(), key="doc_id", text="text", item_key="item_id", item_text="text") -> DataFrame:
-    """A row for each document and item found in it."""
+    """A row for each document and item found in it; ``mark`` is a hash of the document's text."""
     spark = docs.sparkSession
     prepare(spark)
     wanted = items.select(F.col(item_key).cast("bigint").alias("item"), F.col(item_text).cast("string").alias("body")).where("body is not null")
     size = wanted.agg(F.sum(F.size(F.split("body", r"\s+")))).first()[0] or 0  # words, and so windows at most
     n_blocks = 1 + size // s.block_windows
-    rows = texts(docs, key, text)
+    rows = texts(docs, key, text).withColumn("mark", mark(F.col("body").cast("string")))
     out = None
     for block in range(n_blocks):
         part = wanted.where(F.pmod(F.xxhash64("item", "body"), F.lit(n_blocks)) == block) if n_blocks > 1 else wanted
@@ -240,10 +240,11 @@ def template_leaks(docs: DataFrame, items: DataFrame, s: Settings = Settings(),
 
         def find(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             block_items, known = Items(held.value, s), Words()
-            for ids, bodies in pairs(batches):
-                found = [(i, *leak) for i, body in zip(ids, bodies) if body for leak in block_items.found(body.decode("utf-8", "replace"), known)]
+            for batch in batches:
+                columns = (batch.column(c).to_pylist() for c in ("id", "mark", "body"))
+                found = [(i, m, *leak) for i, m, body in zip(*columns) if body for leak in block_items.found(body.decode("utf-8", "replace"), known)]
                 if found:
-                    kinds = [pa.int64()] * 4 + [pa.float64(), pa.int64(), pa.string()]
+                    kinds = [pa.int64()] * 5 + [pa.float64(), pa.int64(), pa.string()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], [c.split()[0] for c in COLUMNS.split(", ")])
 
         leaks = rows.mapInArrow(find, COLUMNS)
