@@ -105,8 +105,10 @@ class Template:
     words: list[str]
 
     def value(self, at: int) -> str:
+        """The words a token stands for; of a run of names the last, since a capital at a text's start may join the run."""
         end = int(self.begins[at + 1]) if at + 1 < len(self.begins) else len(self.words)
-        return "".join(EDGES.sub("", w).lower() for w in self.words[int(self.begins[at]):end])
+        begin = end - 1 if self.kinds[at] == NAME else int(self.begins[at])
+        return "".join(EDGES.sub("", w).lower() for w in self.words[begin:end])
 
     def windows(self, size: int) -> np.ndarray:
         """Hashes of the windows at each token; 0 for those that say nothing."""
