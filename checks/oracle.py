@@ -414,37 +414,52 @@ ORACLE["study_run_videos"] = f"""WITH {LANDED}
 
 FLAWED = f"""
 {DOC_LINES}, page AS (
-  SELECT d.doc_id, d.doc_id // 4 AS v, d.doc_id // 100 AS run,
+  SELECT d.doc_id, d.doc_id // 8 AS v, d.doc_id // 100 * 2 + d.doc_id // 4 % 2 AS run, d.doc_id // 2 AS pg,
          CASE WHEN toxic = 1 AND quality = 0 THEN 'HttpError 403 quotaExceeded'
               WHEN toxic = 1 THEN 'HttpError 403 commentsDisabled' END AS error
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+), lost AS (
+  SELECT * FROM page p WHERE error IS NOT NULL AND NOT EXISTS (
+    SELECT 1 FROM page o WHERE o.run = p.run AND o.v = p.v AND o.pg = p.pg AND o.error IS NULL AND o.doc_id > p.doc_id)
+), stops AS (SELECT run, v, min(pg) AS stop FROM lost GROUP BY run, v),
+healthy AS (
+  SELECT l.*, string_split(line, ', ') AS pieces, v, run, pg FROM lines l JOIN page p ON l.doc_id = p.doc_id WHERE error IS NULL
 ), cut AS (
-  SELECT l.*, string_split(line, ', ') AS pieces, v, run FROM lines l JOIN page p ON l.doc_id = p.doc_id WHERE error IS NULL
-), broken AS (SELECT v, min((doc_id, pos)) AS place FROM cut WHERE len(pieces) >= 20 GROUP BY v),
+  SELECT h.* FROM healthy h LEFT JOIN stops s ON h.run = s.run AND h.v = s.v WHERE stop IS NULL OR pg < stop
+), broken AS (SELECT run, v, min((pg, pos, doc_id)) AS place FROM cut WHERE len(pieces) >= 20 GROUP BY run, v),
+placed AS (SELECT c.*, (pg, pos, doc_id) AS here, place FROM cut c LEFT JOIN broken b ON c.run = b.run AND c.v = b.v),
 said AS (
-  SELECT c.doc_id, c.pos, c.v, run, doc_id || '-' || pos AS comment_id, CAST(NULL AS VARCHAR) AS parent_comment_id, false AS is_reply, line AS text, -1 AS k
-  FROM cut c LEFT JOIN broken b ON c.v = b.v WHERE place IS NULL OR (doc_id, pos) <= place
+  SELECT doc_id, pos, pg, v, run, doc_id || '-' || pos AS comment_id, CAST(NULL AS VARCHAR) AS parent_comment_id, false AS is_reply, line AS text, -1 AS k
+  FROM placed WHERE place IS NULL OR here <= place
   UNION ALL
-  SELECT c.doc_id, c.pos, c.v, run, doc_id || '-' || pos || '.' || (j - 1), doc_id || '-' || pos, true, pieces[j + 1], j - 1
-  FROM cut c LEFT JOIN broken b ON c.v = b.v, unnest(range(1, len(pieces))) AS t(j) WHERE place IS NULL OR (doc_id, pos) < place
+  SELECT doc_id, pos, pg, v, run, doc_id || '-' || pos || '.' || (j - 1), doc_id || '-' || pos, true, pieces[j + 1], j - 1
+  FROM placed, unnest(range(1, len(pieces))) AS t(j) WHERE place IS NULL OR here < place
 ), kept AS (
-  SELECT * FROM said QUALIFY row_number() OVER (PARTITION BY v ORDER BY doc_id, pos, k) <= 500
+  SELECT * FROM said QUALIFY row_number() OVER (PARTITION BY run, v ORDER BY pg, pos, doc_id, k) <= 500
 )"""
+RUN = "'r' || lpad(CAST(run AS VARCHAR), 12, '0')"
 
 ORACLE["comments_until_failure"] = f"""WITH {FLAWED}
-    SELECT comment_id, 'v' || v AS video_id, 't' || doc_id || '-' || pos AS thread_id, parent_comment_id, is_reply, text FROM kept"""
+    SELECT {RUN} AS run_id, comment_id, 'v' || v AS video_id, 't' || doc_id || '-' || pos AS thread_id, parent_comment_id, is_reply, text FROM kept"""
 ORACLE["comment_run_outcomes"] = f"""WITH {FLAWED}, errors AS (
-      SELECT v, min(doc_id) AS at, arg_min(error, doc_id) AS error FROM (
-        SELECT v, doc_id, error FROM page WHERE error IS NOT NULL
-        UNION ALL SELECT v, doc_id, 'HttpError 500 backendError' FROM cut WHERE len(pieces) >= 20) GROUP BY v),
-    attempted AS (SELECT v, max(run) AS run, min(doc_id) AS seq FROM page GROUP BY v),
-    n AS (SELECT v, count(*) AS c FROM kept GROUP BY v),
+      SELECT run, v, arg_min(error, doc_id) AS error FROM (
+        SELECT run, v, doc_id, error FROM lost
+        UNION ALL SELECT run, v, doc_id, 'HttpError 500 backendError' FROM healthy WHERE len(pieces) >= 20) GROUP BY run, v),
+    attempted AS (SELECT run, v, min(doc_id) AS seq FROM page GROUP BY run, v),
+    n AS (SELECT run, v, count(*) AS c FROM kept GROUP BY run, v),
     outcome AS (
-      SELECT a.v, run, seq, coalesce(c, 0) AS rows_collected, error,
+      SELECT a.v, a.run, seq, coalesce(c, 0) AS rows_collected, error,
              CASE WHEN error LIKE '%quota%' THEN 'quota_exceeded' WHEN error LIKE '%Disabled%' THEN 'comments_disabled'
                   WHEN error IS NOT NULL THEN 'error' WHEN coalesce(c, 0) > 0 THEN 'completed' ELSE 'no_comments' END AS status
-      FROM attempted a LEFT JOIN errors e ON a.v = e.v LEFT JOIN n ON a.v = n.v),
+      FROM attempted a LEFT JOIN errors e ON a.v = e.v AND a.run = e.run LEFT JOIN n ON a.v = n.v AND a.run = n.run),
     ends AS (SELECT run, min(seq) AS last FROM outcome WHERE status = 'quota_exceeded' GROUP BY run)
-    SELECT 'v' || v AS video_id, status, rows_collected, CASE WHEN error IS NOT NULL THEN 'HttpError' END AS error_type,
+    SELECT {RUN.replace("run AS", "o.run AS")} AS run_id, 'v' || v AS video_id, status, rows_collected, CASE WHEN error IS NOT NULL THEN 'HttpError' END AS error_type,
            error AS error_message, {CAPTURED} AS captured_at
     FROM outcome o LEFT JOIN ends ON o.run = ends.run WHERE last IS NULL OR seq <= last"""
+
+ORACLE["page_accounting"] = """SELECT 'r' || year(o_orderdate) AS run_id, count(*) AS pages,
+           count(*) FILTER (err IS NULL AND o_orderstatus = 'O') AS pages_read, count(*) FILTER (err IS NULL AND o_orderstatus = 'F') AS pages_empty,
+           count(*) FILTER (err = 'quota') AS pages_quota, count(*) FILTER (err = 'other') AS pages_failed,
+           count(*) FILTER (err IS NULL AND o_orderstatus = 'P') AS pages_unreadable
+    FROM (SELECT *, CASE o_orderpriority WHEN '1-URGENT' THEN 'quota' WHEN '5-LOW' THEN 'other' END AS err FROM orders) GROUP BY 1"""
+ORACLE["versions_and_reruns"] = """SELECT c_custkey, c_mktsegment, 'r10' AS version, true AS refused FROM customer"""

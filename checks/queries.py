@@ -241,12 +241,38 @@ def _flawed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFra
 @query
 def comments_until_failure(spark: SparkSession, sf: str) -> DataFrame:
     _, _, rows = _flawed(spark, sf)
-    return rows.select("comment_id", "video_id", "thread_id", "parent_comment_id", "is_reply", "text")
+    return rows.select(F.col("_run_id").alias("run_id"), "comment_id", "video_id", "thread_id", "parent_comment_id", "is_reply", "text")
+
+
+@query
+def page_accounting(spark: SparkSession, sf: str) -> DataFrame:
+    """Search pages made of orders: one in five failed, some were cut short."""
+    landed = st.table(spark, sf, "orders").selectExpr(
+        "concat('r', year(o_orderdate)) as run_id",
+        """case o_orderpriority when '1-URGENT' then 'HttpError 403 quotaExceeded' when '5-LOW' then 'HttpError 500 backendError' end as error""",
+        """case o_orderstatus when 'O' then concat('{"items": [{"id": {"videoId": "', o_custkey, '"}}]}')
+             when 'F' then '{"items": []}' else '{"items": [{"id": {"vid' end as response""")
+    return pages.page_accounting(landed, schemas.SEARCH_RESPONSE)
+
+
+@query
+def versions_and_reruns(spark: SparkSession, sf: str) -> DataFrame:
+    """A table written as r9, then as r10, then once more as r10, which is refused."""
+    path = f"{scratch_path(spark, 'versions')}/customer"
+    rows = st.table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    refused = []
+    for version, part in (("r9", rows.where("c_acctbal > 0")), ("r10", rows), ("r10", rows.where("c_acctbal > 0"))):
+        try:
+            tables.write_table(part.withColumn("version", F.lit(version)), path, version)
+        except ValueError as error:
+            refused.append(str(error))
+    stored = tables.read_table(spark, path, rows.schema)
+    return stored.withColumn("refused", F.lit(len(refused) == 1))
 
 
 @query
 def comment_run_outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    return comment_outcomes(*_flawed(spark, sf), st.CAPTURED).drop("_run_id", "_seq")
+    return comment_outcomes(*_flawed(spark, sf), st.CAPTURED).withColumnRenamed("_run_id", "run_id").drop("_seq")
 
 
 @query

@@ -239,11 +239,20 @@ def reply_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+FLAWED_KEYS = {
+    "run_id": "concat('r', lpad(cast(seq div 100 * 2 + seq div 4 % 2 as string), 12, '0'))",
+    "video_id": "concat('v', seq div 8)",
+}
+
+
 def flawed_thread_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """The thread pages, a hundred documents to a run, where toxic labels stand for failed calls."""
+    """Thread pages where toxic labels stand for failed calls.
+
+    A video has eight documents in two runs; a run lands two pages of it, each twice, so a failure may be followed by a retry."""
     labels = table(spark, sf, "labels").selectExpr("doc_id as seq", "quality", "toxic")
     return thread_pages(spark, sf).join(labels, "seq", "left").withColumns({
-        "run_id": F.expr("concat('r', lpad(cast(seq div 100 as string), 12, '0'))"),
+        **{name: F.expr(e) for name, e in FLAWED_KEYS.items()},
+        "page_number": F.expr("seq div 2"),
         "error": F.expr("""case when toxic = 1 and quality = 0 then 'HttpError 403 quotaExceeded'
                                 when toxic = 1 then 'HttpError 403 commentsDisabled' end"""),
     }).drop("quality", "toxic")
@@ -254,7 +263,7 @@ def flawed_reply_pages(spark: SparkSession, sf: str) -> DataFrame:
     healthy = flawed_thread_pages(spark, sf).where("error is null").select("seq")
     pages = reply_pages(spark, sf).join(healthy, "seq", "left_semi")
     return pages.withColumns({
-        "run_id": F.expr("concat('r', lpad(cast(seq div 100 as string), 12, '0'))"),
+        **{name: F.expr(e) for name, e in FLAWED_KEYS.items()},
         "error": F.expr("""if(page_number = 2 and size(from_json(response, 'items array<string>').items) >= 16,
                            'HttpError 500 backendError', null)"""),
     })

@@ -14,6 +14,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpus_engine.operators.sizing import settled_side
+
 ARRIVAL = ("_run_id", "_seq")
 
 
@@ -86,9 +88,10 @@ def cut_at_first(
 ) -> DataFrame:
     """Rows of each run up to the first one where ``stop`` holds, with or without that row.
 
-    The cut is a grouped minimum joined back, so a long run is never gathered in one task.
+    The cuts, one narrow row for each run that has one, are worked out and counted when the frame is
+    built, and broadcast while they are few; so rows of a run are neither gathered nor shuffled by it.
     """
-    cuts = df.where(stop).groupBy(run_key).agg(F.min(seq).alias("_cut"))
+    cuts = settled_side(df.where(stop).groupBy(run_key).agg(F.min(seq).alias("_cut")))
     joined = df.join(cuts, run_key, "left")
     before = (F.col(seq) <= F.col("_cut")) if inclusive else (F.col(seq) < F.col("_cut"))
     return joined.where(F.col("_cut").isNull() | before).select(*df.columns)

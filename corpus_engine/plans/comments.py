@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpus_engine.functions.status import comment_outcome
 from corpus_engine.operators.ordering import ARRIVAL, cut_at_first
+from corpus_engine.sources.pages import failed_reply_pages, failed_thread_pages
 
 
 def comment_statuses(
@@ -15,10 +16,12 @@ def comment_statuses(
     """Outcome of every attempted video.
 
     ``attempts`` holds ``video_id``, ``error_type`` and ``error_message`` (null without error) and
-    the arrival columns; rows collected before an error still count.
+    the arrival columns; rows collected before an error still count. Where comments tell their run, an
+    attempt counts those of its own run only.
     """
-    collected = comments.groupBy("video_id").agg(F.count(F.lit(1)).alias("rows_collected"))
-    joined = attempts.join(collected, "video_id", "left").withColumn(
+    attempt = [c for c in ("_run_id", "video_id") if c in comments.columns]
+    collected = comments.groupBy(*attempt).agg(F.count(F.lit(1)).alias("rows_collected"))
+    joined = attempts.join(collected, attempt, "left").withColumn(
         "rows_collected", F.coalesce("rows_collected", F.lit(0)))
     return joined.select(
         "video_id",
@@ -37,10 +40,13 @@ def cut_statuses_at_quota(statuses: DataFrame, run_key: str = "_run_id", seq: st
 
 
 def thread_attempts(attempted: DataFrame, threads: DataFrame, replies: DataFrame) -> DataFrame:
-    """Attempted videos with the first error among their landed thread and reply pages."""
-    failed = threads.select("video_id", "seq", "error").unionByName(
-        replies.select("video_id", "seq", "error")).where(F.col("error").isNotNull())
+    """Attempted videos of each run with the first error among their thread and reply pages of that run.
+
+    A failed page that landed again and could be read is no error.
+    """
+    parts = ["run_id", "video_id", "seq", "error"]
+    failed = failed_thread_pages(threads).select(*parts).unionByName(failed_reply_pages(replies).select(*parts))
     first = F.min(F.struct("seq", "error")).alias("_first")
-    errors = failed.groupBy("video_id").agg(first).select(
-        "video_id", F.lit("HttpError").alias("error_type"), F.col("_first.error").alias("error_message"))
-    return attempted.join(errors, "video_id", "left")
+    errors = failed.groupBy(F.col("run_id").alias("_run_id"), "video_id").agg(first).select(
+        "_run_id", "video_id", F.lit("HttpError").alias("error_type"), F.col("_first.error").alias("error_message"))
+    return attempted.join(errors, ["_run_id", "video_id"], "left")

@@ -60,7 +60,7 @@ def channel_rows(todo: DataFrame, pages: DataFrame, captured_at: str) -> DataFra
 
 def transcript_tables(resolved: DataFrame, captured_at: str) -> dict[str, DataFrame]:
     """Transcript rows and segments of a resolved cascade, one row per key and run."""
-    stamp = {"_run_id": F.lit(None).cast("string"), "_seq": F.lit(0).cast("bigint")}
+    stamp = {"_run_id": F.lit(None).cast("string"), "_seq": F.lit(None).cast(schemas.SEQ)}
     return {
         "transcripts": transcript_rows(resolved, F.lit(captured_at)).withColumns(stamp),
         "transcript_segments": transcript_segments(resolved).withColumns(stamp),
@@ -70,13 +70,12 @@ def transcript_tables(resolved: DataFrame, captured_at: str) -> dict[str, DataFr
 def comment_outcomes(
     threads: DataFrame, replies: DataFrame, rows: DataFrame, captured_at: str, stop_on_quota: bool = True
 ) -> DataFrame:
-    """Outcomes of the videos whose thread pages landed; ``rows`` are those pages' comments.
+    """Outcomes of the videos whose thread pages landed, one for each run that tried; ``rows`` are those pages' comments.
 
     With ``stop_on_quota`` a run ends with its first quota failure: later videos have no outcome,
     and their comments are not kept.
     """
-    attempted = threads.groupBy("video_id").agg(
-        F.max("run_id").alias("_run_id"), F.min("seq").alias("_seq"))
+    attempted = threads.groupBy(F.col("run_id").alias("_run_id"), "video_id").agg(F.min("seq").alias("_seq"))
     outcome = comment_statuses(thread_attempts(attempted, threads, replies), rows, F.lit(captured_at))
     return cut_statuses_at_quota(outcome) if stop_on_quota else outcome
 

@@ -22,8 +22,9 @@ from corpus_engine.plans.transcripts import resolve_transcripts
 from corpus_engine.session import scratch_path
 from corpus_engine.sources import tables
 from corpus_engine.sources.captions import read_subtitle_files
-from corpus_engine.sources.pages import flatten_comment_threads, flatten_search_pages, read_landing
+from corpus_engine.sources.pages import flatten_comment_threads, flatten_search_pages, page_accounting, read_landing
 
+# Stage names, and below the options of the study format with their defaults.
 STAGES = ["discovery", "videos", "channels", "transcripts", "comments"]
 
 LANDING = {
@@ -83,7 +84,7 @@ class Study:
     def read(self, table: str) -> DataFrame:
         schema = T.StructType([
             *schemas.TABLES[table][0].fields,
-            T.StructField("_run_id", T.StringType()), T.StructField("_seq", T.LongType())])
+            T.StructField("_run_id", T.StringType()), T.StructField("_seq", schemas.SEQ)])
         return tables.read_table(self.spark, self.path(table), schema)
 
     def publish(self, df: DataFrame, table: str, version: str, formats: Sequence[str]) -> DataFrame:
@@ -140,10 +141,13 @@ def run_study(
         pages = study.landed(landing, "search")
         new = arriving(flatten_search_pages(
             pages, F.lit(stamp), opts.max_pages_per_query, opts.stop_on_quota), "search_hits")
-        summary["discovery"] = metrics.discovery_metrics(new, publish(new, "search_hits"))
+        told = page_accounting(pages, schemas.SEARCH_RESPONSE).agg(*[
+            F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pages_quota", "pages_failed", "pages_unreadable")])
+        found = metrics.discovery_metrics(new, publish(new, "search_hits"))
+        summary["discovery"] = found.withColumn("_told", told.select(F.struct(*told.columns)).scalar()).select(*found.columns, "_told.*")
     hits = study.read("search_hits")
     if hits.isEmpty():
-        raise RuntimeError("no search hits stored; run the discovery stage first")
+        raise RuntimeError(f"project {project} has no hits to work on; include discovery in the stages")
 
     if "videos" in opts.stages:
         stored = study.read("videos")
@@ -155,7 +159,7 @@ def run_study(
         summary["videos"] = metrics.row_metrics(todo, new, videos)
     videos = study.read("videos")
     if videos.isEmpty():
-        raise RuntimeError("no videos stored; run the videos stage first")
+        raise RuntimeError(f"project {project} has no videos to work on; include videos in the stages")
 
     if "channels" in opts.stages:
         todo = study.settle(stages.pending_channels(videos, study.read("channels"), opts.resume), "todo")
@@ -187,8 +191,11 @@ def run_study(
             threads, replies, F.lit(stamp), opts.max_comments_per_video, opts.include_replies), "comments")
         outcome = study.settle(stages.comment_outcomes(
             threads, replies, rows, stamp, opts.stop_on_quota), "outcome")
-        new = arriving(stages.wanted(rows, outcome, "video_id"), "comments")
-        publish(arriving(outcome, "comments_status"), "comments_status")
+        attempt = ["_run_id", "video_id"]
+        new = arriving(rows.join(outcome.select(*attempt), attempt, "left_semi"), "comments")
+        ranked = outcome.withColumn("_seq", F.struct(
+            F.col("_seq").alias("page"), F.lit(0).alias("kind"), F.lit(0).alias("pos")))
+        publish(arriving(ranked, "comments_status"), "comments_status")
         summary["comments"] = metrics.row_metrics(todo, new, publish(new, "comments"))
 
     outputs = {"root": study.root, **{

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpus_engine import schemas
-from corpus_engine.functions.text import language_candidates, language_in_name
+from corpus_engine.functions.text import language_choices, language_in_name
 from corpus_engine.functions.values import last_chars
 from corpus_engine.operators.ordering import keep_first
 from corpus_engine.sources.captions import (
@@ -44,6 +44,13 @@ def _fixed(error: tuple[str, str], *args: str) -> Column:
     return _error(F.lit(error[0]), F.lit(error[1].format(*args)))
 
 
+def _listed(message: str, names: Column) -> Column:
+    """The message with the names, quoted and in brackets, in its gap."""
+    before, after = message.split("{}")
+    quoted = F.transform(names, lambda n: F.concat(F.lit("'"), n, F.lit("'")))
+    return F.concat(F.lit(f"{before}["), F.array_join(quoted, ", "), F.lit(f"]{after}"))
+
+
 def resolve_transcripts(
     attempted: DataFrame,
     tracks: DataFrame,
@@ -65,7 +72,7 @@ def resolve_transcripts(
     rows = rows.withColumn("track_error", F.when(
         F.col("track_text").isNull(),
         F.when(F.col("has_track"), _fixed(EMPTY_TRACK))
-        .otherwise(_fixed(NO_TRACK, language_candidates(languages)))))
+        .otherwise(_error(F.lit(NO_TRACK[0]), _listed(NO_TRACK[1], language_choices(languages))))))
     open_case = F.col("track_text").isNull()
 
     if subtitles is not None:

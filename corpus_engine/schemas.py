@@ -1,9 +1,8 @@
 """Column contracts of the published tables and of the raw response pages.
 
 Every table also carries ``_run_id`` and ``_seq``: rows have no physical order in Spark, so the
-arrival order that "last wins" and "first seen" depend on is data. ``_seq`` may be any orderable
-type (a long from the landing reader, a struct elsewhere) and is therefore not part of the fixed
-schemas.
+arrival order that "last wins" and "first seen" depend on is data. In published tables ``_seq`` is
+``SEQ``; elsewhere it may be any orderable type, and it is not part of the fixed schemas.
 """
 
 from __future__ import annotations
@@ -18,12 +17,12 @@ ERRORS = T.MapType(S, ERROR)
 THUMB = T.MapType(S, S)
 
 
-def fields(**cols: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, dtype) for name, dtype in cols.items()])
+# Arrival within a run: the landed page, whether it is a reply page, and the item's place on it.
+SEQ = T.StructType([T.StructField("page", L), T.StructField("kind", T.IntegerType()), T.StructField("pos", T.IntegerType())])
 
 
-def names(schema: T.StructType) -> list[str]:
-    return schema.fieldNames()
+def fields(**cols: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in cols.items()])
 
 
 # --- published and state tables -------------------------------------------------------------

@@ -13,9 +13,9 @@ from corpus_engine.functions.text import (
     decode_file,
     joined_text,
     json3_text,
-    language_candidates,
+    language_choices,
     language_in_name,
-    language_pattern,
+    speaks_one_of,
 )
 from corpus_engine.functions.values import present, text_array
 from corpus_engine.operators.ordering import keep_first
@@ -39,7 +39,7 @@ def pick_caption(
     Manual tracks in a wanted language come first, then generated ones, each by language priority
     and list order; otherwise, if allowed, any track, manual before generated.
     """
-    wanted = text_array(language_candidates(languages))
+    wanted = language_choices(languages)
     manual = ~F.coalesce("is_generated", F.lit(False))
     priority = F.coalesce(F.array_position(wanted, F.col("language")), F.lit(0))  # 0: not wanted
     tier = F.when((priority > 0) & manual, 1).when(priority > 0, 2).when(manual, 3).otherwise(4)
@@ -114,7 +114,7 @@ def choose_subtitle(files: DataFrame, languages: Sequence[str]) -> DataFrame:
         "format": F.lower(F.substring_index("file_name", ".", -1)),
     })
     eligible = named.where(
-        F.col("format").isin(SUBTITLE_FORMATS) & F.col("file_language").rlike(language_pattern(languages)))
+        F.col("format").isin(SUBTITLE_FORMATS) & speaks_one_of(F.col("file_language"), languages))
     ranked = eligible.withColumn("_format", F.array_position(text_array(SUBTITLE_FORMATS), F.col("format")))
     return keep_first(ranked, ["video_id"], ["_format", "file_name"]).drop("_format", "file_language")
 

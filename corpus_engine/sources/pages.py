@@ -6,7 +6,7 @@ or the struct that ``spark.read.schema(...).json`` makes of it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,10 +26,8 @@ from corpus_engine.functions.values import (
 )
 from corpus_engine.operators.ordering import cut_at_first
 from corpus_engine.operators.positions import preceding_total
-from corpus_engine.operators.ranking import top_n_per_group
 from corpus_engine.operators.sizing import settled_side
-
-ITEM_BITS = 20  # room for a page's items below the page's own sequence number
+from corpus_engine.sources.tables import staged
 
 
 def read_landing(spark: SparkSession, path: str, envelope: T.StructType) -> DataFrame:
@@ -43,8 +41,9 @@ def _parsed(pages: DataFrame, schema: T.StructType) -> DataFrame:
     return pages.withColumn("items", F.col("response.items")).drop("response")
 
 
-def _item_seq(pos: str) -> Column:
-    return F.shiftleft(F.col("seq"), ITEM_BITS) + F.col(pos)
+def _item_seq(pos: str, reply: bool = False) -> Column:
+    """Arrival of an item, see ``schemas.SEQ``: no number is too large for its place."""
+    return F.struct(F.col("seq").cast("bigint").alias("page"), F.lit(int(reply)).alias("kind"), F.col(pos).cast("int").alias("pos"))
 
 
 def flatten_search_pages(
@@ -212,10 +211,33 @@ def _comment_columns(comment: str, is_reply: bool, captured_at: Column) -> list[
         F.col("total_reply_count"),
         captured_at.alias("captured_at"),
         F.col("run_id").alias("_run_id"),
-        _item_seq("_pos").alias("_seq"),
+        _item_seq("_pos", is_reply).alias("_seq"),
     ]
 
 
+def _unlifted(failed: DataFrame, pages: DataFrame, keys: list[str]) -> DataFrame:
+    """Failed pages that were not read later in the run; a retry that succeeded lifts a failure."""
+    read = pages.where(F.col("error").isNull()).groupBy(*keys).agg(F.max("seq").alias("_read"))
+    return failed.join(read, keys, "left").where(F.col("_read").isNull() | (F.col("_read") <= F.col("seq"))).drop("_read")
+
+
+def _preceding_in_page(keys: list[str]) -> Window:
+    """The rows before a row on its own page, which bounds the window."""
+    return Window.partitionBy(*keys).orderBy("_pos", "seq").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def failed_thread_pages(threads: DataFrame) -> DataFrame:
+    """Thread pages that failed for good."""
+    keys = ["run_id", "video_id", "page_number"]
+    return _unlifted(threads.where(F.col("error").isNotNull()), threads, keys)
+
+
+def failed_reply_pages(replies: DataFrame) -> DataFrame:
+    """Reply pages that failed for good."""
+    keys = ["run_id", "video_id", "parent_id", "page_number"]
+    return _unlifted(replies.where(F.col("error").isNotNull()), replies, keys)
+
+
 def flatten_comment_threads(
     threads: DataFrame,
     replies: DataFrame,
@@ -225,52 +247,82 @@ def flatten_comment_threads(
 ) -> DataFrame:
     """Comments of each video in reading order (comment, its replies, next comment …), cut at the cap.
 
-    Replies are joined to the narrow places of top comments within the cap: a top comment beyond it
-    cannot come back, so its replies never travel. A failed reply page ends its video: the comment it
-    belongs to is the last row, and replies of that comment read before the failure are not kept.
+    A failed thread page ends its video before that page. A failed reply page ends it as well: the
+    comment it belongs to is the last row, and its replies read before the failure are not kept.
+
+    Pages are decoded once, into written rows. Places in reading order are sums over narrow rows: of the
+    items per page, and of the rows before on a page; the cap is a filter on the place, whatever its
+    size, and texts travel once, keyed by page. Building the frame runs the jobs that write the decoded rows and
+    count the cuts.
     """
     if max_per_video <= 0:
         raise ValueError("max_per_video must be positive")
     video = ["run_id", "video_id"]
+    spark = threads.sparkSession
     tops = _parsed(threads.where(F.col("error").isNull()), schemas.THREAD_RESPONSE).select(
         "run_id", "seq", "video_id", "page_number", F.posexplode("items").alias("_pos", "item"))
-    thread_place = F.struct(F.col("page_number").alias("page"), F.col("_pos").alias("pos"))
-    none = F.lit(None).cast("string")
-    tops = tops.select(
-        "*",
-        F.col("item.id").alias("thread_id"),
-        none.alias("parent_comment_id"),
-        F.coalesce(safe_int(F.col("item.snippet.totalReplyCount")), F.lit(0)).alias("total_reply_count"),
-        thread_place.alias("_thread"),
-        F.lit(None).cast("struct<page:bigint,pos:int>").alias("_reply"),
-    )
-    tops = tops.select(
-        *_comment_columns("item.snippet.topLevelComment", False, captured_at), *video[:1], "_thread", "_reply")
-    reading_order = [F.col("_thread"), F.col("_reply").asc_nulls_first()]
+    tops = staged(tops, "threads")
+    narrow = tops.select(
+        "run_id", "seq", "video_id", "page_number", "_pos", F.col("item.snippet.topLevelComment.id").alias("parent_id"),
+        F.coalesce(safe_int(F.col("item.snippet.totalReplyCount")), F.lit(0)).alias("total_reply_count"))
+    stops = settled_side(failed_thread_pages(threads).groupBy(*video).agg(F.min("page_number").alias("_stop")))
+    narrow = narrow.join(stops, video, "left").where(F.col("_stop").isNull() | (F.col("page_number") < F.col("_stop")))
+    answered = (F.col("total_reply_count") > 0) & present(F.col("parent_id"))
+    if include_replies:
+        answers = _parsed(replies.where(F.col("error").isNull()), schemas.REPLY_RESPONSE).select(
+            "run_id", "seq", "video_id", "parent_id", "page_number", F.posexplode("items").alias("_pos", "item"))
+        answers = staged(answers, "replies")
+        parent = [*video, "parent_id"]
+        sizes = answers.groupBy(*parent, "page_number").agg(F.count(F.lit(1)).alias("_n"))
+        totals = sizes.groupBy(*parent).agg(F.sum("_n").alias("_replies"))
+        narrow = narrow.join(totals, parent, "left").withColumn(
+            "_rows", 1 + F.when(answered, F.coalesce("_replies", F.lit(0))).otherwise(0))
+    else:
+        narrow = narrow.withColumn("_rows", F.lit(1).cast("bigint"))
+
+    page = [*video, "page_number"]
+    before = preceding_total(narrow.groupBy(*page).agg(F.sum("_rows").alias("_n")), video, "page_number", "_n", "_before")
+    within = F.coalesce(F.sum("_rows").over(_preceding_in_page(page)), F.lit(0))
+    places = narrow.withColumn("_within", within).join(before.select(*page, "_before"), page).withColumn(
+        "_place", F.col("_before") + F.col("_within")).where(F.col("_place") < max_per_video)
+    places = staged(places.select(*page, "seq", "_pos", "parent_id", "total_reply_count", "_place"), "places")
+    if include_replies:
+        ends = failed_reply_pages(replies).select(*parent).distinct().join(places.where(answered), parent)
+        ends = settled_side(ends.groupBy(*video).agg(F.min("_place").alias("_end")))
+        places = places.join(ends, video, "left").where(F.col("_end").isNull() | (F.col("_place") <= F.col("_end")))
+
+    none = F.lit(None)
+    own = [*page, "seq", "_pos"]
+    rows = tops.join(places.select(*own, "total_reply_count"), own).select(
+        "*", F.col("item.id").alias("thread_id"), none.cast("string").alias("parent_comment_id"),
+    ).select(*_comment_columns("item.snippet.topLevelComment", False, captured_at))
     if not include_replies:
-        return top_n_per_group(tops, video, reading_order, max_per_video).drop("run_id", "_thread", "_reply")
-
-    places = tops.select(*video, F.col("comment_id").alias("parent_id"), "thread_id", "total_reply_count", "_thread")
-    answered = top_n_per_group(places, video, [F.col("_thread")], max_per_video).where(
-        (F.col("total_reply_count") > 0) & present(F.col("parent_id"))).drop("total_reply_count")
-    answers = _parsed(replies.where(F.col("error").isNull()), schemas.REPLY_RESPONSE).select(
-        "run_id", "seq", "video_id", "parent_id", "page_number",
-        F.posexplode("items").alias("_pos", "item"))
-    answers = answers.join(answered, [*video, "parent_id"]).select(
-        "*",
-        F.col("parent_id").alias("parent_comment_id"),
-        F.lit(None).cast("bigint").alias("total_reply_count"),
-        F.struct(F.col("page_number").alias("page"), F.col("_pos").alias("pos")).alias("_reply"),
-    )
-    answers = answers.select(
-        *_comment_columns("item", True, captured_at), *video[:1], "_thread", "_reply")
-    rows = tops.unionByName(answers)
-
-    failed = replies.where(F.col("error").isNotNull()).select(*video, "parent_id").distinct()
-    if not failed.isEmpty():
-        cuts = failed.join(answered, [*video, "parent_id"]).groupBy(*video).agg(F.min("_thread").alias("_cut"))
-        reached = F.col("_thread") < F.col("_cut")
-        answered_last = (F.col("_thread") == F.col("_cut")) & ~F.col("is_reply")
-        rows = rows.join(settled_side(cuts), video, "left").where(
-            F.col("_cut").isNull() | reached | answered_last).drop("_cut")
-    return top_n_per_group(rows, video, reading_order, max_per_video).drop("run_id", "_thread", "_reply")
+        return rows
+
+    # The comment at which a failure ends the video keeps none of its replies.
+    asked = places.where(answered & (F.col("_end").isNull() | (F.col("_place") < F.col("_end"))))
+    asked = asked.join(tops.select(*own, F.col("item.id").alias("thread_id")), own).select(*parent, "thread_id", "_place")
+    earlier = preceding_total(sizes, parent, "page_number", "_n", "_before")
+    reply_page = [*parent, "page_number"]
+    spots = answers.select(*reply_page, "seq", "_pos").withColumn(
+        "_within", F.count(F.lit(1)).over(_preceding_in_page(reply_page))).join(earlier.select(*reply_page, "_before"), reply_page)
+    spots = spots.join(asked, parent).where(F.col("_place") + 1 + F.col("_before") + F.col("_within") < max_per_video)
+    spot = [*reply_page, "seq", "_pos"]
+    answers = answers.join(spots.select(*spot, "thread_id"), spot).select(
+        "*", F.col("parent_id").alias("parent_comment_id"), none.cast("bigint").alias("total_reply_count"))
+    return rows.unionByName(answers.select(*_comment_columns("item", True, captured_at)))
+
+
+def page_accounting(pages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Landed pages of each run by outcome, one column each: read, empty, quota, failed, unreadable.
+
+    A page counts as unreadable when it has no error but no list of items either, as when its text was cut short.
+    """
+    found = _parsed(pages, schema)
+    error, items = F.col("error"), F.col("items")
+    outcome = (
+        F.when(is_quota_error(error), "quota").when(error.isNotNull(), "failed")
+        .when(items.isNull(), "unreadable").when(F.size(items) == 0, "empty").otherwise("read"))
+    kinds = ["read", "empty", "quota", "failed", "unreadable"]
+    return found.select("run_id", outcome.alias("_outcome")).groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("pages"), *[F.count_if(F.col("_outcome") == k).alias(f"pages_{k}") for k in kinds])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from corpus_engine.session import scratch_path
 FORMATS = ("parquet", "csv")
 BOM = "\ufeff"
 BUCKET = "_bucket"
+COMPLETE = "_complete"
+DEFAULT_BUCKETS = 64
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -26,18 +29,54 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
-def newest_version(spark: SparkSession, path: str) -> str | None:
-    """The newest completely written version folder below ``path``."""
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, str, bool]]:
+    """Number, label, folder and completeness of every version below ``path``, by number."""
     if not exists(spark, path):
-        return None
+        return []
     fs, hadoop = _fs_path(spark, path)
-    versions = sorted(
-        s.getPath().toString() for s in fs.listStatus(hadoop)
-        if s.getPath().getName().startswith("version="))
-    complete = [v for v in versions if exists(spark, f"{v}/_SUCCESS")]
+    found = []
+    for status in fs.listStatus(hadoop):
+        number, dash, label = status.getPath().getName().removeprefix("version=").partition("-")
+        if dash and number.isdigit():
+            folder = status.getPath().toString()
+            found.append((int(number), label, folder, exists(spark, f"{folder}/{COMPLETE}")))
+    return sorted(found)
+
+
+def newest_version(spark: SparkSession, path: str) -> str | None:
+    """The completely written version folder below ``path`` with the highest number."""
+    complete = [folder for _, _, folder, done in _versions(spark, path) if done]
     return complete[-1] if complete else None
 
 
+def _new_version(spark: SparkSession, path: str, label: str) -> str:
+    """The folder of the next version; a label that is already complete is refused."""
+    versions = _versions(spark, path)
+    if label in (known for _, known, _, done in versions if done):
+        raise ValueError(f"version {label!r} of {path} is already written")
+    number = 1 + max((n for n, *_ in versions), default=0)
+    return f"{path}/version={number:09d}-{label}"
+
+
+def _completed(spark: SparkSession, folder: str) -> None:
+    """Marks a version as complete, with a file of our own: not every committer leaves one."""
+    fs, mark = _fs_path(spark, f"{folder}/{COMPLETE}")
+    fs.create(mark, True).close()
+
+
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 1) -> int:
+    """Deletes all but the newest ``keep`` complete versions, and what was never completed before them."""
+    dropped = 0
+    for kind in FORMATS:
+        versions = _versions(spark, f"{path}.{kind}")
+        kept = [n for n, _, _, done in versions if done][-keep:]
+        for number, _, folder, _ in versions:
+            if kept and number < kept[0]:
+                fs, hadoop = _fs_path(spark, folder)
+                dropped += bool(fs.delete(hadoop, True))
+    return dropped
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, merged: bool = False
 ) -> DataFrame:
@@ -63,7 +102,7 @@ def write_table(
 ) -> None:
     """Writes a new version in every format; older versions stay, readers switch when it is complete.
 
-    A version is never written over the one being read. Parquet keeps arrays and maps; further
+    Versions are numbered in the order of writing; ``version`` is a label, and one that exists is refused. Parquet keeps arrays and maps; further
     formats are written from the finished Parquet version, so the plan runs once.
     """
     wanted = [f.lower() for f in formats]
@@ -72,11 +111,14 @@ def write_table(
         raise ValueError(f"unknown formats: {sorted(unknown)}")
     spark = df.sparkSession
     if "parquet" in wanted:
-        target = f"{path}.parquet/version={version}"
-        df.write.mode("overwrite").parquet(target)
+        target = _new_version(spark, f"{path}.parquet", version)
+        df.write.parquet(target)
+        _completed(spark, target)
         df = spark.read.schema(df.schema).parquet(target)
     if "csv" in wanted:
-        write_csv(df, f"{path}.csv/version={version}")
+        target = _new_version(spark, f"{path}.csv", version)
+        write_csv(df, target)
+        _completed(spark, target)
 
 
 def merge_into_table(
@@ -84,10 +126,12 @@ def merge_into_table(
     path: str,
     keys: Sequence[str],
     order_by: Sequence[str] = ARRIVAL,
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> None:
     """Upserts into a bucketed table and rewrites only the buckets that receive rows.
 
+    The number of buckets is kept with the table; a later call with another number is refused.
+
     The merged buckets are staged in the shared folder first, so what is overwritten is never what
     is being read. A note names the staged buckets until they are in place: should the driver die in
     between, the next merge first puts them in place again.
@@ -95,40 +139,66 @@ def merge_into_table(
     spark = new.sparkSession
     target = f"{path}.merged"
     _finish_merge(spark, path)
+    buckets = _bucket_count(spark, path, buckets)
     bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-    arriving = _staged(new.withColumn(BUCKET, bucket), "arriving")
+    arriving = staged(new.withColumn(BUCKET, bucket), "arriving")
     if exists(spark, target):
         touched = [r[0] for r in arriving.select(BUCKET).distinct().collect()]  # at most `buckets` ints
         current = spark.read.parquet(target).where(F.col(BUCKET).isin(touched))
         merged = upsert(current, arriving, [BUCKET, *keys], order_by)
     else:
         merged = keep_last(arriving, [BUCKET, *keys], order_by)
-    staged = scratch_path(spark, "merged")
-    merged.write.parquet(staged)
-    fs, note = _fs_path(spark, f"{path}.pending")
-    out = fs.create(note, True)
-    out.writeUTF(staged)
-    out.close()
+    aside = scratch_path(spark, "merged")
+    merged.write.parquet(aside)
+    _note(spark, f"{path}.pending", aside)
     _finish_merge(spark, path)
 
 
-def _finish_merge(spark: SparkSession, path: str) -> None:
-    """Puts noted buckets in place; doing so twice changes nothing."""
-    fs, note = _fs_path(spark, f"{path}.pending")
+def _note(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole: written aside, then renamed."""
+    fs, aside = _fs_path(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    out.writeUTF(text)
+    out.close()
+    if not fs.rename(aside, _fs_path(spark, path)[1]):
+        raise OSError(f"cannot put {path} in place")
+
+
+def _noted(spark: SparkSession, path: str) -> str | None:
+    fs, note = _fs_path(spark, path)
     if not fs.exists(note):
-        return
+        return None
     source = fs.open(note)
-    staged = source.readUTF()
+    text = source.readUTF()
     source.close()
+    return text
+
+
+def _bucket_count(spark: SparkSession, path: str, asked: int | None) -> int:
+    stored = _noted(spark, f"{path}.buckets")
+    if stored is None:
+        _note(spark, f"{path}.buckets", str(asked or DEFAULT_BUCKETS))
+        return asked or DEFAULT_BUCKETS
+    if asked not in (None, int(stored)):
+        raise ValueError(f"{path} has {stored} buckets, not {asked}")
+    return int(stored)
+
+
+def _finish_merge(spark: SparkSession, path: str) -> None:
+    """Puts noted buckets in place; doing so twice changes nothing."""
+    aside = _noted(spark, f"{path}.pending")
+    if aside is None:
+        return
+    fs, note = _fs_path(spark, f"{path}.pending")
     (
-        spark.read.parquet(staged).hint("rebalance", BUCKET)
+        spark.read.parquet(aside).hint("rebalance", BUCKET)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(f"{path}.merged")
     )
     fs.delete(note, False)
 
 
-def _staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str) -> DataFrame:
     """The frame as a finished table in the shared folder."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)

@@ -24,7 +24,7 @@ def ingest_stream(
     checkpoint: str,
     order_by: Sequence[str] = LATEST,
     files_per_batch: int = 1000,
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Starts a query that handles all files present, in batches, and then stops.
 

@@ -37,7 +37,7 @@ def test_search_positions_run_across_pages(spark):
         got = pages.flatten_search_pages(df, at(), **options)
         assert values(got, "query", "page_number", "result_position", "video_id", "thumbnail_url") == [
             ("p", 1, 1, "a", None), ("q", 1, 1, "a", None), ("q", 1, 2, "b", "m"), ("q", 2, 3, "c", None)]
-    assert got.columns == schemas.names(schemas.SEARCH_HITS) + ["_run_id", "_seq"]
+    assert got.columns == schemas.SEARCH_HITS.fieldNames() + ["_run_id", "_seq"]
     assert got.select("search_id").distinct().count() == 2
     assert pages.flatten_search_pages(df, at(), max_pages=1).where("query = 'q'").count() == 2
 
@@ -74,7 +74,7 @@ def test_videos(spark):
         {"id": None},
     ]
     got = pages.flatten_video_pages(page_frame(spark, schemas.DETAIL_ENVELOPE, [("r1", 0, {"items": items})]), at())
-    assert got.columns[:-2] == schemas.names(schemas.VIDEO_FACTS)
+    assert got.columns[:-2] == schemas.VIDEO_FACTS.fieldNames()
     assert dict(got.dtypes)["tags"] == "array<string>"
     rows = {r.video_id: r for r in got.collect()}
     v1, v2 = rows["v1"], rows["v2"]
@@ -95,7 +95,7 @@ def test_channels(spark):
               "statistics": {"subscriberCount": "5", "hiddenSubscriberCount": False},
               "contentDetails": {"relatedPlaylists": {"uploads": "UU1"}}}, {"id": "c2"}]
     got = pages.flatten_channel_pages(page_frame(spark, schemas.DETAIL_ENVELOPE, [("r1", 0, {"items": items})]), at())
-    assert got.columns[:-2] == schemas.names(schemas.CHANNELS)
+    assert got.columns[:-2] == schemas.CHANNELS.fieldNames()
     assert values(got, "channel_id", "thumbnail_url", "subscriber_count", "uploads_playlist_id", "topic_categories") == [
         ("c1", "d", 5, "UU1", []), ("c2", None, None, None, [])]
 
@@ -164,7 +164,7 @@ def test_failed_reply_page_ends_its_video(spark):
 def test_comment_columns(spark):
     threads, replies = threads_and_replies(spark)
     got = pages.flatten_comment_threads(threads, replies, at())
-    assert got.columns[:-2] == schemas.names(schemas.COMMENTS)
+    assert got.columns[:-2] == schemas.COMMENTS.fieldNames()
     rows = {r.comment_id: r for r in got.collect()}
     assert (rows["c1"].author_channel_id, rows["c2"].author_channel_id) == ("ch", None)
     assert (rows["c2"].text, rows["c1"].total_reply_count, rows["c1.1"].total_reply_count) == ("orig", 3, None)
@@ -186,3 +186,30 @@ def test_table_to_pages_and_back(spark):
     back = pages.flatten_video_pages(landed, at())
     columns = ("video_id", "channel_id", "title", "view_count", "made_for_kids", "tags")
     assert values(back, *columns) == sorted(rows)
+
+
+def test_failed_thread_page_ends_its_video_unless_it_was_read_later(spark):
+    threads, replies = threads_and_replies(spark)
+    broken = page_frame(spark, schemas.THREAD_ENVELOPE, [("r1", 3, "w", 2, "500 backendError", None), ("r1", 2, "v", 2, "500 backendError", None)])
+    more = page_frame(spark, schemas.THREAD_ENVELOPE, [("r1", 4, "w", 3, None, {"items": [thread("t5", comment("c5"), 0)]})])
+    got = pages.flatten_comment_threads(threads.unionByName(broken).unionByName(more), replies, at())
+    assert values(got.where("video_id = 'w'"), "comment_id") == [("c9",)]
+    assert {r.comment_id for r in got.where("video_id = 'v'").collect()} == set(READING_ORDER)  # its page 2 was read as well
+
+
+def test_arrival_order_has_no_largest_page(spark):
+    items = {"items": [{"id": "a"}, {"id": "b"}]}
+    df = page_frame(spark, schemas.DETAIL_ENVELOPE, [("r1", 2**62, items), ("r1", 1764600000000000, items), ("r1", 5, items)])
+    got = pages.flatten_video_pages(df, at()).orderBy("_seq").select("_seq.page", "video_id").collect()
+    assert [tuple(r) for r in got] == [(s, v) for s in (5, 1764600000000000, 2**62) for v in "ab"]
+    threads, replies = threads_and_replies(spark)
+    kinds = pages.flatten_comment_threads(threads, replies, at()).select("is_reply", "_seq.kind").distinct().collect()
+    assert {tuple(k) for k in kinds} == {(False, 0), (True, 1)}
+
+
+def test_page_accounting(spark):
+    df = spark.createDataFrame([("r1", None, '{"items": [{"id": {"videoId": "a"}}]}'), ("r1", None, '{"items": ['), ("r1", None, '{"items": []}'),
+                                ("r1", "403 quotaExceeded", None), ("r1", "500 backendError", None), ("r2", None, None)],
+                               "run_id string, error string, response string")
+    got = {r.run_id: tuple(r)[1:] for r in pages.page_accounting(df, schemas.SEARCH_RESPONSE).collect()}
+    assert got == {"r1": (5, 1, 1, 1, 1, 1), "r2": (1, 0, 0, 0, 0, 1)}

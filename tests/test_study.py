@@ -36,7 +36,8 @@ def test_two_runs_resume(spark, tmp_path):
     first, second, base = tmp_path / "in1", tmp_path / "in2", str(tmp_path / "data")
     land(first, "r1", ["a", "b", "off"], failed_captions=["b"])
     report = run_study(spark, base, "p", str(first), StudyOptions(formats=("parquet", "csv")), "r1", "2026-01-01T00:00:00Z").collect()[0]
-    assert report.stages.discovery.asDict() == {"new_rows": 3, "total_rows": 3, "unique_videos": 3}
+    assert report.stages.discovery.asDict() == {
+        "new_rows": 3, "total_rows": 3, "unique_videos": 3, "pages_quota": 0, "pages_failed": 0, "pages_unreadable": 0}
     assert report.stages.videos.asDict() == {"requested": 3, "new_rows": 3, "total_rows": 3}
     assert (report.stages.transcripts.successes, report.stages.transcripts.failures) == (2, 1)
     assert report.stages.transcripts.methods == {"youtube_transcript_api_manual": 2, "failed": 1}
@@ -47,7 +48,7 @@ def test_two_runs_resume(spark, tmp_path):
 
     study = Study(spark, base, "p")
     for table, (schema, _, _) in schemas.TABLES.items():
-        assert study.read(table).schema.fieldNames()[:len(schema)] == schemas.names(schema), table
+        assert study.read(table).schema.fieldNames()[:len(schema)] == schema.fieldNames(), table
     assert values(study.read("videos"), "video_id", "transcript_text") == [("a", "said a"), ("b", None), ("off", "said off")]
     assert values(study.read("comments_status"), "video_id", "status", "rows_collected") == [
         ("a", "completed", 2), ("b", "completed", 2), ("off", "comments_disabled", 0)]

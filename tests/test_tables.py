@@ -57,12 +57,37 @@ def test_versions(spark, tmp_path):
     # the version being read can feed the next one
     tables.write_table(tables.read_table(spark, path, SCHEMA).withColumn("n", F.lit(9).cast("bigint")), path, "3")
     assert values(tables.read_table(spark, path, SCHEMA), "n") == [(9,)]
-    (tmp_path / "t.parquet" / "version=4").mkdir()  # not complete
+    (tmp_path / "t.parquet" / "version=000000099-4").mkdir()  # not complete
     assert values(tables.read_table(spark, path, SCHEMA), "n") == [(9,)]
     with pytest.raises(ValueError):
         tables.write_table(df, path, "5", ["xml"])
 
 
+def test_versions_count_in_the_order_of_writing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for label in ("r9", "r10", "a"):
+        tables.write_table(spark.createDataFrame([(label,)], "k string"), path, label)
+        assert values(tables.read_table(spark, path, SCHEMA), "k") == [(label,)]
+    with pytest.raises(ValueError):
+        tables.write_table(spark.createDataFrame([("again",)], "k string"), path, "r10")
+    assert values(tables.read_table(spark, path, SCHEMA), "k") == [("a",)]
+    for left in (tmp_path / "t.parquet").rglob("_SUCCESS"):
+        left.unlink()  # a committer that leaves no mark of its own
+    assert values(tables.read_table(spark, path, SCHEMA), "k") == [("a",)]
+    assert tables.drop_old_versions(spark, path) == 2
+    assert values(tables.read_table(spark, path, SCHEMA), "k") == [("a",)]
+
+
+def test_bucket_number_is_kept(spark, tmp_path):
+    path = str(tmp_path / "m")
+    rows = spark.range(20).selectExpr("cast(id as string) k", "id v", "'r1' _run_id", "id _seq")
+    tables.merge_into_table(rows, path, ["k"], buckets=16)
+    with pytest.raises(ValueError):
+        tables.merge_into_table(rows, path, ["k"], buckets=6)
+    tables.merge_into_table(rows, path, ["k"])
+    assert tables.read_table(spark, path, SCHEMA, merged=True).count() == 20
+
+
 def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
     path = str(tmp_path / "m")
     first = spark.range(200).selectExpr("cast(id as string) k", "id v", "'r1' _run_id", "id _seq")

@@ -63,7 +63,7 @@ def cascade(spark, **options):
 def test_cascade(spark):
     resolved = cascade(spark)
     got = tr.transcript_rows(resolved, at())
-    assert got.schema.fieldNames() == schemas.names(schemas.TRANSCRIPTS)
+    assert got.schema.fieldNames() == schemas.TRANSCRIPTS.fieldNames()
     rows = {r.video_id: r for r in got.collect()}
     assert set(rows) == {"t", "empty", "file", "speech", "none", "bad"}
     assert (rows["t"].transcript_method, rows["t"].transcript_text) == (cap.MANUAL, "hello you")
