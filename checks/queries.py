@@ -27,7 +27,7 @@ from corpus_engine.plans.transcripts import (
 )
 from corpus_engine.session import scratch_path
 from corpus_engine.sources import captions, pages, tables
-from corpus_engine.streaming.ingest import ingest_stream as start_ingest
+from corpus_engine.streaming.ingest import ingest_search_pages, ingested_hits
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -410,19 +410,16 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The same hits as ``flatten_search_pages``, through files and a stream of several batches."""
+    """The same hits as ``flatten_search_pages``, with the pages of a run dealt over files and stream batches."""
     root = scratch_path(spark, "ingest")
     landed = st.search_pages(spark, sf)
-    landed.repartition("run_id").write.json(f"{root}/landing")
+    landed.repartition(6, "seq").write.json(f"{root}/landing")
     n_files = len(spark.read.text(f"{root}/landing").inputFiles())
-    _, keys, _ = schemas.TABLES["search_hits"]
-    start_ingest(
-        spark, f"{root}/landing", schemas.SEARCH_ENVELOPE,
-        lambda batch: pages.flatten_search_pages(batch, captured()),
-        f"{root}/search_hits", keys, f"{root}/checkpoint",
-        files_per_batch=max(1, n_files // 2), buckets=8,
+    ingest_search_pages(
+        spark, f"{root}/landing", f"{root}/search_hits", f"{root}/checkpoint", captured(),
+        files_per_batch=max(1, n_files // 3),
     ).awaitTermination()
-    return tables.read_table(spark, f"{root}/search_hits", schemas.SEARCH_HITS, merged=True).select(*HIT_COLUMNS)
+    return ingested_hits(spark, f"{root}/search_hits").select(*HIT_COLUMNS)
 
 
 @query

@@ -46,28 +46,36 @@ def _item_seq(pos: str, reply: bool = False) -> Column:
     return F.struct(F.col("seq").cast("bigint").alias("page"), F.lit(int(reply)).alias("kind"), F.col(pos).cast("int").alias("pos"))
 
 
+def decoded_search_pages(pages: DataFrame, captured_at: Column) -> DataFrame:
+    """Search pages with their items read and those without a video id left out; ``_n`` counts the rest."""
+    return _parsed(pages, schemas.SEARCH_RESPONSE).withColumns({
+        "search_id": stable_id(*[F.col(c) for c in (
+            "theme", "query", "search_order", "published_after", "published_before")]),
+        "items": F.filter("items", lambda i: present(i["id"]["videoId"])),
+        "captured_at": captured_at,
+    }).withColumn("_n", F.coalesce(F.size("items"), F.lit(0)).cast("bigint"))
+
+
 def flatten_search_pages(
     pages: DataFrame,
     captured_at: Column,
     max_pages: int | None = None,
     stop_on_quota: bool = True,
 ) -> DataFrame:
-    """Search hits with their running position across the pages of one search.
+    """Search hits with their running position across the pages of one search, see :func:`hits_of_pages`."""
+    return hits_of_pages(decoded_search_pages(pages, captured_at), max_pages, stop_on_quota)
+
+
+def hits_of_pages(found: DataFrame, max_pages: int | None = None, stop_on_quota: bool = True) -> DataFrame:
+    """Rows of decoded search pages, in whatever batches these were decoded.
 
     Items without a video id neither appear nor count. With ``stop_on_quota`` a run ends before
-    its first quota failure; pages that failed otherwise carry no items. Where to cut and where each
-    page starts is worked out on narrow facts per page; the items travel once, keyed by page.
+    its first quota failure; pages that failed otherwise carry no items, see :func:`page_accounting`. Where to
+    cut and where each page starts is worked out on narrow facts per page; the items travel once, keyed by page.
     """
     if max_pages is not None:
-        pages = pages.where(F.col("page_number") <= max_pages)
-    found = _parsed(pages, schemas.SEARCH_RESPONSE).withColumns({
-        "search_id": stable_id(*[F.col(c) for c in (
-            "theme", "query", "search_order", "published_after", "published_before")]),
-        "items": F.filter("items", lambda i: present(i["id"]["videoId"])),
-    })
-    facts = found.select(
-        "run_id", "seq", "search_id", "page_number", "error",
-        F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("_n"))
+        found = found.where(F.col("page_number") <= max_pages)
+    facts = found.select("run_id", "seq", "search_id", "page_number", "error", "_n")
     if stop_on_quota:
         facts = cut_at_first(facts, "run_id", "seq", is_quota_error(F.col("error")), inclusive=False)
     offsets = preceding_total(
@@ -91,7 +99,7 @@ def flatten_search_pages(
         first_object_field("url", *[
             F.col(f"{snippet}.thumbnails.{size}") for size in ("high", "medium", "default")
         ]).alias("thumbnail_url"),
-        captured_at.alias("captured_at"),
+        "captured_at",
         F.col("run_id").alias("_run_id"),
         _item_seq("_pos").alias("_seq"),
     )

@@ -198,6 +198,23 @@ def _finish_merge(spark: SparkSession, path: str) -> None:
     fs.delete(note, False)
 
 
+def append_batch(df: DataFrame, path: str, batch: int) -> None:
+    """One batch of an append-only table; a batch that is repeated takes its own place again."""
+    folder = f"{path}/batch={batch:09d}"
+    df.write.mode("overwrite").parquet(folder)
+    _completed(df.sparkSession, folder)
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame | None:
+    """All complete batches of an append-only table; None before the first one."""
+    if not exists(spark, path):
+        return None
+    fs, hadoop = _fs_path(spark, path)
+    folders = [s.getPath().toString() for s in fs.listStatus(hadoop) if s.getPath().getName().startswith("batch=")]
+    complete = sorted(f for f in folders if exists(spark, f"{f}/{COMPLETE}"))
+    return spark.read.parquet(*complete) if complete else None
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The frame as a finished table in the shared folder."""
     path = scratch_path(df.sparkSession, label)
