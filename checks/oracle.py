@@ -300,12 +300,12 @@ ORACLE: dict[str, str] = {
                       ELSE CASE WHEN is_generated THEN 4 ELSE 3 END END,
           CASE language WHEN 'es' THEN 1 WHEN 'fr' THEN 2 ELSE 0 END, list_pos) = 1""",
     "assemble_transcripts": f"""WITH {DOC_LINES}
-        SELECT doc_id, {squash("string_agg(CASE WHEN length(line) < 40 THEN '' ELSE line END, ' ' ORDER BY pos)")} AS transcript_text
+        SELECT doc_id, {squash("string_agg(line, ' ' ORDER BY pos)")} AS transcript_text
         FROM lines GROUP BY doc_id""",
     "caption_segments": f"""WITH {DOC_LINES}
-        SELECT 'v' || (doc_id // 4) AS video_id, pos AS segment_index, CAST(2 * pos AS DOUBLE) AS start_seconds,
+        SELECT 'v' || (doc_id // 4) AS video_id, 2 * pos AS segment_index, CAST(2 * pos AS DOUBLE) AS start_seconds,
                CAST(2 AS DOUBLE) AS duration_seconds, line AS text, lang || '-' || doc_id AS source_method
-        FROM lines WHERE length(line) >= 40""",
+        FROM lines WHERE line <> ''""",
     "cleaned_documents": f"SELECT doc_id, {squash('text')} AS cleaned FROM documents",
     "parse_subtitles": f"""SELECT 'd' || doc_id AS video_id, 'd' || doc_id || '.' || lang || '.vtt' AS file_name, lang AS language,
                {squash('text')} AS text FROM documents""",
@@ -315,10 +315,15 @@ ORACLE: dict[str, str] = {
         SELECT video_id, CASE WHEN method = 'failed' THEN 'failed' ELSE 'success' END AS transcript_status,
                method AS transcript_method, CASE WHEN method <> 'failed' THEN lang END AS transcript_language,
                CASE WHEN method <> 'failed' THEN {squash('text')} END AS transcript_text, {CAPTURED} AS transcript_captured_at,
-               CASE WHEN method = 'failed' THEN CASE WHEN quality IS NULL THEN 'NoMatchingTranscript' ELSE 'EmptyTranscript' END END AS error_captions,
-               CASE WHEN method = 'failed' THEN CASE WHEN lang = 'fr' THEN 'EmptySubtitle' ELSE 'YtDlpSubtitleError' END END AS error_subtitles,
+               CASE WHEN method = 'failed' THEN CASE WHEN quality IS NULL AND n_chars < 1000 THEN 'TranscriptsDisabled'
+                    WHEN quality IS NULL THEN 'NoMatchingTranscript' ELSE 'EmptyTranscript' END END AS error_captions,
+               CASE WHEN method = 'failed' THEN CASE WHEN lang = 'fr' THEN 'EmptySubtitle'
+                    WHEN n_chars < 10000 THEN 'HTTPError' ELSE 'YtDlpSubtitleError' END END AS error_subtitles,
                CASE WHEN method = 'failed' THEN CASE WHEN n_chars < 200 THEN 'RuntimeError' ELSE 'AudioDownloadError' END END AS error_speech,
-               CASE WHEN method = 'failed' THEN CASE WHEN quality IS NULL
+               CASE WHEN method = 'failed' THEN CASE WHEN lang = 'fr' THEN 'Legenda baixada sem texto útil.'
+                    WHEN n_chars < 10000 THEN right(text || text || text || text, 4000) ELSE 'Nenhuma legenda encontrada.' END END AS subtitles_message,
+               CASE WHEN method = 'failed' THEN CASE WHEN n_chars < 200 THEN 'no audio' ELSE 'Falha ao baixar áudio.' END END AS speech_message,
+               CASE WHEN method = 'failed' THEN CASE WHEN quality IS NULL AND n_chars < 1000 THEN right(text, 4000) WHEN quality IS NULL
                     THEN 'Nenhuma legenda disponível nos idiomas [''en'', ''fr'', ''de-DE'', ''de''].'
                     ELSE 'Legenda encontrada sem texto útil.' END END AS captions_message
         FROM decided""",

@@ -319,19 +319,17 @@ def parse_json3(spark: SparkSession, sf: str) -> DataFrame:
 def _resolved(spark: SparkSession, sf: str) -> DataFrame:
     return resolve_transcripts(
         st.cascade_videos(spark, sf), st.cascade_tracks(spark, sf), st.subtitle_files(spark, sf),
-        st.cascade_speech(spark, sf), st.LANGUAGES)
+        st.cascade_speech(spark, sf), st.LANGUAGES, subtitle_attempts=st.subtitle_attempts(spark, sf))
 
 
 @query
 def cascade_transcripts(spark: SparkSession, sf: str) -> DataFrame:
     rows = transcript_rows(_resolved(spark, sf), captured())
-    errors = {
-        f"error_{name}": F.try_element_at("transcript_error", F.lit(strategy))["type"]
-        for name, strategy in (
-            ("captions", "youtube_transcript_api"), ("subtitles", "yt_dlp_subtitle"), ("speech", "whisper"))
-    }
-    message = F.try_element_at("transcript_error", F.lit("youtube_transcript_api"))["message"]
-    return rows.withColumns({**errors, "captions_message": message}).drop("transcript_error")
+    told = {}
+    for name, strategy in (("captions", "youtube_transcript_api"), ("subtitles", "yt_dlp_subtitle"), ("speech", "whisper")):
+        error = F.try_element_at("transcript_error", F.lit(strategy))
+        told |= {f"error_{name}": error["type"], f"{name}_message": error["message"]}
+    return rows.withColumns(told).drop("transcript_error")
 
 
 @query

@@ -310,16 +310,16 @@ def playlist_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def caption_tracks(spark: SparkSession, sf: str) -> DataFrame:
-    """Four tracks per video, one per document; short lines stand for empty pieces."""
+    """Four tracks per video, one per document; an empty piece follows each line."""
     return table(spark, sf, "documents").selectExpr(
         "doc_id",
         "concat('v', doc_id div 4) as video_id",
         "lang as language",
         "n_chars % 2 = 1 as is_generated",
         "doc_id as list_pos",
-        r"""transform(split(text, '\n'), (line, i) -> struct(
-              if(length(line) < 40, '', line) as text,
-              cast(2 * i as double) as start, cast(2 as double) as duration)) as captions""",
+        r"""flatten(transform(split(text, '\n'), (line, i) -> array(
+              struct(line as text, cast(2 * i as double) as start, cast(2 as double) as duration),
+              struct('' as text, cast(2 * i + 1 as double) as start, cast(0 as double) as duration)))) as captions""",
     )
 
 
@@ -374,7 +374,20 @@ def cascade_tracks(spark: SparkSession, sf: str) -> DataFrame:
         r"""transform(split(text, '\n'), (line, i) -> struct(
               if(quality = 1, line, '') as text,
               cast(2 * i as double) as start, cast(2 as double) as duration)) as captions""",
-    )
+        "cast(null as string) as error_type",
+        "cast(null as string) as error_message",
+    ).unionByName(table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left_anti").where("n_chars < 1000").selectExpr(
+        "concat('d', doc_id) as video_id",
+        "cast(null as string) as language", "false as is_generated", "n_chars as list_pos",
+        "cast(null as array<struct<text:string,start:double,duration:double>>) as captions",
+        "'TranscriptsDisabled' as error_type", "text as error_message"))
+
+
+def subtitle_attempts(spark: SparkSession, sf: str) -> DataFrame:
+    """Failed subtitle downloads of shorter Spanish and English texts, with the text as message."""
+    return table(spark, sf, "documents").where("n_chars < 10000").selectExpr(
+        "concat('d', doc_id) as video_id", "if(lang = 'en', 'DownloadError', 'HTTPError') as error_type",
+        "concat(text, text, text, text) as error_message")
 
 
 def cascade_speech(spark: SparkSession, sf: str) -> DataFrame:

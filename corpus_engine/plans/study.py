@@ -1,7 +1,7 @@
 """One run of a study: landed files in, new table versions and an audit report out.
 
 Landing folders below ``landing``: ``search``, ``videos``, ``channels``, ``threads``, ``replies``,
-``captions``, ``speech`` (JSON lines) and ``subtitles`` (files). A missing folder is an empty one.
+``captions``, ``speech``, ``subtitle_attempts`` (JSON lines) and ``subtitles`` (files). A missing folder is an empty one.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ LANDING = {
     "replies": schemas.landed(schemas.REPLY_ENVELOPE, schemas.REPLY_RESPONSE),
     "captions": schemas.CAPTION_ENVELOPE,
     "speech": schemas.SPEECH_ENVELOPE,
+    "subtitle_attempts": schemas.SUBTITLE_ATTEMPT,
 }
 
 
@@ -173,7 +174,8 @@ def run_study(
             todo, study.landed(landing, "captions"),
             study.landed_subtitles(landing) if opts.use_subtitles else None,
             study.landed(landing, "speech") if opts.use_speech else None,
-            opts.languages, opts.use_any_caption), "resolved")
+            opts.languages, opts.use_any_caption,
+            study.landed(landing, "subtitle_attempts") if opts.use_subtitles else None), "resolved")
         made = stages.transcript_tables(resolved, stamp)
         new = arriving(made["transcripts"], "transcripts")
         transcripts = publish(new, "transcripts")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,13 +16,14 @@ from corpus_engine.sources.captions import (
     SPEECH_PREFIX,
     SUBTITLE,
     caption_text,
-    choose_subtitle,
     flatten_caption_segments,
     pick_caption,
     speech_segments,
     speech_text,
+    subtitle_payloads,
     subtitle_text,
 )
+from corpus_engine.sources.tables import staged
 
 # Error types and messages recorded when a strategy yields nothing, by strategy.
 NO_TRACK = ("NoMatchingTranscript", "Nenhuma legenda disponível nos idiomas {}.")
@@ -51,6 +53,13 @@ def _listed(message: str, names: Column) -> Column:
     return F.concat(F.lit(f"{before}["), F.array_join(quoted, ", "), F.lit(f"]{after}"))
 
 
+def _landed_errors(attempts: DataFrame, order_by: list[str], into: str) -> DataFrame:
+    """The first error that landed for a video, its message cut to the last ``MESSAGE_LIMIT`` characters."""
+    failed = attempts.where(F.col("error_type").isNotNull())
+    error = _error(F.col("error_type"), last_chars(F.col("error_message"), MESSAGE_LIMIT))
+    return keep_first(failed, ["video_id"], [*order_by, "error_type", "error_message"]).select("video_id", error.alias(into))
+
+
 def resolve_transcripts(
     attempted: DataFrame,
     tracks: DataFrame,
@@ -58,56 +67,65 @@ def resolve_transcripts(
     speech: DataFrame | None,
     languages: Sequence[str],
     any_language: bool = True,
+    subtitle_attempts: DataFrame | None = None,
 ) -> DataFrame:
     """One row per attempted video: winning strategy, its text and the errors of those before it.
 
-    Each strategy contributes at most one row per video, so the cascade is a left join per
-    strategy on the same key. A later payload is parsed only where earlier strategies gave no text.
+    Captions and speech carry the errors of failed calls in their rows, subtitles in ``subtitle_attempts``.
+    Payloads travel only for videos that were asked for and that no earlier strategy answered: each strategy's rows are
+    written when the frame is built, and the next one is asked about those without text.
     """
-    base = attempted.select("video_id").where("video_id <> ''").distinct()
-    chosen = pick_caption(tracks, languages, any_language).select(
+    asked = attempted.select("video_id").where("video_id <> ''").distinct()
+    own = tracks.join(asked, "video_id", "left_semi")
+    chosen = pick_caption(own.where(F.col("error_type").isNull()), languages, any_language).select(
         "video_id", F.col("language").alias("track_language"), "method", "captions",
         F.lit(True).alias("has_track"))
-    rows = base.join(chosen, "video_id", "left").withColumn("track_text", caption_text())
-    rows = rows.withColumn("track_error", F.when(
+    rows = asked.join(chosen, "video_id", "left").join(
+        _landed_errors(own, ["list_pos"], "landed"), "video_id", "left").withColumn("track_text", caption_text())
+    no_track = _error(F.lit(NO_TRACK[0]), _listed(NO_TRACK[1], language_choices(languages)))
+    rows = staged(rows.withColumn("track_error", F.when(
         F.col("track_text").isNull(),
-        F.when(F.col("has_track"), _fixed(EMPTY_TRACK))
-        .otherwise(_error(F.lit(NO_TRACK[0]), _listed(NO_TRACK[1], language_choices(languages))))))
-    open_case = F.col("track_text").isNull()
+        F.when(F.col("has_track"), _fixed(EMPTY_TRACK)).otherwise(F.coalesce("landed", no_track)))).drop("landed"), "cascade-tracks")
+    answered = [rows.where(F.col("track_text").isNotNull())]
+    rows = rows.where(F.col("track_text").isNull()).select("video_id", "track_error")
 
     if subtitles is not None:
-        files = choose_subtitle(subtitles, languages).select(
-            "video_id", "file_name", "format", "content")
-        rows = rows.join(files, "video_id", "left").withColumn(
-            "file_text", F.when(open_case, subtitle_text(F.col("content"), F.col("format")))
-        ).drop("content", "format")
+        rows = rows.join(subtitle_payloads(subtitles, rows.select("video_id"), languages), "video_id", "left")
+        landed = F.lit(None).cast(schemas.ERROR)
+        if subtitle_attempts is not None:
+            tried = subtitle_attempts.join(rows.select("video_id"), "video_id", "left_semi")
+            rows, landed = rows.join(_landed_errors(tried, [], "landed"), "video_id", "left"), F.col("landed")
         rows = rows.withColumns({
+            "file_text": subtitle_text(F.col("content"), F.col("format")),
             "file_language": language_in_name(F.col("file_name"), languages),
-            "file_error": F.when(F.col("file_text").isNull(), F.when(
-                F.col("file_name").isNull(), _fixed(NO_FILE)).otherwise(_fixed(EMPTY_FILE))),
         })
-    else:
-        rows = rows.withColumns(_absent("file"))
-    open_case = open_case & F.col("file_text").isNull()
+        rows = staged(rows.withColumn("file_error", F.when(F.col("file_text").isNull(), F.when(
+            F.col("file_name").isNull(), F.coalesce(landed, _fixed(NO_FILE))).otherwise(_fixed(EMPTY_FILE)))).select(
+                "video_id", "track_error", "file_name", "file_text", "file_language", "file_error"), "cascade-files")
+        answered.append(rows.where(F.col("file_text").isNotNull()))
+        rows = rows.where(F.col("file_text").isNull()).select("video_id", "track_error", "file_error")
 
     if speech is not None:
-        heard = keep_first(speech, ["video_id"], ["model_size", "language"]).select(
+        heard = speech.join(rows.select("video_id"), "video_id", "left_semi")
+        heard = keep_first(heard, ["video_id"], ["model_size", "language"]).select(
             "video_id", F.col("language").alias("speech_language"), "model_size", "segments",
             F.col("error_type"), F.col("error_message"), F.lit(True).alias("has_speech"))
-        rows = rows.join(heard, "video_id", "left").withColumn(
-            "speech_text", F.when(open_case, speech_text()))
+        rows = rows.join(heard, "video_id", "left").withColumn("speech_text", speech_text())
         rows = rows.withColumn("speech_error", F.when(
             F.col("speech_text").isNull(),
             F.when(F.col("error_type").isNotNull(), _error(
                 F.col("error_type"), last_chars(F.col("error_message"), MESSAGE_LIMIT)))
-            .when(F.col("has_speech"), _fixed(EMPTY_SPEECH)).otherwise(_fixed(NO_AUDIO))))
-    else:
-        rows = rows.withColumns({
-            **_absent("speech"),
-            "model_size": F.lit(None).cast("string"),
-            "segments": F.lit(None).cast(schemas.SPEECH_ENVELOPE["segments"].dataType),
-        })
-    return rows
+            .when(F.col("has_speech"), _fixed(EMPTY_SPEECH)).otherwise(_fixed(NO_AUDIO)))).drop("error_type", "error_message", "has_speech")
+
+    missing = {
+        **_absent("file"), **_absent("speech"), "file_name": F.lit(None).cast("string"),
+        "model_size": F.lit(None).cast("string"), "segments": F.lit(None).cast(schemas.SPEECH_ENVELOPE["segments"].dataType),
+        "track_language": F.lit(None).cast("string"), "track_text": F.lit(None).cast("string"), "method": F.lit(None).cast("string"),
+        "captions": F.lit(None).cast(schemas.CAPTIONS),
+    }
+    columns = ["video_id", "track_error", *missing]
+    parts = [p.withColumns({c: v for c, v in missing.items() if c not in p.columns}).select(*columns) for p in (*answered, rows)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _absent(strategy: str) -> dict[str, Column]:

@@ -158,7 +158,8 @@ REPLY_ENVELOPE = fields(
     run_id=S, seq=L, video_id=S, thread_id=S, parent_id=S, page_number=L, error=S, response=S)
 PLAYLIST_ENVELOPE = fields(run_id=S, seq=L, channel_id=S, page_number=L, response=S)
 CAPTION_ENVELOPE = fields(
-    video_id=S, language=S, is_generated=B, list_pos=L, captions=CAPTIONS)
+    video_id=S, language=S, is_generated=B, list_pos=L, captions=CAPTIONS, error_type=S, error_message=S)
+SUBTITLE_ATTEMPT = fields(video_id=S, error_type=S, error_message=S)
 SPEECH_ENVELOPE = fields(
     video_id=S, language=S, model_size=S,
     segments=T.ArrayType(fields(text=S, start=D, end=D)), error_type=S, error_message=S)

@@ -19,6 +19,7 @@ from corpus_engine.functions.text import (
 )
 from corpus_engine.functions.values import present, text_array
 from corpus_engine.operators.ordering import keep_first
+from corpus_engine.operators.sizing import settled_side
 
 # Method names recorded with each transcript.
 MANUAL = "youtube_transcript_api_manual"
@@ -102,10 +103,10 @@ def read_subtitle_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def choose_subtitle(files: DataFrame, languages: Sequence[str]) -> DataFrame:
+def choose_subtitle(files: DataFrame, languages: Sequence[str], asked: DataFrame | None = None) -> DataFrame:
     """One file per video among those in a wanted language: VTT before SRT before json3, then by name.
 
-    Files are named ``<video_id>.<language>.<format>``.
+    Files are named ``<video_id>.<language>.<format>``; with ``asked`` only those videos' files count.
     """
     name = F.element_at(F.split("path", "/"), -1)
     named = files.withColumn("file_name", name).withColumns({
@@ -113,12 +114,23 @@ def choose_subtitle(files: DataFrame, languages: Sequence[str]) -> DataFrame:
         "file_language": F.regexp_extract("file_name", r"^[^.]*\.(.+)\.[^.]+$", 1),
         "format": F.lower(F.substring_index("file_name", ".", -1)),
     })
+    if asked is not None:
+        named = named.join(asked, "video_id", "left_semi")
     eligible = named.where(
         F.col("format").isin(SUBTITLE_FORMATS) & speaks_one_of(F.col("file_language"), languages))
     ranked = eligible.withColumn("_format", F.array_position(text_array(SUBTITLE_FORMATS), F.col("format")))
     return keep_first(ranked, ["video_id"], ["_format", "file_name"]).drop("_format", "file_language")
 
 
+def subtitle_payloads(files: DataFrame, asked: DataFrame, languages: Sequence[str]) -> DataFrame:
+    """``video_id``, ``file_name``, ``format`` and ``content`` of the chosen files of the videos asked for.
+
+    Files are chosen by their paths; contents are joined to the choice, which is counted, and broadcast while it is short.
+    """
+    chosen = settled_side(choose_subtitle(files.select("path"), languages, asked).select("path", "video_id", "file_name", "format"))
+    return files.select("path", "content").join(chosen, "path").select("video_id", "file_name", "format", "content")
+
+
 def subtitle_text(content: Column, fmt: Column) -> Column:
     """Spoken text of one subtitle file."""
     text = decode_file(content)

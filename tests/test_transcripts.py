@@ -11,7 +11,7 @@ def at():
 
 
 def track(video, language, generated, pos, *texts):
-    return (video, language, generated, pos, [(t, float(i), 1.0) for i, t in enumerate(texts)])
+    return (video, language, generated, pos, [(t, float(i), 1.0) for i, t in enumerate(texts)], None, None)
 
 
 def tracks(spark, rows):
@@ -100,3 +100,18 @@ def test_preview(spark):
     got = {r.video_id: r for r in tr.transcript_preview(rows, segments).collect()}
     assert (len(got["a"].transcript_preview), got["a"].text_length, got["a"].segment_count) == (1000, 2500, 2)
     assert (got["b"].transcript_preview, got["b"].segment_count) == (None, 0)
+
+
+def test_errors_that_landed_are_kept(spark):
+    attempted = spark.createDataFrame([("off",), ("both",), ("later",)], "video_id string")
+    caps = tracks(spark, [("off", None, None, 1, None, "TranscriptsDisabled", "x" * 5000), ("off", None, None, 0, None, "IpBlocked", "first"),
+                          ("both", None, None, 0, None, "IpBlocked", "once"), track("both", "en", False, 1, "text"),
+                          ("unasked", None, None, 0, None, "IpBlocked", "m"), ("later", None, None, 0, None, "TranscriptsDisabled", "y" * 4001 + "z")])
+    tried = spark.createDataFrame([("off", "DownloadError", "a" + "b" * 4000), ("both", "DownloadError", "m")], schemas.SUBTITLE_ATTEMPT)
+    resolved = tr.resolve_transcripts(attempted, caps, files(spark), None, ["en"], subtitle_attempts=tried)
+    got = {r.video_id: r for r in tr.transcript_rows(resolved, at()).collect()}
+    errors = {v: {k: tuple(e) for k, e in (r.transcript_error or {}).items()} for v, r in got.items()}
+    assert errors["off"] == {"youtube_transcript_api": ("IpBlocked", "first"), "yt_dlp_subtitle": ("DownloadError", "b" * 4000)}
+    assert errors["both"] == {} and got["both"].transcript_text == "text"
+    assert errors["later"]["youtube_transcript_api"] == ("TranscriptsDisabled", "y" * 3999 + "z")
+    assert errors["later"]["yt_dlp_subtitle"][0] == "YtDlpSubtitleError"
