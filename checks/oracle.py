@@ -159,7 +159,8 @@ transcripts AS (
          CASE WHEN quality = 1 THEN source ELSE 'failed' END AS transcript_method,
          CASE WHEN quality = 1 THEN lang END AS transcript_language,
          CASE WHEN quality = 1 THEN text END AS transcript_text, doc_id
-  FROM documents JOIN labels USING (doc_id)
+  FROM (SELECT d.*, coalesce(l.quality, 1) AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+        WHERE l.quality IS NOT NULL OR lang <> 'es')
 )"""
 
 CASCADE = f"""
@@ -189,7 +190,7 @@ chosen AS (
 ), {DOC_LINES}, playlist AS (
   SELECT source AS channel_id, doc_id AS page_number, pos + 1 AS position_in_page,
          regexp_extract(line, '[A-Za-z]{{5,}}') AS video_id, line AS title, CAST(NULL AS VARCHAR) AS description,
-         strftime(DATE '2024-01-01' + CAST(least(n_chars // 10, 3650) AS INTEGER), '%Y-%m-%d') ||
+         strftime(DATE '2024-01-01' + CAST(n_chars // 10 AS INTEGER), '%Y-%m-%d') ||
            CASE WHEN lang = 'fr' THEN 'T08:00:00Z' ELSE 'T09:00:00Z' END AS published_at
   FROM lines
 ), uploads AS (SELECT * FROM playlist WHERE video_id <> ''),

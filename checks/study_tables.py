@@ -297,11 +297,11 @@ def playlist_pages(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id as page_number",
         r"""to_json(struct(transform(split(text, '\n'), (line, i) -> named_struct(
               'snippet', named_struct(
-                'title', line, 'publishedAt', concat(date_add(date'2024-01-01', cast(least(n_chars div 10, 3650) as int)), 'T08:00:00Z'),
+                'title', line, 'publishedAt', concat(date_add(date'2024-01-01', cast(n_chars div 10 as int)), 'T08:00:00Z'),
                 'resourceId', named_struct('videoId', regexp_extract(line, '[A-Za-z]{5,}', 0))),
               'contentDetails', named_struct(
                 'videoId', if(lang = 'en', '', regexp_extract(line, '[A-Za-z]{5,}', 0)),
-                'videoPublishedAt', if(lang = 'fr', '', concat(date_add(date'2024-01-01', cast(least(n_chars div 10, 3650) as int)), 'T09:00:00Z')))
+                'videoPublishedAt', if(lang = 'fr', '', concat(date_add(date'2024-01-01', cast(n_chars div 10 as int)), 'T09:00:00Z')))
               )) as items)) as response""",
     )
 
@@ -404,8 +404,9 @@ def cascade_speech(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def transcripts(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored transcripts: good labels succeeded, bad ones failed, unlabelled documents are absent."""
-    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    """Stored transcripts: bad labels failed, unlabelled Spanish documents were never tried, all others succeeded."""
+    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left").where(
+        "quality is not null or lang <> 'es'").withColumn("quality", F.coalesce("quality", F.lit(1)))
     return docs.selectExpr(
         "concat('d', doc_id) as video_id",
         "if(quality = 1, 'success', 'failed') as transcript_status",

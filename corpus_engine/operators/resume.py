@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpus_engine.operators.ordering import ARRIVAL, keep_last
+from corpus_engine.operators.sizing import settled_side
 
 
 def pending(
@@ -23,8 +24,13 @@ def pending(
 
 
 def mark_known(df: DataFrame, known: DataFrame, key: str, into: str) -> DataFrame:
-    """Adds a flag: does the row's key occur in ``known``?"""
-    found = known.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_found", F.lit(True))
+    """Adds a flag: does the row's key occur in ``known``?
+
+    The rows' keys are counted when the frame is built and broadcast while they are few, so a large ``known`` is reduced
+    to those before it is shuffled.
+    """
+    asked = settled_side(df.where(F.col(key).isNotNull()).select(key).distinct())
+    found = known.join(asked, key, "left_semi").select(key).distinct().withColumn("_found", F.lit(True))
     return (
         df.join(found, key, "left")
         .withColumn(into, F.coalesce(F.col("_found"), F.lit(False)))
@@ -42,9 +48,12 @@ def conform(df: DataFrame, schema: T.StructType, extra: Sequence[str] = ()) -> D
 
 
 def refresh_columns(
-    base: DataFrame, fresh: DataFrame, key: str, columns: Sequence[str], order_by: Sequence[str] = ARRIVAL
+    base: DataFrame, fresh: DataFrame, key: str, columns: Sequence[str], order_by: Sequence[str] = ARRIVAL, unique: bool = False
 ) -> DataFrame:
-    """Replaces ``columns`` of ``base`` by the latest values in ``fresh``; unmatched rows get nulls."""
+    """Replaces ``columns`` of ``base`` by the latest values in ``fresh``; unmatched rows get nulls.
+
+    ``unique``: ``fresh`` has one row per key already, as a published table has, and need not be ranked.
+    """
     order = [c for c in order_by if c in fresh.columns]
-    latest = keep_last(fresh.select(key, *columns, *order), [key], order)
+    latest = fresh if unique else keep_last(fresh.select(key, *columns, *order), [key], order)
     return base.drop(*columns).join(latest.select(key, *columns), key, "left")

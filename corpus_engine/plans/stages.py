@@ -81,10 +81,10 @@ def comment_outcomes(
 
 
 def with_transcripts(videos: DataFrame, transcripts: DataFrame) -> DataFrame:
-    """Videos with the transcript columns of the state table; typed nulls where there is none."""
+    """Videos with the transcript columns of the published state table; typed nulls where there is none."""
     base = conform(videos, schemas.VIDEOS, ARRIVAL)
     return conform(
-        refresh_columns(base, transcripts, "video_id", TRANSCRIPT_COLUMNS), schemas.VIDEOS, ARRIVAL)
+        refresh_columns(base, transcripts, "video_id", TRANSCRIPT_COLUMNS, unique=True), schemas.VIDEOS, ARRIVAL)
 
 
 def upserted(existing: DataFrame, new: DataFrame, table: str) -> DataFrame:
