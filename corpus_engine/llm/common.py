@@ -8,10 +8,13 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from corpus_engine.session import scratch_path
 
@@ -61,6 +64,21 @@ def held_out_remainder(key: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("null")).cast("binary")) % modulus
 
 
+def packed(body: Column) -> Column:
+    """The text's bytes, compressed for a shuffle; null stays null."""
+
+    @F.pandas_udf(BinaryType())
+    def press(part: pd.Series) -> pd.Series:
+        compressor = zstandard.ZstdCompressor(level=1)
+        return part.map(lambda b: None if b is None else compressor.compress(b))
+
+    return press(body)
+
+
+def unpacked(body: bytes | None) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(body) if body else b""
+
+
 def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
     """Ids and bodies (bytes, or None) of each batch made by :func:`texts`."""
     for batch in batches:

@@ -26,15 +26,12 @@ from dataclasses import dataclass
 from math import sqrt
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
-from corpus_engine.llm.common import mark, prepare, settled, texts
+from corpus_engine.llm.common import mark, packed, prepare, settled, texts, unpacked
 from corpus_engine.llm.components import components
 from corpus_engine.llm.hyper_minhash import BUCKETS, band_keys, estimate, registers, shingles
 
@@ -54,16 +51,6 @@ class Settings:
         return 5 * sqrt(t * (1 - t) / BUCKETS)
 
 
-@F.pandas_udf(BinaryType())
-def packed(body: pd.Series) -> pd.Series:
-    press = zstandard.ZstdCompressor(level=1)
-    return body.map(lambda b: None if b is None else press.compress(b))
-
-
-def unpacked(body: bytes | None) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(body) if body else b""
-
-
 def sketches(rows: DataFrame, s: Settings) -> DataFrame:
     """``row`` (a number, read from this table alone), ``id`` and ``mark``, the set's size and digest, its registers (null if empty)."""
 
@@ -204,7 +191,7 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key="doc_id", tex
 
     size = reps.select("row", F.col("n").alias("weight"))
     named_by = reps.select("row", F.coalesce("id", F.lit(LAST)).alias("at"), "mark")
-    body = rows.select(F.coalesce("id", F.lit(LAST)).alias("at"), "mark", packed("body").alias("packed"))
+    body = rows.select(F.coalesce("id", F.lit(LAST)).alias("at"), "mark", packed(F.col("body")).alias("packed"))
 
     def confirmed(xs: DataFrame, ys: DataFrame) -> DataFrame:
         cells = blocked(xs.join(size, "row"), ys.join(size, "row"), s.set_block)

@@ -33,15 +33,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
-from corpus_engine.llm.common import mark, prepare, settled
+from corpus_engine.llm.common import mark, packed, prepare, settled, unpacked
 
 NARROW_ROWS = 16_384  # of a batch without texts
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
@@ -184,7 +181,7 @@ def marked_windows(rows: DataFrame, firsts: DataFrame, s: Settings) -> DataFrame
     """``at``, ``mark`` and ``start`` of every window among the stretches in ``firsts`` that repeats an earlier one there."""
     heavy = firsts.groupBy("anchor").agg((F.max("cut") | (F.count(F.lit(1)) > s.group)).alias("heavy"))
     wanted = firsts.join(heavy, "anchor").groupBy("at", "mark").agg(F.collect_list(F.struct("anchor", "start", "size", "heavy")).alias("wanted"))
-    fetched = rows.select("at", "mark", packed("body").alias("packed")).join(wanted, ["at", "mark"])  # a document's own stretches
+    fetched = rows.select("at", "mark", packed(F.col("body")).alias("packed")).join(wanted, ["at", "mark"])  # a document's own stretches
     names = ["anchor", "heavy", "at", "mark", "start", "size", "words"]
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,16 +241,6 @@ def marked_windows(rows: DataFrame, firsts: DataFrame, s: Settings) -> DataFrame
     return light.unionByName(again)
 
 
-@F.pandas_udf(BinaryType())
-def packed(body: pd.Series) -> pd.Series:
-    press = zstandard.ZstdCompressor(level=1)
-    return body.map(lambda b: None if b is None else press.compress(b))
-
-
-def unpacked(body: bytes | None) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(body) if body else b""
-
-
 def remove_repeats(docs: DataFrame, s: Settings = Settings(), key="doc_id", text="text", carry: tuple[str, ...] = (), with_text: bool = False) -> DataFrame:
     """One row per document: ``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256``, the columns to ``carry`` along and, if asked for,
     ``kept_text``: the kept words joined by one space, or the text as it was if none was removed."""
@@ -270,7 +257,7 @@ def remove_repeats(docs: DataFrame, s: Settings = Settings(), key="doc_id", text
     windows = marked_windows(rows, firsts, s).select("at", "mark", "start", F.lit(1).cast("bigint").alias("size"))
     marks = settled(judged.where("whole").select("at", "mark", "start", "size").unionByName(windows), "passage-marks")
     marks = marks.groupBy("at", "mark").agg(F.collect_list(F.struct("start", "size")).alias("marks"))  # a document's own
-    joined = rows.select("at", "mark", "carried", packed("body").alias("packed")).join(marks, ["at", "mark"], "left").select("carried", "packed", "marks")
+    joined = rows.select("at", "mark", "carried", packed(F.col("body")).alias("packed")).join(marks, ["at", "mark"], "left").select("carried", "packed", "marks")
     kept_text = ", kept_text string" if with_text else ""
     columns = f"carried {joined.schema['carried'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string{kept_text}"
 

@@ -4,8 +4,10 @@ import hashlib
 import io
 from collections import defaultdict
 
+import duckdb
 import pytest
 
+from corpus_engine.llm import queries
 from corpus_engine.llm.common import as_uri
 from corpus_engine.llm.warc_archive import chunks, read_archive, write_archive
 
@@ -67,3 +69,13 @@ def test_small_files_and_tiny_reads(spark, tmp_path, monkeypatch):
 def test_empty(spark, tmp_path):
     manifest = write_archive(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path))
     assert read_archive(manifest, as_uri(str(tmp_path))).collect() == []
+
+
+def test_query_equals_sql(spark):
+    con = duckdb.connect()
+    con.execute("CREATE VIEW pages AS SELECT * FROM '/root/testdata/sf0.001/pages.parquet'")
+    cursor = con.execute(queries.ORACLE["op4_warc"])
+    names = [d[0] for d in cursor.description]
+    got = queries.op4_warc(spark, "/root/testdata/sf0.001")
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(map(tuple, got.select(names).collect())) == sorted(cursor.fetchall())
