@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import compare, duck
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, SF, name) == ""
 
