@@ -32,18 +32,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where("kept").select(*COLUMNS)
 
 
-def _same(left: str, right: str) -> list:
-    """The join condition that two frames' rows are one document; ids may be null."""
-    return [F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")), F.col(f"{left}.mark") == F.col(f"{right}.mark")]
+NAME = ["_id", "_mark"]
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """Documents with the columns that name them, neither null: the id (a null one as the largest) and the text's hash."""
+    at = F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1))
+    text_hash = F.col("mark") if "mark" in docs.columns else mark(F.col("text"))
+    return docs.select("*", at.alias("_id"), text_hash.alias("_mark"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (shingles of five words, similarity of 0.8 or more)."""
-    staying = near_duplicates(docs).where("stays").select("doc_id", "mark")
-    marked = docs.select(*COLUMNS, mark(F.col("text")).alias("mark"))
-    kept = marked.alias("d").join(staying.alias("s"), _same("d", "s"), "left_semi")
+    staying = _named(near_duplicates(docs).where("stays").select("doc_id", "mark")).select(*NAME)
+    kept = _named(docs.select(*COLUMNS)).join(staying, NAME, "left_semi")
     # Rows equal in id and text are one document; the join has already brought them together.
-    return kept.groupBy("doc_id", "mark").agg(*(F.first(c).alias(c) for c in COLUMNS[1:])).select(*COLUMNS)
+    return kept.groupBy(*NAME).agg(*(F.first(c).alias(c) for c in COLUMNS)).select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,9 +59,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item, also not with other numbers or names."""
-    leaked = template_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "mark").distinct()
-    marked = docs.select(*COLUMNS, mark(F.col("text")).alias("mark"))
-    return marked.alias("d").join(leaked.alias("l"), _same("d", "l"), "left_anti").select(*COLUMNS)
+    leaked = _named(template_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "mark").distinct()).select(*NAME)
+    return _named(docs.select(*COLUMNS)).join(leaked, NAME, "left_anti").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
