@@ -469,3 +469,10 @@ ORACLE["page_accounting"] = """SELECT 'r' || year(o_orderdate) AS run_id, count(
            count(*) FILTER (err IS NULL AND o_orderstatus = 'P') AS pages_unreadable
     FROM (SELECT *, CASE o_orderpriority WHEN '1-URGENT' THEN 'quota' WHEN '5-LOW' THEN 'other' END AS err FROM orders) GROUP BY 1"""
 ORACLE["versions_and_reruns"] = """SELECT c_custkey, c_mktsegment, 'r10' AS version, true AS refused FROM customer"""
+
+ORACLE["search_pages_within_depth"] = f"WITH {FLAT_SEARCH} SELECT * FROM flat WHERE page_number <= 500"
+ORACLE["csv_cells"] = f"""WITH {VIDEO_ROWS} SELECT video_id, replace(tags, '","', '", "') AS tags_cell,
+    '{{"a": ' || coalesce(CAST(view_count AS VARCHAR), 'null') || ', "b": ' || coalesce('"' || title || '"', 'null') || ', "c": ' || replace(tags, '","', '", "') || '}}' AS struct_cell
+    FROM rows"""
+ORACLE["csv_only_table"] = """SELECT CAST(s_suppkey AS VARCHAR) AS channel_id, s_name AS channel_title, 'r1' AS run_id, s_suppkey AS page, 0 AS pos
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey"""

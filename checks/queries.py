@@ -32,6 +32,7 @@ from corpus_engine.streaming.ingest import ingest_search_pages, ingested_hits
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SPLIT_DAY = "1999-01-01"
+MAX_PAGES = 500
 HIT_COLUMNS = schemas.SEARCH_HITS.fieldNames()
 
 
@@ -191,6 +192,12 @@ def flatten_search_pages(spark: SparkSession, sf: str) -> DataFrame:
     return pages.flatten_search_pages(st.search_pages(spark, sf), captured()).select(*HIT_COLUMNS)
 
 
+@query
+def search_pages_within_depth(spark: SparkSession, sf: str) -> DataFrame:
+    """Only the first pages of each search, as a study's page limit asks for."""
+    return pages.flatten_search_pages(st.search_pages(spark, sf), captured(), max_pages=MAX_PAGES).select(*HIT_COLUMNS)
+
+
 def _as_json(df: DataFrame, *arrays: str) -> DataFrame:
     return df.withColumns({a: F.to_json(a) for a in arrays})
 
@@ -406,6 +413,25 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _as_json(back, "tags", "topic_categories")
 
 
+@query
+def csv_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The text that nested cells become in CSV."""
+    rows = pages.flatten_video_pages(st.video_pages(spark, sf), captured())
+    nested = F.struct(F.col("title").alias("b"), F.col("view_count").alias("a"), F.col("tags").alias("c"))
+    return rows.select("video_id", tables.json_cell(F.col("tags"), rows.schema["tags"].dataType).alias("tags_cell"),
+                       tables.json_cell(nested, rows.select(nested.alias("n")).schema["n"].dataType).alias("struct_cell"))
+
+
+@query
+def csv_only_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that exists as CSV only, read back with its arrival order."""
+    path = f"{scratch_path(spark, 'csv-only')}/channel"
+    rows = pages.flatten_channel_pages(st.channel_pages(spark, sf), captured())
+    tables.write_table(rows, path, "r1", ["csv"])
+    back = tables.read_table(spark, path, rows.schema)
+    return back.select("channel_id", "channel_title", F.col("_run_id").alias("run_id"), "_seq.page", "_seq.pos")
+
+
 @query
 def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same hits as ``flatten_search_pages``, with the pages of a run dealt over files and stream batches."""
@@ -426,7 +452,8 @@ def study_run(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "study")
     st.land_study(spark, sf, f"{root}/landing")
     options = StudyOptions(max_pages_per_query=10**9)
-    made = run_study(spark, f"{root}/data", "study", f"{root}/landing", options, "r1", st.CAPTURED)
+    run_study(spark, f"{root}/data", "study", f"{root}/landing", options, "r1", st.CAPTURED)
+    made = spark.read.json(f"{root}/data/study/audit/runs/run_r1")
     return made.select(
         F.col("stages.discovery.new_rows").alias("new_hits"),
         "stages.discovery.unique_videos",

@@ -117,7 +117,7 @@ def write_table(
         df = spark.read.schema(df.schema).parquet(target)
     if "csv" in wanted:
         target = _new_version(spark, f"{path}.csv", version)
-        write_csv(df, target)
+        write_csv(df, target, with_order="parquet" not in wanted)
         _completed(spark, target)
 
 
@@ -253,9 +253,13 @@ def _nested(field: T.StructField) -> bool:
     return isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with header and byte-order mark; nested cells as JSON text; ``_`` columns left out."""
-    kept = [f for f in df.schema.fields if not f.name.startswith("_")]
+def write_csv(df: DataFrame, path: str, with_order: bool = False) -> None:
+    """CSV with header and byte-order mark; nested cells as JSON text; ``_`` columns left out.
+
+    ``with_order`` keeps those, as the last columns: a table that exists as CSV only must still know its arrival order.
+    """
+    hidden = [f for f in df.schema.fields if f.name.startswith("_")]
+    kept = [f for f in df.schema.fields if f not in hidden] + hidden * with_order
     flat = df.select([
         json_cell(F.col(f.name), f.dataType).alias(f.name) if _nested(f) else F.col(f.name)
         for f in kept
