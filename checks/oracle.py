@@ -476,3 +476,16 @@ ORACLE["csv_cells"] = f"""WITH {VIDEO_ROWS} SELECT video_id, replace(tags, '","'
     FROM rows"""
 ORACLE["csv_only_table"] = """SELECT CAST(s_suppkey AS VARCHAR) AS channel_id, s_name AS channel_title, 'r1' AS run_id, s_suppkey AS page, 0 AS pos
     FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
+
+FIRST = LANDED.replace("documents", "first_docs")
+BOTH = LANDED.replace("SELECT DISTINCT video_id FROM flat)", "SELECT video_id FROM flat UNION SELECT video_id FROM before)")
+ORACLE["study_run_resumed"] = f"""WITH first_docs AS (SELECT * FROM documents WHERE lang IN ('es', 'fr')),
+    earlier AS (WITH {FIRST} SELECT s.video_id, s.source, s.line, c.line AS said FROM stored s LEFT JOIN caption c ON s.video_id = c.video_id),
+    before AS (WITH {FIRST} SELECT DISTINCT video_id FROM flat), {BOTH}, both_runs AS (
+      SELECT e.video_id, e.source, e.line, coalesce(said, c.line) AS said, '2026-01-01T00:00:00Z' AS captured_at
+      FROM earlier e LEFT JOIN caption c ON e.video_id = c.video_id
+      UNION ALL
+      SELECT s.video_id, s.source, s.line, c.line, '2026-02-01T00:00:00Z'
+      FROM stored s LEFT JOIN caption c ON s.video_id = c.video_id WHERE s.video_id NOT IN (SELECT video_id FROM earlier))
+    SELECT video_id, source AS channel_id, line AS title, CASE WHEN said IS NULL THEN 'failed' ELSE 'success' END AS transcript_status,
+           {squash("said")} AS transcript_text, captured_at FROM both_runs"""

@@ -469,6 +469,18 @@ def study_run(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def study_run_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """A run over a part of the landing, then a run over all of it: what is stored stays, what failed is tried again."""
+    root = scratch_path(spark, "study")
+    options = StudyOptions(max_pages_per_query=10**9, stages=["discovery", "videos", "transcripts"], formats=("parquet", "csv"))
+    for run, languages, stamp in (("r1", "'es', 'fr'", "2026-01-01T00:00:00Z"), ("r2", "'de', 'en', 'es', 'fr'", "2026-02-01T00:00:00Z")):
+        st.land_study(spark, sf, f"{root}/landing-{run}", languages)
+        run_study(spark, f"{root}/data", "study", f"{root}/landing-{run}", options, run, stamp)
+    return Study(spark, f"{root}/data", "study").read("videos").select(
+        "video_id", "channel_id", "title", "transcript_status", "transcript_text", "captured_at")
+
+
 @query
 def study_run_videos(spark: SparkSession, sf: str) -> DataFrame:
     """The videos table such a run publishes, transcripts included."""

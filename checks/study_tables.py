@@ -451,7 +451,7 @@ def conversation_comments(spark: SparkSession, sf: str) -> DataFrame:
 # --- a whole landing folder ------------------------------------------------------------------
 
 
-def land_study(spark: SparkSession, sf: str, root: str) -> None:
+def land_study(spark: SparkSession, sf: str, root: str, languages: str = "'de', 'en', 'es', 'fr'") -> None:
     """Files of one run below ``root``: every document line with a long word is a video.
 
     Captions exist for English and French lines, comments for every line, channels for suppliers.
@@ -462,10 +462,10 @@ def land_study(spark: SparkSession, sf: str, root: str) -> None:
         opened = F.left(rest, F.length(rest) - 1)
         df.select(F.concat(opened, F.lit(',"response":'), F.col("response"), F.lit("}"))).write.text(f"{root}/{kind}")
 
-    docs = table(spark, sf, "documents")
+    docs = table(spark, sf, "documents").where(f"lang in ({languages})")
     lines = docs.selectExpr("doc_id", "lang", "source", r"posexplode(split(text, '\n')) as (pos, line)").selectExpr(
         "*", "regexp_extract(line, '[A-Za-z]{10,}', 0) as video_id").where("video_id <> ''")
-    write(search_pages(spark, sf), "search")
+    write(search_pages(spark, sf).where(f"theme in ({languages})"), "search")
     write(docs.selectExpr(
         "'r1' as run_id", "doc_id as seq",
         r"""to_json(struct(filter(transform(split(text, '\n'), line -> named_struct(
