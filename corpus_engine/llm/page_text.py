@@ -41,6 +41,7 @@ DEPTH = 8  # tokens of a repeated run
 COVERED = 0.5  # share of a block's tokens in repeated runs from which it goes
 
 # Element, role and name lists.
+HEADING_NAMES = frozenset("article content entry post story".split())  # beside "header" inside an article: its heading
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -85,6 +86,8 @@ def _kind(name: str, rest: str, in_article: bool) -> tuple[bool, bool, bool]:
     found = {m[0].lower(): (m[1] or m[2] or m[3]) for m in ATTRIBUTE.findall(rest)} if rest else {}
     names = (found.get("class", "") + " " + found.get("id", "")).lower().split()
     words = {w for n in names for w in re.split(r"[-_]+|(?<=[a-z])(?=[A-Z])", n)}
+    if in_article and words & HEADING_NAMES:
+        words -= {"header"}
     comments = bool(words & COMMENT_NAMES)
     article = name in ("article", "main") or found.get("role", "").lower() in ("main", "article") or bool(ARTICLE_NAMES & set(names)) or (
         found.get("itemprop", "").lower() == "articlebody")

@@ -24,6 +24,8 @@ def test_structure():
     ("", ""), ("plain", "plain"), ("<p>a<p>b", "a\nb"), ("<p>1 < 2 <3", "1 < 2 <3"), ("<div><nav>x<article>kept</article>", "kept"),
     ("<article>a<footer>f</footer>b", "a\nb"), ("<main>a</main>", "a"), ("<article><p title='>'>a</p>", "a"), ("<p>a</div>b</p>", "a\nb"),
     ("<script>never closed", ""), ("<p hidden>h</p><p>s</p>", "s"), ("<p>&#233;&eacute;&bogus;</p>", "éé&bogus;"), ("<style>x</style ><p>y", "y"),
+    ("<article><div class='entry-header'><h2>H</h2></div><div class=page-header>no</div>t</article>", "H\nt"),
+    ("<article>a<div id='post-comments'>c</div><p class='cookie-notice'>n</p>b</article>", "a\nb"),
     ("<ARTICLE><P>Up</P></ARTICLE>", "Up"), ("<div role=navigation>n</div><div>t</div>", "t"), ("a<!--", "a"),
 ])
 def test_markup(html, want):
