@@ -106,10 +106,13 @@ class Arcs:
         wide = codes.astype(np.uint64)
         for i in range(self.length):
             h = np.full(len(codes), 14695981039346656037, np.uint64)
+            marked = i > 0 and (codes[:, i] == ord(START)).any()
             for j in range(i + 1, min(self.length, i + vocabulary.longest) + 1):
                 h = (h ^ wide[:, j - 1]) * PRIME
                 h ^= h >> np.uint64(29)
                 found = vocabulary.find(h)
+                if marked:  # a word may hold the mark's own character; first pieces only begin a word
+                    found = np.where((found >= 0) & vocabulary.first[found], -1, found)
                 if (found >= 0).any():
                     self.pieces[i, j] = found
 
