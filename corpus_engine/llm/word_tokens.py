@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 450_000  # of a generation; two are kept, so words in use outlive a full cache
 ENCODE_AT_ONCE = 256
 END_ID = 1
 # Letters below this code point keep their category and number under NFC and lower-casing, but for one.
@@ -20,6 +20,10 @@ PLAIN_LETTERS_BELOW = "ɐ"
 UNSTABLE_LETTER = "İ"
 
 
+def _plain(text: str) -> bool:
+    return text.isalpha() and max(text) < PLAIN_LETTERS_BELOW and UNSTABLE_LETTER not in text
+
+
 class WordEncoder:
     """Ids of texts as little-endian unsigned 16-bit bytes (the vocabulary must have at most 65,536 entries)."""
 
@@ -35,6 +39,7 @@ class WordEncoder:
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, body: bytes | None) -> bytes:
         """Ids of the text's words, without an end id; null has none."""
@@ -46,9 +51,12 @@ class WordEncoder:
         missing = {w for w in words if w not in known}
         if missing:
             if len(known) + len(missing) > CACHE_WORDS:
-                known = dict.fromkeys(())
-                missing = set(words)
-                self.cache = known
+                known, self.older = {}, known
+                missing, self.cache = set(words), known
+            if self.older:
+                found = {w: ids for w in missing if (ids := self.older.get(w)) is not None}
+                known.update(found)
+                missing -= found.keys()
             self._learn(missing, known)
         return b"".join([known[w] for w in words])
 
@@ -57,9 +65,8 @@ class WordEncoder:
         for w in words:
             core = w.rstrip(b".,")
             tail = w[len(core):]
-            text = core.decode("utf-8", "replace")
             # A run of one punctuation kind after a plain letter is a token run of its own.
-            if text.isalpha() and max(text) < PLAIN_LETTERS_BELOW and UNSTABLE_LETTER not in text:
+            if core.isalpha() or _plain(core.decode("utf-8", "replace")):
                 plain.append((w, core, tail))
                 cores[core] = known.get(core)
             else:
