@@ -178,10 +178,11 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key="doc_id", tex
     members = settled(members.select("row", "id", "mark", "n", F.coalesce("rep", "row").alias("rep")), "near-members")
     reps = settled(made.join(members.where("row = rep and n > 0").select("row"), "row").select("row", "id", "mark", "n", "sketch"), "near-classes")
 
-    keyed = settled(bands(reps), "near-bands")
+    keyed = bands(reps)
     buckets = keyed.groupBy("key").agg(F.min("row").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    tried = keyed.join(buckets, "key").where("row <> centre").select("row", F.col("centre").alias("group")).distinct()
-    tried = settled(tried, "near-tried")
+    # Nearly all buckets have one member; only the others' rows are looked at again.
+    keyed = settled(keyed.join(buckets.select("key", "centre"), "key"), "near-buckets")
+    tried = settled(keyed.where("row <> centre").select("row", F.col("centre").alias("group")).distinct(), "near-tried")
     sketch = reps.select("row", F.col("row").alias("label"), "n", "sketch")
     least = s.percent / 100 - s.margin
 
@@ -202,7 +203,7 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key="doc_id", tex
     links = settled(confirmed(near, centres(near)), "near-links")
 
     labels = components(links)
-    named = keyed.join(labels.withColumnRenamed("v", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
+    named = keyed.select("key", "row").join(labels.withColumnRenamed("v", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
     named = settled(named, "near-named")
     shares = named.groupBy("key", "label").count()
     open_buckets = shares.groupBy("key").agg(F.max(F.struct("count", "label")).alias("most"), F.count(F.lit(1)).alias("n")).where("n > 1")
