@@ -49,9 +49,14 @@ def registers(found: np.ndarray) -> np.ndarray:
     return ((zeros << np.uint64(MANTISSA)) | mantissa).astype("<u2")
 
 
+def band_values(rows: np.ndarray) -> np.ndarray:
+    """For each row of registers those of each band side by side, in one number."""
+    return np.ascontiguousarray(rows[:, :BANDED]).view("<u8").reshape(len(rows), -1)
+
+
 def band_keys(rows: np.ndarray) -> np.ndarray:
-    """For each row of registers a key for each band: its registers side by side, mixed with the band's number."""
-    keys = np.ascontiguousarray(rows[:, :BANDED]).view("<u8").reshape(len(rows), -1)
+    """For each row of registers a key for each band: its registers, mixed with the band's number."""
+    keys = band_values(rows)
     n = np.arange(1, keys.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     keys = (keys ^ n) * MIX
     keys = (keys ^ (keys >> np.uint64(31))) * MIX

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from corpus_engine.llm.common import mark, packed, prepare, settled, texts, unpacked
 from corpus_engine.llm.components import components
-from corpus_engine.llm.hyper_minhash import BUCKETS, band_keys, estimate, registers, shingles
+from corpus_engine.llm.hyper_minhash import BUCKETS, band_keys, band_values, estimate, registers, shingles
 
 LAST = (1 << 63) - 1  # stands for a null id, which comes last
 
@@ -118,17 +118,24 @@ def compared(cells: DataFrame, compare: Callable, columns: list[str], out: str)
     return cells.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "side").mapInArrow(run, out)
 
 
-def by_sketch(least: float) -> Callable:
-    """(x, y, label of y) where the estimate may reach the threshold: of each x one y for each other label."""
+def by_sketch(least: float, in_buckets: bool) -> Callable:
+    """(x, y, label of y) where the estimate may reach the threshold: of each x one y for each other label.
+
+    ``in_buckets``: groups are buckets of a band; a pair that shares several is given in the first of them only."""
 
     def compare(ys: list[tuple], xs: list[tuple]) -> list[tuple]:
         if not ys:
             return []
         rows, labels, sizes = (np.array([y[k] for y in ys]) for k in (0, 1, 2))
         many = np.frombuffer(b"".join(y[3] for y in ys), "<u2").reshape(len(ys), BUCKETS)
+        bands = band_values(many)
         out = []
-        for row, label, size, sketch in xs:
-            found = np.flatnonzero((estimate(np.frombuffer(sketch, "<u2"), many, size, sizes) >= least) & (labels != label) & (rows != row))
+        for row, label, size, sketch, group in xs:
+            one = np.frombuffer(sketch, "<u2")
+            found = np.flatnonzero((estimate(one, many, size, sizes) >= least) & (labels != label) & (rows != row))
+            if in_buckets and len(found):
+                here = band_keys(one[None])[0].tolist().index(group)
+                found = found[(bands[found] == band_values(one[None])).argmax(1) == here]
             if len(found):
                 other, first = np.unique(labels[found], return_index=True)
                 out += [(row, int(rows[found[k]]), int(o)) for o, k in zip(other, first)]
@@ -186,9 +193,9 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key="doc_id", tex
     sketch = reps.select("row", F.col("row").alias("label"), "n", "sketch")
     least = s.percent / 100 - s.margin
 
-    def estimated(xs: DataFrame, ys: DataFrame, labelled: DataFrame) -> DataFrame:
+    def estimated(xs: DataFrame, ys: DataFrame, labelled: DataFrame, in_buckets: bool) -> DataFrame:
         cells = blocked(xs.withColumn("weight", F.lit(1)), ys.withColumn("weight", F.lit(1)), s.sketch_block)
-        return compared(cells.join(labelled, "row"), by_sketch(least), ["row", "label", "n", "sketch"], "x long, y long, label long")
+        return compared(cells.join(labelled, "row"), by_sketch(least, in_buckets), ["row", "label", "n", "sketch", "group"], "x long, y long, label long")
 
     size = reps.select("row", F.col("n").alias("weight"))
     named_by = reps.select("row", F.coalesce("id", F.lit(LAST)).alias("at"), "mark")
@@ -199,7 +206,7 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key="doc_id", tex
         return compared(cells.join(named_by, "row").join(body, ["at", "mark"]), by_set(s), ["row", "packed"], "a long, b long")
 
     centres = lambda pairs: pairs.select(F.col("group").alias("row"), "group").distinct()
-    near = settled(estimated(tried, centres(tried), sketch).select(F.col("x").alias("row"), F.col("y").alias("group")).distinct(), "near-estimated")
+    near = settled(estimated(tried, centres(tried), sketch, False).select(F.col("x").alias("row"), F.col("y").alias("group")).distinct(), "near-estimated")
     links = settled(confirmed(near, centres(near)), "near-links")
 
     labels = components(links)
@@ -212,7 +219,7 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key="doc_id", tex
     label_of = reps.join(labels.withColumnRenamed("v", "row"), "row", "left").select("row", F.coalesce("label", "row").alias("label"), "n", "sketch")
     label_of = settled(label_of, "near-labelled")
     # A member of the main component is compared as y; pairs of two others meet once as (x, y) and once as (y, x).
-    others = estimated(inside.where("not main").select("row", "group"), inside.select("row", "group"), label_of)
+    others = estimated(inside.where("not main").select("row", "group"), inside.select("row", "group"), label_of, True)
     asked = settled(others.select(F.col("x").alias("row"), F.col("label").alias("group")).distinct(), "near-asked")
     answering = label_of.select("row", F.col("label").alias("group")).join(asked.select("group").distinct(), "group")
     more = settled(confirmed(asked, answering.select("row", "group")), "near-more")
