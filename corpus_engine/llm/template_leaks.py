@@ -3,8 +3,8 @@
 Texts become templates: numbers, quantities with a unit, and runs of names inside sentences are typed
 placeholders, all else a literal word in lower case without outer punctuation. Windows of ``window`` template tokens
 are hashed; a document's windows are joined by hash with the items' windows inside the task that holds the document, so
-nothing is shuffled. An item is found where, in one stretch of the document, at least ``coverage`` of its
-windows occur; then the values in its slots are compared: one item value must always stand for one document value
+nothing is shuffled. An item is found where, in one alignment with the document (place less place in the item, up to a
+drift) or else in one stretch of it, at least ``coverage`` of its windows occur; then the values in its slots are compared: one item value must always stand for one document value
 (in at least ``consistency`` of the slots), else the stretch only looks alike. With equal values it is a *verbatim* leak,
 with others a *reparameterised* one.
 
@@ -181,32 +181,81 @@ class Items:
         for place in hits.tolist():
             for number, inside in self.places[int(hashes[place])]:
                 by_item[number].append((place, inside))
-        out = []
-        for number, matches in by_item.items():
-            if len({inside for _, inside in matches}) < self.s.coverage * self.counts[number]:
-                continue
-            best = None
-            for stretch in self._stretches(matches, len(self.templates[number].hashes)):
-                if len({inside for _, inside in stretch}) >= self.s.coverage * self.counts[number]:
-                    judged = self._judge(t, number, stretch, self.s.window)
-                    if best is None or judged[2:4] > best[2:4]:
-                        best = judged
-            if best and (best[3] is None or best[3] >= self.s.consistency):
-                out.append(best)
-        return out
+        out = [self._best(t, number, matches) for number, matches in by_item.items()]
+        return [best for best in out if best]
+
+    def _best(self, t: Template, number: int, matches: list[tuple[int, int]]) -> tuple | None:
+        """The best consistent occurrence of an item among its matches."""
+        need = self.s.coverage * self.counts[number]
+        if len({inside for _, inside in matches}) < need:
+            return None
+        length = len(self.templates[number].hashes)
+        # What is found in one alignment needs no look at looser groups, which mix alignments.
+        for groups in (self._aligned(matches, length, need), self._stretches(matches, length, need)):
+            judged = [self._judge(t, number, group, self.s.window) for group in groups]
+            judged = [j for j in judged if j[3] >= self.s.consistency]
+            if judged:
+                return max(judged, key=lambda j: (j[2], j[3], j[5] == "verbatim"))
+        return None
+
+    @staticmethod
+    def _aligned(matches: list[tuple[int, int]], length: int, need: float) -> Iterator[list[tuple[int, int]]]:
+        """Groups of enough matches whose place less place in the item differs by a small drift: a window that the item
+        repeats, or that stands near by, has another alignment and cuts nothing."""
+        drift, begin, seen = max(2, length // 8), 0, Counter()
+        ordered = sorted((place - inside, inside) for place, inside in matches)
+        for end, (shift, inside) in enumerate(ordered, 1):
+            seen[inside] += 1
+            last = end == len(ordered)
+            if not last and ordered[end][0] <= ordered[begin][0] + drift:
+                continue  # not as wide yet as it can be
+            if len(seen) >= need:
+                yield Items._one_each(ordered[begin:end])
+            while not last and begin < end and ordered[begin][0] < ordered[end][0] - drift:
+                seen[ordered[begin][1]] -= 1
+                if not seen[ordered[begin][1]]:
+                    del seen[ordered[begin][1]]
+                begin += 1
 
     @staticmethod
-    def _stretches(matches: list[tuple[int, int]], length: int) -> Iterator[list[tuple[int, int]]]:
-        """Matches that can be one occurrence: begun anew where the item seems to begin again or a wide gap follows."""
-        part, seen = [], set()
-        for place, inside in sorted(matches):
-            if part and (place - part[-1][0] > length or (inside in seen and place - part[0][0] >= length // 2)):
-                yield part
-                part, seen = [], set()
-            part.append((place, inside))
-            seen.add(inside)
-        if part:
-            yield part
+    def _one_each(group: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Of (shift, place in the item) the one of each place that is nearest to the commonest shift, as matches."""
+        common = Counter(shift for shift, _ in group).most_common(1)[0][0]
+        nearest = {}
+        for shift, inside in group:
+            if inside not in nearest or abs(shift - common) < abs(nearest[inside] - common):
+                nearest[inside] = shift
+        return [(nearest[inside] + inside, inside) for inside in sorted(nearest)]
+
+    @staticmethod
+    def _stretches(matches: list[tuple[int, int]], length: int, need: float) -> Iterator[list[tuple[int, int]]]:
+        """Groups of enough matches, in any order and with text between: up to a wide gap; also begun anew where the item
+        seems to begin again; also every span of the item's length and a quarter."""
+        ordered = sorted(matches)
+        for anew in (True, False):
+            part, seen = [], set()
+            for place, inside in [*ordered, (None, None)]:
+                if part and (place is None or place - part[-1][0] > length or (anew and inside in seen and place - part[0][0] >= length // 2)):
+                    if len(seen) >= need:
+                        yield part
+                        if not anew:
+                            yield Items._one_each([(p - i, i) for p, i in part])
+                    part, seen = [], set()
+                part.append((place, inside))
+                seen.add(inside)
+        begin, seen, span = 0, Counter(), length + length // 4
+        for end, (place, inside) in enumerate(ordered, 1):
+            seen[inside] += 1
+            last = end == len(ordered)
+            if not last and ordered[end][0] <= ordered[begin][0] + span:
+                continue
+            if len(seen) >= need:
+                yield Items._one_each([(p - i, i) for p, i in ordered[begin:end]])
+            while not last and begin < end and ordered[begin][0] < ordered[end][0] - span:
+                seen[ordered[begin][1]] -= 1
+                if not seen[ordered[begin][1]]:
+                    del seen[ordered[begin][1]]
+                begin += 1
 
     def _judge(self, t: Template, number: int, stretch: list[tuple[int, int]], size: int) -> tuple:
         item = self.templates[number]

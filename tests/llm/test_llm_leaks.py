@@ -40,3 +40,12 @@ def test_two_occurrences_are_judged_apart():
     text = " ".join(f"The train with {a} cars leaves {b} hours late from the old station." for a, b in ((5, 2), (9, 4)))
     items = Items([(1, "The train with 7 cars leaves 3 hours late from the old station.")], Settings())
     assert [x[-1] for x in items.found(text, Words())] == ["reparameterised"]
+
+
+def test_repeated_and_stray_windows_cut_no_occurrence():
+    item = "On Monday he sold 5 red apples and 3 green pears. On Tuesday he sold 7 red apples and 2 green pears. How many fruits did he sell in total"
+    items = Items([(1, item)], Settings())
+    other = item.replace("5", "8").replace("Tuesday", "Friday")
+    for text, kind in ((item, "verbatim"), (other, "reparameterised")):
+        for before in ("", "They told us that he sold 9 red apples and more. ", prose(8, 40) + " green pears. How many fruits did he eat? "):
+            assert [(x[2], x[-1]) for x in items.found(f"{before}{text} {prose(9, 40)}", Words())] == [(26, kind)]
