@@ -1,7 +1,9 @@
 """Benchmark items in documents, also with other numbers, names and units.
 
 Texts become templates: numbers, quantities with a unit, and runs of names inside sentences are typed
-placeholders, all else a literal word in lower case without outer punctuation. Windows of ``window`` template tokens
+placeholders, all else a literal word in lower case without outer punctuation. A capital at a sentence's begin and a word in
+capitals may be a name or not: texts with such words have a second, loose reading, where they are names, and windows of either
+reading are looked up among the items' windows of both. Windows of ``window`` template tokens
 are hashed; a document's windows are joined by hash with the items' windows inside the task that holds the document, so
 nothing is shuffled. An item is found where, in one alignment with the document (place less place in the item, up to a
 drift) or else in one stretch of it, at least ``coverage`` of its windows occur; then the values in its slots are compared: one item value must always stand for one document value
@@ -19,8 +21,9 @@ document; repeated rows and items each give their own rows; an empty table gives
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 from corpus_engine.llm.common import mark, prepare, texts
 
 LITERAL, NUMBER, QUANTITY, NAME = range(4)
-CAPITAL, STOPS, NUMERIC, UNIT, FUSED = 1, 2, 4, 8, 16
+CAPITAL, STOPS, NUMERIC, UNIT, FUSED, CAPITALS = 1, 2, 4, 8, 16, 32
 LITERALS = 2  # of a window that says something
 CACHE_WORDS = 300_000
 
@@ -46,6 +49,7 @@ NUMBER_WORDS = frozenset(
     "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty "
     "fifty sixty seventy eighty ninety hundred thousand million billion".split())
 EDGES = re.compile(r"^[^\w%°$€£+\-]+|[^\w%°]+$")
+SENTENCE_END = re.compile(r"[.!?:;…][\"')\]»”]*$")
 NUMERAL = re.compile(r"[+\-]?[$€£]?\d[\d,.:/]*(st|nd|rd|th|[^\W\d]{1,4}|%|°[cf]?)?")
 
 
@@ -64,49 +68,62 @@ def hash64(text: str) -> int:
 PLACEHOLDERS = np.array([0, *(hash64(f"\0{k}") for k in ("number", "quantity", "name"))], np.uint64)
 
 
-class Words:
+class Words(dict):
     """What a single word is: its literal's hash and flags; kept for the words seen most recently."""
 
     def __init__(self):
-        self.known: dict[str, tuple[int, int]] = {}
+        super().__init__()
+        self.hashes, self.flags = array("Q"), array("q")
+
+    def __missing__(self, word: str) -> int:
+        literal, flags = self._look(word)
+        self.hashes.append(literal)
+        self.flags.append(flags)
+        at = self[word] = len(self)
+        return at
 
     def _look(self, word: str) -> tuple[int, int]:
-        core = EDGES.sub("", word)
-        flags = STOPS if re.search(r"[.!?:;…][\"')\]»”]*$", word) else 0
+        core = word if word.isalnum() else EDGES.sub("", word)
+        flags = STOPS if not word[-1].isalnum() and SENTENCE_END.search(word) else 0
         low = core.lower()
-        if (m := NUMERAL.fullmatch(low)):
+        if not low.isalpha() and (m := NUMERAL.fullmatch(low)):
             flags |= NUMERIC | (FUSED if (m[1] and m[1] not in ("st", "nd", "rd", "th")) or low[0] in "$€£" else 0)
         elif low in NUMBER_WORDS:
             flags |= NUMERIC
         elif core[:1].isupper() and core[1:] != core[1:].upper():
             flags |= CAPITAL
+        elif core[:1].isupper():
+            flags |= CAPITALS
         if low in UNITS:
             flags |= UNIT
         return hash64(low), flags
 
     def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = self._look(w)
-        found = [known[w] for w in words]
-        return np.array([f[0] for f in found], np.uint64), np.array([f[1] for f in found], np.int64)
+        if len(self) > CACHE_WORDS:
+            self.clear()
+            self.hashes, self.flags = array("Q"), array("q")
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.frombuffer(self.hashes, np.uint64)[at], np.frombuffer(self.flags, np.int64)[at]
 
 
 @dataclass
 class Template:
-    """Template tokens of a text, and for each the words it stands for."""
+    """Template tokens of a text, and for each the words it stands for; ``places`` counts in tokens of the strict reading,
+    ``unsure`` tokens are names in the loose one only."""
 
     hashes: np.ndarray
     kinds: np.ndarray
     begins: np.ndarray
     words: list[str]
+    places: np.ndarray
+    unsure: np.ndarray
+
+    def end(self, at: int) -> int:
+        return int(self.begins[at + 1]) if at + 1 < len(self.begins) else len(self.words)
 
     def value(self, at: int) -> str:
         """The words a token stands for; of a run of names the last, since a capital at a text's start may join the run."""
-        end = int(self.begins[at + 1]) if at + 1 < len(self.begins) else len(self.words)
+        end = self.end(at)
         begin = end - 1 if self.kinds[at] == NAME else int(self.begins[at])
         return "".join(EDGES.sub("", w).lower() for w in self.words[begin:end])
 
@@ -124,21 +141,38 @@ class Template:
 
 
 def template(text: str, known: Words) -> Template:
+    """The strict reading."""
+    return readings(text, known)[0]
+
+
+def readings(text: str, known: Words) -> list[Template]:
+    """The strict reading, where words that begin a sentence and words in capitals are literals, and, if there are any, the
+    loose one, where they are names."""
     words = text.split()
     if not words:
         empty = np.zeros(0, np.int64)
-        return Template(empty.astype(np.uint64), empty, empty, words)
+        return [Template(empty.astype(np.uint64), empty, empty, words, empty, empty.astype(bool))]
     literal, flags = known.of(words)
     has = lambda f: (flags & f) > 0
     before = lambda x, first=False: np.concatenate([[first], x[:-1]])
-    number = has(NUMERIC)
+    number, ended = has(NUMERIC), before(has(STOPS), True)
     unit = has(UNIT) & before(number & ~has(FUSED)) & ~number
     quantity = number & (has(FUSED) | np.append(unit[1:], False))
-    name = has(CAPITAL) & ~before(has(STOPS), True) & ~unit
-    kinds = np.where(quantity, QUANTITY, np.where(number, NUMBER, np.where(name, NAME, LITERAL)))
-    kept = ~(unit | (name & before(name)))
-    kinds = kinds[kept]
-    return Template(np.where(kinds == LITERAL, literal[kept], PLACEHOLDERS[kinds]), kinds, np.flatnonzero(kept), words)
+    strict, loose = has(CAPITAL) & ~ended & ~unit, has(CAPITAL | CAPITALS) & ~unit
+
+    def read(name: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        kinds = np.where(quantity, QUANTITY, np.where(number, NUMBER, np.where(name, NAME, LITERAL)))
+        begins = np.flatnonzero(~(unit | (name & before(name) & ~ended)))
+        kinds = kinds[begins]
+        return np.where(kinds == LITERAL, literal[begins], PLACEHOLDERS[kinds]), kinds, begins
+
+    hashes, kinds, begins = read(strict)
+    out = [Template(hashes, kinds, begins, words, np.arange(len(begins)), np.zeros(len(begins), bool))]
+    if (strict != loose).any():
+        hashes, kinds, inner = read(loose)
+        last = np.append(inner[1:], len(words)) - 1  # what begins a token here begins one in the strict reading, too
+        out.append(Template(hashes, kinds, inner, words, np.searchsorted(begins, inner), (kinds == NAME) & ~strict[last]))
+    return out
 
 
 class Items:
@@ -149,50 +183,79 @@ class Items:
         self.ids, self.templates, self.counts = [], [], []
         places, whole = defaultdict(list), defaultdict(list)
         for item_id, text in rows:
-            t = template(text, known)
+            both = readings(text, known)
+            t = both[0]
             number = len(self.ids)
             if 0 < len(t.hashes) < s.window:
                 whole[int(t.windows(len(t.hashes))[0])].append(number)
                 count = 1
             else:
-                count = 0
-                for at, h in enumerate(t.windows(s.window).tolist()):
-                    if h:
-                        places[h].append((number, at))
-                        count += 1
+                count = self._index(number, both, places)
             self.ids.append(item_id)
-            self.templates.append(t)
+            self.templates.append(both)
             self.counts.append(count)
         whole.pop(0, None)
         self.whole, self.places = dict(whole), dict(places)
         self.sorted = np.sort(np.fromiter(places, np.uint64, len(places)))
 
+    def _index(self, number: int, both: list[Template], places: dict[int, list]) -> int:
+        """Notes (item, place, reading, token) of each window that speaks, and gives the number of places. A window of the
+        loose reading stands for all places that its first token takes up in the strict one, the last also for those after it."""
+        windows = [t.windows(self.s.window) for t in both]
+        spoken = np.flatnonzero(windows[0] > 0)
+        if not len(spoken) and len(both) > 1:
+            spoken = both[1].places[np.flatnonzero(windows[1] > 0)]
+        noted = set()
+        for reading, (t, hashes) in enumerate(zip(both, windows)):
+            for token in np.flatnonzero(hashes > 0).tolist():
+                after = t.places[token + 1] if token + 1 < len(hashes) else len(both[0].hashes)
+                window = int(hashes[token])
+                for place in spoken[np.searchsorted(spoken, t.places[token]):np.searchsorted(spoken, after)].tolist():
+                    if (window, place) not in noted:
+                        noted.add((window, place))
+                        places[window].append((number, place, reading, token))
+        return len(spoken)
+
     def found(self, text: str, known: Words) -> list[tuple]:
-        """(item, its windows, those found, share of consistent slots, slots, kind) of each leaked item, best stretch."""
-        t = template(text, known)
+        """(item, its windows, those found, share of consistent slots, slots, kind) of each leaked item, best occurrence."""
+        both = readings(text, known)
+        t = both[0]
         if 0 < len(t.hashes) < self.s.window:
-            return [self._judge(t, i, [(0, 0)], len(t.hashes)) for i in self.whole.get(int(t.windows(len(t.hashes))[0]), ())]
-        hashes = t.windows(self.s.window)
-        if not len(hashes) or not len(self.sorted):
+            match = {(0, 0): (0, 0, 0, 0)}
+            return [self._judge(both, i, match, match, len(t.hashes)) for i in self.whole.get(int(t.windows(len(t.hashes))[0]), ())]
+        if not len(self.sorted):
             return []
-        at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
-        hits = np.flatnonzero((self.sorted[at] == hashes) & (hashes > 0))
-        by_item = defaultdict(list)
-        for place in hits.tolist():
-            for number, inside in self.places[int(hashes[place])]:
-                by_item[number].append((place, inside))
-        out = [self._best(t, number, matches) for number, matches in by_item.items()]
+        by_item = defaultdict(dict)
+        for reading, t in enumerate(both):
+            hashes = t.windows(self.s.window)
+            tokens = np.flatnonzero(hashes > 0)
+            if reading:  # other windows are the same in both
+                unsure = np.concatenate([[0], np.cumsum(self._merged(t, both[0]))])
+                tokens = tokens[unsure[tokens + self.s.window] > unsure[tokens]]
+            looked = hashes[tokens]
+            at = np.minimum(np.searchsorted(self.sorted, looked), len(self.sorted) - 1)
+            for token in tokens[self.sorted[at] == looked].tolist():
+                place = int(t.places[token])
+                for number, inside, *of_item in self.places[int(hashes[token])]:
+                    by_item[number].setdefault((place, inside), (*of_item, reading, token))
+        out = [self._best(both, number, matches) for number, matches in by_item.items()]
         return [best for best in out if best]
 
-    def _best(self, t: Template, number: int, matches: list[tuple[int, int]]) -> tuple | None:
+    @staticmethod
+    def _merged(t: Template, strict: Template) -> np.ndarray:
+        """Tokens that the strict reading reads otherwise."""
+        sizes = np.append(t.places[1:], len(strict.hashes)) - t.places
+        return t.unsure | (sizes > 1)
+
+    def _best(self, both: list[Template], number: int, matches: dict[tuple[int, int], tuple]) -> tuple | None:
         """The best consistent occurrence of an item among its matches."""
         need = self.s.coverage * self.counts[number]
         if len({inside for _, inside in matches}) < need:
             return None
-        length = len(self.templates[number].hashes)
+        length = len(self.templates[number][0].hashes)
         # What is found in one alignment needs no look at looser groups, which mix alignments.
         for groups in (self._aligned(matches, length, need), self._stretches(matches, length, need)):
-            judged = [self._judge(t, number, group, self.s.window) for group in groups]
+            judged = [self._judge(both, number, matches, group, self.s.window) for group in groups]
             judged = [j for j in judged if j[3] >= self.s.consistency]
             if judged:
                 return max(judged, key=lambda j: (j[2], j[3], j[5] == "verbatim"))
@@ -257,20 +320,26 @@ class Items:
                     del seen[ordered[begin][1]]
                 begin += 1
 
-    def _judge(self, t: Template, number: int, stretch: list[tuple[int, int]], size: int) -> tuple:
-        item = self.templates[number]
+    def _judge(self, both: list[Template], number: int, matches: dict[tuple[int, int], tuple], group: Iterable[tuple[int, int]], size: int) -> tuple:
         slots = {}
-        for place, inside in stretch:
+        for match in group:
+            reading, mine, other, theirs = matches[match]
+            item, t = self.templates[number][reading], both[other]
             for k in range(size):
-                if item.kinds[inside + k] != LITERAL:
-                    slots.setdefault(inside + k, place + k)
-        values = defaultdict(Counter)
-        for mine, theirs in slots.items():
-            values[item.value(mine)][t.value(theirs)] += 1
+                if item.kinds[mine + k] != LITERAL:
+                    slots.setdefault(item.end(mine + k), (item.value(mine + k), t.value(theirs + k), bool(item.unsure[mine + k])))
+        values, sure = defaultdict(Counter), set()
+        for mine, theirs, unsure in slots.values():
+            values[mine][theirs] += 1
+            if mine != theirs or not unsure:
+                sure.add(mine)
+        # A word that may be a name, but stands unchanged wherever it occurs, is no slot.
+        values = {mine: c for mine, c in values.items() if mine in sure}
+        n_slots = sum(c.total() for c in values.values())
         agreed = sum(c.most_common(1)[0][1] for c in values.values())
         same = all(set(c) == {v} for v, c in values.items())
-        share = agreed / len(slots) if slots else 1.0
-        return (self.ids[number], self.counts[number], len({i for _, i in stretch}), share, len(slots), "verbatim" if same else "reparameterised")
+        share = agreed / n_slots if n_slots else 1.0
+        return (self.ids[number], self.counts[number], len({i for _, i in group}), share, n_slots, "verbatim" if same else "reparameterised")
 
 
 COLUMNS = "doc_id long, mark long, item_id long, n_windows long, n_found long, slot_consistency double, n_slots long, kind string"

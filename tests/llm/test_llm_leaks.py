@@ -49,3 +49,14 @@ def test_repeated_and_stray_windows_cut_no_occurrence():
     for text, kind in ((item, "verbatim"), (other, "reparameterised")):
         for before in ("", "They told us that he sold 9 red apples and more. ", prose(8, 40) + " green pears. How many fruits did he eat? "):
             assert [(x[2], x[-1]) for x in items.found(f"{before}{text} {prose(9, 40)}", Words())] == [(26, kind)]
+
+
+def test_changed_names_at_sentence_starts_and_in_capitals():
+    item = "Natalia sold clips to 48 of her friends in April. Natalia then sold half as many clips in May."
+    caps = "The crew of NASA flew 12 rockets in one year, but NASA lost 3 of them at the end. NASA then built more of the same kind."
+    items = Items([(1, item), (2, caps)], Settings())
+    kinds = lambda text: [(x[0], x[-1]) for x in items.found(f"{prose(8, 40)}. {text} {prose(9, 40)}", Words())]
+    assert kinds(item) == [(1, "verbatim")] and kinds(caps) == [(2, "verbatim")]
+    assert kinds(item.replace("Natalia", "Maria")) == kinds(item.replace("Natalia", "Mary Ann")) == [(1, "reparameterised")]
+    assert kinds(caps.replace("NASA", "ESA")) == [(2, "reparameterised")]
+    assert kinds(item.replace("Natalia", "Maria", 1).replace("Natalia", "Susan")) == []  # one name must stay one name
