@@ -1,7 +1,7 @@
 """Benchmark items in documents, also with other numbers, names and units.
 
 Texts become templates: numbers, quantities with a unit, and runs of names inside sentences are typed
-placeholders, all else a literal word in lower case without outer punctuation. A capital at a sentence's begin and a word in
+placeholders, all else a literal word in lower case without outer punctuation. A capital at the begin of a sentence or quotation and a word in
 capitals may be a name or not: texts with such words have a second, loose reading, where they are names, and windows of either
 reading are looked up among the items' windows of both. Windows of ``window`` template tokens
 are hashed; a document's windows are joined by hash with the items' windows inside the task that holds the document, so
@@ -13,9 +13,12 @@ with others a *reparameterised* one.
 The items are a stated query set and are taken in blocks of about ``block_windows`` windows, so what is broadcast is
 bounded for any number of items; each block reads the documents once.
 
-Defined results: null or empty texts and items match nothing; windows with fewer than two literal tokens say nothing, and an
-item without any other window is not searched for; an item of fewer tokens than a window is found only where it is the whole
-document; repeated rows and items each give their own rows; an empty table gives no row. Only the named columns are read.
+Items of fewer tokens than a window, and those without a window of two literal tokens, are looked up as a whole at every place:
+by their words and, where the whole template has two literals, by it. A run of numbers is found with its own numbers only.
+
+Defined results: null or empty texts and items match nothing; windows with fewer than two literal tokens say nothing; an item of
+one or two tokens is found only as a sentence, a quotation or a text of its own; repeated rows and items each give their own
+rows; an empty table gives no row. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -35,8 +38,9 @@ from pyspark.sql import functions as F
 from corpus_engine.llm.common import mark, prepare, texts
 
 LITERAL, NUMBER, QUANTITY, NAME = range(4)
-CAPITAL, STOPS, NUMERIC, UNIT, FUSED, CAPITALS = 1, 2, 4, 8, 16, 32
+CAPITAL, STOPS, NUMERIC, UNIT, FUSED, CAPITALS, OPENS = 1, 2, 4, 8, 16, 32, 64
 LITERALS = 2  # of a window that says something
+ANYWHERE = 3  # tokens from which a short item is found inside sentences
 CACHE_WORDS = 300_000
 
 # Units and number words.
@@ -49,6 +53,7 @@ NUMBER_WORDS = frozenset(
     "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty "
     "fifty sixty seventy eighty ninety hundred thousand million billion".split())
 EDGES = re.compile(r"^[^\w%°$€£+\-]+|[^\w%°]+$")
+OPENING = "\"'“‘«„([{"
 SENTENCE_END = re.compile(r"[.!?:;…][\"')\]»”]*$")
 NUMERAL = re.compile(r"[+\-]?[$€£]?\d[\d,.:/]*(st|nd|rd|th|[^\W\d]{1,4}|%|°[cf]?)?")
 
@@ -68,6 +73,9 @@ def hash64(text: str) -> int:
 PLACEHOLDERS = np.array([0, *(hash64(f"\0{k}") for k in ("number", "quantity", "name"))], np.uint64)
 
 
+POWERS = (0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
 class Words(dict):
     """What a single word is: its literal's hash and flags; kept for the words seen most recently."""
 
@@ -85,6 +93,7 @@ class Words(dict):
     def _look(self, word: str) -> tuple[int, int]:
         core = word if word.isalnum() else EDGES.sub("", word)
         flags = STOPS if not word[-1].isalnum() and SENTENCE_END.search(word) else 0
+        flags |= OPENS if word[0] in OPENING else 0
         low = core.lower()
         if not low.isalpha() and (m := NUMERAL.fullmatch(low)):
             flags |= NUMERIC | (FUSED if (m[1] and m[1] not in ("st", "nd", "rd", "th")) or low[0] in "$€£" else 0)
@@ -109,7 +118,7 @@ class Words(dict):
 @dataclass
 class Template:
     """Template tokens of a text, and for each the words it stands for; ``places`` counts in tokens of the strict reading,
-    ``unsure`` tokens are names in the loose one only."""
+    ``unsure`` tokens are names in the loose one only; ``literal`` has the hash of every word."""
 
     hashes: np.ndarray
     kinds: np.ndarray
@@ -117,6 +126,7 @@ class Template:
     words: list[str]
     places: np.ndarray
     unsure: np.ndarray
+    literal: np.ndarray
 
     def end(self, at: int) -> int:
         return int(self.begins[at + 1]) if at + 1 < len(self.begins) else len(self.words)
@@ -140,22 +150,31 @@ class Template:
         return np.where(literal >= min(LITERALS, size), total | np.uint64(1), np.uint64(0))
 
 
+def runs(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size``: differences of sums of hash times power, brought to the same power."""
+    if len(hashes) < size:
+        return np.zeros(0, np.uint64)
+    up, down = (np.cumprod(np.append(np.uint64(1), np.full(len(hashes) - 1, f, np.uint64))) for f in POWERS)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up)])
+    return (sums[size:] - sums[:-size]) * down[:len(hashes) - size + 1]
+
+
 def template(text: str, known: Words) -> Template:
     """The strict reading."""
     return readings(text, known)[0]
 
 
 def readings(text: str, known: Words) -> list[Template]:
-    """The strict reading, where words that begin a sentence and words in capitals are literals, and, if there are any, the
+    """The strict reading, where words that begin a sentence or quotation and words in capitals are literals, and, if there are any, the
     loose one, where they are names."""
     words = text.split()
     if not words:
         empty = np.zeros(0, np.int64)
-        return [Template(empty.astype(np.uint64), empty, empty, words, empty, empty.astype(bool))]
+        return [Template(empty.astype(np.uint64), empty, empty, words, empty, empty.astype(bool), empty.astype(np.uint64))]
     literal, flags = known.of(words)
     has = lambda f: (flags & f) > 0
     before = lambda x, first=False: np.concatenate([[first], x[:-1]])
-    number, ended = has(NUMERIC), before(has(STOPS), True)
+    number, ended = has(NUMERIC), before(has(STOPS), True) | has(OPENS)
     unit = has(UNIT) & before(number & ~has(FUSED)) & ~number
     quantity = number & (has(FUSED) | np.append(unit[1:], False))
     strict, loose = has(CAPITAL) & ~ended & ~unit, has(CAPITAL | CAPITALS) & ~unit
@@ -167,11 +186,11 @@ def readings(text: str, known: Words) -> list[Template]:
         return np.where(kinds == LITERAL, literal[begins], PLACEHOLDERS[kinds]), kinds, begins
 
     hashes, kinds, begins = read(strict)
-    out = [Template(hashes, kinds, begins, words, np.arange(len(begins)), np.zeros(len(begins), bool))]
+    out = [Template(hashes, kinds, begins, words, np.arange(len(begins)), np.zeros(len(begins), bool), literal)]
     if (strict != loose).any():
         hashes, kinds, inner = read(loose)
         last = np.append(inner[1:], len(words)) - 1  # what begins a token here begins one in the strict reading, too
-        out.append(Template(hashes, kinds, inner, words, np.searchsorted(begins, inner), (kinds == NAME) & ~strict[last]))
+        out.append(Template(hashes, kinds, inner, words, np.searchsorted(begins, inner), (kinds == NAME) & ~strict[last], literal))
     return out
 
 
@@ -181,21 +200,23 @@ class Items:
     def __init__(self, rows: list[tuple[int, str]], s: Settings):
         known, self.s = Words(), s
         self.ids, self.templates, self.counts = [], [], []
-        places, whole = defaultdict(list), defaultdict(list)
+        places = defaultdict(list)
+        # By the number of tokens or words, and the hash of the run: items found as a whole, with any values or with the same.
+        self.whole, self.exact = defaultdict(lambda: defaultdict(list)), defaultdict(lambda: defaultdict(list))
         for item_id, text in rows:
             both = readings(text, known)
-            t = both[0]
             number = len(self.ids)
-            if 0 < len(t.hashes) < s.window:
-                whole[int(t.windows(len(t.hashes))[0])].append(number)
-                count = 1
-            else:
-                count = self._index(number, both, places)
+            count = self._index(number, both, places)
+            speaks = [(t.kinds == LITERAL).sum() >= LITERALS for t in both]
+            for reading, t in enumerate(both):
+                if speaks[reading] and (not count or len(t.hashes) < s.window):
+                    self.whole[len(t.hashes)][int(runs(t.hashes, len(t.hashes))[0])].append((number, reading))
+            if len(both[0].words) and (not count or len(both[-1].hashes) < s.window):
+                self.exact[len(both[0].words)][int(runs(both[0].literal, len(both[0].words))[0])].append(number)
             self.ids.append(item_id)
             self.templates.append(both)
-            self.counts.append(count)
-        whole.pop(0, None)
-        self.whole, self.places = dict(whole), dict(places)
+            self.counts.append(count or 1)
+        self.places = dict(places)
         self.sorted = np.sort(np.fromiter(places, np.uint64, len(places)))
 
     def _index(self, number: int, both: list[Template], places: dict[int, list]) -> int:
@@ -219,12 +240,49 @@ class Items:
     def found(self, text: str, known: Words) -> list[tuple]:
         """(item, its windows, those found, share of consistent slots, slots, kind) of each leaked item, best occurrence."""
         both = readings(text, known)
-        t = both[0]
-        if 0 < len(t.hashes) < self.s.window:
-            match = {(0, 0): (0, 0, 0, 0)}
-            return [self._judge(both, i, match, match, len(t.hashes)) for i in self.whole.get(int(t.windows(len(t.hashes))[0]), ())]
-        if not len(self.sorted):
-            return []
+        leaks = self._short(both)
+        if len(self.sorted):
+            for number, leak in self._long(both).items():
+                leaks.setdefault(number, leak)
+        return list(leaks.values())
+
+    def _short(self, both: list[Template]) -> dict[int, tuple]:
+        """Items that are found as a whole, at any place; those of very few tokens only as a sentence or quotation of their own."""
+        out = {}
+
+        def note(number: int, leak: tuple) -> None:
+            if leak[3] >= self.s.consistency and (number not in out or (leak[3], leak[5] == "verbatim") > (out[number][3], out[number][5] == "verbatim")):
+                out[number] = leak
+
+        for size, wanted in self.whole.items():
+            for other, t in enumerate(both):
+                for place, h in self._at(runs(t.hashes, size), wanted):
+                    for number, reading in wanted[h]:
+                        if size >= ANYWHERE or self._apart(t.words, int(t.begins[place]), t.end(place + size - 1)):
+                            note(number, self._judge(both, number, {(0, 0): (reading, 0, other, place)}, [(0, 0)], size, 1))
+        for size, numbers in self.exact.items():
+            for place, h in self._at(runs(both[0].literal, size), numbers):
+                if size >= ANYWHERE or self._apart(both[0].words, place, place + size):
+                    for number in numbers[h]:
+                        n_slots = int((self.templates[number][0].kinds != LITERAL).sum())
+                        note(number, (self.ids[number], 1, 1, 1.0, n_slots, "verbatim"))
+        return out
+
+    @staticmethod
+    def _at(hashes: np.ndarray, wanted: dict[int, list]) -> list[tuple[int, int]]:
+        at = np.flatnonzero(np.isin(hashes, np.fromiter(wanted, np.uint64, len(wanted))))
+        return list(zip(at.tolist(), hashes[at].tolist()))
+
+    @staticmethod
+    def _apart(words: list[str], begin: int, end: int) -> bool:
+        """Whether words stand as a sentence, a quotation or a text of their own."""
+        first, last, named = words[begin], words[end - 1], any(EDGES.sub("", w) for w in words[begin:end])
+        opened = begin == 0 or (named and (EDGES.match(first) or SENTENCE_END.search(words[begin - 1])))
+        closed = end == len(words) or (named and EDGES.sub("", "x" + last) != "x" + last)
+        return bool(opened and closed)
+
+    def _long(self, both: list[Template]) -> dict[int, tuple]:
+        """Items of which enough windows are found."""
         by_item = defaultdict(dict)
         for reading, t in enumerate(both):
             hashes = t.windows(self.s.window)
@@ -238,8 +296,8 @@ class Items:
                 place = int(t.places[token])
                 for number, inside, *of_item in self.places[int(hashes[token])]:
                     by_item[number].setdefault((place, inside), (*of_item, reading, token))
-        out = [self._best(both, number, matches) for number, matches in by_item.items()]
-        return [best for best in out if best]
+        out = {number: self._best(both, number, matches) for number, matches in by_item.items()}
+        return {number: best for number, best in out.items() if best}
 
     @staticmethod
     def _merged(t: Template, strict: Template) -> np.ndarray:
@@ -320,7 +378,7 @@ class Items:
                     del seen[ordered[begin][1]]
                 begin += 1
 
-    def _judge(self, both: list[Template], number: int, matches: dict[tuple[int, int], tuple], group: Iterable[tuple[int, int]], size: int) -> tuple:
+    def _judge(self, both: list[Template], number: int, matches: dict[tuple[int, int], tuple], group: Iterable[tuple[int, int]], size: int, count: int = 0) -> tuple:
         slots = {}
         for match in group:
             reading, mine, other, theirs = matches[match]
@@ -339,7 +397,7 @@ class Items:
         agreed = sum(c.most_common(1)[0][1] for c in values.values())
         same = all(set(c) == {v} for v, c in values.items())
         share = agreed / n_slots if n_slots else 1.0
-        return (self.ids[number], self.counts[number], len({i for _, i in group}), share, n_slots, "verbatim" if same else "reparameterised")
+        return (self.ids[number], count or self.counts[number], len({i for _, i in group}), share, n_slots, "verbatim" if same else "reparameterised")
 
 
 COLUMNS = "doc_id long, mark long, item_id long, n_windows long, n_found long, slot_consistency double, n_slots long, kind string"

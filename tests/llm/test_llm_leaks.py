@@ -60,3 +60,15 @@ def test_changed_names_at_sentence_starts_and_in_capitals():
     assert kinds(item.replace("Natalia", "Maria")) == kinds(item.replace("Natalia", "Mary Ann")) == [(1, "reparameterised")]
     assert kinds(caps.replace("NASA", "ESA")) == [(2, "reparameterised")]
     assert kinds(item.replace("Natalia", "Maria", 1).replace("Natalia", "Susan")) == []  # one name must stay one name
+
+
+def test_short_and_slot_heavy_items_inside_documents():
+    texts = ["Who wrote Hamlet?", "3 14 15 92 65 35 89 79", "Alice Bob Carol Dave Erin", "Is it?", "Paris", "Add 3 7 21 5 8 13 now"]
+    items = Items(list(enumerate(texts)), Settings())
+    kinds = lambda text: [(x[0], x[-1]) for x in items.found(text, Words())]
+    for k, item in enumerate(texts):
+        assert kinds(item) == kinds(f"{prose(8, 40)}. {item}. {prose(9, 40)}") == kinds(f"{prose(8, 9)} \"{item}\" {prose(9, 9)}") == [(k, "verbatim")]
+    assert kinds(f"{prose(8, 9)} \"Who wrote Macbeth?\" {prose(9, 9)}") == [(0, "reparameterised")]
+    assert kinds(f"They asked who wrote Macbeth {prose(9, 40)}") == [(0, "reparameterised")]
+    assert kinds("Add 4 8 22 6 9 14 now and " + prose(9, 40)) == [(5, "reparameterised")]
+    assert kinds("The numbers 3 14 15 92 65 35 89 80 and Alice Bob Carol Dave Eric, and is it in Paris that he wrote Hamlet") == []
