@@ -6,7 +6,7 @@ capitals may be a name or not: texts with such words have a second, loose readin
 reading are looked up among the items' windows of both. Windows of ``window`` template tokens
 are hashed; a document's windows are joined by hash with the items' windows inside the task that holds the document, so
 nothing is shuffled. An item is found where, in one alignment with the document (place less place in the item, up to a
-drift) or else in one stretch of it, at least ``coverage`` of its windows occur; then the values in its slots are compared: one item value must always stand for one document value
+drift) or else in one stretch of it, at least ``coverage`` of its windows occur, or ``run`` of them one after another; then the values in its slots are compared: one item value must always stand for one document value
 (in at least ``consistency`` of the slots), else the stretch only looks alike. With equal values it is a *verbatim* leak,
 with others a *reparameterised* one.
 
@@ -63,6 +63,7 @@ class Settings:
     window: int = 5
     coverage: float = 0.8
     consistency: float = 0.9
+    run: int = 20  # consecutive windows that are a leak whatever their share of the item
     block_windows: int = 500_000
 
 
@@ -199,7 +200,7 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]], s: Settings):
         known, self.s = Words(), s
-        self.ids, self.templates, self.counts = [], [], []
+        self.ids, self.templates, self.counts, self.ranks = [], [], [], []
         places = defaultdict(list)
         # By the number of tokens or words, and the hash of the run: items found as a whole, with any values or with the same.
         self.whole, self.exact = defaultdict(lambda: defaultdict(list)), defaultdict(lambda: defaultdict(list))
@@ -235,6 +236,7 @@ class Items:
                     if (window, place) not in noted:
                         noted.add((window, place))
                         places[window].append((number, place, reading, token))
+        self.ranks.append({place: rank for rank, place in enumerate(spoken.tolist())})
         return len(spoken)
 
     def found(self, text: str, known: Words) -> list[tuple]:
@@ -308,17 +310,40 @@ class Items:
     def _best(self, both: list[Template], number: int, matches: dict[tuple[int, int], tuple]) -> tuple | None:
         """The best consistent occurrence of an item among its matches."""
         need = self.s.coverage * self.counts[number]
-        if len({inside for _, inside in matches}) < need:
+        if len({inside for _, inside in matches}) < min(need, self.s.run):
             return None
         length = len(self.templates[number][0].hashes)
         # What is found in one alignment needs no look at looser groups, which mix alignments.
-        for groups in (self._aligned(matches, length, need), self._stretches(matches, length, need)):
+        for groups in (self._aligned(matches, length, need), self._stretches(matches, length, need), self._consecutive(matches, number)):
             judged = [self._judge(both, number, matches, group, self.s.window) for group in groups]
             judged = [j for j in judged if j[3] >= self.s.consistency]
             if judged:
                 return max(judged, key=lambda j: (j[2], j[3], j[5] == "verbatim"))
         return None
 
+    def _consecutive(self, matches: Iterable[tuple[int, int]], number: int) -> Iterator[list[tuple[int, int]]]:
+        """Chains of matches whose windows follow each other in the item (but for those that say nothing) and in the document,
+        as a whole and in pieces, so that other values in a part of a chain do not hide the rest."""
+        ranks, before, sizes, inner = self.ranks[number], {}, {}, set()
+        for inside, shift in sorted((inside, place - inside) for place, inside in matches):
+            at = (ranks[inside], shift)
+            # Where names are read as one, the shift changes by the words that are no tokens of their own.
+            last = max(((at[0] - 1, shift + d) for d in (0, -1, 1, -2, 2)), key=lambda x: sizes.get(x, 0))
+            sizes[at] = 1 + sizes.get(last, 0)
+            if last in sizes:
+                before[at] = last
+                inner.add(last)
+        spoken = list(ranks)
+        for at in sizes.keys() - inner:
+            if sizes[at] >= self.s.run:
+                chain = [at]
+                while chain[-1] in before:
+                    chain.append(before[chain[-1]])
+                group = [(spoken[rank] + shift, spoken[rank]) for rank, shift in reversed(chain)]
+                yield group
+                for begin in range(len(group) - self.s.run + 1):
+                    yield group[begin:begin + self.s.run]
+
     @staticmethod
     def _aligned(matches: list[tuple[int, int]], length: int, need: float) -> Iterator[list[tuple[int, int]]]:
         """Groups of enough matches whose place less place in the item differs by a small drift: a window that the item

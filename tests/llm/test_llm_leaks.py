@@ -72,3 +72,16 @@ def test_short_and_slot_heavy_items_inside_documents():
     assert kinds(f"They asked who wrote Macbeth {prose(9, 40)}") == [(0, "reparameterised")]
     assert kinds("Add 4 8 22 6 9 14 now and " + prose(9, 40)) == [(5, "reparameterised")]
     assert kinds("The numbers 3 14 15 92 65 35 89 80 and Alice Bob Carol Dave Eric, and is it in Paris that he wrote Hamlet") == []
+
+
+def test_long_passages_of_an_item():
+    item = prose(3, 200) + ". Then Alice buys 12 apples and Bob pays 3 dollars. " + prose(4, 200)
+    words, items = item.split(), Items([(1, item)], Settings())
+    kinds = lambda text: [x[-1] for x in items.found(f"{prose(8, 40)} {text} {prose(9, 40)}", Words())]
+    assert kinds(" ".join(words[:300])) == kinds(" ".join(words[190:220])) == ["verbatim"]
+    assert kinds(" ".join(words[190:220]).replace("Alice", "Carol").replace("12", "15")) == ["reparameterised"]
+    assert kinds(" ".join(words[50:65])) == kinds(" ".join(words[20:40] + prose(7, 9).split() + words[60:80])) == []
+    twice = "If Alice has 3 red pens and Alice has 3 blue ones then Alice gets 3 more, but Alice and only Alice has 3 in the end "
+    items = Items([(1, twice + prose(4, 200))], Settings())
+    other = twice.replace("Alice", "Carol", 2).replace("3", "5", 2).replace("3", "8")
+    assert kinds(other) == [] and kinds(other + prose(4, 60)) == ["verbatim"]  # its end is
