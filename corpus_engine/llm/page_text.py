@@ -10,12 +10,13 @@ A page is read into blocks of white-space-normal text, in page order, each in a
 A page that marks its article is that zone. Where nothing is marked, what repeats is told from what is
 the page's own by suffix arrays of the host's token streams: the suffixes of all chrome and plain
 tokens of a host's pages are grouped by their first ``depth`` tokens, which is what neighbours in the sorted array
-share; a group that occurs on more than one distinct page is a repeated run, and plain blocks that such runs
-cover go. If all of a page's plain blocks would go, as on a mirrored page, they stay.
+share; a group that occurs on ``share`` of the host's distinct pages, and on two at least, is a repeated run, and the plain
+tokens that such runs cover go, no others. Blocks of fewer tokens are compared as a whole. If all of a page's plain text would
+go, as on a mirrored page, it stays.
 
-The array is never built in one place: suffixes are dealt by host and prefix, so one host's are spread over all
-tasks, and a prefix is reduced in the tasks to its smallest and largest page before it is shuffled, so a run on a
-third of all pages costs one row per task. Only pages with unmarked text look their runs up.
+The array is never built in one place: suffixes are dealt by a hash of host and prefix and of the page's content, so one host's,
+or one prefix's, are spread over all tasks, and pages are counted in the tasks before a prefix's counts are shuffled. Only pages
+with unmarked text look their runs up.
 
 Defined results: a null or empty page has the empty text; a null or odd URL shares the host "" with its like; pages
 are told apart by content, so repeated rows and copies do not make each other's text boilerplate; malformed markup is
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from corpus_engine.llm.common import prepare, settled
 
 DEPTH = 8  # tokens of a repeated run
-COVERED = 0.5  # share of a block's tokens in repeated runs from which it goes
+SHARE = 0.3  # of a host's distinct pages that have a repeated run
 
 # Element, role and name lists.
 HEADING_NAMES = frozenset("article content entry post story".split())  # beside "header" inside an article: its heading
@@ -206,21 +207,47 @@ def unmarked(found: list[tuple[str, str]]) -> bool:
     return any(z == "plain" for z, _ in found) and not any(z == "article" for z, _ in found)
 
 
-def chosen(found: list[tuple[str, str]], repeated: set[int]) -> str:
-    """The page's main text, given the prefixes its host repeats."""
+def salt(url: str | None) -> np.uint64:
+    return np.uint64(hash64("\0" + host(url)))
+
+
+def keyed(hashes: np.ndarray, of_host: np.uint64) -> np.ndarray:
+    mixed = (hashes.view(np.uint64) ^ of_host) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed ^ (mixed >> np.uint64(32))).view(np.int64)
+
+
+def short(found: list[tuple[str, str]], zones: tuple[str, ...], of_host: np.uint64) -> tuple[list[int], list[int]]:
+    """Blocks of fewer tokens than a run has, and a key of each."""
+    places = [i for i, (z, t) in enumerate(found) if z in zones and t.count(" ") + 1 < DEPTH]
+    return places, keyed(np.array([hash64("\0" + found[i][1]) for i in places], np.uint64), of_host).tolist()
+
+
+def keys(found: list[tuple[str, str]], zones: tuple[str, ...], of_host: np.uint64) -> np.ndarray:
+    """Keys of all runs and short blocks."""
+    own = np.array(short(found, zones, of_host)[1], np.int64)
+    return np.concatenate([keyed(windows(stream(found, zones)[0]), of_host), own])
+
+
+def chosen(found: list[tuple[str, str]], repeated: set[int], of_host: np.uint64 = np.uint64(0)) -> str:
+    """The page's main text, given the keys its host repeats."""
     if any(z == "article" for z, _ in found):
         return "\n".join(t for z, t in found if z == "article")
-    tokens, places = stream(found, ("plain",))
-    kept = [i for i, (z, _) in enumerate(found) if z == "plain"]
+    kept = [t for z, t in found if z == "plain"]
     if repeated:
-        covered = np.zeros(len(tokens), bool)
-        for at, h in enumerate(windows(tokens).tolist()):
+        tokens, places = stream(found, ("plain",))
+        covered, places = np.zeros(len(tokens), bool), np.array(places)
+        for at, h in enumerate(keyed(windows(tokens), of_host).tolist()):
             if h in repeated:
                 covered[at:at + DEPTH] = True
-        sizes = np.bincount(places, minlength=len(found))
-        gone = np.bincount(places, covered, minlength=len(found)) >= COVERED * np.maximum(sizes, 1)
-        kept = [i for i in kept if not gone[i]] or kept
-    return "\n".join(found[i][1] for i in kept)
+        for i, h in zip(*short(found, ("plain",), of_host)):
+            if h in repeated:
+                covered[places == i] = True
+        own = {}
+        for token, i, gone in zip(tokens, places.tolist(), covered.tolist()):
+            if not gone:
+                own.setdefault(i, []).append(token)
+        kept = [" ".join(ts) for ts in own.values()] or kept
+    return "\n".join(kept)
 
 
 def main_text(pages: DataFrame, key="page_id", url="url", html="html") -> DataFrame:
@@ -241,29 +268,26 @@ def main_text(pages: DataFrame, key="page_id", url="url", html="html") -> DataFr
                 ["row", "page_id", "url", "html", "text"])
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each page's runs, and its host as one more."""
         for batch in batches:
-            hosts, prefixes, contents = [], [], []
+            out, contents = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for page, address in zip(batch.column("html").to_pylist(), batch.column("url").to_pylist()):
                 found = blocks(page or "")
-                if not any(z == "plain" for z, _ in found):
-                    tokens = [t for z, t in found if z == "chrome" for t in t.split(" ")]
-                else:
-                    tokens, _ = stream(found, ("chrome", "plain"))
-                distinct = np.unique(windows(tokens))
-                own = np.int64(np.uint64(hash64("\n".join(t for _, t in found))).view(np.int64))
-                prefixes.append(distinct)
-                hosts += [host(address)] * len(distinct)
-                contents.append(np.full(len(distinct), own))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(np.concatenate(prefixes) if prefixes else [], pa.int64()),
-                 pa.array(np.concatenate(contents) if contents else [], pa.int64())], ["host", "prefix", "content"])
+                if not found:
+                    continue
+                of_host = salt(address)
+                # A run of plain text is the same whether or not a menu stands in it.
+                own = [keys(found, zones, of_host) for zones in (("chrome", "plain"), ("plain",))]
+                out.append(np.unique(np.concatenate([*own, np.array([of_host]).view(np.int64)])))
+                content = np.uint64(hash64("\n".join(t for _, t in found))).view(np.int64)
+                contents.append(np.full(len(out[-1]), content))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.concatenate(contents))], ["key", "content"])
 
     first = settled(rows.mapInArrow(read, "row long, page_id long, url string, html string, text string"), "page-text")
     done = first.where("text is not null").select("page_id", "url", "text")
     waiting = first.where("text is null").select("row", "page_id", "url", "html")
-    arrays = rows.select("url", "html").mapInArrow(suffixes, "host string, prefix long, content long").groupBy("host", "prefix").agg(
-        F.min("content").alias("low"), F.max("content").alias("high"))
-    runs = arrays.where("low <> high").select("host", "prefix")
+    pages_of = rows.select("url", "html").mapInArrow(suffixes, "key long, content long").distinct()
+    runs = pages_of.groupBy("key").agg(F.count(F.lit(1)).alias("pages")).where("pages > 1")
     return done.unionByName(decided(waiting, runs)).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
@@ -272,21 +296,22 @@ def decided(waiting: DataFrame, runs: DataFrame) -> DataFrame:
 
     def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [[], [], []]
+            out, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for row, address, page in zip(*(batch.column(c).to_pylist() for c in ("row", "url", "html"))):
-                tokens, _ = stream(blocks(page or ""), ("plain",))
-                distinct = np.unique(windows(tokens)).tolist()
-                out[0] += [row] * len(distinct)
-                out[1] += [host(address)] * len(distinct)
-                out[2] += distinct
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64())],
-                                             ["row", "host", "prefix"])
+                of_host = salt(address)
+                out.append(np.unique(np.append(keys(blocks(page or ""), ("plain",), of_host), np.array([of_host]).view(np.int64))))
+                ids.append(np.full(len(out[-1]), row))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(out))], ["row", "key"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = [chosen(blocks(page or ""), set(runs or ())) for page, runs in zip(batch.column("html").to_pylist(), batch.column("runs").to_pylist())]
+            text = []
+            for page, address, found in zip(*(batch.column(c).to_pylist() for c in ("html", "url", "runs"))):
+                of_host, pages = salt(address), {x["key"]: x["pages"] for x in found or ()}
+                of_all = SHARE * pages.pop(int(of_host.view(np.int64)), 0)
+                text.append(chosen(blocks(page or ""), {k for k, n in pages.items() if n >= of_all}, of_host))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(text, pa.string())], ["page_id", "url", "text"])
 
-    wanted = waiting.select("row", "url", "html").mapInArrow(looked_up, "row long, host string, prefix long")
-    own = wanted.join(runs, ["host", "prefix"]).groupBy("row").agg(F.collect_set("prefix").alias("runs"))  # one page's prefixes
+    wanted = waiting.select("row", "url", "html").mapInArrow(looked_up, "row long, key long")
+    own = wanted.join(runs, "key").groupBy("row").agg(F.collect_list(F.struct("key", "pages")).alias("runs"))  # one page's keys
     return waiting.join(own, "row", "left").select("page_id", "url", "html", "runs").mapInArrow(write, "page_id long, url string, text string")

@@ -61,3 +61,18 @@ def test_empty_and_long(spark):
     assert run(spark, []) == {}
     long_page = "<article>" + "<p>word &amp; word</p>" * 20_000
     assert run(spark, [(1, "http://a/", long_page), (1, "http://a/", long_page)])[1][1] == 12 * 19_999 + 11
+
+
+def test_only_what_a_share_of_the_pages_repeats_goes(spark):
+    own = lambda k: " ".join(f"w{k}x{i}" for i in range(20))
+    menu, foot, quote = "all of our pages begin with this very long line of links", "Copyright Example Inc", "a phrase of eight words that two have"
+    page = lambda body, more="": f"<html><body><div>{menu}</div><p>{body}</p>{more}<p>{foot}</p></body></html>"
+    pages = [(k, f"http://h/{k}", page(own(k))) for k in range(8)]
+    pages += [(8, "http://h/8", page(f"before it {quote} stands")), (9, "http://h/9", page(f"{own(9)} {quote}"))]
+    pages += [(10, "http://h/10", page(own(10))), (11, "http://h/11", page(own(10), "<p>one more line</p>"))]
+    pages += [(12, "http://h/12", f"<div>{menu} {own(12)}</div>"), (12, "http://h/12", f"<div>{menu} {own(12)}</div>")]
+    got = {k: t for k, (t, _) in run(spark, pages).items()}
+    assert all(got[k] == own(k) for k in (*range(8), 10))
+    assert got[8] == f"before it {quote} stands" and got[9] == f"{own(9)} {quote}"  # two of thirteen pages are no boilerplate
+    assert got[11] == f"{own(10)}\none more line"
+    assert got[12] == own(12)  # covered text goes from a block, the rest stays
