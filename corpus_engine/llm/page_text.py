@@ -14,6 +14,10 @@ share; a group that occurs on ``share`` of the host's distinct pages, and on two
 tokens that such runs cover go, no others. Blocks of fewer tokens are compared as a whole. If all of a page's plain text would
 go, as on a mirrored page, it stays.
 
+From a marked article go blocks that ``share`` of the host's distinct articles have, and ``many`` at least: blocks of ``depth``
+tokens as a whole, shorter ones where runs over neighbouring short blocks cover them. If half of the article's tokens or more would
+go, as from mirrored articles, it stays whole.
+
 The array is never built in one place: suffixes are dealt by a hash of host and prefix and of the page's content, so one host's,
 or one prefix's, are spread over all tasks, and pages are counted in the tasks before a prefix's counts are shuffled. Only pages
 with unmarked text look their runs up.
@@ -40,6 +44,7 @@ from corpus_engine.llm.common import prepare, settled
 
 DEPTH = 8  # tokens of a repeated run
 SHARE = 0.3  # of a host's distinct pages that have a repeated run
+MANY = 5  # distinct articles of a host that have a repeated block, at least
 
 # Element, role and name lists.
 HEADING_NAMES = frozenset("article content entry post story".split())  # beside "header" inside an article: its heading
@@ -250,6 +255,44 @@ def chosen(found: list[tuple[str, str]], repeated: set[int], of_host: np.uint64
     return "\n".join(kept)
 
 
+def article_keys(lines: list[str], of_host: np.uint64) -> tuple[list[int], np.ndarray, list[list[int]]]:
+    """Of an article's blocks: the numbers of tokens, the keys, and the keys' blocks."""
+    sizes = [t.count(" ") + 1 for t in lines]
+    hashes, held, begin = [], [], 0
+    for i, size in enumerate([*sizes, DEPTH]):
+        if size < DEPTH:
+            continue
+        tokens = [(w, k) for k in range(begin, i) for w in lines[k].split(" ")]
+        for at, h in enumerate(windows([w for w, _ in tokens]).tolist()):
+            hashes.append(h)
+            held.append([k for _, k in tokens[at:at + DEPTH]])
+        if i < len(lines):
+            hashes.append(np.uint64(hash64("\1" + lines[i])).view(np.int64))
+            held.append([i] * size)
+        begin = i + 1
+    return sizes, keyed(np.array(hashes, np.int64), ~of_host), held
+
+
+def trimmed(text: str, repeated: set[int], of_host: np.uint64) -> str:
+    """A marked article without the blocks that its host repeats."""
+    lines = text.split("\n")
+    sizes, own, held = article_keys(lines, of_host)
+    gone, begin = np.zeros(sum(sizes), bool), np.concatenate([[0], np.cumsum(sizes)])
+    stream_at = [(k, j) for k, size in enumerate(sizes) for j in range(size)]
+    first = {kj: at for at, kj in enumerate(stream_at)}
+    run_at, last = 0, None
+    for key, ks in zip(own.tolist(), held):
+        # Windows of one sequence of short blocks come one token after another.
+        run_at = run_at + 1 if last is not None and ks[0] in (last, last + 1) and sizes[ks[0]] < DEPTH and sizes[last] < DEPTH else first[(ks[0], 0)]
+        last = ks[0]
+        if key in repeated:
+            gone[run_at:run_at + len(ks)] = True
+    out = [k for k in range(len(lines)) if not gone[begin[k]:begin[k + 1]].all()]
+    if 2 * (sum(sizes) - sum(sizes[k] for k in out)) >= sum(sizes):
+        return text
+    return "\n".join(lines[k] for k in out)
+
+
 def main_text(pages: DataFrame, key="page_id", url="url", html="html") -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every row."""
     prepare(pages.sparkSession, 256)
@@ -281,14 +324,48 @@ def main_text(pages: DataFrame, key="page_id", url="url", html="html") -> DataFr
                 out.append(np.unique(np.concatenate([*own, np.array([of_host]).view(np.int64)])))
                 content = np.uint64(hash64("\n".join(t for _, t in found))).view(np.int64)
                 contents.append(np.full(len(out[-1]), content))
+                lines = [t for z, t in found if z == "article"]
+                if lines:
+                    out.append(np.unique(np.append(article_keys(lines, of_host)[1], np.array([~of_host]).view(np.int64))))
+                    contents.append(np.full(len(out[-1]), np.uint64(hash64("\n".join(lines))).view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.concatenate(contents))], ["key", "content"])
 
     first = settled(rows.mapInArrow(read, "row long, page_id long, url string, html string, text string"), "page-text")
-    done = first.where("text is not null").select("page_id", "url", "text")
+    done = first.where("text is not null").select("row", "page_id", "url", "text")
     waiting = first.where("text is null").select("row", "page_id", "url", "html")
     pages_of = rows.select("url", "html").mapInArrow(suffixes, "key long, content long").distinct()
-    runs = pages_of.groupBy("key").agg(F.count(F.lit(1)).alias("pages")).where("pages > 1")
-    return done.unionByName(decided(waiting, runs)).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+    runs = settled(pages_of.groupBy("key").agg(F.count(F.lit(1)).alias("pages")).where("pages > 1"), "page-runs")
+    return articles(done, runs).unionByName(decided(waiting, runs)).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def articles(done: DataFrame, runs: DataFrame) -> DataFrame:
+    """Marked articles without the blocks that many others of the host have; texts travel only if there are such blocks."""
+
+    def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, ids, hosts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for row, address, text in zip(*(batch.column(c).to_pylist() for c in ("row", "url", "text"))):
+                if text:
+                    of_host = salt(address)
+                    out.append(np.unique(article_keys(text.split("\n"), of_host)[1]))
+                    ids.append(np.full(len(out[-1]), row))
+                    hosts.append(np.full(len(out[-1]), (~of_host).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, out, hosts)], ["row", "key", "of_host"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("url", "text", "runs"))
+            text = [trimmed(t, set(found), salt(address)) if found else t for address, t, found in zip(*columns)]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(text, pa.string())], ["page_id", "url", "text"])
+
+    wanted = done.select("row", "url", "text").mapInArrow(looked_up, "row long, key long, of_host long")
+    many = wanted.join(runs.where(F.col("pages") >= MANY), "key")
+    hosts = runs.select(F.col("key").alias("of_host"), F.col("pages").alias("of_all"))
+    own = many.join(hosts, "of_host").where(F.col("pages") >= SHARE * F.col("of_all")).groupBy("row").agg(F.collect_set("key").alias("runs"))
+    own = settled(own, "page-articles")
+    if own.isEmpty():
+        return done.select("page_id", "url", "text")
+    return done.join(own, "row", "left").select("page_id", "url", "text", "runs").mapInArrow(write, "page_id long, url string, text string")
 
 
 def decided(waiting: DataFrame, runs: DataFrame) -> DataFrame:

@@ -76,3 +76,15 @@ def test_only_what_a_share_of_the_pages_repeats_goes(spark):
     assert got[8] == f"before it {quote} stands" and got[9] == f"{own(9)} {quote}"  # two of thirteen pages are no boilerplate
     assert got[11] == f"{own(10)}\none more line"
     assert got[12] == own(12)  # covered text goes from a block, the rest stays
+
+
+def test_what_many_marked_articles_of_a_host_share_goes(spark):
+    own = lambda k: "\n".join(" ".join(f"w{k}x{i}y{j}" for i in range(12)) for j in range(3))
+    notice = "Please note that all of this site will be closed over the holidays"
+    menu = ["Home page", "World news", "Local news", "Sports and games", "About us"]
+    page = lambda k, extra="": f"<main><div>{notice}</div>{''.join(f'<div>{m}</div>' for m in menu)}<p>{own(k).replace(chr(10), '<p>')}<p>Summary{extra}</main>"
+    got = {k: t for k, (t, _) in run(spark, [(k, f"http://h/{k}", page(k)) for k in range(8)]).items()}
+    assert got == {k: f"{own(k)}\nSummary" for k in range(8)}  # a short heading alone is no run
+    mirrors = run(spark, [(k, f"http://m/{k}", page(1, f"<p>line {k}")) for k in range(8)])
+    few = run(spark, [(k, f"http://f/{k}", page(k)) for k in range(3)])
+    assert all(t.startswith(notice) and own(1) in t for t, _ in mirrors.values()) and all(t.startswith(notice) for t, _ in few.values())
