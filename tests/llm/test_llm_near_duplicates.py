@@ -93,3 +93,18 @@ def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 140)] + [(1, i) for i in range(2, 30)] + [(50, 7), (60, 61)]
     got = {r.v: r.label for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert {got[i] for i in range(100, 141)} == {100} and got[50] == 1 and got[61] == 60 and got[29] == 1
+
+
+def test_repeated_rows_come_to_a_cell_once(spark, monkeypatch):
+    """Also under a null id, where all equal texts have one name."""
+    cells_of, whole = [], nd.compared
+
+    def counted(cells, compare, columns, out):
+        if "packed" in columns:
+            cells_of.append((cells.count(), cells.select("row", "group", "side", "i", "j").distinct().count()))
+        return whole(cells, compare, columns, out)
+
+    monkeypatch.setattr(nd, "compared", counted)
+    first, second, third = family(1, 3, 3)
+    compare(spark, [(1, first)] * 9 + [(2, second)] * 5 + [(None, third)] * 7, nd.Settings())
+    assert cells_of[0][0] > 0 and all(n == distinct for n, distinct in cells_of)
