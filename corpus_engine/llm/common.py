@@ -40,11 +40,26 @@ def prepare(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [PACKAGE_ROOT, *known]))
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str):
+    """A session setting for as long as the block runs."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def settled(df: DataFrame, label: str) -> DataFrame:
-    """The rows, written once to the shared folder and read from there; cuts lineage."""
+    """The rows, written once to the shared folder and read from there; cuts lineage. What the writing shuffled is dropped at its end."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
