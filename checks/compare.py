@@ -9,8 +9,7 @@ import traceback
 
 import duckdb
 
-from checks.oracle import ORACLE
-from checks.queries import QUERIES
+from checks.registry import ORACLE, QUERIES
 from corpus_engine.session import local_session
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "

@@ -159,6 +159,7 @@ REPLY_ENVELOPE = fields(
 PLAYLIST_ENVELOPE = fields(run_id=S, seq=L, channel_id=S, page_number=L, response=S)
 CAPTION_ENVELOPE = fields(
     video_id=S, language=S, is_generated=B, list_pos=L, captions=CAPTIONS, error_type=S, error_message=S)
+CAPTION_PAGE = T.StructType([*fields(run_id=S, seq=L).fields, *CAPTION_ENVELOPE.fields])
 SUBTITLE_ATTEMPT = fields(video_id=S, error_type=S, error_message=S)
 SPEECH_ENVELOPE = fields(
     video_id=S, language=S, model_size=S,

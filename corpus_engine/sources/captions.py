@@ -55,6 +55,14 @@ def pick_caption(
     )
 
 
+def caption_page_tracks(pages: DataFrame, captured_at: Column) -> DataFrame:
+    """Landed caption calls, tracks and failures, as rows of a run."""
+    return pages.select(
+        "video_id", "language", "is_generated", "list_pos", "captions", "error_type", "error_message",
+        captured_at.alias("captured_at"), F.col("run_id").alias("_run_id"),
+        F.struct(F.col("seq").alias("page"), F.lit(0).alias("kind"), F.lit(0).alias("pos")).alias("_seq"))
+
+
 def caption_text(captions: str = "captions") -> Column:
     """Text of a caption payload: its pieces in order, cleaned; null when nothing is left."""
     return joined_text(F.col(f"{captions}.text"))

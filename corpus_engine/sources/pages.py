@@ -223,6 +223,24 @@ def _comment_columns(comment: str, is_reply: bool, captured_at: Column) -> list[
     ]
 
 
+def thread_page_comments(pages: DataFrame, captured_at: Column) -> DataFrame:
+    """The top comments of thread pages that were read, each page by itself: no cap, no cut at failures, no replies."""
+    item = _parsed(pages.where(F.col("error").isNull()), schemas.THREAD_RESPONSE).select(
+        "run_id", "seq", "video_id", F.posexplode("items").alias("_pos", "item"))
+    rows = item.select(
+        "*", F.col("item.id").alias("thread_id"), F.lit(None).cast("string").alias("parent_comment_id"),
+        F.coalesce(safe_int(F.col("item.snippet.totalReplyCount")), F.lit(0)).alias("total_reply_count"))
+    return rows.select(*_comment_columns("item.snippet.topLevelComment", False, captured_at))
+
+
+def reply_page_comments(pages: DataFrame, captured_at: Column) -> DataFrame:
+    """The replies of reply pages that were read, each page by itself."""
+    item = _parsed(pages.where(F.col("error").isNull()), schemas.REPLY_RESPONSE).select(
+        "run_id", "seq", "video_id", "thread_id", F.col("parent_id").alias("parent_comment_id"),
+        F.lit(None).cast("bigint").alias("total_reply_count"), F.posexplode("items").alias("_pos", "item"))
+    return item.select(*_comment_columns("item", True, captured_at))
+
+
 def _unlifted(failed: DataFrame, pages: DataFrame, keys: list[str]) -> DataFrame:
     """Failed pages that were not read later in the run; a retry that succeeded lifts a failure."""
     read = pages.where(F.col("error").isNull()).groupBy(*keys).agg(F.max("seq").alias("_read"))

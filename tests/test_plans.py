@@ -2,7 +2,7 @@
 
 import pytest
 
-from checks.queries import QUERIES
+from checks.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import compare, duck
-from checks.queries import QUERIES
+from checks.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
