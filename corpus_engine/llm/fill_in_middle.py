@@ -149,8 +149,9 @@ def fill_in_middle(docs: DataFrame, s: Settings = Settings(), key="doc_id", text
 
 def restored(output: Column, form: Column, s: Settings = Settings()) -> Column:
     """The text that an output was made of, from output and form alone."""
-    part = lambda text, mark, n: F.split_part(text, F.lit(mark), F.lit(n))
-    head, tail, middle = (part(output, mark, 2) for mark in s.sentinels)
-    psm = F.concat(part(head, s.suffix, 1), middle, part(tail, s.middle, 1))
-    spm = F.concat(part(head, s.middle, 1), middle, part(tail, s.prefix, 1))
+    # Each sentinel stands in a cut text once. These functions work on bytes, so what is no UTF-8 stays as it is.
+    head, tail, middle = (F.substring_index(output, mark, -1) for mark in s.sentinels)
+    until = F.substring_index
+    psm = F.concat(until(head, s.suffix, 1), middle, until(tail, s.middle, 1))
+    spm = F.concat(until(head, s.middle, 1), middle, until(tail, s.prefix, 1))
     return F.when(form == "psm", psm).when(form == "spm", spm).otherwise(output)

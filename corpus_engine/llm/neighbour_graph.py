@@ -36,6 +36,7 @@ from corpus_engine.llm.common import prepare, settled
 
 LAST = (1 << 63) - 1  # stands for a null id, which comes last
 BATCH = 8192  # rows of codes that go to a task at a time
+LARGEST = 1e148  # scale of a code, so that squared distances stay finite
 FLUSH = 400_000  # links that a task holds before it sends the best of them
 
 
@@ -73,8 +74,8 @@ def encoded(vectors: pa.Array) -> list[bytes]:
             v = flat[at:at + len(run) * run[0]].reshape(len(run), -1)
             at += v.size
             scales = np.abs(v).max(1, keepdims=True)
-            scales = np.where(scales / 127 > 0, scales / 127, scales)
-            raw = np.concatenate([scales.view(np.uint8), np.rint(v / scales).astype(np.int8).view(np.uint8)], axis=1)
+            scales = np.clip(np.where(scales / 127 > 0, scales / 127, scales), None, LARGEST)
+            raw = np.concatenate([scales.view(np.uint8), np.clip(np.rint(v / scales), -127, 127).astype(np.int8).view(np.uint8)], axis=1)
             parts += [r.tobytes() for r in raw]
     return parts
 

@@ -12,7 +12,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def test_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in queries.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in queries.QUERIES}
     assert set(queries.ORACLE) <= set(queries.QUERIES)
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
     assert [n for n, _ in cp.STAGES] == ["quality rules", "MinHash near-dedup", "substring dedup", "benchmark decontamination", "packing"]
