@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from checks import oracle, queries, streams
+from checks import histories, oracle, queries, streams
 
 QUERIES = dict(queries.QUERIES)
 ORACLE = dict(oracle.ORACLE)
-for module in (streams,):
+for module in (streams, histories):
     QUERIES |= module.QUERIES
     ORACLE |= module.ORACLE
