@@ -363,7 +363,7 @@ def stage_metrics(spark: SparkSession, sf: str) -> DataFrame:
     todo = pending_transcripts(spark, sf)
     rows = st.transcripts(spark, sf)
     counted = report.transcript_stage_metrics(todo, rows, rows)
-    return counted.withColumn("n_methods", F.size("methods").cast("bigint")).drop("methods")
+    return counted.withColumn("n_methods", F.size("methods").cast("bigint")).drop("methods", "methods_null", "methods_other")
 
 
 @query

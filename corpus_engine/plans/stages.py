@@ -19,14 +19,14 @@ from corpus_engine.sources.pages import flatten_channel_pages, flatten_video_pag
 TRANSCRIPT_COLUMNS = schemas.TRANSCRIPTS.fieldNames()[1:]
 
 
-def pending_videos(hits: DataFrame, videos: DataFrame, resume: bool = True) -> DataFrame:
-    """Discovered videos that are not stored yet."""
-    return pending(first_seen(hits, "video_id"), videos, "video_id", resume=resume)
+def pending_videos(seen: DataFrame, videos: DataFrame, resume: bool = True, bits: DataFrame | None = None) -> DataFrame:
+    """Discovered videos (one row each, see :func:`first_seen`) that are not stored yet."""
+    return pending(seen, videos, "video_id", resume=resume, bits=bits)
 
 
-def pending_channels(videos: DataFrame, channels: DataFrame, resume: bool = True) -> DataFrame:
+def pending_channels(videos: DataFrame, channels: DataFrame, resume: bool = True, bits: DataFrame | None = None) -> DataFrame:
     """Channels of stored videos that are not stored yet."""
-    return pending(first_seen(videos, "channel_id"), channels, "channel_id", resume=resume)
+    return pending(first_seen(videos, "channel_id"), channels, "channel_id", resume=resume, bits=bits)
 
 
 def pending_transcripts(

@@ -10,19 +10,22 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpus_engine import schemas
 from corpus_engine.functions.values import new_run_id, utc_now
+from corpus_engine.operators.membership import bit_table
+from corpus_engine.operators.ordering import first_seen
+from corpus_engine.operators.sizing import Observed
 from corpus_engine.plans import report as metrics
 from corpus_engine.plans import stages
 from corpus_engine.plans.transcripts import resolve_transcripts
 from corpus_engine.session import scratch_path
 from corpus_engine.sources import tables
 from corpus_engine.sources.captions import read_subtitle_files
-from corpus_engine.sources.pages import flatten_comment_threads, flatten_search_pages, page_accounting, read_landing
+from corpus_engine.sources.pages import flatten_comment_threads, flatten_search_pages, page_outcome, read_landing
 
 # Stage names, and below the options of the study format with their defaults.
 STAGES = ["discovery", "videos", "channels", "transcripts", "comments"]
@@ -39,10 +42,6 @@ LANDING = {
 }
 
 
-# Pages whose stage looks at them more than once are parsed once and read back by column.
-READ_REPEATEDLY = {"search", "threads", "replies"}
-
-
 @dataclass
 class StudyOptions:
     """Knobs of a run, with the defaults of the study format."""
@@ -58,6 +57,7 @@ class StudyOptions:
     include_replies: bool = True
     formats: Sequence[str] = ("parquet",)
     resume: bool = True
+    member_bits: bool = False  # keep the bits of published keys, for studies whose tables are far larger than a run
     stages: Sequence[str] = field(default_factory=lambda: list(STAGES))
 
     def __post_init__(self) -> None:
@@ -88,22 +88,43 @@ class Study:
             T.StructField("_run_id", T.StringType()), T.StructField("_seq", schemas.SEQ)])
         return tables.read_table(self.spark, self.path(table), schema)
 
-    def publish(self, df: DataFrame, table: str, version: str, formats: Sequence[str]) -> DataFrame:
-        tables.write_table(df, self.path(table), version, formats)
-        return self.read(table)
+    def publish(self, df: DataFrame, table: str, version: str, formats: Sequence[str]) -> Observed:
+        """Writes a table's next version; its rows are counted on the way."""
+        counted = Observed(df)
+        tables.write_table(counted.frame, self.path(table), version, formats)
+        return counted
+
+    def _bits_path(self, table: str) -> str | None:
+        newest = tables.newest_version(self.spark, f"{self.path(table)}.parquet")
+        return newest and f"{newest}/_bits"
+
+    def keep_bits(self, table: str) -> None:
+        """Writes the bits of the newest version's keys beside it; readers of the version do not see them."""
+        path = self._bits_path(table)
+        if path:
+            bit_table(self.read(table), schemas.TABLES[table][1][0]).write.mode("overwrite").parquet(path)
+
+    def bits(self, table: str) -> DataFrame | None:
+        """The newest version's bits, where they were kept."""
+        path = self._bits_path(table)
+        return self.spark.read.parquet(path) if path and tables.exists(self.spark, f"{path}/_SUCCESS") else None
 
     def settle(self, df: DataFrame, label: str) -> DataFrame:
-        """Writes an intermediate result that several tables and metrics read."""
+        """Writes an intermediate result that several tables read."""
         path = scratch_path(self.spark, label)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def counted(self, df: DataFrame, label: str, **more: Column) -> tuple[DataFrame, Observed]:
+        """The same, with its rows and whatever else is asked for counted while it is written."""
+        counts = Observed(df, **more)
+        return self.settle(counts.frame, label), counts
+
     def landed(self, landing: str, kind: str) -> DataFrame:
         path = f"{landing.rstrip('/')}/{kind}"
         if not tables.exists(self.spark, path):
             return self.spark.createDataFrame([], LANDING[kind])
-        pages = read_landing(self.spark, path, LANDING[kind])
-        return self.settle(pages, kind) if kind in READ_REPEATEDLY else pages
+        return read_landing(self.spark, path, LANDING[kind])
 
     def landed_subtitles(self, landing: str) -> DataFrame:
         path = f"{landing.rstrip('/')}/subtitles"
@@ -127,48 +148,59 @@ def run_study(
     run_id = run_id or new_run_id()
     started = utc_now()
     stamp = captured_at or started
-    summary: dict[str, DataFrame] = {}
+    summary: dict[str, dict] = {}
 
-    def arriving(df: DataFrame, table: str) -> DataFrame:
+    def arriving(df: DataFrame, table: str, **more: Column) -> tuple[DataFrame, Observed]:
         """Settled rows of this run: after all stored ones, among themselves in page order."""
         stamped = df.withColumn("_run_id", F.concat_ws("/", F.lit(run_id), F.col("_run_id")))
-        return study.settle(stamped, table)
+        return study.counted(stamped, table, **more)
 
-    def publish(new: DataFrame, table: str) -> DataFrame:
-        return study.publish(
-            stages.upserted(study.read(table), new, table), table, run_id, opts.formats)
+    def publish(new: DataFrame, table: str) -> Observed:
+        return study.publish(stages.upserted(study.read(table), new, table), table, run_id, opts.formats)
 
+    seen = None
     if "discovery" in opts.stages:
-        pages = study.landed(landing, "search")
-        new = arriving(flatten_search_pages(
+        outcome = page_outcome(F.col("response.items"))
+        told = {f"pages_{kind}": F.count_if(outcome == kind) for kind in ("quota", "failed", "unreadable")}
+        # Pages that a stage looks at more than once are parsed once and read back by column.
+        pages, accounted = study.counted(study.landed(landing, "search"), "search", **told)
+        new, arrived = arriving(flatten_search_pages(
             pages, F.lit(stamp), opts.max_pages_per_query, opts.stop_on_quota), "search_hits")
-        told = page_accounting(pages, schemas.SEARCH_RESPONSE).agg(*[
-            F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pages_quota", "pages_failed", "pages_unreadable")])
-        found = metrics.discovery_metrics(new, publish(new, "search_hits"))
-        summary["discovery"] = found.withColumn("_told", told.select(F.struct(*told.columns)).scalar()).select(*found.columns, "_told.*")
+        published = publish(new, "search_hits")
+        seen, distinct = study.counted(first_seen(study.read("search_hits"), "video_id"), "seen")
+        summary["discovery"] = {
+            "new_rows": arrived["rows"], "total_rows": published["rows"], "unique_videos": distinct["rows"],
+            **{kind: accounted[kind] for kind in told}}
     hits = study.read("search_hits")
     if hits.isEmpty():
         raise RuntimeError(f"project {project} has no hits to work on; include discovery in the stages")
 
-    if "videos" in opts.stages:
-        stored = study.read("videos")
-        todo = study.settle(stages.pending_videos(hits, stored, opts.resume), "todo")
-        new = arriving(stages.video_rows(todo, study.landed(landing, "videos"), stamp), "videos")
-        merged = stages.with_transcripts(
-            stages.upserted(stored, new, "videos"), study.read("transcripts"))
-        videos = study.publish(merged, "videos", f"{run_id}-1", opts.formats)
-        summary["videos"] = metrics.row_metrics(todo, new, videos)
     videos = study.read("videos")
+    if "videos" in opts.stages:
+        todo, asked = study.counted(stages.pending_videos(
+            first_seen(hits, "video_id") if seen is None else seen, videos, opts.resume, study.bits("videos")), "todo")
+        new, arrived = arriving(stages.video_rows(todo, study.landed(landing, "videos"), stamp), "videos")
+        merged = stages.upserted(videos, new, "videos")
+        if "transcripts" in opts.stages:
+            # The next stage gives these rows their transcripts, and publishes the table once with them.
+            videos, stored = study.counted(merged, "merged")
+        else:
+            stored = study.publish(
+                stages.with_transcripts(merged, study.read("transcripts")), "videos", f"{run_id}-1", opts.formats)
+            videos = study.read("videos")
+        summary["videos"] = {"requested": asked["rows"], "new_rows": arrived["rows"], "total_rows": stored["rows"]}
     if videos.isEmpty():
         raise RuntimeError(f"project {project} has no videos to work on; include videos in the stages")
 
     if "channels" in opts.stages:
-        todo = study.settle(stages.pending_channels(videos, study.read("channels"), opts.resume), "todo")
-        new = arriving(stages.channel_rows(todo, study.landed(landing, "channels"), stamp), "channels")
-        summary["channels"] = metrics.row_metrics(todo, new, publish(new, "channels"))
+        todo, asked = study.counted(stages.pending_channels(
+            videos, study.read("channels"), opts.resume, study.bits("channels")), "todo")
+        new, arrived = arriving(stages.channel_rows(todo, study.landed(landing, "channels"), stamp), "channels")
+        summary["channels"] = {
+            "requested": asked["rows"], "new_rows": arrived["rows"], "total_rows": publish(new, "channels")["rows"]}
 
     if "transcripts" in opts.stages:
-        todo = study.settle(stages.pending_transcripts(
+        todo, asked = study.counted(stages.pending_transcripts(
             videos, study.read("transcripts"), opts.retry_failed, opts.resume), "todo")
         resolved = study.settle(resolve_transcripts(
             todo, study.landed(landing, "captions"),
@@ -177,28 +209,39 @@ def run_study(
             opts.languages, opts.use_any_caption,
             study.landed(landing, "subtitle_attempts") if opts.use_subtitles else None), "resolved")
         made = stages.transcript_tables(resolved, stamp)
-        new = arriving(made["transcripts"], "transcripts")
-        transcripts = publish(new, "transcripts")
-        publish(arriving(made["transcript_segments"], "segments"), "transcript_segments")
-        videos = study.publish(
-            stages.with_transcripts(videos, transcripts), "videos", f"{run_id}-2", opts.formats)
-        summary["transcripts"] = metrics.transcript_stage_metrics(todo, new, transcripts)
+        status = F.col("transcript_status")
+        new, arrived = arriving(
+            made["transcripts"], "transcripts", successes=F.count_if(status == "success"),
+            failures=F.count_if(status == "failed"), methods=metrics.top_sketch("transcript_method"))
+        published = publish(new, "transcripts")
+        publish(arriving(made["transcript_segments"], "segments")[0], "transcript_segments")
+        study.publish(
+            stages.with_transcripts(videos, study.read("transcripts")), "videos", f"{run_id}-2", opts.formats)
+        videos = study.read("videos")
+        summary["transcripts"] = {
+            "requested": asked["rows"], "new_rows": arrived["rows"], "successes": arrived["successes"], "failures": arrived["failures"],
+            **metrics.method_summary(new, arrived["methods"]), "total_rows": published["rows"]}
 
     if "comments" in opts.stages:
-        todo = study.settle(stages.pending_comments(
+        todo, asked = study.counted(stages.pending_comments(
             videos, study.read("comments_status"), opts.resume), "todo")
-        threads = stages.wanted(study.landed(landing, "threads"), todo, "video_id")
-        replies = stages.wanted(study.landed(landing, "replies"), todo, "video_id")
+        threads = study.settle(stages.wanted(study.landed(landing, "threads"), todo, "video_id"), "threads")
+        replies = study.settle(stages.wanted(study.landed(landing, "replies"), todo, "video_id"), "replies")
         rows = study.settle(flatten_comment_threads(
             threads, replies, F.lit(stamp), opts.max_comments_per_video, opts.include_replies), "comments")
         outcome = study.settle(stages.comment_outcomes(
             threads, replies, rows, stamp, opts.stop_on_quota), "outcome")
         attempt = ["_run_id", "video_id"]
-        new = arriving(rows.join(outcome.select(*attempt), attempt, "left_semi"), "comments")
+        new, arrived = arriving(rows.join(outcome.select(*attempt), attempt, "left_semi"), "comments")
         ranked = outcome.withColumn("_seq", F.struct(
             F.col("_seq").alias("page"), F.lit(0).alias("kind"), F.lit(0).alias("pos")))
-        publish(arriving(ranked, "comments_status"), "comments_status")
-        summary["comments"] = metrics.row_metrics(todo, new, publish(new, "comments"))
+        publish(arriving(ranked, "comments_status")[0], "comments_status")
+        summary["comments"] = {
+            "requested": asked["rows"], "new_rows": arrived["rows"], "total_rows": publish(new, "comments")["rows"]}
+
+    if opts.member_bits:
+        for table in ("videos", "channels"):
+            study.keep_bits(table)
 
     outputs = {"root": study.root, **{
         t: study.path(t) for t in ("channels", "videos", "comments", "search_hits")}}

@@ -339,16 +339,22 @@ def flatten_comment_threads(
     return rows.unionByName(answers.select(*_comment_columns("item", True, captured_at)))
 
 
-def page_accounting(pages: DataFrame, schema: T.StructType) -> DataFrame:
-    """Landed pages of each run by outcome, one column each: read, empty, quota, failed, unreadable.
+OUTCOMES = ["read", "empty", "quota", "failed", "unreadable"]
+
+
+def page_outcome(items: Column) -> Column:
+    """Which of :data:`OUTCOMES` a landed page is.
 
     A page counts as unreadable when it has no error but no list of items either, as when its text was cut short.
     """
-    found = _parsed(pages, schema)
-    error, items = F.col("error"), F.col("items")
-    outcome = (
+    error = F.col("error")
+    return (
         F.when(is_quota_error(error), "quota").when(error.isNotNull(), "failed")
         .when(items.isNull(), "unreadable").when(F.size(items) == 0, "empty").otherwise("read"))
-    kinds = ["read", "empty", "quota", "failed", "unreadable"]
-    return found.select("run_id", outcome.alias("_outcome")).groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("pages"), *[F.count_if(F.col("_outcome") == k).alias(f"pages_{k}") for k in kinds])
+
+
+def page_accounting(pages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Landed pages of each run by outcome, one column each: read, empty, quota, failed, unreadable."""
+    found = _parsed(pages, schema)
+    return found.select("run_id", page_outcome(F.col("items")).alias("_outcome")).groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("pages"), *[F.count_if(F.col("_outcome") == k).alias(f"pages_{k}") for k in OUTCOMES])
