@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from checks import histories, measures, oracle, queries, streams
+from checks import histories, landings, measures, oracle, queries, streams
 
 QUERIES = dict(queries.QUERIES)
 ORACLE = dict(oracle.ORACLE)
-for module in (streams, histories, measures):
+for module in (streams, histories, measures, landings):
     QUERIES |= module.QUERIES
     ORACLE |= module.ORACLE

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpus_engine.operators.ordering import ARRIVAL, first_n, keep_first
 from corpus_engine.operators.resume import mark_known
 from corpus_engine.operators.sizing import settled_side
 from corpus_engine.plans.review import with_labels
+from corpus_engine.sources.ordered import write_ordered
 from corpus_engine.sources.pages import flatten_playlist_pages
 
 
@@ -51,6 +52,16 @@ def channel_expansion(
     return with_labels(rows)
 
 
+def write_expansion(expansion: DataFrame, found: DataFrame, path: str, files: int = 1) -> DataFrame:
+    """The expansion as CSV for reviewers: channels as they were discovered (``found``: channel_id and the order columns of :func:`first_seen`),
+    uploads in page order. Returns the files' manifest."""
+    order = [c for c in found.columns if c != "channel_id"]
+    place = F.row_number().over(Window.orderBy(*order)).alias("_channel")  # at most max_channels rows
+    chosen = found.join(F.broadcast(expansion.select("channel_id").distinct()), "channel_id", "left_semi").select("channel_id", place)
+    placed = expansion.join(F.broadcast(chosen), "channel_id").select("_channel", *expansion.columns)
+    return write_ordered(placed, path, ["_channel", "page_number", "position_in_page", "video_id"], files)
+
+
 def expansion_counts(expansion: DataFrame) -> DataFrame:
     """Candidates, those search had found, and new ones."""
     return expansion.agg(

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from corpus_engine.operators.ordering import ARRIVAL
 from corpus_engine.operators.ranking import top_n_per_group
 from corpus_engine.operators.sizing import settled_side
+from corpus_engine.sources.ordered import write_ordered
 
 DETAILS = ["channel_title", "title", "description", "published_at", "duration_seconds", "view_count", "video_url"]
+ORDER = ["query", "result_position", "video_id"]
 LABELS = ["relevance_label", "relevance_reason"]
 
 
@@ -56,7 +58,12 @@ def discovery_review(
 
 
 def ordered_review(review: DataFrame) -> DataFrame:
-    return review.orderBy(*[F.col(c).asc_nulls_last() for c in ("query", "result_position", "video_id")])
+    return review.orderBy(*[F.col(c).asc_nulls_last() for c in ORDER])
+
+
+def write_review(review: DataFrame, path: str, files: int = 1) -> DataFrame:
+    """The review as CSV for reviewers, by query, position and video, nulls last; returns the files' manifest."""
+    return write_ordered(review, path, ORDER, files)
 
 
 def review_counts(review: DataFrame) -> DataFrame:

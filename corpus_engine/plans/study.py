@@ -26,6 +26,7 @@ from corpus_engine.session import scratch_path
 from corpus_engine.sources import tables
 from corpus_engine.sources.captions import read_subtitle_files
 from corpus_engine.sources.pages import flatten_comment_threads, flatten_search_pages, page_outcome, read_landing
+from corpus_engine.sources.quarantine import read_checked
 
 # Stage names, and below the options of the study format with their defaults.
 STAGES = ["discovery", "videos", "channels", "transcripts", "comments"]
@@ -57,6 +58,7 @@ class StudyOptions:
     include_replies: bool = True
     formats: Sequence[str] = ("parquet",)
     resume: bool = True
+    quarantine: bool = False  # keep landed lines that cannot be read, instead of reading what is left of them
     member_bits: bool = False  # keep the bits of published keys, for studies whose tables are far larger than a run
     stages: Sequence[str] = field(default_factory=lambda: list(STAGES))
 
@@ -120,11 +122,23 @@ class Study:
         counts = Observed(df, **more)
         return self.settle(counts.frame, label), counts
 
-    def landed(self, landing: str, kind: str) -> DataFrame:
+    def landed(self, landing: str, kind: str, quarantine: str | None = None) -> DataFrame:
+        """Landed lines of a kind; with ``quarantine``, a run's label, those that cannot be read go there."""
         path = f"{landing.rstrip('/')}/{kind}"
         if not tables.exists(self.spark, path):
             return self.spark.createDataFrame([], LANDING[kind])
-        return read_landing(self.spark, path, LANDING[kind])
+        if quarantine is None:
+            return read_landing(self.spark, path, LANDING[kind])
+        good, bad = read_checked(self.spark, path, LANDING[kind])
+        bad.write.mode("overwrite").parquet(f"{self.root}/audit/quarantine/run={quarantine}/kind={kind}")
+        return good
+
+    def quarantined(self) -> DataFrame:
+        """What all runs left unread, by ``run`` and ``kind``."""
+        path = f"{self.root}/audit/quarantine"
+        if tables.exists(self.spark, path):
+            return self.spark.read.parquet(path)
+        return self.spark.createDataFrame([], "run_id string, seq bigint, file string, text string, reason string, run string, kind string")
 
     def landed_subtitles(self, landing: str) -> DataFrame:
         path = f"{landing.rstrip('/')}/subtitles"
@@ -150,6 +164,9 @@ def run_study(
     stamp = captured_at or started
     summary: dict[str, dict] = {}
 
+    def landed(kind: str) -> DataFrame:
+        return study.landed(landing, kind, run_id if opts.quarantine else None)
+
     def arriving(df: DataFrame, table: str, **more: Column) -> tuple[DataFrame, Observed]:
         """Settled rows of this run: after all stored ones, among themselves in page order."""
         stamped = df.withColumn("_run_id", F.concat_ws("/", F.lit(run_id), F.col("_run_id")))
@@ -163,7 +180,7 @@ def run_study(
         outcome = page_outcome(F.col("response.items"))
         told = {f"pages_{kind}": F.count_if(outcome == kind) for kind in ("quota", "failed", "unreadable")}
         # Pages that a stage looks at more than once are parsed once and read back by column.
-        pages, accounted = study.counted(study.landed(landing, "search"), "search", **told)
+        pages, accounted = study.counted(landed("search"), "search", **told)
         new, arrived = arriving(flatten_search_pages(
             pages, F.lit(stamp), opts.max_pages_per_query, opts.stop_on_quota), "search_hits")
         published = publish(new, "search_hits")
@@ -179,7 +196,7 @@ def run_study(
     if "videos" in opts.stages:
         todo, asked = study.counted(stages.pending_videos(
             first_seen(hits, "video_id") if seen is None else seen, videos, opts.resume, study.bits("videos")), "todo")
-        new, arrived = arriving(stages.video_rows(todo, study.landed(landing, "videos"), stamp), "videos")
+        new, arrived = arriving(stages.video_rows(todo, landed("videos"), stamp), "videos")
         merged = stages.upserted(videos, new, "videos")
         if "transcripts" in opts.stages:
             # The next stage gives these rows their transcripts, and publishes the table once with them.
@@ -195,7 +212,7 @@ def run_study(
     if "channels" in opts.stages:
         todo, asked = study.counted(stages.pending_channels(
             videos, study.read("channels"), opts.resume, study.bits("channels")), "todo")
-        new, arrived = arriving(stages.channel_rows(todo, study.landed(landing, "channels"), stamp), "channels")
+        new, arrived = arriving(stages.channel_rows(todo, landed("channels"), stamp), "channels")
         summary["channels"] = {
             "requested": asked["rows"], "new_rows": arrived["rows"], "total_rows": publish(new, "channels")["rows"]}
 
@@ -203,11 +220,11 @@ def run_study(
         todo, asked = study.counted(stages.pending_transcripts(
             videos, study.read("transcripts"), opts.retry_failed, opts.resume), "todo")
         resolved = study.settle(resolve_transcripts(
-            todo, study.landed(landing, "captions"),
+            todo, landed("captions"),
             study.landed_subtitles(landing) if opts.use_subtitles else None,
-            study.landed(landing, "speech") if opts.use_speech else None,
+            landed("speech") if opts.use_speech else None,
             opts.languages, opts.use_any_caption,
-            study.landed(landing, "subtitle_attempts") if opts.use_subtitles else None), "resolved")
+            landed("subtitle_attempts") if opts.use_subtitles else None), "resolved")
         made = stages.transcript_tables(resolved, stamp)
         status = F.col("transcript_status")
         new, arrived = arriving(
@@ -225,8 +242,8 @@ def run_study(
     if "comments" in opts.stages:
         todo, asked = study.counted(stages.pending_comments(
             videos, study.read("comments_status"), opts.resume), "todo")
-        threads = study.settle(stages.wanted(study.landed(landing, "threads"), todo, "video_id"), "threads")
-        replies = study.settle(stages.wanted(study.landed(landing, "replies"), todo, "video_id"), "replies")
+        threads = study.settle(stages.wanted(landed("threads"), todo, "video_id"), "threads")
+        replies = study.settle(stages.wanted(landed("replies"), todo, "video_id"), "replies")
         rows = study.settle(flatten_comment_threads(
             threads, replies, F.lit(stamp), opts.max_comments_per_video, opts.include_replies), "comments")
         outcome = study.settle(stages.comment_outcomes(
