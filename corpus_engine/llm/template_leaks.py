@@ -139,16 +139,7 @@ class Template:
         return "".join(EDGES.sub("", w).lower() for w in self.words[begin:end])
 
     def windows(self, size: int) -> np.ndarray:
-        """Hashes of the windows at each token; 0 for those that say nothing."""
-        n = len(self.hashes) - size + 1
-        if n <= 0:
-            return np.zeros(0, np.uint64)
-        total, literal = np.zeros(n, np.uint64), np.zeros(n, np.int64)
-        for i in range(size):
-            total = (total * np.uint64(0x9E3779B97F4A7C15)) ^ self.hashes[i:i + n]
-            total ^= total >> np.uint64(29)
-            literal += self.kinds[i:i + n] == LITERAL
-        return np.where(literal >= min(LITERALS, size), total | np.uint64(1), np.uint64(0))
+        return spoken(self.hashes, self.kinds, size)
 
 
 def runs(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -165,36 +156,63 @@ def template(text: str, known: Words) -> Template:
     return readings(text, known)[0]
 
 
-def readings(text: str, known: Words) -> list[Template]:
-    """The strict reading, where words that begin a sentence or quotation and words in capitals are literals, and, if there are any, the
-    loose one, where they are names."""
-    words = text.split()
-    if not words:
-        empty = np.zeros(0, np.int64)
-        return [Template(empty.astype(np.uint64), empty, empty, words, empty, empty.astype(bool), empty.astype(np.uint64))]
+@dataclass
+class Reading:
+    """Template tokens of words that may be of several texts: their hashes, kinds and first words, and the words that are names."""
+
+    hashes: np.ndarray
+    kinds: np.ndarray
+    begins: np.ndarray
+    name: np.ndarray
+
+
+def read(words: list[str], first: np.ndarray, known: Words) -> tuple[np.ndarray, list[Reading]]:
+    """Hashes of the words, and the strict reading, where words that begin a sentence or quotation and words in capitals are literals, and,
+    if there are any, the loose one, where they are names; ``first`` words begin a text, and nothing reaches over its end."""
     literal, flags = known.of(words)
     has = lambda f: (flags & f) > 0
-    before = lambda x, first=False: np.concatenate([[first], x[:-1]])
-    number, ended = has(NUMERIC), before(has(STOPS), True) | has(OPENS)
+    before = lambda x: np.concatenate([[False], x[:-1]]) & ~first
+    number, ended = has(NUMERIC), first | before(has(STOPS)) | has(OPENS)
     unit = has(UNIT) & before(number & ~has(FUSED)) & ~number
     quantity = number & (has(FUSED) | np.append(unit[1:], False))
     strict, loose = has(CAPITAL) & ~ended & ~unit, has(CAPITAL | CAPITALS) & ~unit
 
-    def read(name: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def tokens(name: np.ndarray) -> Reading:
         kinds = np.where(quantity, QUANTITY, np.where(number, NUMBER, np.where(name, NAME, LITERAL)))
         begins = np.flatnonzero(~(unit | (name & before(name) & ~ended)))
         kinds = kinds[begins]
-        return np.where(kinds == LITERAL, literal[begins], PLACEHOLDERS[kinds]), kinds, begins
-
-    hashes, kinds, begins = read(strict)
-    out = [Template(hashes, kinds, begins, words, np.arange(len(begins)), np.zeros(len(begins), bool), literal)]
-    if (strict != loose).any():
-        hashes, kinds, inner = read(loose)
-        last = np.append(inner[1:], len(words)) - 1  # what begins a token here begins one in the strict reading, too
-        out.append(Template(hashes, kinds, inner, words, np.searchsorted(begins, inner), (kinds == NAME) & ~strict[last], literal))
+        return Reading(np.where(kinds == LITERAL, literal[begins], PLACEHOLDERS[kinds]), kinds, begins, name)
+
+    return literal, [tokens(strict), *([tokens(loose)] if (strict != loose).any() else [])]
+
+
+def readings(text: str, known: Words) -> list[Template]:
+    """The readings of one text."""
+    words = text.split()
+    if not words:
+        empty = np.zeros(0, np.int64)
+        return [Template(empty.astype(np.uint64), empty, empty, words, empty, empty.astype(bool), empty.astype(np.uint64))]
+    literal, (strict, *loose) = read(words, np.arange(len(words)) == 0, known)
+    out = [Template(strict.hashes, strict.kinds, strict.begins, words, np.arange(len(strict.begins)), np.zeros(len(strict.begins), bool), literal)]
+    for r in loose:
+        last = np.append(r.begins[1:], len(words)) - 1  # what begins a token here begins one in the strict reading, too
+        out.append(Template(r.hashes, r.kinds, r.begins, words, np.searchsorted(strict.begins, r.begins), (r.kinds == NAME) & ~strict.name[last], literal))
     return out
 
 
+def spoken(hashes: np.ndarray, kinds: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the windows at each token; 0 for those that say nothing."""
+    n = len(hashes) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    total, literal = np.zeros(n, np.uint64), np.zeros(n, np.int64)
+    for i in range(size):
+        total = (total * np.uint64(0x9E3779B97F4A7C15)) ^ hashes[i:i + n]
+        total ^= total >> np.uint64(29)
+        literal += kinds[i:i + n] == LITERAL
+    return np.where(literal >= min(LITERALS, size), total | np.uint64(1), np.uint64(0))
+
+
 class Items:
     """A block of items, ready to be looked up."""
 
@@ -239,6 +257,32 @@ class Items:
         self.ranks.append({place: rank for rank, place in enumerate(spoken.tolist())})
         return len(spoken)
 
+    def touched(self, bodies: list[str], known: Words) -> list[int]:
+        """Which texts have anything of an item at all: a window, or as a whole a short one. All are read at once."""
+        parts = [body.split() for body in bodies]
+        words = [w for part in parts for w in part]
+        if not words:
+            return []
+        sizes = np.array([len(p) for p in parts])
+        owner = np.repeat(np.arange(len(parts)), sizes)
+        literal, both = read(words, np.concatenate([[True], owner[1:] != owner[:-1]]), known)
+        hit = np.zeros(len(parts), bool)
+
+        def note(hashes: np.ndarray, size: int, wanted: np.ndarray, of: np.ndarray) -> None:
+            if len(hashes) and len(wanted):
+                at = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
+                begin = np.flatnonzero(wanted[at] == hashes)
+                hit[of[begin[of[begin] == of[begin + size - 1]]]] = True
+
+        for r in both:
+            of = owner[r.begins]
+            note(spoken(r.hashes, r.kinds, self.s.window), self.s.window, self.sorted, of)
+            for size, wanted in self.whole.items():
+                note(runs(r.hashes, size), size, np.sort(np.fromiter(wanted, np.uint64, len(wanted))), of)
+        for size, wanted in self.exact.items():
+            note(runs(literal, size), size, np.sort(np.fromiter(wanted, np.uint64, len(wanted))), owner)
+        return np.flatnonzero(hit).tolist()
+
     def found(self, text: str, known: Words) -> list[tuple]:
         """(item, its windows, those found, share of consistent slots, slots, kind) of each leaked item, best occurrence."""
         both = readings(text, known)
@@ -444,8 +488,9 @@ def template_leaks(docs: DataFrame, items: DataFrame, s: Settings = Settings(),
         def find(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             block_items, known = Items(held.value, s), Words()
             for batch in batches:
-                columns = (batch.column(c).to_pylist() for c in ("id", "mark", "body"))
-                found = [(i, m, *leak) for i, m, body in zip(*columns) if body for leak in block_items.found(body.decode("utf-8", "replace"), known)]
+                ids, marks = (batch.column(c).to_pylist() for c in ("id", "mark"))
+                bodies = [(body or b"").decode("utf-8", "replace") for body in batch.column("body").to_pylist()]
+                found = [(ids[k], marks[k], *leak) for k in block_items.touched(bodies, known) for leak in block_items.found(bodies[k], known)]
                 if found:
                     kinds = [pa.int64()] * 5 + [pa.float64(), pa.int64(), pa.string()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], [c.split()[0] for c in COLUMNS.split(", ")])
