@@ -199,9 +199,12 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key="doc_id", tex
 
     size = reps.select("row", F.col("n").alias("weight"))
     named_by = reps.select("row", F.coalesce("id", F.lit(LAST)).alias("at"), "mark")
+    # Only texts of buckets with several members can be asked for. One for each name, reduced in the tasks first: repeated rows would come
+    # to a cell as often as they stand in the table.
+    wanted = named_by.join(keyed.select("row").distinct(), "row", "left_semi").select("at", "mark").distinct()
     body = rows.select(F.coalesce("id", F.lit(LAST)).alias("at"), "mark", packed(F.col("body")).alias("packed"))
-    # One text for each name, reduced in the tasks first: repeated rows would come to a cell as often as they stand in the table.
-    body = body.groupBy("at", "mark").agg(F.first("packed").alias("packed"))
+    body = body.groupBy("at", "mark").agg(F.first("packed").alias("packed")).join(wanted, ["at", "mark"], "left_semi")
+    body = settled(body, "near-bodies")
 
     def confirmed(xs: DataFrame, ys: DataFrame) -> DataFrame:
         cells = blocked(xs.join(size, "row"), ys.join(size, "row"), s.set_block)
