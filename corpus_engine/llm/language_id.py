@@ -1,14 +1,15 @@
-"""Language identification: sparse multinomial logistic regression on TF-IDF byte n-grams.
+"""Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 * Document frequencies of the hashed n-grams are counted over every training document.
 * The weights are learnt by follow-the-regularised-leader (FTRL-proximal) with elastic-net
-  penalties, on a bounded sample of training rows: at most ``per_language`` rows of each of at most
-  ``languages`` languages, each as windows of a few words, so that short texts are learnt as well.
+  penalties, on a bounded sample of training rows: of each language the ``per_language`` distinct rows (id and text) with the smallest
+  hashes, so copies of a row count once and the sample is the same at any partitioning. A sampled text teaches as a whole and as
+  two short pieces of it, so that short texts are learnt as well. One task learns, and only the weights come to the driver.
 * A temperature, fitted on sampled rows the weights did not see, calibrates the probabilities.
 * Every text is scored whole.
 
-Letters are lower-cased (ASCII) and runs of other characters than letters and bytes above 127 become
-one space, so that a text's markup, digits and case say nothing about its language.
+Characters are code points in lower case; runs of ASCII characters that are no letters become one space, so that a text's
+markup, digits and case say nothing about its language.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is any text when
 no training row has a language. Equal rows give equal results, one row each; ties between languages go
@@ -18,31 +19,31 @@ to the first by name. Only the named columns are read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpus_engine.llm.common import prepare, pairs, texts
+from corpus_engine.operators.sizing import settled_side
 
 BITS = 16
 PLACES = 1 << BITS
 ORDERS = (1, 2, 3, 4)
 UNKNOWN = "und"
 SCALE = 10.0
-# Fixed rule: ASCII letters in lower case, every other ASCII byte a space, other bytes unchanged.
-FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
+SPACE = np.uint32(32)
+LETTER = np.array([chr(c).isalpha() for c in range(128)])
 
 
 @dataclass(frozen=True)
 class Settings:
-    per_language: int = 400
-    languages: int = 256
-    window_words: int = 60
+    per_language: int = 400  # distinct rows of a language that teach
+    window_words: int = 60  # of the longer piece
     alpha: float = 0.3
     beta: float = 1.0
     l1: float = 1e-4
@@ -66,13 +67,24 @@ class Model:
         return self.names[best], float(p[best])
 
 
+def folded(body: bytes) -> np.ndarray:
+    """Code points in lower case, words bounded by one space, also at both ends."""
+    if body.isascii():
+        codes = np.frombuffer(body.lower(), np.uint8).astype(np.uint32)
+    else:
+        codes = np.frombuffer(body.decode("utf-8", "replace").lower().encode("utf-32-le"), "<u4").astype(np.uint32)
+    codes = np.where((codes < 128) & ~LETTER[np.minimum(codes, 127)], SPACE, codes)
+    codes = np.concatenate([[SPACE], codes, [SPACE]])
+    return codes[np.append((codes[:-1] != SPACE) | (codes[1:] != SPACE), True)]
+
+
 def grams(body: bytes) -> np.ndarray:
-    """Hashed places of all n-grams, one for each occurrence; words are bounded by one space."""
-    b = np.frombuffer(b" " + b" ".join(body.translate(FOLD).split()) + b" ", np.uint8).astype(np.uint32)
-    found, rolled = [], b
+    """Hashed places of all n-grams, one for each occurrence."""
+    codes = folded(body)
+    found, rolled = [], codes
     for order in ORDERS:
         if order > 1:
-            rolled = rolled[:-1] * np.uint32(263) + b[order - 1:]
+            rolled = rolled[:-1] * np.uint32(263) + codes[order - 1:]
         if len(rolled):
             found.append(((rolled + np.uint32(order)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS))
     return np.concatenate(found)
@@ -110,49 +122,43 @@ def document_frequencies(bodies: DataFrame) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
-def sample(docs: DataFrame, s: Settings, key: str, text: str, lang: str) -> list[tuple[str, int, bytes]]:
-    """Windows of at most ``window_words`` words of a bounded number of rows of each language."""
-    rows = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").cast("binary").alias("body"),
+def sample(docs: DataFrame, s: Settings, key: str, text: str, lang: str) -> DataFrame:
+    """``lang`` and ``body`` of at most ``per_language`` distinct rows of each language, in a fixed order in one partition."""
+    rows = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(-1)).alias("id"), F.col(text).cast("string").cast("binary").alias("body"),
                        F.col(lang).cast("string").alias("lang")).where("body is not null and lang is not null")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(s.languages).collect()
-    if not sizes:
-        return []
-    # A row is drawn by the hash of its id and text, at a rate that gives about half the bound for a language.
-    rate = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, 0.5 * s.per_language / r["count"]))))
-    draw = F.pmod(F.xxhash64("id", "body"), F.lit(1 << 30)) / F.lit(1 << 30)
-    drawn = rows.where(draw < rate[F.col("lang")])
-    bound = s.window_words
-
-    def window(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cut = []
-            for body in batch.column("body").to_pylist():
-                words = body.split()
-                skip = crc32(body) % max(1, len(words) - bound + 1)
-                cut.append(b" ".join(words[skip:skip + bound])[:bound * 100])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), pa.array([crc32(c) for c in cut], pa.int64()), pa.array(cut, pa.binary())],
-                ["lang", "mark", "body"])
+    rows = rows.withColumn("mark", F.xxhash64("body"))
+    named = rows.select("lang", "id", "mark").distinct().withColumn("draw", F.xxhash64("lang", "id", "mark"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id", "mark"))
+    # The rank's limit is applied before the shuffle: a language with a third of all rows sends this many of each task.
+    drawn = named.withColumn("place", place).where(F.col("place") <= s.per_language)
+    found = rows.join(settled_side(drawn), ["lang", "id", "mark"]).groupBy("place", "lang", "id", "mark").agg(F.min("body").alias("body"))
+    return found.repartition(1).sortWithinPartitions("place", "lang").select("lang", "body")
 
-    kept = drawn.select("id", "lang", "body").mapInArrow(window, "lang string, mark long, body binary")
-    found = sorted(kept.limit(2 * s.per_language * len(sizes)).toArrow().to_pylist(), key=lambda r: (r["mark"], r["body"]))
-    return [(r["lang"], r["mark"], r["body"]) for r in found]
 
+def pieces(body: bytes, mark: int, s: Settings) -> list[bytes]:
+    """The whole text, ``window_words`` of its words, and one to four."""
+    words = body.split()
+    begin = mark % max(1, len(words) - s.window_words + 1)
+    parts = [body, b" ".join(words[begin:begin + s.window_words]), b" ".join(words[mark % max(1, len(words)):][:1 + mark % 4])]
+    return list(dict.fromkeys(parts))
 
-def learn(rows: list[tuple[str, int, bytes]], frequencies: np.ndarray, n: int, s: Settings) -> Model | None:
-    names = sorted({r[0] for r in rows})
-    if not names:
-        return None
+
+def learn(rows: Iterable[tuple[str, bytes]], frequencies: np.ndarray, n: int, s: Settings) -> Model | None:
     idf = (np.log((1 + n) / (1 + frequencies)) + 1).astype(np.float64)
-    made, aside = [], []
-    for name, mark, body in rows:
-        words = body.split()
-        short = b" ".join(words[mark % max(1, len(words)):][:1 + mark % 4])
-        for part in {body, short}:
+    made, aside, names = [], [], {}
+    for name, body in rows:
+        mark = crc32(body)
+        label = names.setdefault(name, len(names))
+        for part in pieces(body, mark, s):
             if has_letter(part):
                 at, count = np.unique(grams(part), return_counts=True)
                 x = count * (SCALE / count.sum()) * idf[at]
-                (aside if mark % 5 == 0 else made).append((names.index(name), at.astype(np.int64), x))
+                (aside if mark % 5 == 0 else made).append((label, at.astype(np.int32), x.astype(np.float32)))
+    if not names:
+        return None
+    order = {names[name]: k for k, name in enumerate(sorted(names))}
+    made, aside = ([(order[y], at, x) for y, at, x in part] for part in (made, aside))
+    names = sorted(names)
     k = len(names)
     z, squares = np.zeros((PLACES + 1, k)), np.zeros((PLACES + 1, k))
     made = made or aside
@@ -191,11 +197,20 @@ def learn(rows: list[tuple[str, int, bytes]], frequencies: np.ndarray, n: int, s
 
 
 def fit(training: DataFrame, s: Settings = Settings(), key="doc_id", text="text", lang="lang") -> Model | None:
-    rows = sample(training, s, key, text, lang)
-    if not rows:
-        return None
+    """The model, or None if no row has a language. One task learns from the bounded sample."""
     known = training.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    return learn(rows, *document_frequencies(texts(known, key, text)), s)
+    held = training.sparkSession.sparkContext.broadcast(document_frequencies(texts(known, key, text)))  # two vectors of fixed length
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = learn((row for batch in batches for row in zip(batch.column("lang").to_pylist(), batch.column("body").to_pylist())), *held.value, s)
+        if model:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([model.names]), pa.array([model.weights.tobytes()]), pa.array([model.temperature])],
+                ["names", "weights", "temperature"])
+
+    made = sample(training, s, key, text, lang).mapInArrow(train, "names array<string>, weights binary, temperature double").first()
+    held.unpersist()
+    return Model(made["names"], np.frombuffer(made["weights"], np.float32).reshape(-1, len(made["names"])), made["temperature"]) if made else None
 
 
 def language_id(docs: DataFrame, held_out: Column, s: Settings = Settings(), key="doc_id", text="text", lang="lang") -> DataFrame:
