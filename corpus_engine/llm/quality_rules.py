@@ -1,28 +1,28 @@
 """Quality rules: countable rules and a calibrated classifier of hashed word and character n-grams.
 
 The classifier is a logistic regression over the relative frequencies of hashed word 1- and 2-grams
-and of hashed byte 2-, 3- and 4-grams of the raw text (case and symbols count). It learns from a
-bounded sample of labelled rows (``Settings.train_rows``, picked by the hash of the id, so the same
-rows at any partitioning), and Platt scaling on a part it did not learn from turns its margin into a
-probability. Every text is then scored whole, in Arrow batches, against the fixed thresholds.
+and of hashed byte 2-, 3- and 4-grams of the raw text (case and symbols count). It learns from the whole texts of a
+bounded sample of labelled ids, one row for each: at most ``Settings.train_rows``, in the order of a hash of the id, as long as the
+n-grams of those before it number less than ``Settings.train_grams``. Both classes come in turns, so the bounds cut them alike, and
+the sample is the same at any partitioning. One task learns, and only the weights come to the driver. Platt scaling on a part
+that was not learnt turns the margin into a probability. Every text is then scored whole, in Arrow batches, against the fixed thresholds.
 
 Defined results: a null or empty text has no words and fails the base rules; equal rows get equal
 results, one row each; without labelled rows of both classes the rules alone decide (probability null).
 Only the named columns are read, so further columns of any name do no harm. A null label row is left
-out; a document labelled more than once learns from its lowest label.
+out; a document labelled more than once learns from its lowest label, and of rows with one id the one with the smallest hash teaches.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpus_engine.llm.common import SPACES, prepare, texts
@@ -40,7 +40,7 @@ class Settings:
     max_repeat_percent: int = 50
     min_probability: float = 0.5
     train_rows: int = 4_000  # bound of the labelled sample, half of it per class where there are enough
-    train_words: int = 4_000  # bound of the words a sampled text is learnt from, taken from its middle
+    train_grams: int = 20_000_000  # bound of the distinct n-grams of the sampled texts, counted text by text; 160 MB
     calibrate_share: float = 0.25
     epochs: int = 8
     rate: float = 0.5
@@ -91,45 +91,46 @@ def sparse(body: bytes, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             places.append(at)
             values.append(n * (SCALE / len(found)))
     if not places:
-        return np.zeros(0, np.int64), np.zeros(0)
-    return np.concatenate(places).astype(np.int64), np.concatenate(values)
+        return np.zeros(0, np.int32), np.zeros(0, np.float32)
+    return np.concatenate(places).astype(np.int32), np.concatenate(values).astype(np.float32)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings, key: str, text: str, label: str) -> DataFrame:
-    """At most ``train_rows`` rows (``label``, ``body``), those with the smallest hashes of the id in each class."""
+    """One row (``turn``, ``id``, ``label``, ``body``) for each of at most ``train_rows`` ids, those with the smallest hashes in each class."""
     marks = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).cast("bigint").alias("id"))
     marks = marks.agg(F.min(label).cast("int").alias("label")).withColumn("draw", F.xxhash64("id"))
     drawn = [marks.where(F.col("label") == v).orderBy("draw", "id").limit(s.train_rows // 2) for v in (0, 1)]
-    # At most train_rows narrow rows: small enough to broadcast.
-    chosen = F.broadcast(drawn[0].unionByName(drawn[1]))
-    return texts(docs, key, text).where("body is not null").join(chosen, "id").select("id", "label", "body")
+    # At most train_rows narrow rows: small enough to broadcast, and to be ranked in one task.
+    place = F.row_number().over(Window.partitionBy("label").orderBy("draw", "id"))
+    chosen = F.broadcast(drawn[0].unionByName(drawn[1]).withColumn("turn", place).drop("draw"))
+    found = texts(docs, key, text).where("body is not null").join(chosen, "id")
+    # Rows of one id are reduced in the tasks first, so that an id with very many rows sends one of each task.
+    return found.groupBy("turn", "id", "label").agg(F.min(F.struct(F.xxhash64("body").alias("mark"), "body")).alias("first")).select("turn", "id", "label", "first.body")
 
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), key="doc_id", text="text", label="quality") -> Model | None:
-    """The model, or None if the labelled sample lacks a class. Learns on the driver from the bounded sample."""
-    bound = s.train_words
+    """The model, or None if the labelled sample lacks a class. One task learns from the bounded sample."""
 
-    def middle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cut = []
-            for body in batch.column("body").to_pylist():
-                marks = [m.start() for m in re.finditer(rb"[^\x20\x09-\x0D]+", body)]
-                skip = max(0, len(marks) - bound) // 2
-                stop = marks[skip + bound] if len(marks) > skip + bound else len(body)
-                cut.append(body[marks[skip] if skip else 0:stop])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("label"), pa.array(cut, pa.binary())], ["id", "label", "body"])
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = learn(((y, body) for batch in batches for y, body in zip(batch.column("label").to_pylist(), batch.column("body").to_pylist())), s)
+        if model:
+            yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()]), pa.array([model.slope]), pa.array([model.shift])], ["weights", "slope", "shift"])
 
-    sample = labelled_sample(docs, labels, s, key, text, label)
-    rows = sample.mapInArrow(middle, "id long, label int, body binary").toArrow().to_pylist()
-    return learn([(r["label"], r["body"]) for r in sorted(rows, key=lambda r: (crc32(b"%d" % r["id"]), r["body"]))], s)
+    ordered = labelled_sample(docs, labels, s, key, text, label).repartition(1).sortWithinPartitions("turn", "label").select("label", "body")
+    made = ordered.mapInArrow(train, "weights binary, slope double, shift double").first()  # a megabyte
+    return Model(np.frombuffer(made["weights"], np.float32), made["slope"], made["shift"]) if made else None
 
 
-def learn(rows: list[tuple[int, bytes]], s: Settings) -> Model | None:
+def learn(rows: Iterable[tuple[int, bytes]], s: Settings) -> Model | None:
     """AdaGrad over the rows in a fixed order, then Platt scaling on the rows kept aside."""
-    if {y for y, _ in rows} != {0, 1}:
+    made, size = [], 0
+    for y, body in rows:
+        if size < s.train_grams:
+            made.append((y, *sparse(body, body.split())))
+            size += len(made[-1][1])
+    if {y for y, _, _ in made} != {0, 1}:
         return None
-    made = [(y, *sparse(body, body.split())) for y, body in rows]
+    made = [made[i] for i in np.random.default_rng(len(made)).permutation(len(made))]  # classes came in turns
     aside = [i for i in range(len(made)) if i % round(1 / s.calibrate_share) == 0]
     learnt = [i for i in range(len(made)) if i % round(1 / s.calibrate_share)] or aside
     share = {y: max(1, sum(made[i][0] == y for i in learnt)) / len(learnt) for y in (0, 1)}

@@ -1,11 +1,13 @@
 """Quality rules: counts against plain loops, and what the classifier learns."""
 
 import random
+from collections import Counter
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpus_engine.llm.quality_rules import base_counts, quality_rules
+from corpus_engine.llm.quality_rules import Settings, base_counts, fit, labelled_sample, learn, quality_rules
 from llm_helpers import documents, odd_rows, prose
 
 
@@ -59,3 +61,39 @@ def test_odd_rows_without_labels(spark):
 def test_repeats_fail(spark):
     got = {r.doc_id: r for r in run(spark, [(1, "a b c " * 40), (2, prose(1, 49)), (3, prose(1, 50))], [])}
     assert got[1].base_failed and got[1].n_repeat_words == 120 and got[2].base_failed and not got[3].base_failed
+
+
+def labelled(spark, rows):
+    return spark.createDataFrame([(i, y, 0) for i, y in rows], "doc_id long, quality int, toxic int")
+
+
+def test_the_sample_never_passes_its_bound(spark):
+    """One labelled id stands in the table 30,000 times, with two texts: it teaches by one row."""
+    rows = [(i, prose(i, 30) if i % 2 else junk(i, 30)) for i in range(60)]
+    copies = documents(spark, [(7, prose(7, 30)), (7, prose(99, 30))], clashing=False).crossJoin(spark.range(15_000)).drop("id")
+    whole = documents(spark, rows, clashing=False).unionByName(copies)
+    marks = labelled(spark, [(i, i % 2) for i in range(60)])
+    found = []
+    for parts in (1, 16):
+        taken = labelled_sample(whole.repartition(parts), marks, Settings(train_rows=24), "doc_id", "text", "quality").collect()
+        assert len(taken) == 24 and len({r["id"] for r in taken}) == 24 and Counter(r["label"] for r in taken) == {0: 12, 1: 12}
+        assert sorted((r["turn"], r["label"]) for r in taken) == [(k, y) for k in range(1, 13) for y in (0, 1)]
+        found.append(sorted((r["id"], bytes(r["body"])) for r in taken))
+    assert found[0] == found[1]
+    one, many = (fit(whole.repartition(parts), marks, Settings(train_rows=24)) for parts in (1, 16))
+    assert np.array_equal(one.weights, many.weights) and (one.slope, one.shift) == (many.slope, many.shift)
+
+
+def test_the_bound_on_n_grams_cuts_both_classes_alike():
+    rows = [(y, (prose(i, 40) if y else junk(i, 40)).encode()) for i in range(200) for y in (0, 1)]
+    read = []
+    model = learn(((y, read.append(y) or body) for y, body in rows), Settings(train_grams=30_000))
+    assert model is not None and len(read) == 400  # the rest is read and left
+    assert learn(rows, Settings(train_grams=1)) is None  # one row has one class
+
+
+def test_long_labelled_texts_teach_whole(spark):
+    """What tells the classes apart stands at the very end of long texts."""
+    rows = [(i, prose(i, 6000) + (" zzgood" if i % 2 else " zzbad") * 300) for i in range(24)]
+    got = run(spark, rows, [(i, i % 2, 0) for i in range(16)])
+    assert all(r.kept == (r.doc_id % 2 == 1) for r in got)
