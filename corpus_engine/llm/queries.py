@@ -134,6 +134,15 @@ ORACLE: dict[str, str] = {
                CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id <> first THEN first END AS refers_to, true AS valid
         FROM d LEFT JOIN f USING (payload_digest)""",
+    "op10_repeated_passages": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS k FROM w, unnest(range(1, len(ws) - 18)) AS t(i)),
+        placed AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS place FROM windows),
+        covered AS (SELECT DISTINCT doc_id, i + j AS spot FROM placed, unnest(range(20)) AS t(j) WHERE place > 1),
+        words AS (SELECT doc_id, spot, ws[spot] AS word FROM w, unnest(range(1, len(ws) + 1)) AS t(spot)),
+        kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY spot) AS said FROM words ANTI JOIN covered USING (doc_id, spot) GROUP BY doc_id)
+        SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(said, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)""",
     "op11_fill_in_middle": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS body, sha256('7:' || doc_id) AS h FROM documents),
         u AS (SELECT *, regexp_extract_all(body, '[^\n]*\n|[^\n]+') AS units,
