@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import study_tables as st
-from checks.oracle import BEST, EXPANSION, HITS, VIDEOS
+from checks.oracle import BEST, CASCADE, EXPANSION, HITS, VIDEOS, squash
 from checks.queries import channel_expansion, discovery_review
 from corpus_engine import schemas
 from corpus_engine.operators.ordering import first_seen
 from corpus_engine.plans.expansion import write_expansion
 from corpus_engine.plans.review import write_review
+from corpus_engine.plans.study import Study, StudyOptions, run_study
 from corpus_engine.session import scratch_path
 from corpus_engine.sources import drift
 from corpus_engine.sources.ordered import read_ordered
@@ -72,7 +73,19 @@ def expansion_file(spark: SparkSession, sf: str) -> DataFrame:
     return read_ordered(spark, path, rows.schema).select("place", "channel_id", "page_number", "position_in_page", "video_id", "new_vs_search")
 
 
-QUERIES = {f.__name__: f for f in (channel_field_inventory, channel_unknown_fields, quarantined_pages, review_file, expansion_file)}
+def study_run_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """The transcripts that a run publishes from captions, failed subtitle calls and speech."""
+    root = scratch_path(spark, "sources")
+    st.land_sources(spark, sf, f"{root}/landing")
+    options = StudyOptions(max_pages_per_query=10**9, languages=st.LANGUAGES, stages=["discovery", "videos", "transcripts"])
+    run_study(spark, f"{root}/data", "study", f"{root}/landing", options, "r1", st.CAPTURED)
+    rows = Study(spark, f"{root}/data", "study").read("transcripts")
+    errors = {f"error_{name}": F.try_element_at("transcript_error", F.lit(strategy))["type"]
+              for name, strategy in (("captions", "youtube_transcript_api"), ("subtitles", "yt_dlp_subtitle"), ("speech", "whisper"))}
+    return rows.withColumns(errors).select("video_id", "transcript_status", "transcript_method", "transcript_language", "transcript_text", *errors)
+
+
+QUERIES = {f.__name__: f for f in (channel_field_inventory, channel_unknown_fields, quarantined_pages, review_file, expansion_file, study_run_sources)}
 
 _KEPT = "kept AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 11 <> 0)"
 
@@ -107,4 +120,13 @@ ORACLE = {
     "expansion_file": f"""WITH {EXPANSION}, seen AS (SELECT channel_id, min((conv_id, turn, pos)) AS first FROM hits GROUP BY channel_id)
         SELECT row_number() OVER (ORDER BY first, page_number, position_in_page, video_id) AS place, e.channel_id, page_number, position_in_page, video_id, new_vs_search
         FROM expansion e JOIN seen s ON e.channel_id = s.channel_id""",
+    "study_run_sources": f"""WITH {CASCADE}, won AS (
+          SELECT *, CASE WHEN by_track THEN method WHEN by_speech THEN 'faster_whisper_small' ELSE 'failed' END AS how FROM decided)
+        SELECT video_id, CASE WHEN how = 'failed' THEN 'failed' ELSE 'success' END AS transcript_status, how AS transcript_method,
+               CASE WHEN how <> 'failed' THEN lang END AS transcript_language, CASE WHEN how <> 'failed' THEN {squash('text')} END AS transcript_text,
+               CASE WHEN how = 'failed' THEN CASE WHEN quality IS NULL AND n_chars < 1000 THEN 'TranscriptsDisabled'
+                    WHEN quality IS NULL THEN 'NoMatchingTranscript' ELSE 'EmptyTranscript' END END AS error_captions,
+               CASE WHEN how = 'failed' THEN CASE WHEN n_chars >= 10000 THEN 'YtDlpSubtitleError' WHEN lang = 'en' THEN 'DownloadError' ELSE 'HTTPError' END END AS error_subtitles,
+               CASE WHEN how = 'failed' THEN CASE WHEN n_chars < 200 THEN 'RuntimeError' ELSE 'AudioDownloadError' END END AS error_speech
+        FROM won""",
 }

@@ -451,21 +451,40 @@ def conversation_comments(spark: SparkSession, sf: str) -> DataFrame:
 # --- a whole landing folder ------------------------------------------------------------------
 
 
-def land_study(spark: SparkSession, sf: str, root: str, languages: str = "'de', 'en', 'es', 'fr'") -> None:
-    """Files of one run below ``root``: every document line with a long word is a video.
+def _write_pages(df: DataFrame, path: str) -> None:
+    """JSON lines whose response is an object rather than its text."""
+    rest = F.to_json(F.struct(*[c for c in df.columns if c != "response"]))
+    opened = F.left(rest, F.length(rest) - 1)
+    df.select(F.concat(opened, F.lit(',"response":'), F.col("response"), F.lit("}"))).write.text(path)
+
+
+def land_sources(spark: SparkSession, sf: str, root: str) -> None:
+    """Files of one run below ``root``, each document a video: found, described, and tried by captions, subtitles and speech."""
+    docs = table(spark, sf, "documents")
+    item = "to_json(struct(array(named_struct('id', {id}, 'snippet', named_struct('channelId', source, 'title', concat(lang, ' ', doc_id)))) as items)) as response"
+    _write_pages(docs.selectExpr(
+        "'r1' as run_id", "doc_id as seq", "lang as theme", "source as query", "'date' as search_order", "doc_id as page_number",
+        item.format(id="named_struct('videoId', concat('d', doc_id))")), f"{root}/search")
+    _write_pages(docs.selectExpr("'r1' as run_id", "doc_id as seq", item.format(id="concat('d', doc_id)")), f"{root}/videos")
+    cascade_tracks(spark, sf).write.json(f"{root}/captions")
+    cascade_speech(spark, sf).write.json(f"{root}/speech")
+    subtitle_attempts(spark, sf).write.json(f"{root}/subtitle_attempts")
+
+
+def land_study(spark: SparkSession, sf: str, root: str, languages: str | None = None) -> None:
+    """Files of one run below ``root``: every document line with a long word is a video; only documents in some languages, if any are named.
 
     Captions exist for English and French lines, comments for every line, channels for suppliers.
     """
     def write(df: DataFrame, kind: str) -> None:
-        """JSON lines whose response is an object rather than its text."""
-        rest = F.to_json(F.struct(*[c for c in df.columns if c != "response"]))
-        opened = F.left(rest, F.length(rest) - 1)
-        df.select(F.concat(opened, F.lit(',"response":'), F.col("response"), F.lit("}"))).write.text(f"{root}/{kind}")
+        _write_pages(df, f"{root}/{kind}")
 
-    docs = table(spark, sf, "documents").where(f"lang in ({languages})")
+    docs, searches = table(spark, sf, "documents"), search_pages(spark, sf)
+    if languages is not None:
+        docs, searches = docs.where(f"lang in ({languages})"), searches.where(f"theme in ({languages})")
     lines = docs.selectExpr("doc_id", "lang", "source", r"posexplode(split(text, '\n')) as (pos, line)").selectExpr(
         "*", "regexp_extract(line, '[A-Za-z]{10,}', 0) as video_id").where("video_id <> ''")
-    write(search_pages(spark, sf).where(f"theme in ({languages})"), "search")
+    write(searches, "search")
     write(docs.selectExpr(
         "'r1' as run_id", "doc_id as seq",
         r"""to_json(struct(filter(transform(split(text, '\n'), line -> named_struct(
