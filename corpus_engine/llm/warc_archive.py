@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 from uuid import NAMESPACE_URL, uuid5
 
 import pyarrow as pa
@@ -54,7 +54,9 @@ def head(page: dict) -> tuple[bytes, bytes]:
     revisit = page["record_type"] == "revisit"
     fields = [("WARC-Type", page["record_type"]), ("WARC-Record-ID", record_id(page["page_id"], page["digest"])), ("WARC-Date", DATE)]
     if page["url"] is not None:
-        fields.append(("WARC-Target-URI", quote(page["url"], safe="%/:?#[]@!$&'()*+,;=~")))
+        fields.append(("WARC-Target-URI", target := quote(page["url"], safe="%/:?#[]@!$&'()*+,;=~")))
+        if target != page["url"]:  # no URI as it stands; readers of the chunk table get it back as it was
+            fields.append(("X-Page-Url", quote(page["url"], safe="")))
     fields.append(("WARC-Payload-Digest", f"sha256:{page['digest']}"))
     if page["page_id"] is not None:
         fields.append(("X-Page-Id", page["page_id"]))
@@ -188,7 +190,8 @@ def chunks(stream, chunk: int = CHUNK) -> Iterator[tuple]:
         http = source.until(b"\r\n\r\n")
         left = int(about["content-length"]) - len(http) - 4
         number = lambda name: int(about[name]) if name in about else None
-        known = (about["warc-record-id"], number("x-page-id"), about.get("warc-target-uri"), about["warc-type"], number("x-refers-to-page-id"))
+        address = unquote(about["x-page-url"]) if "x-page-url" in about else about.get("warc-target-uri")
+        known = (about["warc-record-id"], number("x-page-id"), address, about["warc-type"], number("x-refers-to-page-id"))
         stated = about["warc-payload-digest"].removeprefix("sha256:")
         if about["warc-type"] == "revisit":
             yield (*known, 0, None, int(fields(http)["content-length"]), stated, True, True)

@@ -44,6 +44,13 @@ def test_round_trip(spark, archive):
     assert bodies == {1: [b"x" * 100], 3: [b"x" * 99], 4: [b"x" * 99], 5: [b""], 6: [b""], 7: [BIG.encode()], None: [b"x" * 100]}
 
 
+def test_addresses_come_back_as_they_were(spark, tmp_path):
+    urls = ["http://a/x%20y?q=1#f", "http://ä/日本", " spaced ", "u é\r\nX: 1", "", "100%", "%C3%A4 ä", None]
+    pages = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = read_archive(write_archive(pages, str(tmp_path)), str(tmp_path)).collect()
+    assert [r.url for r in sorted(got, key=lambda r: r.page_id)] == urls
+
+
 def test_verdicts(spark, archive):
     got = sorted(((r.page_id or 0, r.record_type, r.refers_to, r.payload_bytes, r.payload_digest) for r in read_archive(*archive, with_data=False).where("last").collect()),
                  key=str)
