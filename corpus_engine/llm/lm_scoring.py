@@ -36,6 +36,8 @@ from corpus_engine.llm.lattice import Parameters, Vocabulary, expected_counts, m
 HOLD_WORDS = 200_000  # distinct words a task holds before it sends their counts on
 AT_ONCE = 32_768  # words of one call of the lattice code
 LN10 = log(10)
+SUMS = ("base", "score", "alone", "share")  # of a word, added up over a text
+SUM_COLUMNS = ", ".join(f"{c} double" for c in SUMS)
 
 
 @dataclass(frozen=True)
@@ -62,13 +64,20 @@ class Totals:
 
     def log_word(self, counts: np.ndarray, pieces: np.ndarray) -> np.ndarray:
         """log10 P(word): the whole-word arc and all paths through pieces, given that the text goes on."""
+        return self.log_parts(counts, pieces)[0]
+
+    def log_parts(self, counts: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 P(word); the same from pieces alone; and the share of P(word) that paths through pieces have."""
         going_on = log10(1 - 10**self.log_end)
+        alone = going_on + pieces / LN10
         if not self.tokens:
-            return going_on + pieces / LN10
+            return alone, alone, np.ones(len(alone))
         d = self.discount
         with np.errstate(divide="ignore"):
             whole = np.log(np.maximum(counts - d, 0) / self.tokens)
-        return going_on + np.logaddexp(whole, np.log(d * self.words / self.tokens) + pieces) / LN10
+            paths = np.log(d * self.words / self.tokens) + pieces
+            total = np.logaddexp(whole, paths)
+            return going_on + total / LN10, alone, np.exp(paths - total)
 
 
 @lru_cache(maxsize=2)
@@ -137,7 +146,8 @@ def estimate(counted: DataFrame, path: str, rounds: int) -> Parameters:
 
 
 def lm_scores(docs: DataFrame, held_out: Column, path: str, s: Settings = Settings(), key="doc_id", text="text") -> DataFrame:
-    """One row per document: token counts, the base score and the model's log10 probability of the text."""
+    """One row per document: token counts, the base score and the model's log10 probability of the text; that from pieces alone
+    (``lattice_score``), and the mean share of a word's probability that paths through pieces have (``lattice_share``; null without words)."""
     spark = docs.sparkSession
     prepare(spark)
     rows = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").cast("binary").alias("body"),
@@ -153,52 +163,51 @@ def lm_scores(docs: DataFrame, held_out: Column, path: str, s: Settings = Settin
         for batch in gathered(batches, AT_ONCE):
             c = batch.column("c").to_numpy()
             words = [w.decode("utf-8", "replace") for w in batch.column("word").to_pylist()]
-            score = totals.log_word(c, marginals(found, words, parameters.value)) if words else np.zeros(0)
+            scores = totals.log_parts(c, marginals(found, words, parameters.value)) if words else [np.zeros(0)] * 3
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("c"), pa.array(np.log10(c + 1.0)), pa.array(score)], ["word", "c", "base", "score"])
+                [batch.column("word"), batch.column("c"), pa.array(np.log10(c + 1.0)), *map(pa.array, scores)], ["word", "c", *SUMS])
 
-    weighed = settled(counted.mapInArrow(weigh, "word binary, c long, base double, score double"), "lm-scores")
+    weighed = settled(counted.mapInArrow(weigh, f"word binary, c long, {SUM_COLUMNS}"), "lm-scores")
     least = totals.tokens / s.frequent
     # At most `frequent` words have so large a share of all tokens.
     common = weighed.where((F.col("c") > 0) & (F.col("c") >= least)).toArrow()
-    known = spark.sparkContext.broadcast({w: (b, x) for w, b, x in zip(
-        common["word"].to_pylist(), common["base"].to_pylist(), common["score"].to_pylist())})
+    known = spark.sparkContext.broadcast(dict(zip(common["word"].to_pylist(), zip(*(common[c].to_pylist() for c in SUMS)))))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row with the sums over a document's frequent words and its length, and a row for each of its other words."""
         frequent = known.value
         for batch in batches:
-            out = [[] for _ in range(8)]
+            out = [[] for _ in range(6 + len(SUMS))]
             for row, doc_id, held, body in zip(*(batch.column(c).to_pylist() for c in ("row", "id", "held", "body"))):
                 n_tokens = n_known = 0
-                base = score = 0.0
+                base = score = alone = share = 0.0
                 rest = []
                 for word, n in Counter((body or b"").lower().split()).items():
                     n_tokens += n
                     at = frequent.get(word)
                     if at is None:
-                        rest.append((row, None, None, word, n, 0, 0.0, 0.0))
+                        rest.append((row, None, None, word, n, 0, 0.0, 0.0, 0.0, 0.0))
                     else:
                         n_known += n
                         base += n * at[0]
                         score += n * at[1]
-                for values in [(row, doc_id, held, None, n_tokens, n_known, base, score), *rest]:
+                        alone += n * at[2]
+                        share += n * at[3]
+                for values in [(row, doc_id, held, None, n_tokens, n_known, base, score, alone, share), *rest]:
                     for column, value in zip(out, values):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))],
-                ["row", "doc_id", "held_out", "word", "n", "known", "base", "score"])
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), *[pa.float64()] * len(SUMS))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["row", "doc_id", "held_out", "word", "n", "known", *SUMS])
 
     numbered = rows.withColumn("row", F.monotonically_increasing_id())  # read once; from here on the numbers are in a written table
     parts = settled(numbered.mapInArrow(
-        split, "row long, doc_id long, held_out boolean, word binary, n long, known long, base double, score double"), "lm-parts")
+        split, f"row long, doc_id long, held_out boolean, word binary, n long, known long, {SUM_COLUMNS}"), "lm-parts")
     rare = parts.where("word is not null").select("row", "word", "n").join(
-        weighed.where((F.col("c") < least) | (F.col("c") == 0)).select("word", "c", "base", "score"), "word")
+        weighed.where((F.col("c") < least) | (F.col("c") == 0)).select("word", "c", *SUMS), "word")
     rare = rare.select("row", F.lit(0).cast("bigint").alias("n"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"),
-                       (F.col("n") * F.col("base")).alias("base"), (F.col("n") * F.col("score")).alias("score"))
+                       *[(F.col("n") * F.col(c)).alias(c) for c in SUMS])
     own = parts.where("word is null")
-    summed = own.select("row", "n", "known", "base", "score").unionByName(rare).groupBy("row").agg(
-        F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("score").alias("score"))
+    summed = own.select("row", "n", "known", *SUMS).unionByName(rare).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n", "known", *SUMS)])
     tokens = totals.tokens + totals.documents
     distinct = totals.words + (totals.documents > 0)
     has_end = totals.documents > 0
@@ -206,4 +215,5 @@ def lm_scores(docs: DataFrame, held_out: Column, path: str, s: Settings = Settin
         "doc_id", "held_out", (F.col("n") + 1).alias("n_tokens"), (F.col("known") + int(has_end)).alias("n_known"),
         F.lit(tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + log10(totals.documents + 1) - (F.col("n") + 1) * log10(tokens + distinct + 1)).alias("base_score"),
-        (F.col("score") + totals.log_end).alias("score"))
+        (F.col("score") + totals.log_end).alias("score"), (F.col("alone") + totals.log_end).alias("lattice_score"),
+        F.when(F.col("n") > 0, F.col("share") / F.col("n")).alias("lattice_share"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpus_engine.llm.common import held_out_remainder
 from corpus_engine.llm.lattice import START, Vocabulary, expected_counts, marginals
-from corpus_engine.llm.lm_scoring import Settings, Totals, default_vocabulary, lm_scores
+from corpus_engine.llm.lm_scoring import Settings, Totals, count_words, default_vocabulary, estimate, lm_scores, vocabulary
 from llm_helpers import documents, odd_rows, prose
 
 TINY = Vocabulary([START + "a", START + "ab", "a", "b", "ab", "ba", START + "ba"], [-3, -1, -2, -6, -4, -5, -7])
@@ -91,6 +91,29 @@ def test_scores(spark, rows, frequent):
     assert score[1] == score[2] == score[3] > score[4] > score[8]
 
 
+def test_scores_are_sums_over_the_words_of_a_text(spark, rows):
+    """Every word's probability worked out in one go, without the joins."""
+    held = held_out_remainder(F.col("doc_id"), 7) == 2
+    frame = documents(spark, rows)
+    got = lm_scores(frame, held, default_vocabulary(), Settings(frequent=50)).collect()
+    raw = frame.select(F.col("text").cast("binary").alias("body"), held.alias("held"))
+    p = estimate(count_words(raw), default_vocabulary(), Settings().rounds)
+    taught = [(t or "").encode().lower().split() for i, t in rows if crc32(str("null" if i is None else i).encode()) % 7 != 2]
+    counts = Counter(w for words in taught for w in words)
+    totals = Totals(len(taught), sum(counts.values()), len(counts), sum(n == 1 for n in counts.values()), sum(n == 2 for n in counts.values()))
+    every = sorted({w for _, t in rows for w in (t or "").encode().lower().split()})
+    scores = totals.log_parts(np.array([counts[w] for w in every]), marginals(vocabulary(default_vocabulary()), [w.decode("utf-8", "replace") for w in every], p))
+    of = {w: tuple(float(x[k]) for x in scores) for k, w in enumerate(every)}
+    want = []
+    for i, t in rows:
+        words = (t or "").encode().lower().split()
+        score, alone, share = (sum(of[w][k] for w in words) for k in range(3))
+        want.append((i, round(score + totals.log_end, 5), round(alone + totals.log_end, 5), round(share / len(words), 6) if words else None))
+    key = lambda r: (r[0] is None, str(r))
+    assert sorted(((r.doc_id, round(r.score, 5), round(r.lattice_score, 5), None if r.lattice_share is None else round(r.lattice_share, 6)) for r in got), key=key) == sorted(want, key=key)
+    assert all(r.lattice_share is None or 0 <= r.lattice_share <= 1 + 1e-9 for r in got)
+
+
 def test_empty_table_and_no_training(spark):
     assert lm_scores(documents(spark, []), F.lit(False), default_vocabulary()).collect() == []
     row = lm_scores(documents(spark, [(1, "a b")]), F.lit(True), default_vocabulary()).first()
