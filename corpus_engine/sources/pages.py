@@ -276,67 +276,72 @@ def flatten_comment_threads(
     A failed thread page ends its video before that page. A failed reply page ends it as well: the
     comment it belongs to is the last row, and its replies read before the failure are not kept.
 
-    Pages are decoded once, into written rows. Places in reading order are sums over narrow rows: of the
-    items per page, and of the rows before on a page; the cap is a filter on the place, whatever its
-    size, and texts travel once, keyed by page. Building the frame runs the jobs that write the decoded rows and
-    count the cuts.
+    Pages are decoded once, into written rows, and their texts travel once, page by page, to the places that they keep: places in
+    reading order are sums over narrow rows (items per page, and the rows before on a page), the cap is a filter on the place, and a page of
+    which nothing is kept is never taken apart. Building the frame runs the jobs that write the decoded pages and the places,
+    and count the cuts.
     """
     if max_per_video <= 0:
         raise ValueError("max_per_video must be positive")
     video = ["run_id", "video_id"]
-    spark = threads.sparkSession
-    tops = _parsed(threads.where(F.col("error").isNull()), schemas.THREAD_RESPONSE).select(
-        "run_id", "seq", "video_id", "page_number", F.posexplode("items").alias("_pos", "item"))
-    tops = staged(tops, "threads")
-    narrow = tops.select(
-        "run_id", "seq", "video_id", "page_number", "_pos", F.col("item.snippet.topLevelComment.id").alias("parent_id"),
-        F.coalesce(safe_int(F.col("item.snippet.totalReplyCount")), F.lit(0)).alias("total_reply_count"))
+    page, parent = [*video, "page_number"], [*video, "parent_id"]
+    none = F.lit(None)
+    tops = staged(_parsed(threads.where(F.col("error").isNull()), schemas.THREAD_RESPONSE).select(*page, "seq", "items"), "threads")
     stops = settled_side(failed_thread_pages(threads).groupBy(*video).agg(F.min("page_number").alias("_stop")))
-    narrow = narrow.join(stops, video, "left").where(F.col("_stop").isNull() | (F.col("page_number") < F.col("_stop")))
+    facts = F.transform("items", lambda i: F.struct(
+        i["id"].alias("thread_id"), i["snippet"]["topLevelComment"]["id"].alias("parent_id"),
+        F.coalesce(safe_int(i["snippet"]["totalReplyCount"]), F.lit(0)).alias("total_reply_count")))
+    read = tops.join(stops, video, "left").where(F.col("_stop").isNull() | (F.col("page_number") < F.col("_stop")))
+    read = read.select(*page, "seq", facts.alias("_facts"))
+    # A page whose top comments alone come too late need not be looked at.
+    least = preceding_total(read.groupBy(*page).agg(F.sum(F.size("_facts")).alias("_n")), video, "page_number", "_n", "_least")
+    near = read.join(least.where(F.col("_least") < max_per_video).select(*page), page, "left_semi")
+    narrow = near.select(*page, "seq", F.posexplode("_facts").alias("_pos", "_fact")).select("*", "_fact.*").drop("_fact")
     answered = (F.col("total_reply_count") > 0) & present(F.col("parent_id"))
     if include_replies:
-        answers = _parsed(replies.where(F.col("error").isNull()), schemas.REPLY_RESPONSE).select(
-            "run_id", "seq", "video_id", "parent_id", "page_number", F.posexplode("items").alias("_pos", "item"))
-        answers = staged(answers, "replies")
-        parent = [*video, "parent_id"]
-        sizes = answers.groupBy(*parent, "page_number").agg(F.count(F.lit(1)).alias("_n"))
-        totals = sizes.groupBy(*parent).agg(F.sum("_n").alias("_replies"))
+        answers = staged(_parsed(replies.where(F.col("error").isNull()), schemas.REPLY_RESPONSE).select(
+            *parent, "page_number", "seq", "items"), "replies")
+        reply_page = [*parent, "page_number"]
+        landings = answers.where(F.size("items") > 0).groupBy(*reply_page).agg(
+            F.sum(F.size("items")).alias("_n"), F.collect_list(F.struct("seq", F.size("items").alias("n"))).alias("_landings"))
+        totals = landings.groupBy(*parent).agg(F.sum("_n").alias("_replies"))
         narrow = narrow.join(totals, parent, "left").withColumn(
-            "_rows", 1 + F.when(answered, F.coalesce("_replies", F.lit(0))).otherwise(0))
+            "_rows", 1 + F.when(answered, F.coalesce("_replies", F.lit(0))).otherwise(0)).drop("_replies")
     else:
         narrow = narrow.withColumn("_rows", F.lit(1).cast("bigint"))
 
-    page = [*video, "page_number"]
     before = preceding_total(narrow.groupBy(*page).agg(F.sum("_rows").alias("_n")), video, "page_number", "_n", "_before")
     within = F.coalesce(F.sum("_rows").over(_preceding_in_page(page)), F.lit(0))
     places = narrow.withColumn("_within", within).join(before.select(*page, "_before"), page).withColumn(
         "_place", F.col("_before") + F.col("_within")).where(F.col("_place") < max_per_video)
-    places = staged(places.select(*page, "seq", "_pos", "parent_id", "total_reply_count", "_place"), "places")
+    places = staged(places.select(*page, "seq", "_pos", "thread_id", "parent_id", "total_reply_count", "_place"), "places")
     if include_replies:
         ends = failed_reply_pages(replies).select(*parent).distinct().join(places.where(answered), parent)
         ends = settled_side(ends.groupBy(*video).agg(F.min("_place").alias("_end")))
         places = places.join(ends, video, "left").where(F.col("_end").isNull() | (F.col("_place") <= F.col("_end")))
 
-    none = F.lit(None)
-    own = [*page, "seq", "_pos"]
-    rows = tops.join(places.select(*own, "total_reply_count"), own).select(
+    kept = places.groupBy(*page, "seq").agg(F.collect_list(F.struct("_pos", "total_reply_count")).alias("_kept"))  # of one page's items
+    rows = tops.join(kept, [*page, "seq"]).select(
+        *page, "seq", F.explode(F.transform("_kept", lambda k: F.struct(k["_pos"], k["total_reply_count"], F.get("items", k["_pos"]).alias("item")))).alias("_row"),
+    ).select("*", "_row.*").select(
         "*", F.col("item.id").alias("thread_id"), none.cast("string").alias("parent_comment_id"),
     ).select(*_comment_columns("item.snippet.topLevelComment", False, captured_at))
     if not include_replies:
         return rows
 
     # The comment at which a failure ends the video keeps none of its replies.
-    asked = places.where(answered & (F.col("_end").isNull() | (F.col("_place") < F.col("_end"))))
-    asked = asked.join(tops.select(*own, F.col("item.id").alias("thread_id")), own).select(*parent, "thread_id", "_place")
-    earlier = preceding_total(sizes, parent, "page_number", "_n", "_before")
-    reply_page = [*parent, "page_number"]
-    spots = answers.select(*reply_page, "seq", "_pos").withColumn(
-        "_within", F.count(F.lit(1)).over(_preceding_in_page(reply_page))).join(earlier.select(*reply_page, "_before"), reply_page)
-    spots = spots.join(asked, parent).where(F.col("_place") + 1 + F.col("_before") + F.col("_within") < max_per_video)
-    spot = [*reply_page, "seq", "_pos"]
-    answers = answers.join(spots.select(*spot, "thread_id"), spot).select(
+    asked = places.where(answered & (F.col("_end").isNull() | (F.col("_place") < F.col("_end")))).select(*parent, "thread_id", "_place")
+    earlier = preceding_total(landings.select(*reply_page, "_n"), parent, "page_number", "_n", "_before")
+    spots = landings.join(earlier.select(*reply_page, "_before"), reply_page).join(asked, parent)
+    spots = spots.withColumn("_first", F.col("_place") + 1 + F.col("_before")).where(F.col("_first") < max_per_video)
+    # Items of a page that landed more than once stand side by side: by place on the page, then by arrival.
+    beside = F.aggregate("_landings", F.lit(0).cast("bigint"), lambda n, other: (
+        n + F.least(other["n"], F.col("_pos")) + ((other["seq"] < F.col("seq")) & (other["n"] > F.col("_pos"))).cast("bigint")))
+    spread = answers.join(spots.select(*reply_page, "thread_id", "_first", "_landings"), reply_page).select(
+        *parent, "seq", "thread_id", "_first", "_landings", F.posexplode("items").alias("_pos", "item"))
+    spread = spread.where(F.col("_first") + beside < max_per_video).select(
         "*", F.col("parent_id").alias("parent_comment_id"), none.cast("bigint").alias("total_reply_count"))
-    return rows.unionByName(answers.select(*_comment_columns("item", True, captured_at)))
+    return rows.unionByName(spread.select(*_comment_columns("item", True, captured_at)))
 
 
 OUTCOMES = ["read", "empty", "quota", "failed", "unreadable"]
