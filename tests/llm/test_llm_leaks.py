@@ -1,6 +1,12 @@
 """Benchmark items in documents: verbatim, with other values, and what only looks alike."""
 
-from corpus_engine.llm.template_leaks import Items, Settings, Words, template, template_leaks
+import random
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from corpus_engine.llm.template_leaks import Items, Settings, Words, read, readings, template, template_leaks
 from llm_helpers import documents, odd_rows, prose
 
 ITEMS = [(1, "If Alice buys 12 apples and Bob pays 3 dollars, then Alice gives 12 more apples to the poor man in town."),
@@ -85,3 +91,54 @@ def test_long_passages_of_an_item():
     items = Items([(1, twice + prose(4, 200))], Settings())
     other = twice.replace("Alice", "Carol", 2).replace("3", "5", 2).replace("3", "8")
     assert kinds(other) == [] and kinds(other + prose(4, 60)) == ["verbatim"]  # its end is
+
+
+PARTS = st.sampled_from(["Alice", "Bob", "Carol", "3", "5 kg", "12", "buys", "red", "apples", "and", "pays", "dollars", "in", "total", "how", "many", "On", "Monday.", "He", "sold", "NASA", "\"Who", "wrote", "Hamlet?\""])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(PARTS, min_size=1, max_size=25).map(" ".join), min_size=1, max_size=4), st.lists(st.lists(PARTS, max_size=60).map(" ".join), max_size=6), st.randoms(use_true_random=False))
+def test_reading_a_batch_misses_no_text(items, texts, r):
+    """Texts read together, with items in some of them, against each text looked at alone."""
+    texts = [f"{t[:len(t) // 2]} {r.choice(items)} {t[len(t) // 2:]}" if r.random() < 0.5 else t for t in texts] + ["", "  "]
+    block, known = Items(list(enumerate(items)), Settings()), Words()
+    touched = block.touched(texts, known)
+    assert touched == sorted(set(touched))
+    for k, t in enumerate(texts):
+        if t.strip() and block.found(t, Words()):
+            assert k in touched
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(PARTS, min_size=1, max_size=30).map(" ".join), min_size=2, max_size=6))
+def test_a_batch_reads_each_text_as_it_is_alone(texts):
+    words = [t.split() for t in texts]
+    first = np.concatenate([np.arange(len(w)) == 0 for w in words])
+    _, both = read([x for w in words for x in w], first, Words())
+    owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    for k, t in enumerate(texts):
+        alone = readings(t, Words())
+        for number, whole in enumerate(both):
+            mine = alone[min(number, len(alone) - 1)]
+            here = owner[whole.begins] == k
+            assert whole.hashes[here].tolist() == mine.hashes.tolist() and whole.kinds[here].tolist() == mine.kinds.tolist()
+
+
+def by_brute_force(document, item):
+    """Whether an item's words stand in a document, one after another."""
+    d, i = document.split(), item.split()
+    return any(d[k:k + len(i)] == i for k in range(len(d) - len(i) + 1))
+
+
+def test_every_verbatim_copy_is_found_and_nothing_else(spark):
+    r = random.Random(9)
+    items = [(k, prose(1000 + k, r.randint(12, 60))) for k in range(40)]
+    rows = []
+    for n in range(300):
+        parts = [prose(n, r.randint(30, 200))]
+        for _ in range(r.choice([0, 0, 1, 2])):
+            parts += [r.choice(items)[1], prose(500 + n, r.randint(30, 200))]
+        rows.append((n, " ".join(parts)))
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in template_leaks(documents(spark, rows), frame).collect()}
+    assert got == {(n, k) for n, t in rows for k, item in items if by_brute_force(t, item)}
