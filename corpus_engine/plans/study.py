@@ -49,6 +49,7 @@ class StudyOptions:
 
     max_pages_per_query: int = 1
     stop_on_quota: bool = True
+    strict_search: bool = False  # end the run with an error when a search page failed, instead of passing over it
     languages: Sequence[str] = ("pt-BR", "pt", "en")
     use_any_caption: bool = True
     use_subtitles: bool = True
@@ -181,6 +182,8 @@ def run_study(
         told = {f"pages_{kind}": F.count_if(outcome == kind) for kind in ("quota", "failed", "unreadable")}
         # Pages that a stage looks at more than once are parsed once and read back by column.
         pages, accounted = study.counted(landed("search"), "search", **told)
+        if opts.strict_search and accounted["pages_failed"]:
+            raise RuntimeError(f"{accounted['pages_failed']} search pages failed")
         new, arrived = arriving(flatten_search_pages(
             pages, F.lit(stamp), opts.max_pages_per_query, opts.stop_on_quota), "search_hits")
         published = publish(new, "search_hits")

@@ -160,3 +160,15 @@ def test_expansion(spark):
     assert values(got, "channel_id", "position_in_page", "video_id", "already_in_search", "new_vs_search") == [
         ("c1", 1, "a", True, False), ("c1", 2, "n", False, True)]
     assert values(expansion.expansion_counts(got), "candidates", "already_found", "new_videos") == [(2, 1, 1)]
+
+
+def test_a_failed_search_page_ends_a_strict_run(spark, tmp_path):
+    land(tmp_path / "in", "r1", ["a"])
+    write_lines(tmp_path / "in" / "search", "failed.json", [
+        landing_line(run_id="r1", seq=9, theme="t", query="q", search_order="relevance", page_number=2, error="HttpError 500 backendError")])
+    options = dict(stages=["discovery"])
+    with pytest.raises(RuntimeError, match="1 search pages failed"):
+        run_study(spark, str(tmp_path / "data"), "p", str(tmp_path / "in"), StudyOptions(strict_search=True, **options), "r1", "x")
+    assert Study(spark, str(tmp_path / "data"), "p").read("search_hits").count() == 0
+    report = run_study(spark, str(tmp_path / "data"), "p", str(tmp_path / "in"), StudyOptions(**options), "r2", "x").first()
+    assert (report.stages.discovery.pages_failed, report.stages.discovery.new_rows) == (1, 1)
