@@ -31,3 +31,12 @@ def odd_rows():
     long_text = prose(7, 30_000)
     return [(1, None), (2, ""), (3, " \t\n "), (4, "One"), (4, "One"), (5, "two words"), (None, "no id here at all"), (None, "no id here at all"),
             (6, prose(1, 120)), (7, prose(1, 120)), (6, prose(2, 90)), (8, long_text), (9, "x" * 50_000), (10, "é ß İ 日本   \x1c ok")]
+
+
+def hot_rows(spark, copies=12_000, others=8_000):
+    """A table of which more than half is one row without an id."""
+    from pyspark.sql import functions as F
+
+    hot = documents(spark, [(None, prose(5, 30))], clashing=False).crossJoin(spark.range(copies)).drop("id")
+    rest = spark.range(others).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), F.concat(F.lit(prose(6, 25) + " "), F.col("id").cast("string")).alias("text"))
+    return hot.select("doc_id", "text").unionByName(rest)

@@ -1,11 +1,16 @@
 """Near duplicates against all pairs compared on full sets."""
 
 import random
+import re
+from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
 
 from corpus_engine.llm import near_duplicates as nd
+from corpus_engine.llm import queries
+from corpus_engine.llm.common import table
 from corpus_engine.llm.components import components
 from corpus_engine.llm.hyper_minhash import BUCKETS, estimate, registers
 from llm_helpers import documents, odd_rows, prose
@@ -108,3 +113,31 @@ def test_repeated_rows_come_to_a_cell_once(spark, monkeypatch):
     first, second, third = family(1, 3, 3)
     compare(spark, [(1, first)] * 9 + [(2, second)] * 5 + [(None, third)] * 7, nd.Settings())
     assert cells_of[0][0] > 0 and all(n == distinct for n, distinct in cells_of)
+
+
+def test_the_query_finds_every_link_of_a_table(spark):
+    """Components of all linked pairs, by counting shared shingles of every pair that shares one."""
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.doc_id, r.text) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
+    sets, holders = {}, defaultdict(list)
+    for doc_id, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets[doc_id] = {tuple(words[i:i + 3]) for i in range(max(1, len(words) - 2))} if words else set()
+        for s in sets[doc_id]:
+            holders[s].append(doc_id)
+    shared = Counter(pair for found in holders.values() for pair in combinations(sorted(found), 2))
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    links = 0
+    for (a, b), n in shared.items():
+        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+            links += 1
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in queries.op2_near_duplicates(spark, sf).collect()}
+    assert links > 50 and got == {d: (len(s), find(d), find(d) == d) for d, s in sets.items()}

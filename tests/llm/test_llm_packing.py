@@ -7,9 +7,10 @@ from zlib import crc32
 import numpy as np
 import pytest
 
-from corpus_engine.llm.curve_packing import cut, hilbert, pack
+from corpus_engine.llm.common import setting
+from corpus_engine.llm.curve_packing import RANGE_BITS, cut, hilbert, pack
 from corpus_engine.llm.word_tokens import WordEncoder, default_tokenizer
-from llm_helpers import documents, odd_rows, prose
+from llm_helpers import documents, hot_rows, odd_rows, prose
 
 
 @pytest.mark.parametrize("dimensions, bits", [(2, 4), (3, 3), (4, 2)])
@@ -50,3 +51,11 @@ def test_pieces(spark, length):
 
 def test_empty(spark):
     assert pack(documents(spark, []), default_tokenizer()).collect() == []
+
+
+def test_copies_of_a_row_are_spread_over_ranges(spark):
+    with setting(spark, "spark.sql.shuffle.partitions", "16"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        got = pack(hot_rows(spark), default_tokenizer()).selectExpr(f"sequence_id >> {RANGE_BITS} as part", "length", "doc_tokens", "start").toPandas()
+    in_part = got.groupby("part")["length"].sum()
+    assert len(in_part) == 16 and in_part.max() <= 2 * in_part.mean()
+    assert (got.start == 0).sum() == 20_000 and got.length.sum() == got[got.start == 0].doc_tokens.sum()

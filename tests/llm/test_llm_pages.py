@@ -1,5 +1,7 @@
 """Main text: structure, odd markup, and runs that a host repeats."""
 
+import time
+
 import pytest
 
 from corpus_engine.llm.page_text import blocks, chosen, host, main_text
@@ -32,6 +34,41 @@ def test_markup(html, want):
     assert text(html) == want
 
 
+@pytest.mark.parametrize("html, want", [
+    # names are read as a whole, with their neighbours
+    ('<div class="layout no-sidebar"><p>text</p></div>', "text"), ('<div class="has-header wide"><p>text</p></div>', "text"),
+    ("<article><p>a long text</p><div id='social-history'><p>b</p></div><div class='post-comments-off'><p>c</p></div><div class='promo-code-explainer'>d</div></article>", "a long text\nb\nc\nd"),
+    ("<div class='sidebar-left'>s</div><div class='content'><p>text text</p></div><div class='site-footer'>f</div>", "text text"),
+    # what holds most of the text is no chrome by a name alone, nor is what is named after links and holds prose
+    ('<form id="aspnetForm"><div><p>a whole page</p></div></form>', "a whole page"), ("<p>a page with</p><form><p>a form</p></form>", "a page with"),
+    ("<article><p>a</p><section class='menu'><p>The menu of the day is soup and a large plate of fish with rice and peas</p></section></article>",
+     "a\nThe menu of the day is soup and a large plate of fish with rice and peas"),
+    ("<article><p>text text text</p><div class='social'>Share: <a>X</a> <a>Mastodon</a></div><ul class='menu'><li>One<li>Two</ul></article>", "text text text"),
+    ("<article><p>text</p><div class='comments'><p>one comment is longer than all of the text above it</p></div></article>", "text"),
+    # hidden, beside the main element, and nothing but what a name calls chrome
+    ('<p style="color:red; display: none">x</p><p>y</p>', "y"), ("<main><p>m</p></main><article class='teaser'><p>t</p></article>", "m"),
+    ("<article>one</article><article>two</article>", "one\ntwo"), ("<div class='footer'>only this</div>", "only this"), ("<footer>only this</footer>", ""),
+    ("<article>one<span class=ad>x</span> two <span>three</span> four</article>", "one\ntwo three four"),
+    # broken markup
+    ("<p title='a>b'>t</p>", "t"), ("<p title='a<b>c'>t</p>", "t"), ('<p title="never closed>t</p><p>u</p>', "t\nu"), ("<p title='it>t</p>", "t"), ("a <!odd b", "a <!odd b"), ("x</p", "x</p"),
+])
+def test_names_and_broken_markup(html, want):
+    assert text(html) == want
+
+
+@pytest.mark.parametrize("piece", ["<a title='x' \"", "<i>|</b>", "<!x", "<svg>", "<p><div>", "<div class=menu><article>", "<ul><li>|</li>", "<a <", "<span class=ad>x</span>y", "<form>", "</div>", "&", "<nav><main>"])
+def test_time_grows_with_the_page(piece):
+    opened, _, closed = piece.partition("|")
+
+    def seconds(n):
+        html = opened * n + closed * n
+        return min((lambda t: (blocks(html), time.perf_counter() - t)[1])(time.perf_counter()) for _ in range(3))
+
+    n = 100_000 // len(opened)
+    assert seconds(4 * n) < 10 * seconds(n) + 0.2
+    assert seconds(1_000_000 // len(opened)) < 20
+
+
 def test_host():
     assert [host(u) for u in ("https://u:p@A.org:80/x", None, "odd", "http://b.com?q")] == ["a.org", "", "", "b.com"]
 

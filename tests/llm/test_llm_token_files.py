@@ -7,8 +7,9 @@ import pyarrow as pa
 import pytest
 
 from corpus_engine.llm import token_files as tf
+from corpus_engine.llm.common import setting
 from corpus_engine.llm.word_tokens import WordEncoder, default_tokenizer
-from llm_helpers import documents, odd_rows, prose
+from llm_helpers import documents, hot_rows, odd_rows, prose
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +67,13 @@ def test_small_batches(spark, rows, tmp_path, monkeypatch):
 def test_empty(spark, tmp_path):
     manifest = tf.write_token_files(documents(spark, []), str(tmp_path), default_tokenizer())
     assert tf.read_token_files(manifest, str(tmp_path)).collect() == []
+
+
+def test_copies_of_a_row_are_spread_over_shards(spark, tmp_path):
+    with setting(spark, "spark.sql.shuffle.partitions", "16"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        manifest = tf.write_token_files(hot_rows(spark), str(tmp_path), default_tokenizer())
+    sizes = [r.n_docs for r in manifest.collect()]
+    assert len(sizes) == 16 and sum(sizes) == 20_000 and max(sizes) <= 2 * 20_000 / 16
+    got = tf.read_token_files(manifest, str(tmp_path)).orderBy("start").collect()
+    ids = [-1 if r.doc_id is None else r.doc_id for r in got]
+    assert ids == sorted(ids) and got[-1].start + got[-1].n_tokens == sum(r.n_tokens for r in got)
