@@ -7,6 +7,10 @@ A page is read into blocks of white-space-normal text, in page order, each in a
 * ``article``: inside an article or main element, or what class names mark as one;
 * ``plain``: the rest.
 
+A class name or id is read as a whole: its words must all be chrome's or say nothing, and none may make it a statement ("no-sidebar"). An element
+that is chrome by such a name, or a form, is not if it holds most of the text around it, and one named after links is not
+if it holds prose. Pages are read once from left to right, in time proportional to their length.
+
 A page that marks its article is that zone. Where nothing is marked, what repeats is told from what is
 the page's own by suffix arrays of the host's token streams: the suffixes of all chrome and plain
 tokens of a host's pages are grouped by their first ``depth`` tokens, which is what neighbours in the sorted array
@@ -30,6 +34,7 @@ read with the usual implied ends; very long pages are read whole. Only the named
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -57,121 +62,294 @@ RAW = frozenset("script style textarea title xmp noscript iframe template svg ma
 CHROME = frozenset(
     "head nav header footer aside form script style noscript template svg math iframe object button select textarea dialog menu "
     "title xmp audio video canvas input label".split())
-CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form toolbar".split())
+CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
+SOFT = frozenset(["form"])  # chrome unless it holds most of the text, as a form around a whole page does
 CHROME_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent "
     "disclaimer disqus footer gdpr header masthead menu menubar modal nav navbar navigation newsletter notice notices "
     "pager pagination popup promo promotion promoted related reply replies respond share sharing sidebar skip social "
     "sponsor sponsored subscribe subscription toolbar widget widgets".split())
+# Of these, those whose content is links; where one holds prose instead, its name means something else.
+LINK_NAMES = frozenset(
+    "breadcrumb breadcrumbs menu menubar nav navbar navigation pager pagination related share sharing skip social toolbar".split())
 COMMENT_NAMES = frozenset("comment comments commentlist disqus reply replies respond".split())
+# A name is chrome's if all its words are chrome names or say nothing: "site-footer", not "promo-code-explainer".
+NEUTRAL = frozenset(
+    "a area article aside bar big block blog body bottom box btn button buttons center col column container content count cta desktop element fixed float "
+    "form global group head holder home icon icons id image inner item items js label large layer left level line link links list lower main mini mobile "
+    "module msg message new news no1 outer page pane panel parent part placeholder post posts primary rail region right row secondary section section1 "
+    "side signup site slot small space spot static sticky story sub tab table tag text the tile title top unit upper user view web wide wp wrap wrapper zone".split())
+# Words that turn a name into a statement about the page: "no-sidebar", "has-header", "comments-off".
+STATES = frozenset("no not non without with has have is off on open opened closed enabled disabled hide hides hidden show shows shown free less layout template".split())
 ARTICLE_NAMES = frozenset(
     "article-body article-content articlebody entry-content main-content post-body post-content story-body".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 WALLS = frozenset("ul ol dl table article section div main body".split())
-
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
-    r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|[^<]+|<", re.S)
-ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+PROSE = 12  # words of a block that is no list of links
+
+NAME = re.compile(r"/?([A-Za-z][^\s/>]*+)")
+REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+ACROSS = 1024  # characters that a tag may take up if a "<" stands in one of its values
+WORD = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
+ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|itemprop|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 ENDS = {name: re.compile(rf"</{name}\s*[^>]*>", re.I) for name in RAW}
 
 
+def _says(token: str) -> set[str]:
+    """The chrome names in a class name or id, if it is one of chrome."""
+    words = {w.lower() for w in WORD.split(token) if w and not w.isdigit()}
+    if words & STATES or not words <= CHROME_NAMES | NEUTRAL:
+        return set()
+    return words & CHROME_NAMES
+
+
 @dataclass
-class Open:
-    name: str
-    chrome: bool
-    comments: bool
-    article: bool
+class Kind:
+    """What an element is by its name and attributes: chrome for certain, or if what it holds agrees; of links; comments; the article."""
+
+    hard: bool = False
+    soft: bool = False
+    links: bool = False
+    comments: bool = False
+    article: bool = False
 
 
-def _kind(name: str, rest: str, in_article: bool) -> tuple[bool, bool, bool]:
-    """Whether an element is chrome, holds comments, marks the article."""
+def _kind(name: str, rest: str, in_article: bool) -> Kind:
     if name in ("html", "body"):
-        return False, False, False
+        return Kind()
     found = {m[0].lower(): (m[1] or m[2] or m[3]) for m in ATTRIBUTE.findall(rest)} if rest else {}
-    names = (found.get("class", "") + " " + found.get("id", "")).lower().split()
-    words = {w for n in names for w in re.split(r"[-_]+|(?<=[a-z])(?=[A-Z])", n)}
-    if in_article and words & HEADING_NAMES:
+    names = (found.get("class", "") + " " + found.get("id", "")).split()
+    words = set().union(*map(_says, names)) if names else set()
+    if in_article and {w.lower() for n in names for w in WORD.split(n)} & HEADING_NAMES:
         words -= {"header"}
     comments = bool(words & COMMENT_NAMES)
-    article = name in ("article", "main") or found.get("role", "").lower() in ("main", "article") or bool(ARTICLE_NAMES & set(names)) or (
+    role = found.get("role", "").lower()
+    article = name in ("article", "main") or role in ("main", "article") or bool(ARTICLE_NAMES & {n.lower() for n in names}) or (
         found.get("itemprop", "").lower() == "articlebody")
-    chrome = name in CHROME or found.get("role", "").lower() in CHROME_ROLES or bool(words & CHROME_NAMES)
-    chrome = chrome or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
-    if article and not comments and "aria-hidden" not in found and not (name in CHROME):
-        chrome = bool(words & {"ad", "ads", "advert", "sponsored", "promo", "related", "sidebar", "widget"})
+    hard = (name in CHROME - SOFT and not (name == "header" and in_article)) or role in CHROME_ROLES or (
+        "hidden" in found or found.get("aria-hidden", "").lower() == "true" or bool(UNSEEN.search(found.get("style", ""))))
+    soft = name in SOFT or role == "form" or bool(words)
+    if article and not comments and not hard:
+        soft = bool(words & {"ad", "ads", "advert", "sponsored", "promo", "related", "sidebar", "widget"})
     if name == "header" and in_article:
-        chrome = False  # an article's own header holds its heading
-    return chrome, comments, article and not chrome and not comments
+        soft = False  # an article's own header holds its heading
+    return Kind(hard, soft and not hard, bool(words) and words <= LINK_NAMES, comments, article and not hard and not soft and not comments)
 
 
-def blocks(html: str) -> list[tuple[str, str]]:
-    """(zone, text) of each block with text, in page order."""
-    out: list[tuple[str, str]] = []
-    stack: list[Open] = []
-    text: list[str] = []
-    at, end = 0, len(html)
-
-    def flush():
-        if text:
-            found = " ".join(unescape("".join(text)).split())
-            text.clear()
+@dataclass
+class Part:
+    """An element that matters to what its text is, and how much text it holds: in all, in links, in prose."""
+
+    parent: int
+    kind: Kind
+    main: bool
+    size: int = 0
+    links: int = 0
+    prose: int = 0
+
+
+class Reader:
+    """Reads a page once, from left to right; the open elements are a stack, of which the places of each name are known."""
+
+    def __init__(self, html: str):
+        self.html, self.end = html, len(html)
+        self.last = html.rfind(">")
+        self.lost: set[str] = set()  # raw elements whose end does not come any more
+        self.names: list[str] = []  # of open elements
+        self.of: list[int] = []  # their part
+        self.special: dict[str, int] = {}  # how many of a name are a part of their own
+        self.places: dict[str, list[int]] = {}
+        self.walls: list[int] = []
+        self.chrome: list[int] = []  # places of open elements that are chrome
+        self.parts = [Part(-1, Kind(), False)]
+        self.text: list[str] = []
+        self.linked = 0
+        self.size = 0
+        self.out: list[tuple[int, str]] = []  # part and text of each block
+
+    def tag_end(self, at: int) -> int:
+        """Where a tag ends whose name ends at ``at``; -1 if it is none. A value may hold "<" within some distance, and a quotation mark
+        that is never closed is a character like any other."""
+        if at > self.last:
+            return -1
+        ahead = self.html.find("<", at)
+        ahead = self.end if ahead < 0 else ahead
+        found = REST.match(self.html, at, ahead) or (ahead < self.end and REST.match(self.html, at, min(self.end, at + ACROSS)))
+        return found.end() if found else self.html.find(">", at, ahead) + 1 or -1
+
+    def flush(self) -> None:
+        if self.text:
+            found = " ".join(unescape("".join(self.text)).split())
+            self.text.clear()
             if found:
-                zone = "chrome" if any(o.chrome for o in stack) else "article" if any(o.article for o in stack) else "plain"
-                out.append((zone, found))
-
-    while at < end:
-        m = TOKEN.match(html, at)
-        if m is None:
-            break
-        at = m.end()
-        name = m["name"]
-        if name is None:
-            piece = m[0]
-            if not piece.startswith(("<!", "<?")) or piece == "<":
-                text.append(piece)
-            continue
-        name = name.lower()
-        if m["close"]:
-            if name in BLOCKS or any(o.name == name and (o.chrome or o.article) for o in stack):
-                flush()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].name == name:
-                    del stack[i:]
-                    break
-                if name not in WALLS and stack[i].name in WALLS:
-                    break  # a stray end of an inner element does not close what holds it
-            continue
-        rest = m["rest"]
-        if name in RAW and not rest.endswith("/"):
-            closing = ENDS[name].search(html, at)
-            at = closing.end() if closing else (end if name in ("script", "style") else at)
-            continue
-        if name == "br":
-            text.append(" ")
-            continue
-        chrome, comments, article = _kind(name, rest, any(o.article for o in stack))
-        if name in BLOCKS or chrome or article:
-            flush()
-        if name in VOID or rest.endswith("/"):
-            continue
-        if name in BLOCKS:
-            # A paragraph ends where a block begins; items, cells and terms end where the next one begins.
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].name == "p" or stack[i].name in CLOSES.get(name, ()):
-                    del stack[i:]
-                elif stack[i].name in WALLS:
-                    break
-        if article and not any(o.comments for o in stack):
-            # No menu or advert holds the article: one that is still open was never closed.
-            for i, o in enumerate(stack):
-                if o.chrome:
-                    del stack[i:]
-                    break
-        stack.append(Open(name, chrome, comments, article))
-    flush()
-    return out
+                part = self.parts[self.of[-1] if self.of else 0]
+                part.size += len(found)
+                # White space counts in what was read between link tags, so this is an estimate.
+                linked = min(len(found), self.linked)
+                part.links += linked
+                if found.count(" ") + 1 >= PROSE and 2 * linked < len(found):
+                    part.prose += len(found)
+                self.out.append((self.of[-1] if self.of else 0, found))
+        self.linked = 0
+
+    def cut(self, place: int) -> None:
+        """Closes the elements from a place on the stack upwards."""
+        while len(self.names) > place:
+            name, of = self.names.pop(), self.of.pop()
+            self.special[name] -= of != (self.of[-1] if self.of else 0)
+            self.places[name].pop()
+            if name in WALLS:
+                self.walls.pop()
+        while self.chrome and self.chrome[-1] >= place:
+            self.chrome.pop()
+
+    def open(self, name: str, kind: Kind) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        if name in WALLS:
+            self.walls.append(len(self.names))
+        if kind.hard or kind.soft:
+            self.chrome.append(len(self.names))
+        of = self.of[-1] if self.of else 0
+        if kind.hard or kind.soft or kind.article:
+            self.parts.append(Part(of, kind, name == "main"))
+            of = len(self.parts) - 1
+        self.special[name] = self.special.get(name, 0) + (of != (self.of[-1] if self.of else 0))
+        self.names.append(name)
+        self.of.append(of)
+
+    def within(self, flag: str) -> bool:
+        at = self.of[-1] if self.of else 0
+        return at > 0 and getattr(self.inside[at], flag)
+
+    def run(self) -> Reader:
+        html, at = self.html, 0
+        self.inside = _Inside(self.parts)
+        while at < self.end:
+            if html[at] != "<":
+                stop = html.find("<", at)
+                stop = self.end if stop < 0 else stop
+                self.text.append(html[at:stop])
+                if self.places.get("a"):
+                    self.linked += stop - at
+                at = stop
+                continue
+            if html.startswith("<!--", at):
+                stop = html.find("-->", at + 4)
+                at = self.end if stop < 0 else stop + 3
+                continue
+            if html.startswith(("<!", "<?"), at) and at < self.last:
+                at = html.find(">", at) + 1
+                continue
+            named = NAME.match(html, at + 1)
+            stop = self.tag_end(named.end()) if named else -1
+            if stop < 0:
+                self.text.append("<")
+                at += 1
+                continue
+            name, rest = named[1].lower(), html[named.end():stop - 1]
+            closes, at = html[at + 1] == "/", stop
+            if closes:
+                if name in BLOCKS or self.special.get(name):
+                    self.flush()
+                own = self.places.get(name)
+                # A stray end of an inner element does not close what holds it.
+                if own and (name in WALLS or not self.walls or self.walls[-1] < own[-1]):
+                    self.cut(own[-1])
+                continue
+            if name in RAW and not rest.endswith("/"):
+                found = None if name in self.lost else ENDS[name].search(html, at)
+                if not found:
+                    self.lost.add(name)
+                at = found.end() if found else (self.end if name in ("script", "style") else at)
+                continue
+            if name == "br":
+                self.text.append(" ")
+                continue
+            kind = _kind(name, rest, self.within("article"))
+            apart = kind.hard or kind.soft or kind.article
+            if name in BLOCKS or apart:
+                self.flush()
+            if name in VOID or rest.endswith("/"):
+                continue
+            if name in BLOCKS:
+                # A paragraph ends where a block begins; items, cells and terms end where the next one begins.
+                wall = self.walls[-1] if self.walls else -1
+                ended = [own[bisect_right(own, wall)] for n in ("p", *CLOSES.get(name, ())) if (own := self.places.get(n)) and own[-1] > wall]
+                if ended:
+                    self.cut(min(ended))
+            if kind.article and self.chrome and not self.within("comments"):
+                self.cut(self.chrome[0])  # no menu or advert holds the article: one that is still open was never closed
+            self.open(name, kind)
+        self.flush()
+        return self
+
+
+@dataclass
+class _State:
+    comments: bool = False
+    article: bool = False
+
+
+class _Inside(dict):
+    """What surrounds each part, worked out once for each."""
+
+    def __init__(self, parts: list[Part]):
+        super().__init__()
+        self.parts = parts
+
+    def __missing__(self, at: int) -> _State:
+        part = self.parts[at]
+        outer = self[part.parent] if part.parent >= 0 else _State()
+        kind = part.kind
+        state = self[at] = _State(outer.comments or kind.comments, outer.article or kind.article)
+        return state
+
+
+def zones(parts: list[Part]) -> list[str]:
+    """Of each part the zone of its own text: chrome, soft (chrome by a name alone), article, beside (an article that is not the page's main), plain."""
+    size = [p.size for p in parts]
+    links, prose = [p.links for p in parts], [p.prose for p in parts]
+    for at in range(len(parts) - 1, 0, -1):  # parts come after what holds them
+        up = parts[at].parent
+        if not parts[at].kind.hard:  # what is chrome for certain says nothing about what holds it
+            size[up] += size[at]
+            links[up] += links[at]
+            prose[up] += prose[at]
+    state: list[tuple[str, int, bool]] = [("plain", size[0], False)]
+    mains = False
+    for at, part in enumerate(parts[1:], 1):
+        zone, whole, main = state[part.parent]
+        kind = part.kind
+        if kind.hard:
+            zone = "chrome"
+        elif kind.soft and zone != "chrome":
+            if not kind.comments and 2 * size[at] > whole:
+                pass  # it holds most of the text
+            elif kind.links and 2 * prose[at] > size[at]:
+                pass  # it holds prose where links would be
+            else:
+                zone = "chrome" if kind.comments else "soft"
+        elif kind.article and zone == "plain":
+            zone, whole = "article", size[at]
+        main = main or (part.main and zone == "article")
+        mains = mains or (main and zone == "article" and size[at] > 0)
+        state.append((zone, whole, main))
+    return ["beside" if zone == "article" and mains and not main else zone for zone, _, main in state]
+
+
+def blocks(html: str) -> list[tuple[str, str]]:
+    """(zone, text) of each block with text, in page order: article, plain or chrome.
+
+    Where a page has a main element, articles outside it are chrome. A page that would be left without any text keeps what is chrome by a
+    class name alone.
+    """
+    read = Reader(html).run()
+    zone = zones(read.parts)
+    found = [(zone[of], text) for of, text in read.out]
+    only_soft = not any(z in ("article", "plain") for z, _ in found)
+    names = {"article": "article", "plain": "plain", "soft": "plain" if only_soft else "chrome"}
+    return [(names.get(z, "chrome"), text) for z, text in found]
 
 
 def host(url: str | None) -> str:
@@ -342,27 +520,31 @@ def articles(done: DataFrame, runs: DataFrame) -> DataFrame:
     """Marked articles without the blocks that many others of the host have; texts travel only if there are such blocks."""
 
     def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each article's keys, and its host's, which says how many articles there are."""
         for batch in batches:
-            out, ids, hosts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            out, ids, hosts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
             for row, address, text in zip(*(batch.column(c).to_pylist() for c in ("row", "url", "text"))):
                 if text:
                     of_host = salt(address)
-                    out.append(np.unique(article_keys(text.split("\n"), of_host)[1]))
-                    ids.append(np.full(len(out[-1]), row))
-                    hosts.append(np.full(len(out[-1]), (~of_host).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, out, hosts)], ["row", "key", "of_host"])
+                    own = np.unique(article_keys(text.split("\n"), of_host)[1])
+                    out.append(np.append(own, np.array([~of_host]).view(np.int64)))
+                    ids.append(np.full(len(own) + 1, row))
+                    hosts.append(np.arange(len(own) + 1) == len(own))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, out, hosts)], ["row", "key", "whole"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("url", "text", "runs"))
-            text = [trimmed(t, set(found), salt(address)) if found else t for address, t, found in zip(*columns)]
+            text = []
+            for address, t, found in zip(*(batch.column(c).to_pylist() for c in ("url", "text", "runs"))):
+                least = SHARE * max((x["pages"] for x in found or () if x["whole"]), default=0)
+                repeated = {x["key"] for x in found or () if not x["whole"] and x["pages"] >= least}
+                text.append(trimmed(t, repeated, salt(address)) if repeated else t)
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(text, pa.string())], ["page_id", "url", "text"])
 
-    wanted = done.select("row", "url", "text").mapInArrow(looked_up, "row long, key long, of_host long")
-    many = wanted.join(runs.where(F.col("pages") >= MANY), "key")
-    hosts = runs.select(F.col("key").alias("of_host"), F.col("pages").alias("of_all"))
-    own = many.join(hosts, "of_host").where(F.col("pages") >= SHARE * F.col("of_all")).groupBy("row").agg(F.collect_set("key").alias("runs"))
-    own = settled(own, "page-articles")
+    wanted = done.select("row", "url", "text").mapInArrow(looked_up, "row long, key long, whole boolean")
+    own = wanted.join(runs.where(F.col("pages") >= MANY), "key").groupBy("row").agg(
+        F.collect_list(F.struct("key", "pages", "whole")).alias("runs"), F.count_if(~F.col("whole")).alias("n"))  # one article's keys
+    own = settled(own.where("n > 0").drop("n"), "page-articles")
     if own.isEmpty():
         return done.select("page_id", "url", "text")
     return done.join(own, "row", "left").select("page_id", "url", "text", "runs").mapInArrow(write, "page_id long, url string, text string")
