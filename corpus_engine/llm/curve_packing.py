@@ -6,7 +6,7 @@ neighbours in the stream have similar words, and the stream of each range is cut
 ``length`` ids. What is left at a range's end becomes sequences whose lengths are powers of two,
 which need no padding; so no sequence has any.
 
-Many equal documents share a place; the range is therefore over place, id and a hash, and a group of
+Many equal documents share a place; the range is therefore over place, id, a hash of the ids and a row number, and a group of
 copies is spread over as many ranges as its size asks for.
 
 Defined results: null or empty texts are the end id alone; rows with a null or a repeated id are
@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from corpus_engine.llm.common import prepare, settled, texts
 from corpus_engine.llm.word_tokens import END_ID, encoder
@@ -155,5 +156,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, key="doc_id", te
             yield table(out)
 
     found = settled(tokenized(docs, tokenizer, key, text), "packing-ids")
-    ordered = found.repartitionByRange("place", "id").sortWithinPartitions("place", "id", "ids")
+    # The hash and the row number split what is equal in place and id; the order of equal documents is free.
+    found = found.withColumns({"mark": F.xxhash64("ids"), "row": F.monotonically_increasing_id()})
+    keys = ("place", "id", "mark", "row")
+    ordered = found.repartitionByRange(*keys).sortWithinPartitions(*keys).select("id", "ids")
     return settled(ordered.mapInArrow(place, columns), "packing-pieces")

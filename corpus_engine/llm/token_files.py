@@ -9,7 +9,7 @@ names the shard's documents in order. Ids take 16 bits where the vocabulary allo
 Files appear complete or not at all, under names unique to the attempt; the manifest names only
 those of tasks that succeeded, so a lost executor or a repeated task leaves at most unnamed files.
 
-Defined results: null or empty texts hold the end id alone; repeated ids are ordered by text, a null id
+Defined results: null or empty texts hold the end id alone; repeated ids are ordered by a hash of the text, a null id
 comes first; an empty table has no shard. Long texts are encoded whole. Only the named columns are read.
 """
 
@@ -90,8 +90,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key="doc_id"
             [c.split()[0] for c in MANIFEST.split(", ")])
 
     rows = texts(docs, key, text)
-    # A sort by id would gather copies of one id in a partition, so the range is over id and text's hash.
-    ordered = rows.withColumn("mark", F.xxhash64("body")).repartitionByRange("id", "mark").sortWithinPartitions("id", "mark", "body")
+    # A sort by id alone would gather rows of one id in a partition; the text's hash and the row number split them, copies of a row too.
+    rows = rows.withColumns({"mark": F.xxhash64("body"), "row": F.monotonically_increasing_id()})
+    ordered = rows.repartitionByRange("id", "mark", "row").sortWithinPartitions("id", "mark", "row")
     return settled(ordered.select("id", "body").mapInArrow(write, MANIFEST), "token-manifest")
 
 

@@ -15,6 +15,7 @@ import numpy as np
 CACHE_WORDS = 450_000  # of a generation; two are kept, so words in use outlive a full cache
 ENCODE_AT_ONCE = 256
 END_ID = 1
+PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 # Letters below this code point keep their category and number under NFC and lower-casing, but for one.
 PLAIN_LETTERS_BELOW = "ɐ"
 UNSTABLE_LETTER = "İ"
@@ -48,27 +49,31 @@ class WordEncoder:
         # The tokenizer lower-cases what it reads, except the text of a special token.
         words = body.split() if b"<|" in body else body.lower().split()
         known = self.cache
-        missing = {w for w in words if w not in known}
-        if missing:
+        ids = list(map(known.get, words))
+        if None in ids:
+            gaps = [i for i, found in enumerate(ids) if found is None]
+            missing = {words[i] for i in gaps}
             if len(known) + len(missing) > CACHE_WORDS:
                 known, self.older = {}, known
-                missing, self.cache = set(words), known
+                self.cache = known
             if self.older:
-                found = {w: ids for w in missing if (ids := self.older.get(w)) is not None}
+                found = {w: old for w in missing if (old := self.older.get(w)) is not None}
                 known.update(found)
                 missing -= found.keys()
             self._learn(missing, known)
-        return b"".join([known[w] for w in words])
+            for i in gaps:
+                ids[i] = known[words[i]]
+        return b"".join(ids)
 
     def _learn(self, words: set[bytes], known: dict[bytes, bytes]) -> None:
-        plain, cores, odd = [], {}, []
+        plain, cores, odd, older = [], {}, [], self.older
         for w in words:
-            core = w.rstrip(b".,")
+            core = w.rstrip(PUNCTUATION)
             tail = w[len(core):]
-            # A run of one punctuation kind after a plain letter is a token run of its own.
+            # Letters and what follows them but letters and digits are split before they are encoded.
             if core.isalpha() or _plain(core.decode("utf-8", "replace")):
                 plain.append((w, core, tail))
-                cores[core] = known.get(core)
+                cores[core] = known.get(core) or older.get(core)
             else:
                 odd.append(w)
         fresh = [c for c, ids in cores.items() if ids is None]
@@ -88,7 +93,10 @@ class WordEncoder:
             for w, e in zip(odd, found):
                 known[w] = np.array(e.ids, "<u2").tobytes()
         for w, core, tail in plain:
-            known[w] = (cores[core] or known[core]) + (self._tail(tail) if tail else b"")
+            ids = cores[core] or known[core]
+            known[core] = ids  # it may come again with something else behind it
+            if tail:
+                known[w] = ids + self._tail(tail)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
