@@ -166,7 +166,7 @@ def test_a_failed_search_page_ends_a_strict_run(spark, tmp_path):
     land(tmp_path / "in", "r1", ["a"])
     write_lines(tmp_path / "in" / "search", "failed.json", [
         landing_line(run_id="r1", seq=9, theme="t", query="q", search_order="relevance", page_number=2, error="HttpError 500 backendError")])
-    options = dict(stages=["discovery"])
+    options = dict(stages=["discovery", "videos"])
     with pytest.raises(RuntimeError, match="1 search pages failed"):
         run_study(spark, str(tmp_path / "data"), "p", str(tmp_path / "in"), StudyOptions(strict_search=True, **options), "r1", "x")
     assert Study(spark, str(tmp_path / "data"), "p").read("search_hits").count() == 0
