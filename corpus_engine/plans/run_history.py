@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DAY = 24 * 60 * 60 * 1_000_000  # microseconds
+HOUR = 60 * 60 * 1_000_000  # microseconds
+DAY = 24 * HOUR
 # A stage's metrics differ from stage to stage and from release to release, so they are read as texts by name.
 REPORTS = "run_id string, project string, started_at string, ended_at string, stages map<string, map<string, string>>"
 
@@ -66,16 +67,20 @@ def call_sessions(calls: DataFrame, gap: str = "30 minutes") -> DataFrame:
 def peak_calls(calls: DataFrame, keys: tuple[str, ...] = ("stage",), span: int = DAY) -> DataFrame:
     """Per key the most calls within any 24 hours (``calls``), and when the first such stretch ended (``until``).
 
-    A stretch ends with a call and is open at its beginning. Counts per instant are dealt out by blocks of the span's length; each block
-    also gets the rows of the one before, which is as far back as its stretches reach. So a key with very many
-    calls is as many tasks as it has days.
+    A stretch ends with a call and is open at its beginning. So a call counts from its instant until ``span`` later, and the calls within a stretch
+    are a running total of those that begin and end to count. Totals per hour are summed first, one row for each hour of a key, and carried into
+    a window per hour: each row is looked at once however many lie within a stretch, and a key with very many calls is as many tasks as it has hours.
     """
     if isinstance(calls.schema["at"].dataType, T.TimestampNTZType):
         calls = calls.withColumn("at", F.col("at").cast("timestamp"))
     counted = calls.where(F.col("at").isNotNull()).groupBy(*keys, F.unix_micros("at").alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
-    block = F.floor(F.col("_at") / F.lit(span))
-    dealt = counted.select("*", F.explode(F.array(block, block + 1)).alias("_block"))
-    back = Window.partitionBy(*keys, "_block").orderBy("_at").rangeBetween(-span + 1, 0)
-    rolled = dealt.withColumn("_calls", F.sum("_n").over(back)).where(F.col("_block") == block)
+    changes = counted.select(*keys, F.explode(F.array(
+        F.struct("_at", "_n"), F.struct((F.col("_at") + span).alias("_at"), (-F.col("_n")).alias("_n")))).alias("_change")).select(*keys, "_change.*")
+    dealt = changes.withColumn("_hour", F.col("_at") - F.expr(f"pmod(_at, {HOUR}L)"))
+    before = Window.partitionBy(*keys).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(*keys, "_hour").agg(F.sum("_n").alias("_total"))
+    carried = totals.select(*keys, (F.col("_hour") - 1).alias("_at"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_n"), "_hour", F.lit(False).alias("_call"))
+    running = Window.partitionBy(*keys, "_hour").orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rolled = dealt.withColumn("_call", F.col("_n") > 0).unionByName(carried).withColumn("_calls", F.sum("_n").over(running)).where("_call")
     best = rolled.groupBy(*keys).agg(F.max(F.struct("_calls", (-F.col("_at")).alias("_at"))).alias("_best"))
     return best.select(*keys, F.col("_best._calls").alias("calls"), F.timestamp_micros(-F.col("_best._at")).alias("until"))

@@ -117,3 +117,18 @@ def test_sessions_and_peaks(spark):
         peaks = run_history.peak_calls(frame).select("stage", "calls", F.unix_seconds("until").alias("u"))
         assert values(peaks, "stage", "calls", "u") == [("channels", 1, 5), ("videos", most[0], -most[1])]
     assert values(run_history.peak_calls(calls, ()).select("calls"), "calls") == [(max(sum(t - 24 * hour < u <= t for u in [*at, 5]) for t in at),)]
+
+
+@pytest.mark.parametrize("span", [run_history.DAY, 3 * run_history.HOUR + 7, 5])
+def test_peaks_are_running_totals(spark, span):
+    r, hour = random.Random(span), run_history.HOUR
+    rows = [(r.choice(["a", "b", None]), r.choice([0, -30 * hour, 90 * hour]) + r.choice([r.randrange(40 * hour), r.randrange(9), r.randrange(4) * hour, span])) for _ in range(400)]
+    calls = spark.createDataFrame(rows, "stage string, us bigint").withColumn("at", F.timestamp_micros("us"))
+    peaks = run_history.peak_calls(calls, span=span)
+    want = {}
+    for key, until in rows:
+        found = (sum(k == key and until - span < at <= until for k, at in rows), -until)
+        want[key] = max(want.get(key, found), found)
+    assert {k: (n, -u) for k, n, u in peaks.select("stage", "calls", F.unix_micros("until")).collect()} == want
+    # A frame that slides is summed anew for each row, over all rows of the stretch.
+    assert "RangeFrame, -" not in peaks._jdf.queryExecution().executedPlan().toString()
