@@ -1,11 +1,14 @@
 """Queries of the streams that remember the newest row of each key, with their SQL.
 
 Each lands the pages of three runs in three steps: the second run first, then the first one (late) and the second once more, then
-the third and the first once more. The stream is started anew for each step and takes two files a batch.
+the third and the first once more. The stream is started anew for each step and takes about a run's files a batch. Each task of a landing
+writes a file, so more pages are more tasks, and no more batches.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,14 +23,18 @@ RUNS = {"r1": "seq % 2 = 0", "r2": "seq % 3 <> 0", "r3": "seq % 5 = 0"}
 
 def _taken_in(spark: SparkSession, kind: str, pages: DataFrame, marked: str) -> DataFrame:
     """The newest rows after all steps; ``marked`` is the JSON field that tells the run."""
-    root = scratch_path(spark, f"keyed-{kind}")
+    root, before = scratch_path(spark, f"keyed-{kind}"), 0
     for step in STEPS:
         for run in step:
             named = pages.where(RUNS[run]).withColumn("run_id", F.lit(run))
             if "response" in pages.columns:
                 named = named.withColumn("response", F.replace("response", F.lit(f'"{marked}":"'), F.lit(f'"{marked}":"{run} ')))
-            named.coalesce(2).write.mode("append").json(f"{root}/landing")
-        keep_newest(spark, f"{root}/landing", kind, f"{root}/{kind}", f"{root}/checkpoint", F.col("run_id"), files_per_batch=2).awaitTermination()
+            named.write.mode("append").json(f"{root}/landing")
+        landed = len(spark.read.text(f"{root}/landing").inputFiles())
+        keep_newest(
+            spark, f"{root}/landing", kind, f"{root}/{kind}", f"{root}/checkpoint", F.col("run_id"),
+            files_per_batch=max(1, ceil((landed - before) / len(step)))).awaitTermination()
+        before = landed
     return newest_rows(spark, f"{root}/{kind}", kind)
 
 

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from checks import streams
 from corpus_engine import schemas
 from corpus_engine.operators.ordering import keep_last
 from corpus_engine.sources.tables import COMPLETE
@@ -112,3 +113,14 @@ def test_every_kind_names_its_rows(spark):
         rows = spec.rows(spark.createDataFrame([], spec.envelope), F.col("run_id"))
         assert {*spec.keys, "captured_at", "_run_id", "_seq"} <= set(rows.columns), kind
         assert rows.schema["_seq"].dataType.simpleString() == schemas.SEQ.simpleString()
+
+
+def test_all_tasks_land_and_a_batch_takes_a_runs_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "scratch_path", lambda *_: str(tmp_path))
+    pages = spark.range(60).repartition(6).selectExpr("'r1' as run_id", "id as seq", """concat('{"items":[{"id":"', id, '","snippet":{"title":"t"}}]}') as response""")
+    rows = values(streams._taken_in(spark, "videos", pages, "title"), "video_id", "title")
+    landed = len(list((tmp_path / "landing").glob("part-*.json")))
+    assert 5 * 5 <= landed <= 5 * 6  # with few pages, a task may have none of a run
+    assert len(list((tmp_path / "videos.changes").glob("batch=*"))) <= 7
+    run = lambda i: "r3" if i % 5 == 0 else "r2" if i % 3 else "r1"
+    assert rows == sorted((str(i), f"{run(i)} t") for i in range(60) if i % 5 == 0 or i % 3 or i % 2 == 0)
