@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpus_engine.operators.positions import with_global_position
-from corpus_engine.sources.tables import exists
+from corpus_engine.sources.tables import exists, staged
 
 SKETCH_BITS = 14  # of an HLL sketch: two to this many registers
 
@@ -54,8 +54,11 @@ class RunDistincts:
         return self.spark.read.option("recursiveFileLookup", "true").parquet(path)
 
     def store(self, rows: DataFrame, run_id: str) -> None:
-        """What ``rows`` saw; storing a run once more puts the same in place. Runs are stored one after the other."""
-        pairs = rows.where(F.col(self.key).isNotNull()).select(*self.keys, F.col(self.key).cast("string").alias(self.key)).distinct()
+        """What ``rows`` saw; storing a run once more puts the same in place. Runs are stored one after the other.
+
+        The rows are read once: their distinct pairs are written, and numbers, bitmaps and sketches are made from those.
+        """
+        pairs = staged(rows.where(F.col(self.key).isNotNull()).select(*self.keys, F.col(self.key).cast("string").alias(self.key)).distinct(), "pairs")
         numbers, part = self._parts("numbers"), f"run={run_id}"
         if numbers is None:
             numbers = self.spark.createDataFrame([], f"{self.key} string, number bigint")

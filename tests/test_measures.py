@@ -96,3 +96,11 @@ def test_a_study_keeps_bits_of_its_versions(spark, tmp_path):
     report = run_study(spark, base, "p", str(tmp_path / "in2"), options, "r2", "y").first()
     assert report.stages.videos.requested == 1 and report.stages.channels.requested == 1
     assert values(study.read("videos"), "video_id", "captured_at") == [("a", "x"), ("b", "x"), ("c", "y")]
+
+
+def test_a_run_is_read_once(spark, tmp_path):
+    """Ids that differ whenever they are read: numbers and bitmaps are of the same reading."""
+    drawn = F.udf(lambda: __import__("uuid").uuid4().hex).asNondeterministic()
+    stored = RunDistincts(spark, str(tmp_path), ["query"], "video_id")
+    stored.store(spark.range(40).select(F.lit("q").alias("query"), drawn().alias("video_id")), "r1")
+    assert [tuple(r) for r in stored.exact().collect()] == [("q", 40)]
