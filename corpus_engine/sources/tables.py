@@ -17,6 +17,7 @@ BOM = "\ufeff"
 BUCKET = "_bucket"
 COMPLETE = "_complete"
 DEFAULT_BUCKETS = 64
+CSV_ROWS = 20_000  # in a file
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -257,6 +258,7 @@ def write_csv(df: DataFrame, path: str, with_order: bool = False) -> None:
     """CSV with header and byte-order mark; nested cells as JSON text; ``_`` columns left out.
 
     ``with_order`` keeps those, as the last columns: a table that exists as CSV only must still know its arrival order.
+    Cells may hold line ends, so a file is read by one task, and holds ``CSV_ROWS`` rows at most.
     """
     hidden = [f for f in df.schema.fields if f.name.startswith("_")]
     kept = [f for f in df.schema.fields if f not in hidden] + hidden * with_order
@@ -265,7 +267,7 @@ def write_csv(df: DataFrame, path: str, with_order: bool = False) -> None:
         for f in kept
     ])
     first = kept[0].name
-    flat.withColumnRenamed(first, BOM + first).write.mode("overwrite").option("header", True).option(
+    flat.withColumnRenamed(first, BOM + first).write.mode("overwrite").option("maxRecordsPerFile", CSV_ROWS).option("header", True).option(
         "escape", '"').option("emptyValue", "").csv(path)
 
 

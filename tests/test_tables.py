@@ -129,3 +129,11 @@ def test_merge_recovers_from_a_half_done_overwrite(spark, tmp_path, monkeypatch)
     expected = {str(i): i for i in range(50)} | {"7": 700, "8": 800}
     assert dict(values(tables.read_table(spark, path, SCHEMA, merged=True), "k", "v")) == expected
     assert not (tmp_path / "m.pending").exists()
+
+
+def test_csv_files_are_short(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "CSV_ROWS", 10)
+    rows = spark.range(35).selectExpr("id", "concat('a\\n', id) as text").coalesce(1)
+    tables.write_csv(rows, str(tmp_path / "csv"))
+    assert len(list((tmp_path / "csv").glob("part-*.csv"))) == 4
+    assert values(tables.read_csv(spark, str(tmp_path / "csv"), rows.schema), "id", "text") == values(rows, "id", "text")
