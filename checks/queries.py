@@ -241,7 +241,8 @@ def comment_status(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _flawed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    threads, replies = st.flawed_thread_pages(spark, sf), st.flawed_reply_pages(spark, sf)
+    """Pages as a run settles them: made once, however often they are looked at."""
+    threads, replies = tables.staged(st.flawed_thread_pages(spark, sf), "threads"), tables.staged(st.flawed_reply_pages(spark, sf), "replies")
     return threads, replies, pages.flatten_comment_threads(threads, replies, captured())
 
 

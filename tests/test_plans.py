@@ -2,6 +2,7 @@
 
 import pytest
 
+from checks import queries
 from checks.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -43,3 +44,8 @@ def test_comment_pages_are_decoded_before_the_plan_and_ranked_without_their_text
 @pytest.mark.parametrize("name", ["quota_cut", "comment_run_outcomes"])
 def test_cuts_do_not_shuffle_runs(spark, name):
     assert "hashpartitioning(run_id" not in physical(QUERIES[name](spark, SF)).replace("hashpartitioning(run_id#", "hashpartitioning(run_id").split("video_id")[0]
+
+
+def test_failing_comment_pages_are_made_once(spark):
+    threads, replies, _ = queries._flawed(spark, SF)
+    assert not any("documents" in f for pages in (threads, replies) for f in pages.inputFiles())
