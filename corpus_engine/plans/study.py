@@ -22,7 +22,6 @@ from corpus_engine.operators.sizing import Observed
 from corpus_engine.plans import report as metrics
 from corpus_engine.plans import stages
 from corpus_engine.plans.transcripts import resolve_transcripts
-from corpus_engine.session import scratch_path
 from corpus_engine.sources import tables
 from corpus_engine.sources.captions import read_subtitle_files
 from corpus_engine.sources.pages import flatten_comment_threads, flatten_search_pages, page_outcome, read_landing
@@ -114,9 +113,7 @@ class Study:
 
     def settle(self, df: DataFrame, label: str) -> DataFrame:
         """Writes an intermediate result that several tables read."""
-        path = scratch_path(self.spark, label)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return tables.staged(df, label)
 
     def counted(self, df: DataFrame, label: str, **more: Column) -> tuple[DataFrame, Observed]:
         """The same, with its rows and whatever else is asked for counted while it is written."""

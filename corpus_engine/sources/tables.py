@@ -18,6 +18,7 @@ BUCKET = "_bucket"
 COMPLETE = "_complete"
 DEFAULT_BUCKETS = 64
 CSV_ROWS = 20_000  # in a file
+SCRATCH_CODEC = "zstd"  # of tables that only the same job reads
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -219,7 +220,7 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame | None:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The frame as a finished table in the shared folder."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", SCRATCH_CODEC).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

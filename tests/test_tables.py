@@ -137,3 +137,8 @@ def test_csv_files_are_short(spark, tmp_path, monkeypatch):
     tables.write_csv(rows, str(tmp_path / "csv"))
     assert len(list((tmp_path / "csv").glob("part-*.csv"))) == 4
     assert values(tables.read_csv(spark, str(tmp_path / "csv"), rows.schema), "id", "text") == values(rows, "id", "text")
+
+
+def test_scratch_tables_are_packed(spark):
+    kept = tables.staged(spark.range(3).toDF("n"), "packed")
+    assert values(kept, "n") == [(0,), (1,), (2,)] and all(f.endswith(".zstd.parquet") for f in kept.inputFiles())
