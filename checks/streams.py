@@ -2,7 +2,7 @@
 
 Each lands the pages of three runs in three steps: the second run first, then the first one (late) and the second once more, then
 the third and the first once more. The stream is started anew for each step and takes about a run's files a batch. Each task of a landing
-writes a file, so more pages are more tasks, and no more batches.
+writes a file, so more pages are more tasks, and no more batches. Packed landings are compressed, and go when the step has taken them in.
 """
 
 from __future__ import annotations
@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from checks import study_tables as st
 from checks.oracle import COMMENTS, VIDEO_ROWS
 from corpus_engine.session import scratch_path
+from corpus_engine.sources.tables import drop
 from corpus_engine.streaming.keyed import keep_newest, newest_rows
 
 STEPS = (("r2",), ("r1", "r2"), ("r3", "r1"))
 RUNS = {"r1": "seq % 2 = 0", "r2": "seq % 3 <> 0", "r3": "seq % 5 = 0"}
 
 
-def _taken_in(spark: SparkSession, kind: str, pages: DataFrame, marked: str) -> DataFrame:
+def _taken_in(spark: SparkSession, kind: str, pages: DataFrame, marked: str, packed: bool = False) -> DataFrame:
     """The newest rows after all steps; ``marked`` is the JSON field that tells the run."""
     root, before = scratch_path(spark, f"keyed-{kind}"), 0
     for step in STEPS:
@@ -29,12 +30,15 @@ def _taken_in(spark: SparkSession, kind: str, pages: DataFrame, marked: str) ->
             named = pages.where(RUNS[run]).withColumn("run_id", F.lit(run))
             if "response" in pages.columns:
                 named = named.withColumn("response", F.replace("response", F.lit(f'"{marked}":"'), F.lit(f'"{marked}":"{run} ')))
-            named.write.mode("append").json(f"{root}/landing")
+            named.write.mode("append").option("compression", "gzip" if packed else "none").json(f"{root}/landing")
         landed = len(spark.read.text(f"{root}/landing").inputFiles())
         keep_newest(
             spark, f"{root}/landing", kind, f"{root}/{kind}", f"{root}/checkpoint", F.col("run_id"),
             files_per_batch=max(1, ceil((landed - before) / len(step)))).awaitTermination()
         before = landed
+        if packed:
+            drop(spark, f"{root}/landing")
+            before = 0
     return newest_rows(spark, f"{root}/{kind}", kind)
 
 
@@ -54,7 +58,7 @@ def stream_newest_threads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_newest_replies(spark: SparkSession, sf: str) -> DataFrame:
-    return _taken_in(spark, "replies", st.reply_pages(spark, sf), "textOriginal").select(
+    return _taken_in(spark, "replies", st.reply_pages(spark, sf), "textOriginal", packed=True).select(
         "comment_id", "video_id", "thread_id", "parent_comment_id", "text", "like_count", "captured_at")
 
 

@@ -41,6 +41,14 @@ def _parsed(pages: DataFrame, schema: T.StructType) -> DataFrame:
     return pages.withColumn("items", F.col("response.items")).drop("response")
 
 
+def _each_item(pages: DataFrame, *columns: str | Column) -> DataFrame:
+    """One row per item of a parsed page, with its place ``_pos``.
+
+    From an outer generator the optimizer infers no filter on ``items``; pushed below, such a filter decodes the response anew.
+    """
+    return pages.select(*columns, F.posexplode_outer("items").alias("_pos", "item")).where(F.col("_pos").isNotNull())
+
+
 def _item_seq(pos: str, reply: bool = False) -> Column:
     """Arrival of an item, see ``schemas.SEQ``: no number is too large for its place."""
     return F.struct(F.col("seq").cast("bigint").alias("page"), F.lit(int(reply)).alias("kind"), F.col(pos).cast("int").alias("pos"))
@@ -225,8 +233,7 @@ def _comment_columns(comment: str, is_reply: bool, captured_at: Column) -> list[
 
 def thread_page_comments(pages: DataFrame, captured_at: Column) -> DataFrame:
     """The top comments of thread pages that were read, each page by itself: no cap, no cut at failures, no replies."""
-    item = _parsed(pages.where(F.col("error").isNull()), schemas.THREAD_RESPONSE).select(
-        "run_id", "seq", "video_id", F.posexplode("items").alias("_pos", "item"))
+    item = _each_item(_parsed(pages.where(F.col("error").isNull()), schemas.THREAD_RESPONSE), "run_id", "seq", "video_id")
     rows = item.select(
         "*", F.col("item.id").alias("thread_id"), F.lit(None).cast("string").alias("parent_comment_id"),
         F.coalesce(safe_int(F.col("item.snippet.totalReplyCount")), F.lit(0)).alias("total_reply_count"))
@@ -235,9 +242,9 @@ def thread_page_comments(pages: DataFrame, captured_at: Column) -> DataFrame:
 
 def reply_page_comments(pages: DataFrame, captured_at: Column) -> DataFrame:
     """The replies of reply pages that were read, each page by itself."""
-    item = _parsed(pages.where(F.col("error").isNull()), schemas.REPLY_RESPONSE).select(
-        "run_id", "seq", "video_id", "thread_id", F.col("parent_id").alias("parent_comment_id"),
-        F.lit(None).cast("bigint").alias("total_reply_count"), F.posexplode("items").alias("_pos", "item"))
+    item = _each_item(
+        _parsed(pages.where(F.col("error").isNull()), schemas.REPLY_RESPONSE), "run_id", "seq", "video_id", "thread_id",
+        F.col("parent_id").alias("parent_comment_id"), F.lit(None).cast("bigint").alias("total_reply_count"))
     return item.select(*_comment_columns("item", True, captured_at))
 
 

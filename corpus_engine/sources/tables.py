@@ -31,6 +31,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the job's own with all it holds."""
+    fs, folder = _fs_path(spark, path)
+    fs.delete(folder, True)
+
+
 def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, str, bool]]:
     """Number, label, folder and completeness of every version below ``path``, by number."""
     if not exists(spark, path):
@@ -203,7 +209,7 @@ def _finish_merge(spark: SparkSession, path: str) -> None:
 def append_batch(df: DataFrame, path: str, batch: int) -> None:
     """One batch of an append-only table; a batch that is repeated takes its own place again."""
     folder = f"{path}/batch={batch:09d}"
-    df.write.mode("overwrite").parquet(folder)
+    df.write.mode("overwrite").option("compression", SCRATCH_CODEC).parquet(folder)
     _completed(df.sparkSession, folder)
 
 

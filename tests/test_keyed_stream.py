@@ -1,6 +1,7 @@
 """Streams that remember the newest row of each key."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from checks import streams
 from corpus_engine import schemas
 from corpus_engine.operators.ordering import keep_last
 from corpus_engine.sources.tables import COMPLETE
+from corpus_engine.streaming import keyed
 from corpus_engine.streaming.keyed import KINDS, keep_newest, newest_rows
 from tests.helpers import landing_line, values, write_lines
 
@@ -124,3 +126,75 @@ def test_all_tasks_land_and_a_batch_takes_a_runs_files(spark, tmp_path, monkeypa
     assert len(list((tmp_path / "videos.changes").glob("batch=*"))) <= 7
     run = lambda i: "r3" if i % 5 == 0 else "r2" if i % 3 else "r1"
     assert rows == sorted((str(i), f"{run(i)} t") for i in range(60) if i % 5 == 0 or i % 3 or i % 2 == 0)
+
+
+def test_state_holds_places_not_rows(spark, stream, tmp_path):
+    """State is many versions of each key; with the texts in it, it outgrew the pages."""
+    texts = {f"v{i}": "%x" % random.Random(i).getrandbits(40_000) for i in range(60)}
+    for number in range(1, 4):
+        stream.land(str(number), page(f"r{number}", 1, **texts))
+        stream.run()
+    size = {name: sum(p.stat().st_size for p in (tmp_path / name).rglob("*") if p.is_file()) for name in ("in", "checkpoint")}
+    assert size["checkpoint"] < size["in"] / 4
+    assert stream.rows() == sorted(texts.items())
+
+
+def test_rows_are_found_by_their_whole_place(spark, stream):
+    """A page twice in a file is one, an item that comes again on a page is the last, other files' rows of the same place do not count."""
+    twice = page("r1", 1, a="a", b="b")
+    again = landing_line(run_id="r1", seq=2, response='{"items": [{"id": "c", "snippet": {"title": "1"}}, {"id": "c", "snippet": {"title": "2"}}, {"id": null}]}')
+    stream.land("1", twice, twice, again)
+    stream.land("2", page("r1", 1, a="other", d="d"), landing_line(run_id=None, seq=None, response='{"items": [{"id": "e"}]}'))
+    stream.run()
+    assert stream.changes() == [[(None, None), ("a", "a"), ("b", "b"), ("c", "2")], [("d", "d"), ("e", None)]]
+    assert stream.rows("videos", "video_id", "captured_at", "_run_id") == [
+        (None, "r1", "r1"), ("a", "r1", "r1"), ("b", "r1", "r1"), ("c", "r1", "r1"), ("d", "r1", "r1"), ("e", None, None)]
+
+
+def test_files_of_odd_names(spark, stream, tmp_path):
+    for name, item in (("a b.json", "a"), ("c%20d.json", "c"), ("e[1].json", "e")):
+        write_lines(tmp_path / "in", name, [page("r1", 1, **{item: name})])
+    stream.run()
+    assert stream.rows() == [("a", "a b.json"), ("c", "c%20d.json"), ("e", "e[1].json")]
+
+
+def test_the_capture_is_the_streams(spark, stream, tmp_path):
+    """A capture that is no function of the page, such as the time, is noted once."""
+    stream.land("1", page("r1", 1, a="one"))
+    keep_newest(spark, stream.landing, "videos", stream.table, str(tmp_path / "checkpoint"), F.current_timestamp().cast("string")).awaitTermination()
+    row = newest_rows(spark, stream.table, "videos").first()
+    assert row["title"] == "one" and row["captured_at"]
+    assert spark.read.parquet(f"{stream.table}.changes/*").where("cast(captured_at as timestamp) = _taken").count() == 1
+
+
+def test_settings_are_the_streams_own(spark, stream):
+    before = {name: spark.conf.get(name, None) for name in keyed.SETTINGS}
+    stream.land("1", page("r1", 1, a="one"))
+    stream.run()
+    assert {name: spark.conf.get(name, None) for name in keyed.SETTINGS} == before
+
+
+def test_comment_pages_are_decoded_once(spark):
+    """A filter on the items, pushed below, would decode the response again."""
+    for kind in ("threads", "replies"):
+        pages = spark.createDataFrame([], KINDS[kind].envelope).repartition(2)  # else the plan is an empty table
+        plan = KINDS[kind].rows(pages, F.col("run_id"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1, kind
+
+
+def test_packed_landings_are_compressed_and_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "scratch_path", lambda *_: str(tmp_path))
+    seen, keep = [], streams.keep_newest
+
+    def spied(spark, landing, *more, **options):
+        seen.append(sorted(p.name.partition(".")[2] for p in (tmp_path / "landing").glob("part-*")))
+        assert 1 <= options["files_per_batch"] <= 6
+        return keep(spark, landing, *more, **options)
+
+    monkeypatch.setattr(streams, "keep_newest", spied)
+    pages = spark.range(60).repartition(6).selectExpr("'r1' as run_id", "id as seq", """concat('{"items":[{"id":"', id, '","snippet":{"title":"t"}}]}') as response""")
+    rows = values(streams._taken_in(spark, "videos", pages, "title", packed=True), "video_id", "title")
+    assert [set(names) for names in seen] == [{"json.gz"}] * 3 and [len(names) > 9 for names in seen] == [False, True, True]
+    assert not (tmp_path / "landing").exists()
+    run = lambda i: "r3" if i % 5 == 0 else "r2" if i % 3 else "r1"
+    assert rows == sorted((str(i), f"{run(i)} t") for i in range(60) if i % 5 == 0 or i % 3 or i % 2 == 0)
