@@ -53,7 +53,7 @@ def stream_newest_channels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_newest_threads(spark: SparkSession, sf: str) -> DataFrame:
-    return _taken_in(spark, "threads", st.thread_pages(spark, sf), "textDisplay").select(
+    return _taken_in(spark, "threads", st.thread_pages(spark, sf), "textDisplay", packed=True).select(
         "comment_id", "video_id", "thread_id", "text", "like_count", "total_reply_count", "captured_at")
 
 
