@@ -206,11 +206,13 @@ def _finish_merge(spark: SparkSession, path: str) -> None:
     fs.delete(note, False)
 
 
-def append_batch(df: DataFrame, path: str, batch: int) -> None:
-    """One batch of an append-only table; a batch that is repeated takes its own place again."""
-    folder = f"{path}/batch={batch:09d}"
+def append_batch(df: DataFrame, path: str, batch: int, rows: int | None = None) -> None:
+    """One batch of an append-only table; a batch that is repeated takes its own place again. One of other than ``rows`` rows is refused."""
+    spark, folder = df.sparkSession, f"{path}/batch={batch:09d}"
     df.write.mode("overwrite").option("compression", SCRATCH_CODEC).parquet(folder)
-    _completed(df.sparkSession, folder)
+    if rows is not None and (written := spark.read.schema(df.schema).parquet(folder).count()) != rows:
+        raise ValueError(f"{folder} has {written} rows, not {rows}")
+    _completed(spark, folder)
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame | None:

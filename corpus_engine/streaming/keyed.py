@@ -105,7 +105,8 @@ def keep_newest(
         files = session.createDataFrame([*enumerate(names)], "_number int, _file string")
         pages = session.read.schema(chosen.envelope).json(landing).where(
             F.col("_metadata.file_name").isin([f.rpartition("/")[2] for f in names]))
-        append_batch(rows_at(chosen.rows(pages, captured_at), places, chosen.keys, files), f"{table}.changes", number)
+        # Were a page's file gone by now, its rows would be missing.
+        append_batch(rows_at(chosen.rows(pages, captured_at), places, chosen.keys, files), f"{table}.changes", number, rows=places.count())
 
     before = {name: spark.conf.get(name, None) for name in SETTINGS}
     for name, value in SETTINGS.items():

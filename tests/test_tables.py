@@ -142,3 +142,12 @@ def test_csv_files_are_short(spark, tmp_path, monkeypatch):
 def test_scratch_tables_are_packed(spark):
     kept = tables.staged(spark.range(3).toDF("n"), "packed")
     assert values(kept, "n") == [(0,), (1,), (2,)] and all(f.endswith(".zstd.parquet") for f in kept.inputFiles())
+
+
+def test_a_batch_of_too_few_rows_is_refused(spark, tmp_path):
+    path = str(tmp_path / "log")
+    with pytest.raises(ValueError, match="has 3 rows, not 4"):
+        tables.append_batch(spark.range(3), path, 0, rows=4)
+    assert tables.read_batches(spark, path) is None
+    tables.append_batch(spark.range(4), path, 0, rows=4)
+    assert values(tables.read_batches(spark, path), "id") == [(0,), (1,), (2,), (3,)]
